@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +51,3 @@ def movement_orders(movements: DataFrame) -> DataFrame:
     """Raw movements with the order number stripped of its leading zeros."""
     return movements.withColumn(ORDER, without_leading_zeros(F.col("aufnr")))
 
-
-def ordered_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The declared columns in the declared order."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import joined_key, padded
 from ..operators.checks import relative_deviation, rows_matching_any
-from ..operators.joins import bracket_join, conditional_lookup, join_back, lookup, override
+from ..operators.joins import bracket_join, lookup, override
 from ..operators.ordered import occurrence_index
 
 SLICE = "rxcxp"
+SLICE_KEYS = [SLICE, "prod_grp"]
 
 
 def slice_key() -> Column:
@@ -57,22 +58,19 @@ def margin_matrix(
     for step in unit_economics():
         rows = rows.withColumns(step)
     rows = lookup(rows, volume_index.select(F.col("pline").alias("pfam"), "volume_index").distinct(), ["pfam"])
-    rows = occurrence_index(rows, [SLICE], order, chunk, "instance_rxcxp")
-    rows = join_back(
-        rows,
-        [SLICE],
-        F.sum("transactional_vol_kg").alias("yearly_volume_rxcxp"),
-        F.sum("new_cm_abs").alias("total_rxcxp_cm_abs"),
-    )
+    levels = slice_levels(rows)
+    first = F.col("instance_rxcxp") == 1
+    rows = occurrence_index(rows, SLICE_KEYS, order, chunk, "instance_rxcxp").join(levels, SLICE_KEYS, "left")
+    rows = rows.withColumns(
+        {
+            "avg_rxcxp_cm_kg_eur": F.when(first, F.col("__level")).otherwise(0.0),
+            "avg_pg_cm_kg_eur": F.when(first, F.col("avg_pg_cm_kg_eur")),
+        }
+    ).drop("__level")
     limits = brackets.select(
         "volume_index", F.col("min").alias("__lo"), F.col("max").alias("__hi"), F.col("bracket").alias("yearly_volume_bracket")
     ).distinct()
     rows = bracket_join(rows, limits, ["volume_index"], "yearly_volume_rxcxp", "__lo", "__hi").drop("__lo", "__hi")
-    first = F.col("instance_rxcxp") == 1
-    level = F.try_divide(F.col("total_rxcxp_cm_abs"), F.col("yearly_volume_rxcxp"))
-    rows = rows.withColumn("avg_rxcxp_cm_kg_eur", F.when(first, level).otherwise(0.0))
-    group_level = rows.groupBy("prod_grp").agg(F.avg("avg_rxcxp_cm_kg_eur").alias("avg_pg_cm_kg_eur"))
-    rows = conditional_lookup(rows, group_level, ["prod_grp"], first)
     rules = managers.select(
         F.col("ml2").alias("ibg"), F.col("customer").alias("cust_number"), "sales_org", "am_responsible"
     )
@@ -95,6 +93,24 @@ def margin_matrix(
     }
 
 
+def slice_levels(rows: DataFrame) -> DataFrame:
+    """Volume, margin and margin level per slice, with the mean level of its product group.
+
+    Only a slice's first row carries its level and the other rows count as 0, so the mean over all rows of a
+    product group follows from one line per slice: its level and how many of its rows have a figure.
+    """
+    slices = rows.groupBy(*SLICE_KEYS).agg(
+        F.sum("transactional_vol_kg").alias("yearly_volume_rxcxp"),
+        F.sum("new_cm_abs").alias("total_rxcxp_cm_abs"),
+        F.count(F.lit(1)).alias("__n"),
+    ).withColumn("__level", F.try_divide(F.col("total_rxcxp_cm_abs"), F.col("yearly_volume_rxcxp")))
+    counted = F.col("__n") - F.when(F.col("__level").isNull(), 1).otherwise(0)
+    groups = slices.groupBy("prod_grp").agg(
+        F.try_divide(F.coalesce(F.sum("__level"), F.lit(0.0)), F.sum(counted)).alias("avg_pg_cm_kg_eur")
+    )
+    return slices.join(groups, "prod_grp", "left").drop("__n")
+
+
 def level_by(rows: DataFrame, column: str, name: str) -> DataFrame:
     """Mean margin level in percent."""
     return rows.groupBy(F.col(column).alias(name)).agg(

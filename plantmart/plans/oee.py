@@ -26,9 +26,10 @@ def oee_table(availability: DataFrame, rates: DataFrame, capacity_from_events: b
     capacity of the rate samples is kept (batch plants).
     """
     sums = [*EVENT_SUMS, "delay_ext_loss"] if capacity_from_events else EVENT_SUMS
-    events = availability.groupBy(*EVENT_KEYS).agg(*[F.sum(c).alias(f"sum_{c}") for c in sums])
-    produced = rates.groupBy(*RATE_KEYS).agg(*[F.sum(c).alias(f"sum_{c}") for c in RATE_SUMS])
-    joined = events.join(produced, RATE_KEYS, "left").fillna(0, subset=[f"sum_{c}" for c in RATE_SUMS])
+    status = [c for c in ("source_status",) if c in availability.columns]
+    events = availability.groupBy(*status, *EVENT_KEYS).agg(*[F.sum(c).alias(f"sum_{c}") for c in sums])
+    produced = rates.groupBy(*status, *RATE_KEYS).agg(*[F.sum(c).alias(f"sum_{c}") for c in RATE_SUMS])
+    joined = events.join(produced, [*status, *RATE_KEYS], "left").fillna(0, subset=[f"sum_{c}" for c in RATE_SUMS])
     gap = F.col("sum_runtime_loss")
     for c in ("quantity_prod", "operations_loss", "maintenance_loss", "external_loss", "unknown_loss"):
         gap = gap - F.col(f"sum_{c}")
@@ -116,6 +117,16 @@ def movement_output(movements: DataFrame) -> DataFrame:
     )
 
 
+def quality_output(rows: DataFrame) -> DataFrame:
+    out = with_order_key(rows).withColumn("quantity_q1_erp", F.col("quantity_q1_good_erp"))
+    narrow = {c: "float" for c in ("menge", "menge_s", "erfmg", "quantity_prod_erp")} | {"pbamg": "int"}
+    return out.withColumns({c: F.col(c).cast(t) for c, t in narrow.items() if c in out.columns})
+
+
+def alarm_output(alarms: DataFrame) -> DataFrame:
+    return with_row_key(alarms).withColumnRenamed("eventts", "event_timestamp")
+
+
 def order_output(orders: DataFrame) -> DataFrame:
     seconds = F.unix_timestamp("actual_end_time") - F.unix_timestamp("actual_start_time")
     out = with_order_key(with_row_key(orders)).withColumns(

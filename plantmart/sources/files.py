@@ -28,7 +28,8 @@ def scan_sites(
     another column order fails instead of shifting values.
     """
     raw = _csv(spark, f"{root.rstrip('/')}/*/{file}")
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    # ``file`` may lie in a sub-folder of the site.
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2 - file.count("/"))
     return spec.apply(raw.withColumn(site_column, F.url_decode(folder)), keep=[site_column])
 
 
@@ -48,12 +49,14 @@ def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.read.parquet(path).select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
 
-def scan_optional_sites(spark: SparkSession, root: str, file: str, spec: TableSpec) -> DataFrame:
+def scan_optional_sites(
+    spark: SparkSession, root: str, file: str, spec: TableSpec, site_column: str = "source_site"
+) -> DataFrame:
     """As ``scan_sites``, but no rows when no site has the file."""
     if path_exists(spark, f"{root.rstrip('/')}/*/{file}"):
-        return scan_sites(spark, root, file, spec)
-    raw = spark.createDataFrame([], spec.source_schema()).withColumn("source_site", F.lit(None).cast("string"))
-    return spec.apply(raw, keep=["source_site"])
+        return scan_sites(spark, root, file, spec, site_column)
+    raw = spark.createDataFrame([], spec.source_schema()).withColumn(site_column, F.lit(None).cast("string"))
+    return spec.apply(raw, keep=[site_column])
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
