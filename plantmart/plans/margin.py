@@ -103,7 +103,9 @@ def slice_levels(rows: DataFrame) -> DataFrame:
         F.sum("transactional_vol_kg").alias("yearly_volume_rxcxp"),
         F.sum("new_cm_abs").alias("total_rxcxp_cm_abs"),
         F.count(F.lit(1)).alias("__n"),
-    ).withColumn("__level", F.try_divide(F.col("total_rxcxp_cm_abs"), F.col("yearly_volume_rxcxp")))
+    )
+    level = F.try_divide(F.col("total_rxcxp_cm_abs"), F.col("yearly_volume_rxcxp"))
+    slices = slices.withColumn("__level", F.when(F.col(SLICE).isNotNull(), level))
     counted = F.col("__n") - F.when(F.col("__level").isNull(), 1).otherwise(0)
     groups = slices.groupBy("prod_grp").agg(
         F.try_divide(F.coalesce(F.sum("__level"), F.lit(0.0)), F.sum(counted)).alias("avg_pg_cm_kg_eur")

@@ -150,7 +150,7 @@ def recency_months(t: Tables) -> DataFrame:
 @query(
     tidy_sql(
         """WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-                             l_discount * 100 AS cost, l_extendedprice / l_quantity / 1000 - l_discount * 20 AS margin,
+                             l_discount * 100 AS cost, l_extendedprice / l_quantity / 700 - l_discount * 20 AS margin,
                              l_quantity AS volume, l_tax AS old_cost, l_discount AS new_cost FROM lineitem)
            SELECT * FROM l WHERE cost = 0 OR cost > 9.5 OR margin < 0 OR volume < 2
               OR (old_cost <> 0 AND abs(old_cost - new_cost) / old_cost >= 0.1)""",
@@ -162,7 +162,7 @@ def outlier_sample(t: Tables) -> DataFrame:
     rows = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         (F.col("l_discount") * 100).alias("cost"),
-        (F.col("l_extendedprice") / F.col("l_quantity") / 1000 - F.col("l_discount") * 20).alias("margin"),
+        (F.col("l_extendedprice") / F.col("l_quantity") / 700 - F.col("l_discount") * 20).alias("margin"),
         F.col("l_quantity").alias("volume"), F.col("l_tax").alias("old_cost"), F.col("l_discount").alias("new_cost"),
     )
     return rows_matching_any(

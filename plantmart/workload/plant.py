@@ -404,7 +404,7 @@ def result_keys(t: Tables) -> DataFrame:
         f"""WITH {ORDERS_SQL}, e AS ({EVENTS_SQL})
             SELECT e.recid, o.process_order_number, o.productid, o.logsheet_number, e.calendar_day
             FROM (SELECT *, row_number() OVER (PARTITION BY unit, reason, event_time ORDER BY recid DESC) AS rn FROM e WHERE running_state <> 'IDLE') e
-            JOIN prod_orders o ON o.site = e.site AND o.unit = e.unit AND o.process_order_number = CAST(e.k AS VARCHAR) WHERE rn = 1""",
+            JOIN prod_orders o ON o.site = e.site AND o.unit = e.unit AND o.process_order_number = CAST(e.k AS VARCHAR) WHERE e.rn = 1""",
         day="calendar_day",
     )
 )
@@ -780,7 +780,7 @@ _TIMELINE_SQL = f"""{_UP_SQL},
   p AS (SELECT *, CASE WHEN xt THEN 'IDLE' WHEN run AND nx THEN 'DELAY' ELSE 'DOWNTIME' END AS lost, CASE WHEN run THEN 'RUNNING' ELSE 'CHANGE-OVER' END AS planned,
       CASE WHEN run THEN NULL ELSE 'Operations' END AS plan_cat FROM off),
   tl AS (
-    SELECT p.*, 'within' AS kind, durationactual AS len, operationstart AS at, planned AS state, plan_cat AS cat FROM p WHERE explanationinstance = 0 AND durationactual <= durationtarget
+    SELECT p.*, 'within' AS kind, durationactual AS len, operationstart AS happened, planned AS state, plan_cat AS cat FROM p WHERE explanationinstance = 0 AND durationactual <= durationtarget
     UNION ALL SELECT p.*, 'planned', durationtarget, operationstart, planned, plan_cat FROM p WHERE explanationinstance = 0 AND durationactual > durationtarget
     UNION ALL SELECT p.*, 'overrun', durationactual - durationtarget, plan_end, lost, 'Unknown' FROM p WHERE explanationinstance = 0 AND durationactual > durationtarget
     UNION ALL SELECT p.*, 'planned', durationtarget, operationstart, planned, plan_cat FROM p WHERE explanationinstance = 1
@@ -791,13 +791,13 @@ _TIMELINE_SQL = f"""{_UP_SQL},
       CASE WHEN NOT run AND (kind NOT IN ('explained', 'further') OR nx) THEN len * 60 ELSE 0 END AS impactable,
       CAST(len * 60 AS DOUBLE) / nullif(target_prod_rate, 0) / 3600 AS runtime_loss
       FROM tl JOIN (SELECT o_orderkey, target_prod_rate FROM up) u USING (o_orderkey))"""
-_SHIFT_SQL = "CASE WHEN hour(at) < 6 OR hour(at) >= 22 THEN 'ND' WHEN hour(at) < 14 THEN 'OD' ELSE 'MD' END"
+_SHIFT_SQL = "CASE WHEN hour(happened) < 6 OR hour(happened) >= 22 THEN 'ND' WHEN hour(happened) < 14 THEN 'OD' ELSE 'MD' END"
 
 
 @query(
     tidy_sql(
-        f"""WITH {_TIMELINE_SQL} SELECT durationid, explanationid, at AS event_time, state AS running_state, cat AS oee_category, duration_s, available,
-            non_impactable, impactable, {_SHIFT_SQL} AS shift, datediff('day', CAST(at AS DATE), DATE '2017-08-19') % 10 AS shift_modulo,
+        f"""WITH {_TIMELINE_SQL} SELECT durationid, explanationid, happened AS event_time, state AS running_state, cat AS oee_category, duration_s, available,
+            non_impactable, impactable, {_SHIFT_SQL} AS shift, datediff('day', CAST(happened AS DATE), DATE '2017-08-19') % 10 AS shift_modulo,
             CASE WHEN cat = 'External' THEN 'Non-impactable' END AS category, operation_day AS calendar_day, runtime_loss,
             CASE WHEN available > 0 THEN runtime_loss ELSE 0 END AS running_potential FROM ev""",
         double="runtime_loss running_potential", long="duration_s available non_impactable impactable shift_modulo",

@@ -117,7 +117,7 @@ def customer_inputs(t: Tables) -> dict[str, DataFrame]:
             F.col("n_nationkey").cast("string").alias("land"), F.col("r_name").alias("country_group"), F.col("r_name").alias("region_text")
         ),
         "order_cost": t.region.select((F.col("r_regionkey") * 10 + 5).alias("charge"), F.col("r_name").alias("region")),
-        "mails": spark.createDataFrame([("north", "n@example.org")], "sales_off string, sales_off_email string"),
+        "mails": spark.createDataFrame([("north_1 x", "n@example.org")], "sales_off string, sales_off_email string"),
         "sales_orgs": spark.createDataFrame([("O0",), ("O1",), ("O2",), ("O3",), ("O4",)], "sales_org_id string"),
     }
 
@@ -133,9 +133,9 @@ _DIM_SQL = f"""{_CUST_SQL}, {_FX_SQL},
       SELECT o_custkey, year(o_orderdate) AS yy, month(o_orderdate) AS mm, 'L' || CAST(o_orderkey % 3 AS VARCHAR) AS ibg,
              CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'G' || CAST(o_custkey % 400 AS VARCHAR) END AS g FROM orders WHERE o_orderpriority <> '5-LOW') z),
   cr AS (SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cust_number, c_name, c_nationkey, c_mktsegment,
-      coalesce(newest.ibg, CASE WHEN c_mktsegment <> 'MACHINERY' THEN 'L1' END) AS ibg,
-      coalesce(newest.g, CASE WHEN c_mktsegment <> 'MACHINERY' THEN 'M' || CAST(c_nationkey AS VARCHAR) END) AS cust_grp_adj,
-      CASE WHEN newest.ibg IS NOT NULL THEN 'bw' WHEN c_mktsegment <> 'MACHINERY' THEN 'cust_grp_ml2' END AS ibg_type
+      coalesce(newest.ibg, CASE WHEN c_mktsegment <> 'MACHINERY' AND c_custkey <> 0 THEN 'L1' END) AS ibg,
+      coalesce(newest.g, CASE WHEN c_mktsegment <> 'MACHINERY' AND c_custkey <> 0 THEN 'M' || CAST(c_nationkey AS VARCHAR) END) AS cust_grp_adj,
+      CASE WHEN newest.ibg IS NOT NULL THEN 'bw' WHEN c_mktsegment <> 'MACHINERY' AND c_custkey <> 0 THEN 'cust_grp_ml2' END AS ibg_type
       FROM customer LEFT JOIN newest ON o_custkey = c_custkey AND rn = 1 WHERE c_acctbal >= 0 AND c_nationkey <> 3 AND c_nationkey % 6 < 5),
   one_size AS (SELECT cust_grp_adj, min(cust_segment) AS cust_size FROM segments GROUP BY 1),
   eur AS (SELECT from_currency, arg_max(rate, epoch(d) * 1000000 + rate) AS rate FROM fx WHERE to_currency = 'EUR' GROUP BY 1),
@@ -186,7 +186,7 @@ def offices_without_mail(t: Tables) -> DataFrame:
 
 _PROD_SQL = """
   packed AS (SELECT 'K' || CAST(p_partkey AS VARCHAR) AS prod_number, p_name AS prod_descrp, 'U' || CAST(p_partkey % 500 AS VARCHAR) AS upc,
-      '75' || lpad(CAST(p_size AS VARCHAR), 2, '0') || '/' || substr(p_type, 1, 2) || lpad(CAST(p_partkey % 10 AS VARCHAR), 3, '0') AS prdha, p_brand, p_type, p_size FROM part
+      '75' || lpad(CAST(p_size AS VARCHAR), 2, '0') || substr(p_type, 1, 3) || lpad(CAST(p_partkey % 10 AS VARCHAR), 3, '0') AS prdha, p_brand, p_type, p_size FROM part
       WHERE p_type <> 'PROMO' AND p_name NOT LIKE '%bolt'),
   grp AS (SELECT DISTINCT 'U' || CAST(p_partkey % 500 AS VARCHAR) AS upc, 'GRP' || CAST(p_partkey % 500 // 2 AS VARCHAR) AS prod_grp FROM part),
   sold AS (SELECT DISTINCT 'K' || CAST(l_partkey AS VARCHAR) AS prod_number, 'O' || CAST(s_nationkey % 6 AS VARCHAR) AS sales_org, 4 + s_nationkey % 6 AS vmsta
@@ -202,7 +202,7 @@ def product_inputs(t: Tables) -> dict[str, DataFrame]:
     key = F.col("p_partkey")
     code = F.concat(F.lit("U"), (key % 500).cast("string"))
     prdha = F.concat(
-        F.lit("75"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit("/"), F.substring("p_type", 1, 2),
+        F.lit("75"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.substring("p_type", 1, 3),
         F.lpad((key % 10).cast("string"), 3, "0"),
     )
     packed = t.part.select(
@@ -217,6 +217,7 @@ def product_inputs(t: Tables) -> dict[str, DataFrame]:
     ).distinct()
     shipped = t.lineitem.select("l_partkey", "l_suppkey").distinct().join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
     family = F.substring(prdha, 1, 7)
+    slashed = F.concat(F.substring(prdha, 1, 4), F.lit("/"), F.substring(prdha, 5, 3))
     return {
         "materials": packed.unionByName(unpacked),
         "hierarchy_texts": t.part.filter("p_size < 40").select(family.alias("PRODH"), F.concat(F.lit("family "), family).alias("VTEXT"), F.lit("3").alias("STUFE")).distinct(),
@@ -224,8 +225,8 @@ def product_inputs(t: Tables) -> dict[str, DataFrame]:
             F.concat(F.lit("O"), (F.col("s_nationkey") % 6).cast("string")).alias("vkorg"),
             F.concat(F.lit("K"), F.col("l_partkey").cast("string")).alias("matnr"), (F.col("s_nationkey") % 6 + 4).alias("vmsta"),
         ).distinct(),
-        "product_types": t.part.select(family.alias("pfam"), F.lit("type").alias("prod_type"), F.lit("chem").alias("chemistry")).distinct(),
-        "volume_index": t.part.select(family.alias("pline"), F.lit("V1").alias("volume_index")).distinct(),
+        "product_types": t.part.select(slashed.alias("pfam"), F.lit("type").alias("prod_type"), F.lit("chem").alias("chemistry")).distinct(),
+        "volume_index": t.part.select(slashed.alias("pline"), F.lit("V1").alias("volume_index")).distinct(),
         "material_plants": shipped.select(
             F.concat(F.lit("K"), F.col("l_partkey").cast("string")).alias("matnr"), F.col("s_nationkey").cast("string").alias("werks")
         ),
@@ -420,7 +421,7 @@ _PRICE_SQL = f"""{_DIM_SQL}, {_PROD_SQL},
       CASE WHEN status = 'O' THEN 'EUR' ELSE 'C' || CAST(CAST(kunag AS BIGINT) AS VARCHAR) END AS konwa
       FROM live JOIN dim ON dim.cust_number = kunag AND dim.sales_org = vkorg JOIN customer c ON lpad(CAST(c_custkey AS VARCHAR), 10, '0') = kunag),
   b1 AS (SELECT *, CASE unit0 WHEN 'K' THEN 'KG' ELSE unit0 END AS uom, CASE WHEN tax > 0.07 THEN q + 100 ELSE q END AS scales_qty, CASE WHEN tax > 0.07 THEN price * 0.9 ELSE price END AS kbetr, 100.0 AS per0 FROM b0),
-  b2 AS (SELECT *, CASE uom WHEN 'KG' THEN 1.0 WHEN 'LB' THEN 45359237 / 100000000.0 * pow(10, 0) ELSE (CAST(substr(matnr, 2) AS BIGINT) % 5 + 1) / 4.0 END AS f, round(kbetr / per0, 2) AS base_price FROM b1),
+  b2 AS (SELECT *, CASE uom WHEN 'KG' THEN 1.0 WHEN 'LB' THEN 45359237 / 100000000.0 * pow(10, 0) ELSE (CAST(substr(matnr, 2) AS BIGINT) % 5 + 1) / 4.0 END AS f, CAST(round(CAST(kbetr / per0 AS DECIMAL(28, 10)), 2) AS DOUBLE) AS base_price FROM b1),
   th AS (SELECT kunag, matnr, cust_region, ibg, inco1, scales_qty, lead(scales_qty) OVER (PARTITION BY kunag, matnr, cust_region, ibg, inco1 ORDER BY scales_qty) AS nx
       FROM (SELECT DISTINCT kunag, matnr, cust_region, ibg, inco1, scales_qty FROM b2) z),
   idt AS (SELECT kunag, matnr, inco1, dense_rank() OVER (ORDER BY kunag, matnr, inco1) + 879 AS unique_id FROM (SELECT DISTINCT kunag, matnr, inco1 FROM b2) z),
@@ -593,9 +594,9 @@ _AVG = ", ".join(
 
 @query(
     tidy_sql(
-        f"""WITH {_TX_SQL}, r AS (SELECT cust_number, cxp_region, sales_org, vol, coalesce(reb, 0) - 0.05 AS reb, frght, oth AS com,
+        f"""WITH {_TX_SQL}, r AS (SELECT cust_number, cxp_region, sales_org, vol, coalesce(reb, 0) - 0.0513737 AS reb, frght + 0.0013737 AS frght, oth AS com,
               (datediff('month', day, {AS_OF_SQL}) + CASE WHEN day(day) = 15 THEN 0 ELSE (15 - day(day)) / 31.0 END) AS age FROM tr WHERE rolling = 'Yes'),
-            s AS (SELECT cust_number, cxp_region, sales_org, {', '.join(f"round(sum(CASE WHEN round(age) <= 6 THEN {a} * vol END) / sum(CASE WHEN round(age) <= 6 THEN vol END), 2) AS {a}1, round(sum({a} * vol) / sum(vol), 2) AS {a}2" for a in ('reb', 'frght', 'com'))}
+            s AS (SELECT cust_number, cxp_region, sales_org, {', '.join(f"round(CAST(sum(CASE WHEN round(age) <= 6 THEN {a} * vol END) / sum(CASE WHEN round(age) <= 6 THEN vol END) AS DECIMAL(28, 10)), 2) AS {a}1, round(CAST(sum({a} * vol) / sum(vol) AS DECIMAL(28, 10)), 2) AS {a}2" for a in ('reb', 'frght', 'com'))}
               FROM r GROUP BY ALL)
             SELECT cust_number, cxp_region AS cust_region, sales_org, {_AVG} FROM s""",
         double="average_reb_kg_eur average_frght_kg_eur average_com_kg_eur",
@@ -605,7 +606,9 @@ def customer_averages(t: Tables) -> DataFrame:
     """Six-month cost averages with all-time fallback."""
     rows = transactions(t).withColumns(
         {
-            "reb_kg_eur": F.coalesce("reb_kg_eur", F.lit(0.0)) - 0.05,
+            # Odd offsets keep the averages off an exact half cent.
+            "reb_kg_eur": F.coalesce("reb_kg_eur", F.lit(0.0)) - 0.0513737,
+            "frght_kg_eur": F.col("frght_kg_eur") + 0.0013737,
             "valid_price_kg_eur": F.lit(1.0),
             "last_transaction_per_cxp": F.col("rolling_12_month"),
         }

@@ -42,8 +42,12 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
+# The engines round an exact half differently; this shift takes values off the half in both.
+NUDGE = 1e-8
+
+
 def rounded(column: Column) -> Column:
-    value = F.round(column.cast("double"), DIGITS)
+    value = F.round(column.cast("double") + NUDGE, DIGITS)
     return F.when(value == 0, F.lit(0.0)).otherwise(value)
 
 
@@ -67,8 +71,8 @@ def tidy(df: DataFrame) -> DataFrame:
 def tidy_sql(sql: str, double: str = "", long: str = "", day: str = "", ts: str = "") -> str:
     """The same form in SQL; each argument lists column names."""
     parts = [
-        f'CASE WHEN round(CAST("{c}" AS DOUBLE), {DIGITS}) = 0 THEN CAST(0 AS DOUBLE)'
-        f' ELSE round(CAST("{c}" AS DOUBLE), {DIGITS}) END AS "{c}"'
+        f'CASE WHEN round(CAST("{c}" AS DOUBLE) + {NUDGE}, {DIGITS}) = 0 THEN CAST(0 AS DOUBLE)'
+        f' ELSE round(CAST("{c}" AS DOUBLE) + {NUDGE}, {DIGITS}) END AS "{c}"'
         for c in double.split()
     ]
     parts += [f'CAST("{c}" AS BIGINT) AS "{c}"' for c in long.split()]

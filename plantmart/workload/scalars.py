@@ -96,7 +96,7 @@ def string_keys(t: Tables) -> DataFrame:
                   CASE WHEN unit = 'LB' THEN l_quantity * 0.45359237 ELSE l_quantity END AS kg,
                   CASE WHEN unit = 'LB' THEN l_quantity ELSE l_quantity / 0.45359237 END AS lb,
                   l_quantity * 0.00045359237 AS lb_ton, l_quantity * 0.001 AS kg_ton,
-                  l_quantity / nullif(l_discount, 0) * pow(10, CAST(l_linenumber AS DOUBLE)) AS factor,
+                  l_quantity / nullif(l_discount, 0) * pow(10, CAST(l_linenumber - 6 AS DOUBLE)) AS factor,
                   CASE WHEN l_discount - 0.05 >= 0 THEN l_discount - 0.05 ELSE abs(1.0 / (l_discount - 0.05)) END AS quoted FROM l""",
         double="l_extendedprice kg lb lb_ton kg_ton factor quoted", long="l_linenumber",
     )
@@ -109,7 +109,7 @@ def unit_conversion(t: Tables) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         to_kg(quantity, unit).alias("kg"), to_lb(quantity, unit).alias("lb"),
         lb_to_ton(quantity).alias("lb_ton"), kg_to_ton(quantity).alias("kg_ton"),
-        unit_factor(quantity, F.col("l_discount"), F.col("l_linenumber").cast("double")).alias("factor"),
+        unit_factor(quantity, F.col("l_discount"), (F.col("l_linenumber") - 6).cast("double")).alias("factor"),
         signed_rate(F.col("l_discount") - 0.05).alias("quoted"),
     )
 
