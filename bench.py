@@ -30,7 +30,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{CPUS}]").appName("bench")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

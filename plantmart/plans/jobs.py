@@ -109,11 +109,10 @@ def line_tables(
 def batch_tables(inputs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Result tables of the batch plants, approved and unapproved rows side by side (``source_status``).
 
-    The step hierarchy feeds four tables; it is written to the shared folder once.
+    The unit procedures feed all tables; they are written to the shared folder once.
     """
-    steps = cut_lineage(batch.hierarchy(inputs))
-    procedures = batch.unit_procedures(steps)
-    availability = batch.availability_table(steps, procedures)
+    procedures = cut_lineage(batch.unit_procedures(inputs))
+    availability = batch.availability_table(batch.hierarchy(inputs), procedures)
     rates = batch.rate_table(procedures)
     orders = batch.order_table(procedures)
     approved = orders.filter(F.col("source_status") == APPROVED) if "source_status" in orders.columns else orders

@@ -123,7 +123,7 @@ _ATTRIBUTED_SQL = f"""
 
 def attributed(t: Tables) -> DataFrame:
     order = ["event_time", "recid"]
-    return line.with_durations(line.attribute_orders(dated(t), order), order)
+    return line.attribute_orders(line.with_durations(dated(t), order), order)
 
 
 @query(
@@ -722,10 +722,6 @@ def batch_inputs(t: Tables) -> dict[str, DataFrame]:
     }
 
 
-def steps(t: Tables) -> DataFrame:
-    return cut_lineage(batch.hierarchy(batch_inputs(t)))
-
-
 _UP_DOUBLES = ["target_prod_rate", "target_prod_rate_po"]
 _UP_LONGS = [
     "sum_durationactual", "sum_sum_lossexternal", "sum_sum_lossoperations", "sum_sum_lossmaintenance", "sum_durationrunning",
@@ -741,7 +737,7 @@ _UP_LONGS = [
 )
 def batch_hierarchy(t: Tables) -> DataFrame:
     """Approved and unapproved batches through the hierarchy and both aggregation levels."""
-    return batch.unit_procedures(steps(t)).select(ORDER, "unit", "source_status", *_UP_LONGS, *_UP_DOUBLES)
+    return batch.unit_procedures(batch_inputs(t)).select(ORDER, "unit", "source_status", *_UP_LONGS, *_UP_DOUBLES)
 
 
 @query(
@@ -753,7 +749,7 @@ def batch_hierarchy(t: Tables) -> DataFrame:
 )
 def batch_orders(t: Tables) -> DataFrame:
     """Batches as production orders."""
-    return batch.order_table(batch.unit_procedures(steps(t))).select(
+    return batch.order_table(batch.unit_procedures(batch_inputs(t))).select(
         ORDER, "unit", "source_status", "calendar_day", "quantity_prod", "quantity_required", "target_prod_rate", "target_quality",
         F.col("default_values_used").cast("string").alias("default_values_used"), "scrap_erp",
     )
@@ -768,7 +764,7 @@ def batch_orders(t: Tables) -> DataFrame:
 )
 def batch_rates(t: Tables) -> DataFrame:
     """Batches as rate samples."""
-    return batch.rate_table(batch.unit_procedures(steps(t))).select(
+    return batch.rate_table(batch.unit_procedures(batch_inputs(t))).select(
         ORDER, "unit", "source_status", "downtime_sec", "runtime_sec", "quantity_ftr", "capacity"
     )
 
@@ -806,8 +802,8 @@ _SHIFT_SQL = "CASE WHEN hour(happened) < 6 OR hour(happened) >= 22 THEN 'ND' WHE
 )
 def event_split(t: Tables) -> DataFrame:
     """Explanations expanded into planned, overrun, explained and further events."""
-    rows = steps(t)
-    return batch.availability_table(rows, batch.unit_procedures(rows)).select(
+    inputs = batch_inputs(t)
+    return batch.availability_table(batch.hierarchy(inputs), batch.unit_procedures(inputs)).select(
         "durationid", "explanationid", "event_time", "running_state", "oee_category", "duration_s", "available",
         "non_impactable", "impactable", "shift", "shift_modulo", "category", "calendar_day", "runtime_loss", "running_potential",
     )
@@ -827,8 +823,9 @@ def event_split(t: Tables) -> DataFrame:
 )
 def batch_oee(t: Tables) -> DataFrame:
     """OEE of batch plants."""
-    rows = steps(t)
-    procedures = cut_lineage(batch.unit_procedures(rows))
+    inputs = batch_inputs(t)
+    procedures = cut_lineage(batch.unit_procedures(inputs))
+    rows = batch.hierarchy(inputs)
     table = oee.oee_table(batch.availability_table(rows, procedures), batch.rate_table(procedures), capacity_from_events=False)
     return table.select(
         ORDER, "unit", "source_status", "calendar_day", "sum_runtime_loss", "sum_available", "sum_impactable", "sum_quantity_prod", "sum_rate_gap"

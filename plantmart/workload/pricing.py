@@ -29,6 +29,10 @@ _FX_SQL = f"""
       UNION ALL SELECT 'EUR', 'EUR', {AS_OF_SQL}, 1.0)"""
 
 
+_EUR_SQL = """
+  eur AS (SELECT from_currency, arg_max(rate, epoch(d) * 1000000 + rate) AS rate FROM fx WHERE to_currency = 'EUR' GROUP BY 1)"""
+
+
 def fx(t: Tables) -> DataFrame:
     rates = t.orders.select(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("fcurr"),
@@ -138,7 +142,7 @@ _DIM_SQL = f"""{_CUST_SQL}, {_FX_SQL},
       CASE WHEN newest.ibg IS NOT NULL THEN 'bw' WHEN c_mktsegment <> 'MACHINERY' AND c_custkey <> 0 THEN 'cust_grp_ml2' END AS ibg_type
       FROM customer LEFT JOIN newest ON o_custkey = c_custkey AND rn = 1 WHERE c_acctbal >= 0 AND c_nationkey <> 3 AND c_nationkey % 6 < 5),
   one_size AS (SELECT cust_grp_adj, min(cust_segment) AS cust_size FROM segments GROUP BY 1),
-  eur AS (SELECT from_currency, arg_max(rate, epoch(d) * 1000000 + rate) AS rate FROM fx WHERE to_currency = 'EUR' GROUP BY 1),
+{_EUR_SQL},
   dim AS (SELECT cust_number, cr.cust_grp_adj, cust_size, ibg, ibg_type, n_name AS country_soldto, r_name AS cust_region, lower(c_mktsegment) AS cust_classification,
       CASE WHEN c_nationkey % 9 = 2 THEN '#' ELSE 'am' || CAST(c_nationkey % 9 AS VARCHAR) END AS account_mgr, r_regionkey * 10 + 5 AS order_cost_eur,
       CASE WHEN c_nationkey < 12 THEN CAST(r_regionkey * 10 + 5 AS DOUBLE) ELSE (r_regionkey * 10 + 5) / eur.rate END AS order_cost_base_currency,
@@ -410,16 +414,39 @@ def competitiveness(t: Tables) -> DataFrame:
 
 # --- prices -----------------------------------------------------------------------------------------------------
 
-_PRICE_SQL = f"""{_DIM_SQL}, {_PROD_SQL},
+# Customers and products that may carry a price.
+_PRICED_SQL = f"""{_FX_SQL},
+{_EUR_SQL},
+  priced_customers AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cust_number, 'O' || CAST(c_nationkey % 6 AS VARCHAR) AS sales_org,
+      'L' || CAST(c_custkey % 3 AS VARCHAR) AS ibg, CASE WHEN c_acctbal > 0 THEN 'R' || CAST(c_nationkey % 5 AS VARCHAR) END AS cust_region FROM customer WHERE c_nationkey <> 3),
+  priced_products AS (SELECT 'K' || CAST(p_partkey AS VARCHAR) AS prod_number FROM part WHERE p_type <> 'PROMO')"""
+
+
+def priced_customers(t: Tables) -> DataFrame:
+    """Some customers have no region; their scales must still get a threshold."""
+    nation = F.col("c_nationkey")
+    return t.customer.filter(nation != 3).select(
+        F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("cust_number"),
+        F.concat(F.lit("O"), (nation % 6).cast("string")).alias("sales_org"),
+        F.concat(F.lit("L"), (F.col("c_custkey") % 3).cast("string")).alias("ibg"),
+        F.when(F.col("c_acctbal") > 0, F.concat(F.lit("R"), (nation % 5).cast("string"))).alias("cust_region"),
+    )
+
+
+def priced_products(t: Tables) -> DataFrame:
+    return t.part.filter("p_type <> 'PROMO'").select(F.concat(F.lit("K"), F.col("p_partkey").cast("string")).alias("prod_number"))
+
+
+_PRICE_SQL = f"""{_PRICED_SQL},
   cond AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS kunag, 'K' || CAST(l_partkey AS VARCHAR) AS matnr, 'O' || CAST(c_nationkey % 6 AS VARCHAR) AS vkorg, 'EXW' AS inco1,
       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS knumh, min(l_shipdate) AS ship,
       max(l_quantity) AS q, max(l_extendedprice) AS price, min(l_returnflag) AS flag, min(l_linestatus) AS status, max(l_tax) AS tax, max(l_linenumber) AS ln
       FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY ALL),
-  live AS (SELECT * FROM cond WHERE flag <> 'R' AND matnr IN (SELECT prod_number FROM prods) AND (kunag, vkorg) IN (SELECT cust_number, sales_org FROM dim)),
-  b0 AS (SELECT live.*, dim.ibg, dim.cust_region, CASE WHEN c.c_mktsegment = 'BUILDING' THEN '' ELSE 'PORT' END AS inco2, CAST(ship AS DATE) AS valid_from, CAST(ship AS DATE) + CAST(q * 20 AS INTEGER) AS valid_to,
+  live AS (SELECT * FROM cond WHERE flag <> 'R' AND matnr IN (SELECT prod_number FROM priced_products) AND (kunag, vkorg) IN (SELECT cust_number, sales_org FROM priced_customers)),
+  b0 AS (SELECT live.*, pc.ibg, pc.cust_region, CASE WHEN c.c_mktsegment = 'BUILDING' THEN '' ELSE 'PORT' END AS inco2, CAST(ship AS DATE) AS valid_from, CAST(ship AS DATE) + CAST(q * 20 AS INTEGER) AS valid_to,
       CASE WHEN ln = 1 THEN 'LB' WHEN ln = 2 THEN 'ST' WHEN ln = 3 THEN 'K' ELSE 'KG' END AS unit0,
       CASE WHEN status = 'O' THEN 'EUR' ELSE 'C' || CAST(CAST(kunag AS BIGINT) AS VARCHAR) END AS konwa
-      FROM live JOIN dim ON dim.cust_number = kunag AND dim.sales_org = vkorg JOIN customer c ON lpad(CAST(c_custkey AS VARCHAR), 10, '0') = kunag),
+      FROM live JOIN priced_customers pc ON pc.cust_number = kunag AND pc.sales_org = vkorg JOIN customer c ON lpad(CAST(c_custkey AS VARCHAR), 10, '0') = kunag),
   b1 AS (SELECT *, CASE unit0 WHEN 'K' THEN 'KG' ELSE unit0 END AS uom, CASE WHEN tax > 0.07 THEN q + 100 ELSE q END AS scales_qty, CASE WHEN tax > 0.07 THEN price * 0.9 ELSE price END AS kbetr, 100.0 AS per0 FROM b0),
   b2 AS (SELECT *, CASE uom WHEN 'KG' THEN 1.0 WHEN 'LB' THEN 45359237 / 100000000.0 * pow(10, 0) ELSE (CAST(substr(matnr, 2) AS BIGINT) % 5 + 1) / 4.0 END AS f, CAST(round(CAST(kbetr / per0 AS DECIMAL(28, 10)), 2) AS DOUBLE) AS base_price FROM b1),
   th AS (SELECT kunag, matnr, cust_region, ibg, inco1, scales_qty, lead(scales_qty) OVER (PARTITION BY kunag, matnr, cust_region, ibg, inco1 ORDER BY scales_qty) AS nx
@@ -429,8 +456,8 @@ _PRICE_SQL = f"""{_DIM_SQL}, {_PROD_SQL},
   pst AS (SELECT kunag, matnr, vkorg, inco1, valid_from AS pf, valid_to AS pt, base_price AS pp, row_number() OVER (PARTITION BY kunag, matnr, vkorg, inco1 ORDER BY valid_to DESC, valid_from DESC, base_price DESC) AS rn FROM b2 WHERE valid_from < {AS_OF_SQL} AND valid_to < {AS_OF_SQL}),
   pr AS (SELECT b2.*, unique_id, coalesce(nx, 1e12) AS max_vol, ff, ft, fp, pf, pt, pp, CASE WHEN konwa = 'EUR' THEN 1.0 ELSE eur.rate END AS fxr,
       CASE WHEN valid_from > {AS_OF_SQL} AND valid_to > {AS_OF_SQL} THEN 'Future' WHEN valid_from < {AS_OF_SQL} AND valid_to < {AS_OF_SQL} THEN 'Past' ELSE 'Current' END AS scale_type
-      FROM b2 JOIN idt USING (kunag, matnr, inco1) JOIN th USING (kunag, matnr, cust_region, ibg, inco1, scales_qty)
-      LEFT JOIN (SELECT * FROM fut WHERE rn = 1) f1 USING (kunag, matnr, vkorg, inco1) LEFT JOIN (SELECT * FROM pst WHERE rn = 1) p1 USING (kunag, matnr, vkorg, inco1)
+      FROM b2 JOIN idt USING (kunag, matnr, inco1) JOIN th ON th.kunag = b2.kunag AND th.matnr = b2.matnr AND th.cust_region IS NOT DISTINCT FROM b2.cust_region AND th.ibg = b2.ibg AND th.inco1 = b2.inco1 AND th.scales_qty = b2.scales_qty
+      LEFT JOIN (SELECT * FROM fut WHERE rn = 1) f1 ON f1.kunag = b2.kunag AND f1.matnr = b2.matnr AND f1.vkorg = b2.vkorg AND f1.inco1 = b2.inco1 LEFT JOIN (SELECT * FROM pst WHERE rn = 1) p1 ON p1.kunag = b2.kunag AND p1.matnr = b2.matnr AND p1.vkorg = b2.vkorg AND p1.inco1 = b2.inco1
       LEFT JOIN eur ON from_currency = konwa AND konwa <> 'EUR')"""
 
 
@@ -452,7 +479,6 @@ def price_inputs(t: Tables) -> dict[str, DataFrame]:
     start = F.col("ship").cast("date")
     ln = F.col("ln")
     unit = F.when(ln == 1, "LB").when(ln == 2, "ST").when(ln == 3, "K").otherwise("KG")
-    goods = product_tables(t)["products"]
     return {
         "customer_sales": customer_inputs(t)["customer_sales"],
         "group_conditions": sold.filter(F.lit(False)).select(
@@ -477,8 +503,8 @@ def price_inputs(t: Tables) -> dict[str, DataFrame]:
             F.concat(F.lit("K"), F.col("p_partkey").cast("string")).alias("matnr"), F.lit("ST").alias("meinh"),
             (F.col("p_partkey") % 5 + 1).alias("umrez"), F.lit(4).alias("umren"),
         ),
-        "products": goods,
-        "customers": cut_lineage(customer_tables(t)["customers"]),
+        "products": priced_products(t),
+        "customers": priced_customers(t),
     }
 
 
@@ -618,7 +644,7 @@ def customer_averages(t: Tables) -> DataFrame:
 
 @query(
     tidy_sql(
-        f"""WITH {_PRICE_SQL}, cp AS (SELECT kunag, scale_type, CASE flag WHEN 'N' THEN 'YP00' ELSE 'YP11' END AS ct, valid_from, uom, vkorg, kbetr / (per0 * f) * fxr AS rate FROM pr),
+        f"""WITH {_DIM_SQL}, {_PRICE_SQL.replace(_FX_SQL + ',', '', 1).replace(_EUR_SQL + ',', '', 1)}, cp AS (SELECT kunag, scale_type, CASE flag WHEN 'N' THEN 'YP00' ELSE 'YP11' END AS ct, valid_from, uom, vkorg, kbetr / (per0 * f) * fxr AS rate FROM pr),
             g AS (SELECT kunag, scale_type, ct, max(valid_from) AS vf, count(rate) AS n FROM cp GROUP BY ALL),
             w AS (SELECT *, row_number() OVER (PARTITION BY kunag, scale_type ORDER BY vf DESC, n DESC, ct DESC) AS rn FROM g),
             u AS (SELECT *, row_number() OVER (PARTITION BY kunag ORDER BY valid_from DESC, uom DESC) AS rn FROM cp)
@@ -632,7 +658,7 @@ def customer_enrichment(t: Tables) -> DataFrame:
     inputs = price_inputs(t)
     master = cut_lineage(prices.price_tables(inputs, fx(t), as_of())["master"])
     complete = transactions(t).withColumns({"valid_price_kg_eur": F.lit(1.0), "last_transaction_per_cxp": F.lit("Yes")})
-    out = customers.enriched_customers(inputs["customers"], complete, master, F.lit(AS_OF).cast("date"))
+    out = customers.enriched_customers(customer_tables(t)["customers"], complete, master, F.lit(AS_OF).cast("date"))
     return out.select("cust_number", "sales_org", "condition_type", "base_unit", "cust_size")
 
 

@@ -60,7 +60,7 @@ def main() -> None:
     names = sys.argv[2:] or list(QUERIES)
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connection(folder)
