@@ -34,7 +34,7 @@ def _membership(df, members, on, how):
     pairs = on if isinstance(on, Mapping) else {c: c for c in on}
     # Distinct first: a hot member key is one row on the probing side.
     keys = members.select(*[F.col(r).alias(f"__m_{l}") for l, r in pairs.items()]).distinct()
-    condition = [df[l] == keys[f"__m_{l}"] for l in pairs]
+    condition = [F.col(l) == F.col(f"__m_{l}") for l in pairs]
     return df.join(keys, condition, how)
 
 
@@ -87,7 +87,7 @@ def reconcile(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> Recon
     execution can split a hot key in these forms but not in a full outer join, and each branch is its own frame.
     Rows with a null in the key match nothing and stay on their own side.
     """
-    condition = [left[l] == right[r] for l, r in on.items()]
+    condition = [F.col(l) == F.col(r) for l, r in on.items()]
     return Reconciled(
         matched=left.join(right, condition, "inner"),
         left_only=without_members(left, right, on),
@@ -102,7 +102,7 @@ def bracket_join(
     b = brackets.select(*[F.col(c).alias(f"__b_{c}") if c in on else F.col(c) for c in brackets.columns])
     condition = (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
     for c in on:
-        condition = condition & (df[c] == b[f"__b_{c}"])
+        condition = condition & (F.col(c) == F.col(f"__b_{c}"))
     return df.join(b, condition, "left").drop(*[f"__b_{c}" for c in on])
 
 
@@ -111,7 +111,7 @@ def conditional_lookup(df: DataFrame, dimension: DataFrame, on: Sequence[str], w
     d = dimension.select(*[F.col(c).alias(f"__d_{c}") if c in on else F.col(c) for c in dimension.columns])
     condition = when
     for c in on:
-        condition = condition & (df[c] == d[f"__d_{c}"])
+        condition = condition & (F.col(c) == F.col(f"__d_{c}"))
     return df.join(d, condition, "left").drop(*[f"__d_{c}" for c in on])
 
 

@@ -48,7 +48,7 @@ def surrogate_ids(df: DataFrame, keys: Sequence[str], out: str = "unique_id", fi
     """Add a dense id per key combination, ascending in key order from ``first``; null keys get one too."""
     ids = number_distinct(df.select(*keys).distinct(), keys, "__pos")
     ids = ids.select(*[F.col(k).alias(f"__k_{k}") for k in keys], (F.col("__pos") + first).alias(out))
-    condition = [df[k].eqNullSafe(ids[f"__k_{k}"]) for k in keys]
+    condition = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
     return df.join(ids, condition, "left").drop(*[f"__k_{k}" for k in keys])
 
 

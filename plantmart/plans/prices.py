@@ -178,8 +178,8 @@ def with_next_threshold(base: DataFrame) -> DataFrame:
     """
     steps = next_step(base.filter(F.col("scales_qty").isNotNull()), SCALE_KEYS, "scales_qty", "max_vol", OPEN_END)
     steps = steps.withColumnsRenamed({c: f"__{c}" for c in [*SCALE_KEYS, "scales_qty"]})
-    same = [base[c].eqNullSafe(steps[f"__{c}"]) for c in SCALE_KEYS]
-    return base.join(steps, [*same, base["scales_qty"] == steps["__scales_qty"]], "left").drop(
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in SCALE_KEYS]
+    return base.join(steps, [*same, F.col("scales_qty") == F.col("__scales_qty")], "left").drop(
         *[f"__{c}" for c in [*SCALE_KEYS, "scales_qty"]]
     )
 

@@ -48,6 +48,11 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once; every later use reads the same rows, also after executor loss."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder once and read it back.
+
+    Every later use reads the same rows, also after an executor is lost, with column pruning and real sizes.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -74,7 +74,7 @@ def _touched_part(stored: DataFrame, touched: DataFrame, partition_by: Sequence[
     if len(partition_by) == 1:
         return pruned
     keys = touched.select(*[F.col(c).alias(f"__t_{c}") for c in partition_by])
-    return pruned.join(keys, [pruned[c].eqNullSafe(keys[f"__t_{c}"]) for c in partition_by], "left_semi")
+    return pruned.join(keys, [F.col(c).eqNullSafe(F.col(f"__t_{c}")) for c in partition_by], "left_semi")
 
 
 def write_partitions(

@@ -657,6 +657,11 @@ _UP_SQL = f"""{BATCH_SQL},
       CASE WHEN yieldtarget = 0 THEN mpc ELSE yieldtarget / nullif(CAST(sum_durationrunningtarget AS DOUBLE), 0) * 60 END AS target_prod_rate_po FROM up0)"""
 
 
+def lowest_letter(column: str) -> Column:
+    """Minimum of a one-letter column, as a number so that hash aggregation applies."""
+    return F.char(F.min(F.ascii(column)))
+
+
 def batch_inputs(t: Tables) -> dict[str, DataFrame]:
     """The nine inputs of a batch plant, cut from orders and lines."""
     status = F.when(F.col("o_orderkey") % 2 == 0, "approved").otherwise("unapproved").alias("source_status")
@@ -664,10 +669,10 @@ def batch_inputs(t: Tables) -> dict[str, DataFrame]:
     start = F.col("o_orderdate").cast("timestamp")
     key, duration = F.col("o_orderkey"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("durationid")
     lines = t.lineitem.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(
-        F.min("l_returnflag").alias("flag"), F.min("l_linestatus").alias("status"), F.sum("l_quantity").alias("quantity"),
-        F.sum("l_discount").alias("discount"),
+        lowest_letter("l_returnflag").alias("flag"), lowest_letter("l_linestatus").alias("status"),
+        F.sum("l_quantity").alias("quantity"), F.sum("l_discount").alias("discount"),
     )
-    steps = t.lineitem.select("l_orderkey", "l_linenumber").distinct().join(t.orders, F.col("l_orderkey") == key)
+    steps = lines.select("l_orderkey", "l_linenumber").distinct().join(t.orders, F.col("l_orderkey") == key)
     minutes = F.col("l_linenumber") * 90
     spark = t.spark
     return {

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans import customers, margin, prices, products
 from ..session import cut_lineage
+from .plant import lowest_letter
 from .registry import Tables, query, tidy_sql
 
 AS_OF = "2001-07-15"
@@ -471,8 +472,8 @@ def price_inputs(t: Tables) -> dict[str, DataFrame]:
             F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("knumh"),
         )
         .agg(
-            F.min("l_shipdate").alias("ship"), F.max("l_quantity").alias("q"), F.max("l_extendedprice").alias("price"), F.min("l_returnflag").alias("flag"),
-            F.min("l_linestatus").alias("status"), F.max("l_tax").alias("tax"), F.max("l_linenumber").alias("ln"),
+            F.min("l_shipdate").alias("ship"), F.max("l_quantity").alias("q"), F.max("l_extendedprice").alias("price"), lowest_letter("l_returnflag").alias("flag"),
+            lowest_letter("l_linestatus").alias("status"), F.max("l_tax").alias("tax"), F.max("l_linenumber").alias("ln"),
         )
     )
     sold = cut_lineage(sold)

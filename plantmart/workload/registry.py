@@ -15,14 +15,20 @@ SQL: dict[str, str] = {}
 DIGITS = 6
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Tables:
-    """The driver's parquet tables by attribute."""
+    """The driver's parquet tables by attribute; a file's schema is inferred once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def query(sql: str | None = None, name: str | None = None):
