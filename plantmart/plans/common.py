@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import joined_key, without_leading_zeros
+from ..operators.joins import small
 
 PATH = ["enterprise", "site", "plant", "process_cell", "unit"]
 UNIT = ["site", "unit"]
@@ -32,7 +33,7 @@ def from_start_date(
         start, out = default, df
     else:
         start, out = F.coalesce(F.col("__start"), default), df.join(
-            settings.select("site", F.col("start_date").alias("__start")), "site", "left"
+            small(settings.select("site", F.col("start_date").alias("__start"))), "site", "left"
         )
     kept = out.filter(F.col(day) > start if strictly_after else F.col(day) >= start)
     return kept.select(*df.columns)

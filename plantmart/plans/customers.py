@@ -12,7 +12,7 @@ from ..functions.missing import first_valid, text_or_null
 from ..functions.text import first_token, joined_key, padded
 from ..operators.checks import completeness_check, missing
 from ..operators.dedup import first_by, latest_by
-from ..operators.joins import only_members, without_members
+from ..operators.joins import only_members, small, without_members
 from ..operators.ranking import band_by_quantile
 
 # Fixed values.
@@ -160,6 +160,9 @@ def customer_dimension(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         picked = t[name].select(*[F.col(source).alias(target) for target, source in columns.items()])
         return first_by(picked, key, [c for c in columns if c not in key])
 
+    def dimension(name: str, key: list[str], **columns: str) -> DataFrame:
+        return small(one(name, key, **columns))
+
     scope = one("scope", ["ibg"], ibg="marketing_level_2", bu_scope="sbe").withColumn("ibg", F.col("ibg").cast("string"))
     master = one(
         "customer_master", ["kunnr"], kunnr="kunnr", cust_descrp="name1", land1="land1", adrnr="adrnr",
@@ -183,24 +186,24 @@ def customer_dimension(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         t["fx"].filter(F.col("to_currency") == "EUR"), ["from_currency"], ["first_date", "exchange_rate"]
     ).select(F.col("from_currency").alias("waers"), "exchange_rate")
 
-    rows = customer_groups(t).join(scope, "ibg", "left").filter(F.col("bu_scope") != OUT_OF_SCOPE)
+    rows = customer_groups(t).join(small(scope), "ibg", "left").filter(F.col("bu_scope") != OUT_OF_SCOPE)
     rows = rows.join(master, "kunnr", "left").filter(
         (F.col("ktokd") == SOLD_TO_TYPE) & (F.col("loevm") != DELETED) & (F.col("__deleted") != DELETED)
     )
     rows = (
-        rows.join(one("classification", ["segment"], segment="segment", cust_classification="description"), "segment", "left")
+        rows.join(dimension("classification", ["segment"], segment="segment", cust_classification="description"), "segment", "left")
         .join(addresses, ["adrnr", "land1"], "left")
-        .join(one("countries", ["land1"], land1="land1", country_soldto="landx"), "land1", "left")
-        .join(one("districts", ["bzirk"], bzirk="bzirk", account_mgr="bztxt"), "bzirk", "left")
-        .join(offices, "vkgrp", "left")
+        .join(dimension("countries", ["land1"], land1="land1", country_soldto="landx"), "land1", "left")
+        .join(dimension("districts", ["bzirk"], bzirk="bzirk", account_mgr="bztxt"), "bzirk", "left")
+        .join(small(offices), "vkgrp", "left")
         .join(one("segments", ["cust_grp_adj"], cust_grp_adj="cust_grp_adj", cust_size="cust_segment"), "cust_grp_adj", "left")
         .join(
-            one("country_groups", ["land1"], land1="land", country_grp="country_group", cust_region="region_text"),
+            dimension("country_groups", ["land1"], land1="land", country_grp="country_group", cust_region="region_text"),
             "land1", "left",
         )
-        .join(one("order_cost", ["cust_region"], cust_region="region", order_cost_eur="charge"), "cust_region", "left")
+        .join(dimension("order_cost", ["cust_region"], cust_region="region", order_cost_eur="charge"), "cust_region", "left")
         .join(to_eur, "waers", "left")
-        .join(one("mails", ["sales_off"], sales_off="sales_off", sales_off_email="sales_off_email"), "sales_off", "left")
+        .join(dimension("mails", ["sales_off"], sales_off="sales_off", sales_off_email="sales_off_email"), "sales_off", "left")
     )
     cost = F.col("order_cost_eur").cast("double")
     blank = {c: text_or_null(F.col(c), ("",)) for c in ("incoterm1", "incoterm2", "cust_payment_term", "cust_grp_adj", "cust_size")}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import joined_key, padded
 from ..operators.checks import relative_deviation, rows_matching_any
-from ..operators.joins import bracket_join, lookup, override
+from ..operators.joins import bracket_join, lookup, override, small
 from ..operators.ordered import occurrence_index
 
 SLICE = "rxcxp"
@@ -70,6 +70,7 @@ def margin_matrix(
     limits = brackets.select(
         "volume_index", F.col("min").alias("__lo"), F.col("max").alias("__hi"), F.col("bracket").alias("yearly_volume_bracket")
     ).distinct()
+    limits = small(limits)
     rows = bracket_join(rows, limits, ["volume_index"], "yearly_volume_rxcxp", "__lo", "__hi").drop("__lo", "__hi")
     rules = managers.select(
         F.col("ml2").alias("ibg"), F.col("customer").alias("cust_number"), "sales_org", "am_responsible"

@@ -11,7 +11,7 @@ from ..functions.dates import from_inverted, validity_state
 from ..functions.missing import first_valid, number_or_null
 from ..functions.units import signed_rate, unit_factor
 from ..operators.dedup import first_by, latest_by
-from ..operators.joins import neighbours_in_time, only_members
+from ..operators.joins import neighbours_in_time, only_members, small
 from ..operators.ordered import next_step
 from ..operators.ranking import surrogate_ids
 from ..operators.reshape import with_inverse
@@ -139,12 +139,12 @@ def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
             "type2": F.coalesce("type2_p", "type2_m"),
         }
     )
-    mass = mass_factors(t["units"])
+    mass = small(mass_factors(t["units"]))
     pieces = t["material_units"].filter(F.col("meinh") == PIECE).groupBy("matnr").agg(
         F.max(F.try_divide(F.col("umrez"), F.col("umren"))).alias("__piece")
     )
     rows = (
-        rows.join(mass.withColumnRenamed("factor", "weight_rate_to_apply"), "uom", "left")
+        rows.join(mass.select("uom", F.col("factor").alias("weight_rate_to_apply")), "uom", "left")
         .join(mass.select(F.col("uom").alias("uom_scale"), F.col("factor").alias("weight_rate_to_apply_scale")), "uom_scale", "left")
         .join(pieces, "matnr", "left")
     )
@@ -196,7 +196,7 @@ def price_tables(t: Mapping[str, DataFrame], fx: DataFrame, as_of: Column) -> di
         ["first_date", "exchange_rate"],
     ).select(F.col("from_currency").alias("konwa"), F.col("exchange_rate").alias("__fx"))
     numbered = surrogate_ids(with_next_threshold(base), ["kunag", "matnr", "inco1"], "unique_id", FIRST_ID)
-    priced = numbered.join(to_eur, "konwa", "left").withColumn(
+    priced = numbered.join(small(to_eur), "konwa", "left").withColumn(
         "fx_rate_into_eur", F.when(F.col("konwa") == BASE_CURRENCY, 1.0).otherwise(F.col("__fx"))
     )
     priced = priced.withColumn("rate_eur", F.try_divide(F.col("kbetr"), F.col("per")) * F.col("fx_rate_into_eur"))

@@ -13,7 +13,7 @@ from ..functions.text import padded, prefixes
 from ..operators.aggregates import text_set
 from ..operators.checks import completeness_check, missing
 from ..operators.dedup import first_by, latest_by
-from ..operators.joins import only_members, without_members
+from ..operators.joins import only_members, small, without_members
 from ..operators.reshape import complement_pairs, membership_matrix
 
 # Fixed values.
@@ -73,11 +73,11 @@ def product_dimension(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
     def texts(level: str, code: str) -> DataFrame:
         rows = t["hierarchy_texts"].filter(F.col("STUFE") == level)
-        return rows.groupBy(F.col("PRODH").alias(code)).agg(F.min("VTEXT").alias(f"{code}_descrp"))
+        return small(rows.groupBy(F.col("PRODH").alias(code)).agg(F.min("VTEXT").alias(f"{code}_descrp")))
 
     def by_family(name: str, family: str, *columns: Column) -> DataFrame:
         rows = t[name].select(F.regexp_replace(family, "/", "").alias("pfam"), *columns)
-        return first_by(rows, ["pfam"], [c for c in rows.columns if c != "pfam"])
+        return small(first_by(rows, ["pfam"], [c for c in rows.columns if c != "pfam"]))
 
     low, high = SALES_STATUS
     status = t["sales_status"].select(
@@ -90,7 +90,7 @@ def product_dimension(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         .filter(F.col("matnr").isNotNull())
         .select(F.col("matnr").alias("prod_number"), F.col("werks").alias("plant"))
         .distinct()
-        .join(t["plants"].select("plant", F.col("plant_descrp").alias("plant_of_origin")), "plant", "left")
+        .join(small(t["plants"].select("plant", F.col("plant_descrp").alias("plant_of_origin"))), "plant", "left")
         .groupBy("prod_number")
         .agg(text_set("plant_of_origin").alias("plant_of_origin"))
     )
@@ -117,11 +117,11 @@ def competitiveness(
             "ms_new", "left",
         )
         .join(
-            chemistry_factors.select("competitive_position_chemistry", "adjustment_factor_chemistry"),
+            small(chemistry_factors.select("competitive_position_chemistry", "adjustment_factor_chemistry")),
             "competitive_position_chemistry", "left",
         )
         .join(
-            geography_factors.select("competitive_position_geography", "adjustment_factor_geography"),
+            small(geography_factors.select("competitive_position_geography", "adjustment_factor_geography")),
             "competitive_position_geography", "left",
         )
         .select(
@@ -231,7 +231,7 @@ def enriched_products(
         .withColumn("prod_number", padded(F.col("prod_number"), 18))
         .join(positions.drop("pfam"), "prod_grp", "left")
         .join(business, "prod_number", "left")
-        .join(scopes, "ibg", "left")
+        .join(small(scopes), "ibg", "left")
     )
     enough = (F.col("no_of_customers") >= ENOUGH_CUSTOMERS) & (F.col("no_of_sizeable_transactions") >= ENOUGH_TRANSACTIONS)
     in_scope = rows.filter(F.col("bu_scope") != OUT_OF_SCOPE).withColumns(

@@ -303,7 +303,7 @@ def transactions(t: Tables) -> DataFrame:
 _POS_SQL = f"""{_PROD_SQL}, {_TX_SQL},
   stats AS (SELECT prod_grp, CAST(count(DISTINCT cust_number) AS DOUBLE) AS customers, CAST(count(cmstd) AS DOUBLE) AS n, avg(vpc) AS cost, avg(cmstd) AS cm
       FROM tr WHERE rolling = 'Yes' AND vol > 0 AND vpc <> 0 AND day >= DATE '2001-06-01' GROUP BY 1),
-  fc AS (SELECT 'U' || CAST(p_partkey % 500 AS VARCHAR) AS upc, arg_max(v, p_size * 1000.0 + v) AS vpc FROM (SELECT p_partkey, p_size, (p_retailprice + 3) / 4.0 AS v FROM part WHERE p_partkey % 500 > 50) z GROUP BY 1),
+  fc AS (SELECT 'U' || CAST(p_partkey % 500 AS VARCHAR) AS upc, arg_max(v, p_size * 1000.0 + v) AS vpc FROM (SELECT p_partkey, p_size, (p_retailprice + 3) / 4.0 AS v FROM part WHERE p_type = 'ECONOMY') z GROUP BY 1),
   planned AS (SELECT prod_grp, avg(vpc) AS cost FROM prods LEFT JOIN fc USING (upc) WHERE prod_grp NOT IN (SELECT prod_grp FROM stats) GROUP BY 1),
   pos0 AS (SELECT prod_grp, customers, n, cost, cm FROM stats UNION ALL SELECT prod_grp, 0, 0, cost, 0 FROM planned),
   pos AS (SELECT pos0.*, CASE WHEN prod_grp LIKE '%7' THEN '1.5' ELSE ' ' END AS pg_cost, pf.pfam FROM pos0
@@ -313,7 +313,7 @@ _POS_SQL = f"""{_PROD_SQL}, {_TX_SQL},
 def forward_costs(t: Tables) -> DataFrame:
     months = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
     names = F.array(*[F.lit(m) for m in months])
-    return t.part.filter(F.col("p_partkey") % 500 > 50).select(
+    return t.part.filter("p_type = 'ECONOMY'").select(
         F.concat(F.lit("U"), (F.col("p_partkey") % 500).cast("string")).alias("unpacked_product_code"),
         F.floor((F.col("p_size") - 1) / 12).alias("year"), F.element_at(names, ((F.col("p_size") - 1) % 12 + 1).cast("int")).alias("month"),
         F.col("p_retailprice").alias("emea"), F.lit(1.0).alias("nam"), F.lit(2.0).alias("latam"), F.lit(None).cast("double").alias("apac"),
@@ -379,7 +379,7 @@ def missing_business(t: Tables) -> DataFrame:
     """Product groups with a product that has no line of business in one sales unit's transactions."""
     goods = cut_lineage(product_tables(t)["products"])
     some = transactions(t).filter("sales_org = 'O3'")
-    out = products.enriched_products(goods, goods.select("prod_grp", "pfam").limit(0).selectExpr(
+    out = products.enriched_products(goods, goods.select("prod_grp", "pfam").filter(F.lit(False)).selectExpr(
         "prod_grp", "pfam", "'' AS pg_cost", "'' AS pg_cm", "0.0D AS pg_cost_stats", "0.0D AS pg_cm_stats", "0.0D AS no_of_customers", "0.0D AS no_of_sizeable_transactions"
     ), some, customer_inputs(t)["scope"])
     return out["missing_business"]
