@@ -662,6 +662,10 @@ def lowest_letter(column: str) -> Column:
     return F.char(F.min(F.ascii(column)))
 
 
+# The explanation numbers made here jump by part, so the numbers of one step lie far apart.
+EXPLANATION_CHUNK = 10**9
+
+
 def batch_inputs(t: Tables) -> dict[str, DataFrame]:
     """The nine inputs of a batch plant, cut from orders and lines."""
     status = F.when(F.col("o_orderkey") % 2 == 0, "approved").otherwise("unapproved").alias("source_status")
@@ -808,7 +812,7 @@ _SHIFT_SQL = "CASE WHEN hour(happened) < 6 OR hour(happened) >= 22 THEN 'ND' WHE
 def event_split(t: Tables) -> DataFrame:
     """Explanations expanded into planned, overrun, explained and further events."""
     inputs = batch_inputs(t)
-    return batch.availability_table(batch.hierarchy(inputs), batch.unit_procedures(inputs)).select(
+    return batch.availability_table(batch.hierarchy(inputs, EXPLANATION_CHUNK), batch.unit_procedures(inputs)).select(
         "durationid", "explanationid", "event_time", "running_state", "oee_category", "duration_s", "available",
         "non_impactable", "impactable", "shift", "shift_modulo", "category", "calendar_day", "runtime_loss", "running_potential",
     )
@@ -830,7 +834,7 @@ def batch_oee(t: Tables) -> DataFrame:
     """OEE of batch plants."""
     inputs = batch_inputs(t)
     procedures = cut_lineage(batch.unit_procedures(inputs))
-    rows = batch.hierarchy(inputs)
+    rows = batch.hierarchy(inputs, EXPLANATION_CHUNK)
     table = oee.oee_table(batch.availability_table(rows, procedures), batch.rate_table(procedures), capacity_from_events=False)
     return table.select(
         ORDER, "unit", "source_status", "calendar_day", "sum_runtime_loss", "sum_available", "sum_impactable", "sum_quantity_prod", "sum_rate_gap"
