@@ -19,6 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import small
+
 CHUNK = "__chunk"
 SEED = "__seed"
 BEFORE, ROW, AFTER = -1, 0, 1
@@ -31,6 +33,27 @@ def time_chunk(ts: str | Column, seconds: int = DAY_SECONDS) -> Column:
     return F.floor(F.unix_timestamp(column.cast("timestamp")) / F.lit(seconds)).cast("long")
 
 
+HOT_ROWS = 5_000_000
+HOT_SECONDS = 60
+_TIME_CHUNK = "__time_chunk"
+
+
+def split_hot_units(
+    df: DataFrame, by: Sequence[str], ts: str, hot_rows: int = HOT_ROWS, hot_seconds: int = HOT_SECONDS
+) -> tuple[DataFrame, Column]:
+    """``df`` and a chunk column for it: days, but much finer slots for units with more than ``hot_rows`` rows.
+
+    Calm units keep few, well-filled chunks. The hot units are found by one count per unit (combined on the map
+    side); there are at most rows / ``hot_rows`` of them. Drop the helper column ``__time_chunk`` at the end.
+    """
+    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > hot_rows)
+    hot = small(hot.select(*[F.col(c).alias(f"__h_{c}") for c in by], F.lit(True).alias("__hot")))
+    same = [F.col(c).eqNullSafe(F.col(f"__h_{c}")) for c in by]
+    chunk = F.when(F.col("__hot"), time_chunk(ts, hot_seconds)).otherwise(time_chunk(ts))
+    marked = df.join(hot, same, "left").withColumn(_TIME_CHUNK, chunk)
+    return marked.drop("__hot", *[f"__h_{c}" for c in by]), F.col(_TIME_CHUNK)
+
+
 def cut(df: DataFrame, chunk: Column | None) -> DataFrame:
     return df.withColumn(CHUNK, F.lit(0).cast("long") if chunk is None else chunk.cast("long"))
 

@@ -14,6 +14,7 @@ from ..operators.ordered import occurrence_index
 
 SLICE = "rxcxp"
 SLICE_KEYS = [SLICE, "prod_grp"]
+MONTH_PARTS = 64
 
 
 def slice_key() -> Column:
@@ -39,17 +40,25 @@ def margin_matrix(
     volume_index: DataFrame,
     brackets: DataFrame,
     managers: DataFrame,
-    order: Sequence[str] = ("fiscal_year", "month", "prod_number", "cust_number", "transactional_vol_kg"),
+    order: Sequence[str] | None = None,
     chunk: Column | None = None,
 ) -> dict[str, DataFrame]:
     """Transactions with their slice's margin level, three summaries, and the outlier sample.
 
     ``order`` decides which row is a slice's first; that row carries the slice margin, the others 0, and the
     product-group mean runs over all of them. Manager rules: the customer's own rule first, then the general rule
-    of the line of business replaces it. ``chunk`` cuts large slices and must follow ``order``; by default it is
-    the month.
+    of the line of business replaces it. ``chunk`` cuts large slices and must follow ``order``. By default rows are
+    numbered by month and, within it, by a hash of product and customer, which also cuts each month into parts.
     """
-    chunk = F.col("fiscal_year").cast("int") * 12 + F.col("month").cast("int") if chunk is None else chunk
+    month = F.col("fiscal_year").cast("int") * 12 + F.col("month").cast("int")
+    if order is None:
+        order = ["fiscal_year", "month", "__part", "prod_number", "cust_number", "transactional_vol_kg", "giv_kg_eur"]
+        chunk = month * MONTH_PARTS + F.col("__part")
+    elif chunk is None:
+        chunk = month
+    transactions = transactions.withColumn(
+        "__part", F.pmod(F.xxhash64("prod_number", "cust_number", "transactional_vol_kg", "giv_kg_eur"), F.lit(MONTH_PARTS))
+    )
     rows = transactions.filter(F.col("rolling_12_month") == "Yes").fillna(
         0.0, subset=["reb_kg_eur", "frght_kg_eur", "othvse_kg_eur"]
     )
@@ -60,7 +69,7 @@ def margin_matrix(
     rows = lookup(rows, volume_index.select(F.col("pline").alias("pfam"), "volume_index").distinct(), ["pfam"])
     levels = slice_levels(rows)
     first = F.col("instance_rxcxp") == 1
-    rows = occurrence_index(rows, SLICE_KEYS, order, chunk, "instance_rxcxp").join(levels, SLICE_KEYS, "left")
+    rows = occurrence_index(rows, SLICE_KEYS, order, chunk, "instance_rxcxp").drop("__part").join(levels, SLICE_KEYS, "left")
     rows = rows.withColumns(
         {
             "avg_rxcxp_cm_kg_eur": F.when(first, F.col("__level")).otherwise(0.0),

@@ -27,7 +27,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests on one machine) gets a folder of its own.
+    Only a local session that names none (tests on one machine) gets a folder of its own; on a cluster that is an error,
+    because executors cannot see the driver's temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -37,6 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     current = context.getCheckpointDir()
     if current is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="plantmart-"))
         current = context.getCheckpointDir()
     return current

@@ -24,9 +24,13 @@ from .registry import Tables, query, tidy_sql
 LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity"]
 
 
-def ship_month() -> Column:
-    """Months since year 0: grows with l_shipdate, so it may cut an ordered scan."""
-    return F.year("l_shipdate") * 12 + F.month("l_shipdate")
+def ship_chunk() -> Column:
+    """Shipping day, cut once more by order number: never decreases along (l_shipdate, l_orderkey).
+
+    However many lines one part or supplier has, a chunk holds only one day's lines of 2^28 order numbers.
+    """
+    day = F.unix_date(F.col("l_shipdate").cast("date")).cast("long")
+    return F.shiftleft(day, 24) + F.shiftright("l_orderkey", 28)
 
 
 @query(
@@ -184,7 +188,7 @@ def conditional_match_join(t: Tables) -> DataFrame:
     """Only the first line of a part meets the part's figures."""
     columns = ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
     rows = occurrence_index(
-        t.lineitem.select(*columns, "l_shipdate", "l_quantity"), ["l_partkey"], LINE_ORDER, ship_month(), "nth"
+        t.lineitem.select(*columns, "l_shipdate", "l_quantity"), ["l_partkey"], LINE_ORDER, ship_chunk(), "nth"
     )
     tops = t.lineitem.groupBy("l_partkey").agg(F.max("l_quantity").alias("top"))
     return conditional_lookup(rows, tops, ["l_partkey"], F.col("nth") == 1).select(*columns, "nth", "top")

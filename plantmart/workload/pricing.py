@@ -563,7 +563,10 @@ def matrix(t: Tables) -> dict[str, DataFrame]:
     limits = spark.createDataFrame(_LIMITS, "volume_index string, min double, max double, bracket string")
     orgs = [(f"O{i}",) for i in range(6)]
     rules = spark.createDataFrame([("L1", "7", o[0], "own") for o in orgs] + [("L2", None, "O2", "general")], "ml2 string, customer string, sales_org string, am_responsible string")
-    return margin.margin_matrix(transactions(t), index, limits, rules, _MARGIN_ORDER)
+    # Month, cut once more by order number, as the rows are ordered.
+    month = F.col("fiscal_year").cast("long") * 12 + F.col("month")
+    chunk = F.shiftleft(month, 32) + F.shiftright("l_orderkey", 24)
+    return margin.margin_matrix(transactions(t), index, limits, rules, _MARGIN_ORDER, chunk)
 
 
 _SUM_SLICES = "count(*) AS n, sum(perc) AS perc, sum(cm_abs) AS cm_abs, sum(level) AS level, sum(CASE WHEN nth = 1 THEN 1 ELSE 0 END) AS firsts"

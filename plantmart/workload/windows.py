@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ..functions.dates import production_day
 from ..operators import ordered
 from ..operators.dedup import first_by, latest_by, latest_release
-from .joining import LINE_ORDER, ship_month
+from .joining import LINE_ORDER, ship_chunk
 from .registry import Tables, query, tidy_sql
 
 
-def day() -> Column:
-    return ordered.time_chunk("ts")
+def chunked(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """Events with a chunk per day, finer for very busy users."""
+    return ordered.split_hot_units(rows, ["user_id"], "ts")
 
 
 @query(
@@ -23,9 +24,8 @@ def day() -> Column:
 )
 def event_duration(t: Tables) -> DataFrame:
     """Whole seconds to the user's next event."""
-    rows = ordered.next_value(
-        t.events.select("event_id", "user_id", "ts"), "ts", ["user_id"], ["ts", "event_id"], day(), "next_ts"
-    )
+    rows, chunk = chunked(t.events.select("event_id", "user_id", "ts"))
+    rows = ordered.next_value(rows, "ts", ["user_id"], ["ts", "event_id"], chunk, "next_ts")
     seconds = F.unix_timestamp(F.col("next_ts").cast("timestamp")) - F.unix_timestamp(F.col("ts").cast("timestamp"))
     return rows.select("event_id", "user_id", seconds.alias("duration_s"))
 
@@ -72,7 +72,8 @@ def ffill_rate(t: Tables) -> DataFrame:
         F.when(F.col("event_type") == "view", F.col("value")).alias("r"),
         F.when(F.col("event_type") == "click", F.col("props")).alias("l"),
     )
-    return ordered.forward_fill(rows, {"r": "rate", "l": "label"}, ["user_id"], ["ts", "event_id"], day()).select(
+    rows, chunk = chunked(rows)
+    return ordered.forward_fill(rows, {"r": "rate", "l": "label"}, ["user_id"], ["ts", "event_id"], chunk).select(
         "event_id", "rate", "label"
     )
 
@@ -87,7 +88,8 @@ def ffill_rate(t: Tables) -> DataFrame:
 def bfill_rate(t: Tables) -> DataFrame:
     """Next known rate."""
     rows = t.events.select("event_id", "user_id", "ts", F.when(F.col("event_type") == "view", F.col("value")).alias("r"))
-    return ordered.backward_fill(rows, {"r": "rate"}, ["user_id"], ["ts", "event_id"], day()).select("event_id", "rate")
+    rows, chunk = chunked(rows)
+    return ordered.backward_fill(rows, {"r": "rate"}, ["user_id"], ["ts", "event_id"], chunk).select("event_id", "rate")
 
 
 @query(
@@ -99,8 +101,8 @@ def bfill_rate(t: Tables) -> DataFrame:
 )
 def exclusive_prefix_sum(t: Tables) -> DataFrame:
     """Total of the user's earlier events."""
-    rows = t.events.select("event_id", "user_id", "ts", "value")
-    return ordered.total_before(rows, "value", ["user_id"], ["ts", "event_id"], day(), "before").select("event_id", "before")
+    rows, chunk = chunked(t.events.select("event_id", "user_id", "ts", "value"))
+    return ordered.total_before(rows, "value", ["user_id"], ["ts", "event_id"], chunk, "before").select("event_id", "before")
 
 
 @query(
@@ -116,7 +118,7 @@ def occurrence_number(t: Tables) -> DataFrame:
     columns = ["l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
     return ordered.occurrence_index(
-        t.lineitem.select(*columns, "l_shipdate"), ["l_suppkey"], order, ship_month(), "nth"
+        t.lineitem.select(*columns, "l_shipdate"), ["l_suppkey"], order, ship_chunk(), "nth"
     ).drop("l_shipdate")
 
 

@@ -79,6 +79,17 @@ def test_scans_without_chunk_and_on_empty_input(spark):
     assert ordered.forward_fill(empty, {"v": "f"}, ["u"], ["t"], F.col("t")).count() == 0
 
 
+def test_only_hot_units_get_fine_chunks(spark):
+    data = [("hot", 1_700_000_000 + 40 * i) for i in range(60)] + [("calm", 1_700_000_000), ("calm", 1_700_000_100), (None, 1_700_000_000)]
+    df = spark.createDataFrame(data, "u string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    marked, chunk = ordered.split_hot_units(df, ["u"], "ts", hot_rows=50)
+    assert marked.count() == len(data)
+    parts = {r.u: r.n for r in marked.groupBy("u").agg(F.count_distinct(chunk).alias("n")).collect()}
+    assert parts["calm"] == 1 and parts[None] == 1 and parts["hot"] >= 40
+    got = ordered.next_value(marked, "s", ["u"], ["s"], chunk, "n").filter("u = 'hot'")
+    assert {r.n - r.s for r in got.filter("n IS NOT NULL").collect()} == {40} and got.filter("n IS NULL").count() == 1
+
+
 def test_null_unit_is_a_group_of_its_own(spark):
     df = spark.createDataFrame([(None, 1), (None, 5), (1, 2)], "u int, t int")
     assert rows(ordered.next_value(df, "t", ["u"], ["t"], F.col("t"), "n")) == [(None, 1, 5), (None, 5, None), (1, 2, None)]
