@@ -28,9 +28,11 @@ def scan_sites(
     another column order fails instead of shifting values.
     """
     raw = _csv(spark, f"{root.rstrip('/')}/*/{file}")
-    # ``file`` may lie in a sub-folder of the site.
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2 - file.count("/"))
-    return spec.apply(raw.withColumn(site_column, F.url_decode(folder)), keep=[site_column])
+    # ``file`` may lie in a sub-folder of the site. input_file_name rather than the metadata column: a run-time join
+    # filter on the latter can reach the scan before it is ready when the scan runs without generated code.
+    folder = F.element_at(F.split(F.input_file_name(), "/"), -2 - file.count("/"))
+    name = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    return spec.apply(raw.withColumn(site_column, name), keep=[site_column])
 
 
 def read_csv(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:

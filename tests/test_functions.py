@@ -77,12 +77,12 @@ def test_spec_types_and_missing_columns(spark):
 
 
 def test_site_scan_checks_headers(spark, tmp_path):
-    for site, lines in {"north west": "Id,Name\n1,a\n", "south": "Id,Name\n2,b\n"}.items():
+    for site, lines in {"north west": "Id,Name\n1,a\n", "south": "Id,Name\n2,b\n", "a+b": "Id,Name\n3,c\n"}.items():
         (tmp_path / site).mkdir()
         (tmp_path / site / "x.csv").write_text(lines)
     spec = TableSpec(fields("Id:id:int", "Name"))
     got = files.scan_sites(spark, str(tmp_path), "x.csv", spec)
-    assert sorted(map(tuple, got.collect())) == [("north west", 1, "a"), ("south", 2, "b")]
+    assert sorted(map(tuple, got.collect())) == [("a+b", 3, "c"), ("north west", 1, "a"), ("south", 2, "b")]
     assert files.scan_optional_sites(spark, str(tmp_path), "sub/y.csv", spec).count() == 0
     (tmp_path / "south" / "x.csv").write_text("Name,Id\nb,2\n")
     with pytest.raises(Exception):
