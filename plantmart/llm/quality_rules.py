@@ -20,8 +20,9 @@ from .words import SPACES
 SYMBOLS = "#*$%&|<>"
 BLANK = "\t\n\x0b\x0c\r "
 LABELLED_ROWS = 8000  # bound of the labelled sample on the driver
-MIN_PRECISION, MIN_COVER, MAX_CONDITIONS, MAX_RULES, CUTS = 0.97, 5, 3, 16, 48
-MEASURES = ["n_words", "mean_word", "symbol_rate", "repeat_rate", "dup_line_rate", "bang_rate", "upper_rate", "long_run_rate"]
+MIN_PRECISION, MIN_COVER, MAX_CONDITIONS, MAX_RULES, CUTS = 0.93, 5, 3, 16, 48
+# Measures that mean the same in any language and at any length; lengths of words and texts are left out on purpose.
+MEASURES = ["symbol_rate", "repeat_rate", "dup_line_rate", "bang_rate", "upper_rate"]
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -85,13 +86,11 @@ def text_statistics(docs: DataFrame, text_column: str = "text", keep: list[str]
 
     return rows.select(
         *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        rate("word_chars", "n_words").alias("mean_word"),
         rate("n_symbols", "n_words").alias("symbol_rate"),
         rate("n_repeat_words", "n_words").alias("repeat_rate"),
         rate("n_dup_lines", "n_lines").alias("dup_line_rate"),
         rate("_bang", "n_words").alias("bang_rate"),
         rate("_upper", "word_chars").alias("upper_rate"),
-        rate("n_words", "n_lines").alias("long_run_rate"),
     )
 
 
@@ -154,15 +153,20 @@ def _grow(rows: list[dict]) -> list[Condition]:
 
 
 def _precision(rows: list[dict], conditions: list[Condition]) -> tuple[float, int]:
+    """Share of bad rows among the covered ones, held back by one row of each kind; bad rows covered."""
     covered = [r for r in rows if all(c.holds(r) for c in conditions)]
     bad = sum(r["bad"] for r in covered)
-    return ((bad / len(covered)) if covered else 0.0), bad
+    return (bad + 1) / (len(covered) + 2), bad
 
 
-def _prune(rows: list[dict], conditions: list[Condition]) -> list[Condition]:
-    """Drop last conditions as long as the rule stays as precise on rows it was not grown on."""
-    while len(conditions) > 1 and _precision(rows, conditions[:-1])[0] >= max(MIN_PRECISION, _precision(rows, conditions)[0]):
-        conditions = conditions[:-1]
+def _prune(prune: list[dict], rows: list[dict], conditions: list[Condition]) -> list[Condition]:
+    """Drop conditions as long as the rule gets no less precise on the rows it was not grown on, and stays precise on all."""
+    for condition in reversed(conditions):
+        fewer = [c for c in conditions if c != condition]
+        if not fewer or _precision(rows, fewer)[0] < min(MIN_PRECISION, _precision(rows, conditions)[0]):
+            continue
+        if _precision(prune, fewer)[0] >= _precision(prune, conditions)[0]:
+            conditions = fewer
     return conditions
 
 
@@ -177,7 +181,7 @@ def learn_rules(rows: list[dict]) -> list[Rule]:
         conditions = _grow(grow)
         if not conditions:
             break
-        conditions = _prune(prune, conditions)
+        conditions = _prune(prune, left, conditions)
         precise, bad = _precision(left, conditions)
         if precise < MIN_PRECISION or bad < MIN_COVER:
             break
