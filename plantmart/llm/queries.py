@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, jaccard, licenses, packing, quality_rules  # noqa: F401
+from . import bpe, exact_dedup, jaccard, language_model, licenses, packing, quality_rules  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
