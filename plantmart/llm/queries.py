@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, jaccard, language_model, licenses, line_quality, packing, quality_rules, toxicity  # noqa: F401
+from . import bpe, exact_dedup, jaccard, language_model, licenses, line_quality, packing, page_text, quality_rules, toxicity  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
