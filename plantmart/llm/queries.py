@@ -1,8 +1,25 @@
-"""All queries of this folder."""
+"""All queries of this folder, and the pipeline."""
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, jaccard, language_model, licenses, line_quality, packing, page_text, quality_rules, toxicity  # noqa: F401
+import corpus_pipeline
+
+from . import (  # noqa: F401
+    bpe,
+    exact_dedup,
+    jaccard,
+    language_model,
+    licenses,
+    line_quality,
+    packing,
+    page_text,
+    quality_rules,
+    toxicity,
+)
 from .registry import QUERIES, SQL
 
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 __all__ = ["QUERIES", "SQL"]
