@@ -8,6 +8,7 @@ not depend on the number of documents. Pieces of one length are numbered by two-
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -20,41 +21,97 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..session import cut_lineage
+from .merges import IdTable, Merger, spread
 from .registry import query, table
+from .words import LOWER, SYMBOL, Words, slices, words_of
 
 CAPACITY = 2048
 END_ID = 1
-CACHED_WORDS = 400_000
 ROWS_PER_BUCKET = 20_000
 
 PIECES = "doc_tokens long, pieces array<struct<start: long, length: long, ids_crc32: long>>"
-_encoders: dict[int, tuple[object, dict]] = {}
-
-
-class WordIds(dict):
-    """Ids (little-endian, 32 bits) of chunks between ASCII spaces, as the tokenizer gives them.
-
-    White space separates tokens in this tokenizer, so a text's ids are its chunks' ids in order.
+_encoders: dict[int, WordIds] = {}
+
+# What ``WordIds`` cuts itself, as classes of bytes: printable ASCII but the apostrophe and the less-than sign, and the
+# letters that are a byte 0xC3 and another one.
+LETTER, DIGIT, OTHER, REST = 0, 1, 2, 3
+BYTE_CLASS = np.full(256, REST, np.uint8)
+BYTE_CLASS[0x21:0x7F] = OTHER
+BYTE_CLASS[[ord("'"), ord("<")]] = REST
+BYTE_CLASS[0x30:0x3A] = DIGIT
+BYTE_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+AFTER_C3 = np.zeros(256, bool)
+AFTER_C3[0x80:0xC0] = True
+AFTER_C3[[0x97, 0xB7]] = False  # the multiplication and division signs
+
+
+class WordIds:
+    """Ids of texts, as the tokenizer gives them.
+
+    White space separates tokens in this tokenizer, so a text's ids are the ids of its words (between ASCII spaces) in order. Each
+    distinct word is looked up once. Plain words, of ASCII and Western European letters, are cut and merged here, many at a time; all others
+    go to the tokenizer itself.
     """
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def learn(self, chunks: set[bytes]) -> None:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        new = [c for c in chunks if c not in self]
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
-            for chunk, encoded in zip(some, found):
-                self[chunk] = np.array(encoded.ids, "<u4").tobytes()
+        model = json.loads(tokenizer_json)["model"]
+        self.merger = Merger(model["vocab"], model["merges"], model["end_of_word_suffix"])
+        self.table = IdTable()
+
+    def _merge_plain(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words: runs of letters, single digits and runs of other signs are merged one by one, in lower case."""
+        size = end - start
+        at = spread(start, size)
+        raw = LOWER[data[at]]
+        word = np.repeat(np.arange(len(size)), size)
+        after = np.zeros(len(raw), bool)
+        after[1:] = raw[:-1] == 0xC3
+        raw[after & (raw >= 0x80) & (raw < 0x9F)] += 0x20
+        kind = BYTE_CLASS[raw]
+        kind[raw >= 0x80] = LETTER
+        cut = np.ones(len(raw), bool)
+        cut[1:] = (word[1:] != word[:-1]) | (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        first = np.flatnonzero(cut)
+        last = np.append(first[1:], len(raw))
+        flat, offsets = self.merger.merge(raw, first, last)
+        n = np.bincount(word[first], weights=np.diff(offsets), minlength=len(size)).astype(np.int64)
+        return flat, np.concatenate([[0], np.cumsum(n)])
+
+    def _numbers(self, words: Words) -> np.ndarray:
+        """Place of each word in the table; new words are put there first."""
+        hashes, firsts, kind = np.unique(words.hash, return_index=True, return_inverse=True)
+        number = self.table.find(hashes)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            start, end = words.start[firsts[new]], words.end[firsts[new]]
+            byte = words.data
+            good = BYTE_CLASS[byte] != REST
+            lead = np.flatnonzero(byte[:-1] == 0xC3)
+            lead = lead[AFTER_C3[byte[lead + 1]]]
+            good[lead] = good[lead + 1] = True
+            bad = np.concatenate([[0], np.cumsum(~good)])
+            plain = bad[end] == bad[start]
+            some = new[plain]
+            number[some] = self.table.add(hashes[some], *self._merge_plain(byte, start[plain], end[plain]))
+            some = new[~plain]
+            texts = [byte[a:b].tobytes().decode() for a, b in zip(start[~plain], end[~plain])]
+            found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            offsets = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
+            number[some] = self.table.add(hashes[some], np.concatenate([np.zeros(0, np.int32), *found]), offsets)
+        return number[kind]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after another, and the offsets of the texts in them."""
+        words = words_of(data, offsets, SYMBOL)
+        flat, n = self.table.ids(self._numbers(words))
+        total = np.bincount(words.text, weights=n, minlength=words.n).astype(np.int64)
+        return flat, np.concatenate([[0], np.cumsum(total)])
 
 
 def piece_bounds(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -62,19 +119,6 @@ def piece_bounds(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(at, min(capacity, n - at)) for at in range(0, n, capacity)]
 
 
-def _texts_in_runs(texts: pa.Array, size: int = 4 << 20) -> Iterator[list[bytes]]:
-    run, held = [], 0
-    for text in texts:
-        value = (text.as_py() or "").encode()
-        if run and held + len(value) > size:
-            yield run
-            run, held = [], 0
-        run.append(value)
-        held += len(value)
-    if run:
-        yield run
-
-
 def token_pieces(docs: DataFrame, tokenizer_json: str, id_column: str, text_column: str, capacity: int, end_id: int):
     """A row per piece: id, start, length, ids_crc32, doc_tokens. A document without text has its end id only."""
     tokenizer = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
@@ -84,25 +128,27 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, id_column: str, text_colu
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if size not in _encoders:  # kept for later tasks of this worker
             _encoders[size] = WordIds(tokenizer.value)
-        words = _encoders[size]
         for batch in batches:
-            totals, pieces = [], []
-            for run in _texts_in_runs(batch.column(1)):
-                split = [text.split() for text in run]
-                words.learn(set().union(*split))
-                for chunks in split:
-                    ids = b"".join([words[c] for c in chunks]) + end
-                    totals.append(len(ids) // 4)
-                    pieces.append(
-                        [
-                            {"start": s, "length": n, "ids_crc32": zlib.crc32(ids[4 * s : 4 * (s + n)])}
-                            for s, n in piece_bounds(len(ids) // 4, capacity)
-                        ]
-                    )
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(totals, pa.int64()), pa.array(pieces, kind)], ["id", "doc_tokens", "pieces"]
-            )
+            for at, to, data, offsets in slices(batch.column(1), 4 << 20):
+                flat, bounds = _encoders[size].encode(data, offsets)
+                raw = flat.astype("<u4").tobytes()
+                totals, counts, starts, lengths, sums = [], [], [], [], []
+                for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+                    ids = raw[4 * a : 4 * b] + end
+                    pieces = piece_bounds(b - a + 1, capacity)
+                    totals.append(b - a + 1)
+                    counts.append(len(pieces))
+                    starts += [s for s, _ in pieces]
+                    lengths += [n for _, n in pieces]
+                    sums += [zlib.crc32(ids[4 * s : 4 * (s + n)]) for s, n in pieces]
+                held = pa.StructArray.from_arrays(
+                    [pa.array(x, pa.int64()) for x in (starts, lengths, sums)], ["start", "length", "ids_crc32"]
+                )
+                where = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, to - at), pa.array(totals, pa.int64()), pa.ListArray.from_arrays(where, held)],
+                    ["id", "doc_tokens", "pieces"],
+                )
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     found = rows.mapInArrow(encode, f"id {rows.schema['id'].dataType.simpleString()}, {PIECES}")

@@ -82,8 +82,8 @@ def _ranged(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return (prefix[end] - prefix[start]) * back[start]
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``."""
+def words_of(data: np.ndarray, offsets: np.ndarray, symbols: np.ndarray = LOWERED) -> Words:
+    """Words of the texts ``data[offsets[i]:offsets[i + 1]]``. ``symbols`` has a number for each byte; hashes are made of these."""
     n, size = len(offsets) - 1, len(data)
     word = ~IS_SPACE[data]
     starts, ends = word.copy(), word.copy()
@@ -96,7 +96,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     start, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     with np.errstate(over="ignore"):
         prefix = np.zeros(size + 1, np.uint64)
-        np.cumsum(LOWERED[data] * _powers(max(1, size.bit_length()))[0][:size], out=prefix[1:])
+        np.cumsum(symbols[data] * _powers(max(1, size.bit_length()))[0][:size], out=prefix[1:])
         hashes = mix(_ranged(prefix, start, end))
     text = np.searchsorted(offsets, start, side="right") - 1
     return Words(n, data, offsets, text, start, end, hashes, prefix)
