@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from plantmart.llm import line_quality, packing, toxicity
 from plantmart.llm.exact_dedup import exact_copies
 from plantmart.llm.jaccard import jaccard_components
-from plantmart.llm.registry import table
-from plantmart.session import configure, work_path
+from plantmart.llm.registry import prepare, table
+from plantmart.session import work_path
 
 # Names that no column of a table is likely to have.
 VERDICT, LEAST = "__verdict__", "__least__"
@@ -23,7 +23,7 @@ VERDICT, LEAST = "__verdict__", "__least__"
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold. The classifier learns from the labelled ones among all documents."""
-    configure(spark)
+    prepare(spark)
     net = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     score = toxicity.scorer(spark, net)
     return docs.withColumn(VERDICT, score(F.col("text"))).where(F.col(VERDICT) < 0.5).drop(VERDICT)
@@ -31,7 +31,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality reaches the threshold. The classifier learns from the labelled ones among all documents."""
-    configure(spark)
+    prepare(spark)
     field = line_quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     score = line_quality.scorer(spark, field)
     return docs.withColumn(VERDICT, score(F.col("text"))).where(F.col(VERDICT) >= line_quality.THRESHOLD).drop(VERDICT)
@@ -49,21 +49,21 @@ def _one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id."""
-    configure(spark)
+    prepare(spark)
     groups = exact_copies(docs).select("doc_id", F.col("keep_id").alias(LEAST))
     return _one_of_each(docs, groups)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of Jaccard similarity connect the one with the smallest id."""
-    configure(spark)
+    prepare(spark)
     groups = jaccard_components(docs).select("doc_id", F.col("component_id").alias(LEAST))
     return _one_of_each(docs, groups)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences, see ``packing.pack``."""
-    configure(spark)
+    prepare(spark)
     return packing.pack(docs, packing.tokenizer_text("word_bpe_49k.json"))
 
 
@@ -81,7 +81,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; each one's result is written to the shared folder and read again."""
-    configure(spark)
+    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = work_path(spark, "stage-" + name.replace(" ", "-"))
