@@ -8,7 +8,6 @@ go through the merges, exactly. Frequent means a share of all words of at least
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import unicodedata
 import zlib
@@ -23,56 +22,40 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .lexicon import Lexicon, build
+from .merges import Merger, byte_characters
 from .packing import tokenizer_text
 from .registry import query, table
 
 MIN_SHARE = 4e-6
 CACHED_WORDS = 300_000
 COUNTED_WORDS = 500_000  # distinct words that are counted together before they are handed on
-LONG_WORD = 48
-NONE = np.iinfo(np.int64).max
 # Fixed value: how this tokenizer cuts text into words before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte in the vocabulary: itself, or one from 256 on in order."""
-    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    hidden = iter(range(0x100, 0x200))
-    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
-
-
 class Codec:
-    """A byte-level tokenizer: cutting, merging, looking up, and the way back."""
+    """A byte-level tokenizer: cutting, looking up, merging, and the way back."""
 
     def __init__(self, tokenizer_json: str, lexicon: bytes | None = None):
         parsed = json.loads(tokenizer_json)
         vocabulary = parsed["model"]["vocab"]
-        characters = byte_characters()
-        byte_of = {c: b for b, c in enumerate(characters)}
-        self.first_id = np.array([vocabulary[c] for c in characters], np.int64)
-        pairs = [p if isinstance(p, list) else p.split(" ") for p in parsed["model"]["merges"]]
-        self.size = max([*vocabulary.values(), *(t["id"] for t in parsed["added_tokens"])]) + 1
-        key = np.array([vocabulary[a] * self.size + vocabulary[b] for a, b in pairs], np.int64)
-        self.merged = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
-        order = np.argsort(key, kind="stable")
-        self.pair_key, self.pair_rank = key[order], order.astype(np.int64)
-        self.ranks = dict(zip(key.tolist(), range(len(key))))
-        self.token_bytes = [b""] * self.size
+        byte_of = {c: b for b, c in enumerate(byte_characters())}
+        self.merger = Merger(vocabulary, parsed["model"]["merges"])
+        self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
+        self.token_bytes = [b""] * (max([*vocabulary.values(), *self.special.values()]) + 1)
         for token, number in vocabulary.items():
             self.token_bytes[number] = bytes(byte_of[c] for c in token)
-        self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
         for content, number in self.special.items():
             self.token_bytes[number] = content.encode()
         self.cut = regex.compile(PATTERN)
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.decimal = [str(i) for i in range(self.size)]
+        self.decimal = [str(i) for i in range(len(self.token_bytes))]
         self.lexicon = Lexicon.mapped(lexicon) if lexicon else None
         self.cache: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens."""
-        if not text.isascii() and any(c > "՗" and unicodedata.category(c) == "Cn" for c in set(text)):
+        if not text.isascii() and any(c > "\u0557" and unicodedata.category(c) == "Cn" for c in set(text)):
             # Characters that are newer than the tokenizer's own tables: the tokenizer's cutter knows how it sees them.
             from tokenizers import pre_tokenizers
 
@@ -89,86 +72,13 @@ class Codec:
             return found
         return self.words(text)
 
-    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left * self.size + right
-        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
-        return np.where((left >= 0) & (right >= 0) & (self.pair_key[at] == key), self.pair_rank[at], NONE)
-
-    def _merge_many(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words of similar length: in each round every word gets its best pair merged, first the leftmost."""
-        width = max(map(len, words))
-        symbols = np.full((len(words), width + 1), -1, np.int64)
-        for i, word in enumerate(words):
-            symbols[i, : len(word)] = self.first_id[np.frombuffer(word, np.uint8)]
-        rank = self._rank(symbols[:, :-1], symbols[:, 1:])
-        done: list[bytes] = [b""] * len(words)
-        row = np.arange(len(words))
-        column = np.arange(width)
-        while len(row):
-            at = rank.argmin(1)
-            best = rank[np.arange(len(row)), at]
-            over = best == NONE
-            for i in np.flatnonzero(over):
-                done[row[i]] = symbols[i][symbols[i] >= 0].astype("<u4").tobytes()
-            if over.any():
-                row, symbols, rank, at, best = row[~over], symbols[~over], rank[~over], at[~over], best[~over]
-                if not len(row):
-                    break
-            here = np.arange(len(row))
-            symbols[here, at] = self.merged[best]
-            # Close the gap to the right of the merged pair, then rate its two new neighbours.
-            shift = np.minimum(column[None, :] + (column[None, :] > at[:, None]), width)
-            symbols[:, :-1] = np.take_along_axis(symbols, shift, 1)
-            symbols[:, -1] = -1
-            rank = np.take_along_axis(rank, np.minimum(shift, width - 1), 1)
-            rank[:, -1] = self._rank(symbols[:, -2], symbols[:, -1])
-            rank[here, at] = self._rank(symbols[here, at], symbols[here, at + 1])
-            some = at > 0
-            rank[here[some], at[some] - 1] = self._rank(symbols[here[some], at[some] - 1], symbols[here[some], at[some]])
-        return done
-
-    def _merge_long(self, word: bytes) -> bytes:
-        """Ids of one long word, with a queue of pairs."""
-        symbols = self.first_id[np.frombuffer(word, np.uint8)].tolist()
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and after[i] < n:
-                rank = self.ranks.get(symbols[i] * self.size + symbols[after[i]])
-                if rank is not None:
-                    heapq.heappush(queue, (rank, i, symbols[i], symbols[after[i]]))
-
-        for i in range(n):
-            offer(i)
-        while queue:
-            rank, i, left, right = heapq.heappop(queue)
-            j = after[i]
-            if symbols[i] != left or j >= n or symbols[j] != right:
-                continue
-            symbols[i], symbols[j] = int(self.merged[rank]), -1
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            offer(before[i])
-            offer(i)
-        return np.array([s for s in symbols if s >= 0], "<u4").tobytes()
-
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids of words by the merges alone, as little-endian 32-bit numbers."""
-        found: list[bytes] = [b""] * len(words)
-        groups: dict[int, list[int]] = {}
-        for i, word in enumerate(words):
-            groups.setdefault(0 if len(word) > LONG_WORD else -(-len(word) // 6), []).append(i)
-        for group, members in groups.items():
-            for at in range(0, len(members), 50_000):
-                some = members[at : at + 50_000]
-                batch = [words[i] for i in some]
-                done = self._merge_many(batch) if group else [self._merge_long(w) for w in batch]
-                for i, ids in zip(some, done):
-                    found[i] = ids
-        return found
+        ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+        starts = ends - np.array([len(w) for w in words], np.int64)
+        flat, offsets = self.merger.merge(np.frombuffer(b"".join(words), np.uint8), starts, ends)
+        raw, at = flat.astype("<u4").tobytes(), (4 * offsets).tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
 
     def learn(self, words: Iterable[str]) -> None:
         """Make sure that the ids of all ``words`` are at hand: from the lexicon, else by the merges."""
@@ -182,7 +92,7 @@ class Codec:
             self.cache[new[i]] = ids
         for word, ids in zip(new, found):
             if ids is not None:
-                self.cache[word] = ids.astype("<u4").tobytes()
+                self.cache[word] = ids
         for content, number in self.special.items():
             self.cache[content] = np.array([number], "<u4").tobytes()
 

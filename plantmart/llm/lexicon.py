@@ -11,6 +11,8 @@ from collections.abc import Iterable
 
 import numpy as np
 
+from .merges import spread
+
 
 def _common(a: tuple, b: tuple) -> int:
     n = 0
@@ -108,6 +110,7 @@ class Lexicon:
         self.to, self.out_at, self.outputs = take(arcs, "<i4"), take(arcs + 1, "<i4"), take(outputs, "<i4")
         self.end_at, self.tails = take(states + 1, "<i4"), take(tails, "<i4")
         byte_of, self.ends = take(arcs, "u1"), take(states, "u1")
+        self.store = np.concatenate([self.outputs, self.tails]).astype("<u4")
         # Arcs lie in order of their state, and of their byte inside it, so one number finds an arc.
         self.key = np.repeat(np.arange(states, dtype=np.int64), np.diff(first)) * 256 + byte_of
 
@@ -118,15 +121,15 @@ class Lexicon:
         pages.write(buffer)
         return cls(pages)
 
-    def find(self, words: list[bytes]) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-        """Which words are known, and for these the arcs taken: a list of (word, arc) steps in order, see ``ids``."""
+    def ids(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of each word as little-endian 32-bit numbers, None for a word that is not in the lexicon."""
         size = np.array([len(w) for w in words], np.int64)
         begin = np.concatenate([[0], np.cumsum(size)])
         data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
         state = np.full(len(words), self.root, np.int64)
         live = np.arange(len(words))
         known = np.zeros(len(words), bool)
-        steps = []
+        who, first, n = [], [], []  # pieces of output: of which word, where they begin in the stores, how long they are
         for depth in range(int(size.max(initial=0)) + 1):
             over = size[live] == depth
             done = live[over]
@@ -139,23 +142,20 @@ class Lexicon:
             hit = self.key[arc] == key
             live, arc = live[hit], arc[hit]
             state[live] = self.to[arc]
-            steps.append((live, arc))
-        return known, (steps, state)
-
-    def ids(self, words: list[bytes]) -> list[np.ndarray | None]:
-        """The ids of each word, None for a word that is not in the lexicon."""
-        known, (steps, state) = self.find(words)
-        parts: list[list] = [[] for _ in words]
-        for live, arc in steps:
-            some = np.flatnonzero(known[live] & (self.out_at[arc + 1] > self.out_at[arc]))
-            for i in some:
-                a = arc[i]
-                parts[live[i]].append(self.outputs[self.out_at[a] : self.out_at[a + 1]])
-        found: list[np.ndarray | None] = []
-        for i, part in enumerate(parts):
-            if not known[i]:
-                found.append(None)
-                continue
-            tail = self.tails[self.end_at[state[i]] : self.end_at[state[i] + 1]]
-            found.append(np.concatenate([*part, tail]) if len(part) + len(tail) else np.zeros(0, np.int32))
-        return found
+            some = self.out_at[arc + 1] > self.out_at[arc]
+            who.append(live[some])
+            first.append(self.out_at[arc[some]])
+            n.append(self.out_at[arc[some] + 1] - self.out_at[arc[some]])
+        ending = np.flatnonzero(known)
+        who.append(ending)
+        first.append(len(self.outputs) + self.end_at[state[ending]])
+        n.append(self.end_at[state[ending] + 1] - self.end_at[state[ending]])
+        who, first, n = (np.concatenate(x).astype(np.int64) for x in (who, first, n))
+        order = np.argsort(who, kind="stable")
+        who, first, n = who[order], first[order], n[order]
+        good = known[who]
+        who, first, n = who[good], first[good], n[good]
+        flat = self.store[spread(first, n)].tobytes()
+        total = np.bincount(who, weights=n, minlength=len(words)).astype(np.int64) * 4
+        at = np.concatenate([[0], np.cumsum(total)]).tolist()
+        return [flat[a:b] if k else None for k, a, b in zip(known.tolist(), at, at[1:])]
