@@ -296,7 +296,7 @@ def score(docs: DataFrame, model: Automaton, counts: DataFrame, id_column: str =
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, to - at), pa.array(np.diff(offsets), pa.int64()), pa.array(seen, pa.int64()),
-                        pa.array(sums), pa.array(weights), pa.ListArray.from_arrays(pa.array(held, pa.int32()), kinds),
+                        pa.array(sums.astype(float)), pa.array(weights.astype(float)), pa.ListArray.from_arrays(pa.array(held, pa.int32()), kinds),
                     ],
                     ["id", "n_tokens", "n_often", "base_often", "weights", "rare"],
                 )
