@@ -1,7 +1,6 @@
 """Joins by effect: defaults for misses, reconciliation, brackets, overrides, neighbours in time.
 
-A side is broadcast by hint only after its rows were counted (``small``); a larger one is shuffled. Without a hint
-Spark decides by size, and adaptive execution splits a hot key.
+No side is hinted: Spark decides by size, at run time where a size is only known then, and adaptive execution splits a hot key.
 """
 
 from __future__ import annotations
@@ -20,18 +19,6 @@ def _column(value: Any) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-SMALL_ROWS = 100_000
-
-
-def small(dimension: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A broadcast hint for a dimension of at most ``rows`` rows, counted now; a larger one comes back unhinted.
-
-    Without the hint a lookup in a derived dimension starts as a shuffle of the large side, because its size is
-    only known once it ran. The count stops after ``rows`` + 1 rows.
-    """
-    return F.broadcast(dimension) if dimension.limit(rows + 1).count() <= rows else dimension
-
-
 def only_members(df: DataFrame, members: DataFrame, on: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``members``."""
     return _membership(df, members, on, "left_semi")
@@ -66,7 +53,7 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def lookup(df: DataFrame, dimension: DataFrame, on: Sequence[str], unique: bool = True) -> DataFrame:
     """Left join to a dimension; a duplicate dimension key is an error unless ``unique=False``."""
-    return df.join(small(assert_unique(dimension, on)) if unique else dimension, list(on), "left")
+    return df.join(assert_unique(dimension, on) if unique else dimension, list(on), "left")
 
 
 def left_join_with_defaults(

@@ -1,7 +1,7 @@
 """Ordered operators that never put one whole key into one task.
 
 A unit's history can be a large share of the data, so a window over the whole unit does not scale. Each
-operator here cuts a unit into chunks of its ordering column (a day, by default), and works in two steps:
+operator here cuts a unit into chunks of its ordering column (an hour, by default), and works in two steps:
 
 1. one aggregate per (unit, chunk), combined on the map side, and a window over those few rows per unit gives
    what each chunk must know about its neighbours (the last known value, the running total, the next start);
@@ -18,42 +18,22 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .joins import small
 
 CHUNK = "__chunk"
 SEED = "__seed"
+MEASURE = "__measure"
 BEFORE, ROW, AFTER = -1, 0, 1
-DAY_SECONDS = 86400
+CHUNK_SECONDS = 3600
 
 
-def time_chunk(ts: str | Column, seconds: int = DAY_SECONDS) -> Column:
+def time_chunk(ts: str | Column, seconds: int = CHUNK_SECONDS) -> Column:
     """Chunk number of a timestamp: whole ``seconds``-wide slots since the epoch."""
     column = F.col(ts) if isinstance(ts, str) else ts
     return F.floor(F.unix_timestamp(column.cast("timestamp")) / F.lit(seconds)).cast("long")
 
 
-HOT_ROWS = 5_000_000
-HOT_SECONDS = 60
-_TIME_CHUNK = "__time_chunk"
-
-
-def split_hot_units(
-    df: DataFrame, by: Sequence[str], ts: str, hot_rows: int = HOT_ROWS, hot_seconds: int = HOT_SECONDS
-) -> tuple[DataFrame, Column]:
-    """``df`` and a chunk column for it: days, but much finer slots for units with more than ``hot_rows`` rows.
-
-    Calm units keep few, well-filled chunks. The hot units are found by one count per unit (combined on the map
-    side); there are at most rows / ``hot_rows`` of them. Drop the helper column ``__time_chunk`` at the end.
-    """
-    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > hot_rows)
-    hot = small(hot.select(*[F.col(c).alias(f"__h_{c}") for c in by], F.lit(True).alias("__hot")))
-    same = [F.col(c).eqNullSafe(F.col(f"__h_{c}")) for c in by]
-    chunk = F.when(F.col("__hot"), time_chunk(ts, hot_seconds)).otherwise(time_chunk(ts))
-    marked = df.join(hot, same, "left").withColumn(_TIME_CHUNK, chunk)
-    return marked.drop("__hot", *[f"__h_{c}" for c in by]), F.col(_TIME_CHUNK)
-
-
 def cut(df: DataFrame, chunk: Column | None) -> DataFrame:
     return df.withColumn(CHUNK, F.lit(0).cast("long") if chunk is None else chunk.cast("long"))
 
@@ -170,21 +150,20 @@ def total_before(
     df: DataFrame, value: str, by: Sequence[str], order: Sequence[str], chunk: Column | None, out: str
 ) -> DataFrame:
     """Running total of ``value`` over the rows strictly before each row; 0 on the first row."""
-    rows = cut(df, chunk)
+    # Summed in the widest type of its kind, as a total outgrows the measure's own type.
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
+    rows = cut(df, chunk).withColumn(MEASURE, F.col(value).cast("long") if whole else F.col(value))
     seeds = []
     if chunk is not None:
-        sums = rows.groupBy(*by, CHUNK).agg(F.sum(value).alias("__sum"))
+        sums = rows.groupBy(*by, CHUNK).agg(F.sum(MEASURE).alias("__sum"))
+        carried = F.sum("__sum").over(strictly_before(across(by)))
+        carried = carried.cast("long" if whole else df.schema[value].dataType)
         seeds = [
-            sums.select(
-                *by,
-                CHUNK,
-                F.sum("__sum").over(strictly_before(across(by))).cast(df.schema[value].dataType).alias(value),
-                F.lit(BEFORE).alias(SEED),
-            ).filter(F.col(value).isNotNull())
+            sums.select(*by, CHUNK, carried.alias(MEASURE), F.lit(BEFORE).alias(SEED)).filter(F.col(MEASURE).isNotNull())
         ]
     window = strictly_before(inside(by, order))
-    total = F.coalesce(F.sum(value).over(window), F.lit(0))
-    return drop_seeds(with_seeds(rows, *seeds).withColumn(out, total))
+    total = F.coalesce(F.sum(MEASURE).over(window), F.lit(0))
+    return drop_seeds(with_seeds(rows, *seeds).withColumn(out, total)).drop(MEASURE)
 
 
 def occurrence_index(

@@ -8,16 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def value_list(df: DataFrame, column: str, most: int) -> list[str]:
+def value_list(df: DataFrame, column: str) -> list[str]:
     """The different values of a dictionary-like column, for use as column names.
 
-    More than ``most`` values is an error: a table that wide is the wrong shape, use ``complement_pairs``
-    (or keep the long form), which has no such bound.
+    The result is a table's header, so the driver must see it. Where a header makes no sense (ids, texts) use
+    ``complement_pairs`` or keep the long form.
     """
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"{column} has more than {most} values; use the long form")
-    return sorted(r[0] for r in rows)
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
 
 
 def membership_matrix(df: DataFrame, key: str, value: str, values: Sequence[str], prefix: str) -> DataFrame:

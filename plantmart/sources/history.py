@@ -62,29 +62,25 @@ def upsert(
 def _touched_part(stored: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Stored rows of the touched partitions.
 
-    The list of touched partitions is table metadata (the driver lists partitions anyway), so their values prune
-    the scan as literals, column by column; the semi join then makes the selection exact.
+    The least and the greatest touched value of each partition column prune the scan (one row comes to the driver, whatever the
+    load's size); the semi join then makes the selection exact.
     """
-    values = touched.collect()
+    bounds = touched.agg(
+        *[f(c).alias(f"{k}_{c}") for c in partition_by for k, f in (("lo", F.min), ("hi", F.max))],
+        *[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(f"null_{c}") for c in partition_by],
+    ).first()
     pruned = stored
     for c in partition_by:
-        wanted = {row[c] for row in values}
-        keep = F.col(c).isin([v for v in wanted if v is not None])
-        pruned = pruned.filter(keep | F.col(c).isNull() if None in wanted else keep)
-    if len(partition_by) == 1:
-        return pruned
+        keep = F.lit(False) if bounds[f"lo_{c}"] is None else F.col(c).between(bounds[f"lo_{c}"], bounds[f"hi_{c}"])
+        pruned = pruned.filter(keep | F.col(c).isNull() if bounds[f"null_{c}"] else keep)
     keys = touched.select(*[F.col(c).alias(f"__t_{c}") for c in partition_by])
     return pruned.join(keys, [F.col(c).eqNullSafe(F.col(f"__t_{c}")) for c in partition_by], "left_semi")
 
 
-def write_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], writers_per_partition: int = 16
-) -> None:
-    """Replace exactly the partitions present in ``df``; a large partition is written by several tasks."""
-    rest = [c for c in df.columns if c not in partition_by]
-    salt = F.pmod(F.xxhash64(*rest), F.lit(writers_per_partition))
+def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace exactly the partitions present in ``df``; adaptive execution splits a large partition by its size."""
     (
-        df.repartition(*partition_by, salt)
+        df.hint("rebalance", *[F.col(c) for c in partition_by])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

@@ -29,7 +29,7 @@ def sold_pairs(t: Tables) -> DataFrame:
 @query(f"SELECT l_partkey, {_MATRIX} FROM ({_SOLD}) s GROUP BY 1")
 def membership(t: Tables) -> DataFrame:
     """One Yes/No column per segment; the column names come from the data."""
-    segments = value_list(t.customer, "c_mktsegment", 100)
+    segments = value_list(t.customer, "c_mktsegment")
     return membership_matrix(sold_pairs(t), "l_partkey", "c_mktsegment", segments, "sold_")
 
 

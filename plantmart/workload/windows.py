@@ -13,8 +13,8 @@ from .registry import Tables, query, tidy_sql
 
 
 def chunked(rows: DataFrame) -> tuple[DataFrame, Column]:
-    """Events with a chunk per day, finer for very busy users."""
-    return ordered.split_hot_units(rows, ["user_id"], "ts")
+    """Events with the library's chunk of time."""
+    return rows, ordered.time_chunk("ts")
 
 
 @query(

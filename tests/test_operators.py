@@ -79,17 +79,23 @@ def test_scans_without_chunk_and_on_empty_input(spark):
     assert ordered.forward_fill(empty, {"v": "f"}, ["u"], ["t"], F.col("t")).count() == 0
 
 
-def test_only_hot_units_get_fine_chunks(spark):
-    data = [("hot", 1_700_000_000 + 40 * i) for i in range(60)] + [("calm", 1_700_000_000), ("calm", 1_700_000_100), (None, 1_700_000_000)]
+def test_a_busy_unit_is_cut_into_many_chunks(spark):
+    data = [("hot", 1_700_000_000 + 40 * i) for i in range(600)] + [("calm", 1_700_000_000), (None, 1_700_000_000)]
     df = spark.createDataFrame(data, "u string, s long").withColumn("ts", F.timestamp_seconds("s"))
-    marked, chunk = ordered.split_hot_units(df, ["u"], "ts", hot_rows=50)
-    assert marked.count() == len(data)
-    parts = {r.u: r.n for r in marked.groupBy("u").agg(F.count_distinct(chunk).alias("n")).collect()}
-    assert parts["calm"] == 1 and parts[None] == 1 and parts["hot"] >= 40
-    got = ordered.next_value(marked, "s", ["u"], ["s"], chunk, "n").filter("u = 'hot'")
+    chunk = ordered.time_chunk("ts")
+    parts = {r.u: r.n for r in df.groupBy("u").agg(F.count_distinct(chunk).alias("n")).collect()}
+    assert parts["calm"] == 1 and parts[None] == 1 and parts["hot"] >= 6
+    got = ordered.next_value(df, "s", ["u"], ["s"], chunk, "n").filter("u = 'hot'")
     assert {r.n - r.s for r in got.filter("n IS NOT NULL").collect()} == {40} and got.filter("n IS NULL").count() == 1
 
 
+@pytest.mark.parametrize("cut", [True, False])
+def test_running_totals_outgrow_the_measure_s_type(spark, cut):
+    df = spark.createDataFrame([(1, k, 2_000_000_000) for k in range(4)], "u int, t int, v int")
+    got = ordered.total_before(df, "v", ["u"], ["t"], F.col("t") if cut else None, "s")
+    assert {r.t: r.s for r in got.collect()} == {k: k * 2_000_000_000 for k in range(4)}
+
+
 def test_null_unit_is_a_group_of_its_own(spark):
     df = spark.createDataFrame([(None, 1), (None, 5), (1, 2)], "u int, t int")
     assert rows(ordered.next_value(df, "t", ["u"], ["t"], F.col("t"), "n")) == [(None, 1, 5), (None, 5, None), (1, 2, None)]
@@ -234,10 +240,9 @@ def test_matrix_and_complement_agree(spark):
     assert {(k, v[3:]) for k, v, _ in rows(long)} == set(rows(absent))
 
 
-def test_value_list_refuses_a_wide_domain(spark):
-    df = spark.range(20).select(F.col("id").cast("string").alias("v"))
-    with pytest.raises(ValueError, match="long form"):
-        reshape.value_list(df, "v", 10)
+def test_value_list_is_sorted_and_without_null(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "v string")
+    assert reshape.value_list(df, "v") == ["a", "b"]
 
 
 def test_inverse_of_inverse_is_the_rate(spark):
