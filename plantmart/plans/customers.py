@@ -12,7 +12,7 @@ from ..functions.missing import first_valid, text_or_null
 from ..functions.text import first_token, joined_key, padded
 from ..operators.checks import completeness_check, missing
 from ..operators.dedup import first_by, latest_by
-from ..operators.joins import only_members, small, without_members
+from ..operators.joins import only_members, without_members
 from ..operators.ranking import band_by_quantile
 
 # Fixed values.
@@ -106,6 +106,7 @@ def customer_rules() -> list[tuple[str, Column]]:
         ),
         ("sales_org == #", F.col("sales_org") == NO_GROUP),
         *missing("sales_off", "sales_off_descrp", "incoterm2", "sales_off_email", "incoterm1"),
+        *[(c, F.isnan(c)) for c in ("average_reb_kg_eur", "average_frght_kg_eur", "average_com_kg_eur")],
     ]
 
 
@@ -161,7 +162,7 @@ def customer_dimension(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         return first_by(picked, key, [c for c in columns if c not in key])
 
     def dimension(name: str, key: list[str], **columns: str) -> DataFrame:
-        return small(one(name, key, **columns))
+        return one(name, key, **columns)
 
     scope = one("scope", ["ibg"], ibg="marketing_level_2", bu_scope="sbe").withColumn("ibg", F.col("ibg").cast("string"))
     master = one(
@@ -186,7 +187,7 @@ def customer_dimension(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         t["fx"].filter(F.col("to_currency") == "EUR"), ["from_currency"], ["first_date", "exchange_rate"]
     ).select(F.col("from_currency").alias("waers"), "exchange_rate")
 
-    rows = customer_groups(t).join(small(scope), "ibg", "left").filter(F.col("bu_scope") != OUT_OF_SCOPE)
+    rows = customer_groups(t).join(scope, "ibg", "left").filter(F.col("bu_scope") != OUT_OF_SCOPE)
     rows = rows.join(master, "kunnr", "left").filter(
         (F.col("ktokd") == SOLD_TO_TYPE) & (F.col("loevm") != DELETED) & (F.col("__deleted") != DELETED)
     )
@@ -195,7 +196,7 @@ def customer_dimension(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         .join(addresses, ["adrnr", "land1"], "left")
         .join(dimension("countries", ["land1"], land1="land1", country_soldto="landx"), "land1", "left")
         .join(dimension("districts", ["bzirk"], bzirk="bzirk", account_mgr="bztxt"), "bzirk", "left")
-        .join(small(offices), "vkgrp", "left")
+        .join(offices, "vkgrp", "left")
         .join(one("segments", ["cust_grp_adj"], cust_grp_adj="cust_grp_adj", cust_size="cust_segment"), "cust_grp_adj", "left")
         .join(
             dimension("country_groups", ["land1"], land1="land", country_grp="country_group", cust_region="region_text"),

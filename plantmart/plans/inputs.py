@@ -115,6 +115,7 @@ MOVEMENTS = TableSpec(
         "MEINS", "ERFMG:erfmg:double", "ERFME", "AUFNR", "PBAMG:pbamg:double", "UMMAT", "UMWRK", "UMLGO", "UMCHA",
         "KZBEW", "KZVBR", "KZZUG", "WEUNB", "BUDAT_MKPF:budat_mkpf:date", "CPUDT_MKPF:cpudt_mkpf:date",
         "CPUTM_MKPF", "USNAM_MKPF", "INSMK",
+        *[Field(name, name.lower(), optional=True) for name in ("BWTAR", "EQUNR", "UMBAR", "BWLVS")],
     )
 )
 UNITS = TableSpec(

@@ -7,10 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.reshape import value_list
 from ..session import cut_lineage
 from ..sources.files import Catalog, path_exists, read_csv, scan_optional_sites, scan_sites
 from ..sources.history import upsert
-from ..sources.sink import write_outputs
+from ..sources.sink import with_audit, write_outputs
 from . import batch, customers, line, margin, movements, oee, prices, products
 from .common import ORDER, PATH, movement_orders
 from .inputs import BATCH_FACTS, BATCH_FILES, LINE_FILES, SETTINGS
@@ -111,6 +112,7 @@ def batch_tables(inputs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
     The unit procedures feed all tables; they are written to the shared folder once.
     """
+    inputs = batch.with_shared_parents(inputs)
     procedures = cut_lineage(batch.unit_procedures(inputs))
     availability = batch.availability_table(batch.hierarchy(inputs), procedures)
     rates = batch.rate_table(procedures)
@@ -141,11 +143,15 @@ def combined(*families: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
-def plant_outputs(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The published tables: output measures, keys, and the summaries."""
+def plant_outputs(tables: Mapping[str, DataFrame], refreshed: Column | None = None) -> dict[str, DataFrame]:
+    """The published tables in their published shape: output measures, keys, and the summaries.
+
+    ``refreshed`` is the load time that alarms and consumption carry.
+    """
     t = tables
+    refreshed = F.current_timestamp() if refreshed is None else refreshed
     sums = t["quality_summary"].groupBy(ORDER).agg(F.sum("produced").alias("produced"), F.sum("good").alias("good"))
-    q1 = movements.with_quality_ratio(sums)
+    q1 = cut_lineage(movements.with_quality_ratio(sums))
     out = {
         "availability": oee.availability_output(t["availability"]),
         "mseg": oee.movement_output(t["movements"]),
@@ -153,16 +159,18 @@ def plant_outputs(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "oee": oee.oee_output(oee.with_quality_split(t["oee"], q1)),
         "po": oee.order_output(t["orders"]),
         "rt_ftr": oee.rate_output(t["rate"]),
+    }
+    if "alarms" in t:
+        out["opn"] = oee.alarm_output(t["alarms"]).withColumn("data_refresh_dt", refreshed)
+    if "consumption" in t:
+        out["ve"] = oee.consumption_output(t["consumption"]).withColumn("data_refresh_dt", refreshed)
+    return {
+        **{name: oee.published(name, df) for name, df in out.items()},
         "q1_summary": q1,
         "po_summary": oee.order_summary(t["oee"]),
         "step_summary": oee.step_summary(t["availability"]),
         "keys": oee.key_calendar(t["oee"]),
     }
-    if "alarms" in t:
-        out["opn"] = oee.alarm_output(t["alarms"])
-    if "consumption" in t:
-        out["ve"] = oee.consumption_output(t["consumption"])
-    return out
 
 
 def run_plant_job(
@@ -172,10 +180,14 @@ def run_plant_job(
     """Line plants below ``source/line/<site>``, batch plants below ``source/batch/<site>`` (optional)."""
     settings = None if settings_path is None else site_settings(spark, settings_path)
     inputs = read_line_inputs(spark, f"{source}/line", shared_movements)
+    # The largest input is parsed once; four tables read it.
+    inputs["movements"] = cut_lineage(inputs["movements"])
     stored = store_line_history(spark, inputs, f"{destination}/history", settings)
     families = [line_tables(stored, inputs, settings)]
     if path_exists(spark, f"{source}/batch/*"):
-        families.append(batch_tables(read_batch_inputs(spark, f"{source}/batch")))
+        second = read_batch_inputs(spark, f"{source}/batch")
+        second["movements"] = cut_lineage(second["movements"])
+        families.append(batch_tables(second))
     tables = combined(*families)
     # The two tables most others are built from are computed once.
     tables["availability"] = cut_lineage(tables["availability"])
@@ -186,11 +198,15 @@ def run_plant_job(
 
 
 def pricing_tables(catalog: Catalog, as_of: Column) -> dict[str, DataFrame]:
-    """All pricing tables in dependency order; ``catalog`` names the inputs listed in each function."""
+    """All pricing tables in dependency order; ``catalog`` names the inputs listed in each function.
+
+    Tables that several others read (rates, both dimensions, positions, prices, the matrix rows) are written to the shared folder
+    once; the rest stays lazy. Segments and the bracket summary carry load time and origin.
+    """
     def pick(*names: str) -> dict[str, DataFrame]:
         return {n: catalog(n) for n in names}
 
-    fx = prices.fx_rates(catalog("exchange_rates"), catalog("exchange_factors"), as_of)
+    fx = cut_lineage(prices.fx_rates(catalog("exchange_rates"), catalog("exchange_factors"), as_of))
     sized = customers.segments(pick("transactions", "group_mapping", "customer_sales", "customer_master"), as_of)
     dimension = customers.customer_dimension(
         {
@@ -202,12 +218,14 @@ def pricing_tables(catalog: Catalog, as_of: Column) -> dict[str, DataFrame]:
             "fx": fx,
         }
     )
+    dimension["customers"] = cut_lineage(dimension["customers"])
     goods = products.product_dimension(
         pick(
             "materials", "hierarchy_texts", "sales_status", "product_types", "volume_index", "material_plants",
             "plants", "sales_orgs",
         )
     )
+    goods["products"] = cut_lineage(goods["products"])
     priced = prices.price_tables(
         {
             **pick(
@@ -221,14 +239,18 @@ def pricing_tables(catalog: Catalog, as_of: Column) -> dict[str, DataFrame]:
         as_of,
     )
     prepared = catalog("prepared_transactions")
-    positions = products.positioning(prepared, goods["products"], catalog("forward_costs"), catalog("positions"))
+    # One column per sales unit: the table's header comes from the products.
+    units = value_list(goods["products"], "sales_org")
+    positions = cut_lineage(
+        products.positioning(prepared, goods["products"], catalog("forward_costs"), catalog("positions"), units)
+    )
     enriched = products.enriched_products(goods["products"], positions, prepared, catalog("scope"))
     matrix = margin.margin_matrix(
         prepared, catalog("volume_index"), catalog("volume_brackets"), catalog("account_managers")
     )
     return {
         "fx_rates": fx,
-        "customer_segments": sized,
+        "customer_segments": with_audit(sized, "Customer Size classification"),
         "customers": dimension["customers"],
         "customers_missing_mail": dimension["missing_mail"],
         "customers_data_check": dimension["data_check"],
@@ -248,4 +270,5 @@ def pricing_tables(catalog: Catalog, as_of: Column) -> dict[str, DataFrame]:
             catalog("chemistry_factors"), catalog("geography_factors"),
         ),
         **{f"margin_{name}": df for name, df in matrix.items()},
+        "margin_by_bracket": with_audit(matrix["by_bracket"], "base_info_for_matrix_volume_brackets"),
     }

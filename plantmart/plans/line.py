@@ -13,7 +13,7 @@ from ..functions.text import first_token
 from ..operators import ordered
 from ..operators.attribution import barrier_fill
 from ..operators.dedup import latest_by, latest_release
-from ..operators.joins import left_join_with_defaults, small
+from ..operators.joins import left_join_with_defaults
 from .common import (
     NO_ORDER,
     ORDER,
@@ -37,7 +37,7 @@ SHIFT_CYCLE_DAYS = 14
 
 
 def clean_availability(
-    events: DataFrame, ties: Sequence[str] = (), chunk_seconds: int = ordered.DAY_SECONDS
+    events: DataFrame, ties: Sequence[str] = (), chunk_seconds: int = ordered.CHUNK_SECONDS
 ) -> DataFrame:
     """Newest release per equipment and production day, one row per event time, with durations.
 
@@ -55,7 +55,7 @@ def clean_availability(
 
 
 def with_durations(
-    events: DataFrame, order: Sequence[str] = ("event_time",), chunk_seconds: int = ordered.DAY_SECONDS
+    events: DataFrame, order: Sequence[str] = ("event_time",), chunk_seconds: int = ordered.CHUNK_SECONDS
 ) -> DataFrame:
     """``duration_s``: whole seconds until the unit's next event."""
     following = ordered.next_value(
@@ -66,7 +66,7 @@ def with_durations(
 
 
 def attribute_orders(
-    events: DataFrame, order: Sequence[str] = ("event_time",), chunk_seconds: int = ordered.DAY_SECONDS
+    events: DataFrame, order: Sequence[str] = ("event_time",), chunk_seconds: int = ordered.CHUNK_SECONDS
 ) -> DataFrame:
     """Fill order number and target rate; idle time has none, change-overs belong to the next order."""
     blanks = events.withColumn(ORDER, text_or_null(F.col(ORDER), ("",)))
@@ -153,7 +153,7 @@ def with_shift(events: DataFrame, pattern: DataFrame) -> DataFrame:
     )
     on = [c for c in ("site", "shift", "shift_modulo") if c in pattern.columns]
     crew = pattern.select(*on, "shift_letter")
-    return positioned.join(small(crew), on, "inner").drop("shift").withColumnRenamed("shift_letter", "shift")
+    return positioned.join(crew, on, "inner").drop("shift").withColumnRenamed("shift_letter", "shift")
 
 
 def availability_table(
@@ -167,9 +167,9 @@ def availability_table(
     """Event table with attributed orders, losses, order details and crew."""
     rows = (
         from_start_date(history, settings)
-        .join(small(units), PATH, "inner")
+        .join(units, PATH, "inner")
         .join(
-            small(categories),
+            categories,
             ["enterprise", "site", "reason", "reason_group_desc_1", "reason_group_desc_2"],
             "inner",
         )
@@ -185,7 +185,7 @@ def rate_table(
     details = known.select(
         *PATH, ORDER, "productid", "material_grade", "material_color", "ftr_pct", "bottleneck", "logsheet_number"
     )
-    rows = from_start_date(rates, settings).join(small(units.drop("mpc")), PATH, "inner")
+    rows = from_start_date(rates, settings).join(units.drop("mpc"), PATH, "inner")
     joined = left_join_with_defaults(
         rows.withColumn("quantity_ftr", F.col("quantity_prod")),
         details.withColumn("__share", F.col("ftr_pct") / 100),

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import joined_key, padded
 from ..operators.checks import relative_deviation, rows_matching_any
-from ..operators.joins import bracket_join, lookup, override, small
+from ..operators.joins import bracket_join, lookup, override
 from ..operators.ordered import occurrence_index
+from ..session import cut_lineage
 
 SLICE = "rxcxp"
 SLICE_KEYS = [SLICE, "prod_grp"]
-MONTH_PARTS = 64
+MONTH_PARTS = 1024
 
 
 def slice_key() -> Column:
@@ -67,9 +68,9 @@ def margin_matrix(
     for step in unit_economics():
         rows = rows.withColumns(step)
     rows = lookup(rows, volume_index.select(F.col("pline").alias("pfam"), "volume_index").distinct(), ["pfam"])
-    levels = slice_levels(rows)
+    levels = slice_levels(rows, order)
     first = F.col("instance_rxcxp") == 1
-    rows = occurrence_index(rows, SLICE_KEYS, order, chunk, "instance_rxcxp").drop("__part").join(levels, SLICE_KEYS, "left")
+    rows = occurrence_index(rows, [SLICE], order, chunk, "instance_rxcxp").drop("__part").join(levels, SLICE_KEYS, "left")
     rows = rows.withColumns(
         {
             "avg_rxcxp_cm_kg_eur": F.when(first, F.col("__level")).otherwise(0.0),
@@ -79,7 +80,6 @@ def margin_matrix(
     limits = brackets.select(
         "volume_index", F.col("min").alias("__lo"), F.col("max").alias("__hi"), F.col("bracket").alias("yearly_volume_bracket")
     ).distinct()
-    limits = small(limits)
     rows = bracket_join(rows, limits, ["volume_index"], "yearly_volume_rxcxp", "__lo", "__hi").drop("__lo", "__hi")
     rules = managers.select(
         F.col("ml2").alias("ibg"), F.col("customer").alias("cust_number"), "sales_org", "am_responsible"
@@ -93,7 +93,8 @@ def margin_matrix(
         ],
     )
     share = F.try_divide(F.col("avg_rxcxp_cm_kg_eur"), F.col("avg_pg_cm_kg_eur"))
-    rows = rows.withColumn("avg_rxcxp_cm_perc", F.when(first, share).otherwise(0.0))
+    # Five tables read these rows; they are written once.
+    rows = cut_lineage(rows.withColumn("avg_rxcxp_cm_perc", F.when(first, share).otherwise(0.0)))
     return {
         "base": rows,
         "by_bracket": level_by(rows, "yearly_volume_bracket", "volume_bracket"),
@@ -103,24 +104,29 @@ def margin_matrix(
     }
 
 
-def slice_levels(rows: DataFrame) -> DataFrame:
+def slice_levels(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     """Volume, margin and margin level per slice, with the mean level of its product group.
 
-    Only a slice's first row carries its level and the other rows count as 0, so the mean over all rows of a
-    product group follows from one line per slice: its level and how many of its rows have a figure.
+    Only a slice's first row carries its level and the other rows count as 0, so the mean over all rows of a product group
+    follows from one line per slice: its level and how many of its rows have a figure. Rows without a slice are numbered as one
+    slice over all product groups; its first row has no level and leaves the mean of its own group only.
     """
     slices = rows.groupBy(*SLICE_KEYS).agg(
         F.sum("transactional_vol_kg").alias("yearly_volume_rxcxp"),
         F.sum("new_cm_abs").alias("total_rxcxp_cm_abs"),
         F.count(F.lit(1)).alias("__n"),
+        F.min(F.struct(*order)).alias("__first"),
     )
+    unnamed = slices.filter(F.col(SLICE).isNull()).agg(F.min("__first").alias("first")).select("first").scalar()
     level = F.try_divide(F.col("total_rxcxp_cm_abs"), F.col("yearly_volume_rxcxp"))
     slices = slices.withColumn("__level", F.when(F.col(SLICE).isNotNull(), level))
-    counted = F.col("__n") - F.when(F.col("__level").isNull(), 1).otherwise(0)
+    numbered_first = F.col(SLICE).isNotNull() | (F.col("__first") == unnamed)
+    counted = F.col("__n") - F.when(F.col("__level").isNull() & numbered_first, 1).otherwise(0)
     groups = slices.groupBy("prod_grp").agg(
         F.try_divide(F.coalesce(F.sum("__level"), F.lit(0.0)), F.sum(counted)).alias("avg_pg_cm_kg_eur")
-    )
-    return slices.join(groups, "prod_grp", "left").drop("__n")
+    ).withColumnRenamed("prod_grp", "__group")
+    out = slices.join(groups, F.col("prod_grp").eqNullSafe(F.col("__group")), "left")
+    return out.drop("__n", "__first", "__group")
 
 
 def level_by(rows: DataFrame, column: str, name: str) -> DataFrame:

@@ -9,6 +9,59 @@ from ..functions.dates import calendar_columns, stamp_from_parts
 from ..functions.units import KG_PER_LB, kg_to_ton, lb_to_ton, to_kg, to_lb
 from .common import ORDER, PATH, with_order_key, with_row_key
 
+# The columns of each published table, in order.
+PUBLISHED = {
+    "availability": (
+        "oee_category enterprise site plant process_cell unit event_time process_order_number target_prod_rate shift running_state "
+        "reason reason_group_desc_2 duration_s explanation category reason_group_desc_1 calendar_day mpc runtime_loss available "
+        "non_impactable impactable running_potential availability_loss unknown_loss external_loss maintenance_loss operations_loss "
+        "productid material_grade material_color key target_duration bottleneck logsheet_number iscosted costed lost_capacity_ton "
+        "non_costed step_number duration_hrs default_bottleneck step_description"
+    ),
+    "mseg": (
+        "enterprise site plant process_cell process_order_number productid bwart matnr werks charg menge meins erfmg erfme aufnr "
+        "pbamg kzbew kzvbr kzzug weunb po_key unit budat_mkpf cpudt_mkpf cputm_mkpf usnam_mkpf entry_ts xauto shkzg umcha "
+        "bottleneck logsheet_number calendar_day lgort ummat umwrk umlgo mblnr zeile menge_lb menge_kg"
+    ),
+    "mseg_q1": (
+        "enterprise site plant process_cell unit calendar_day process_order_number productid bottleneck logsheet_number mblnr zeile "
+        "bwart xauto matnr werks lgort charg shkzg menge meins erfmg erfme aufnr pbamg ummat umwrk umlgo umcha kzbew kzvbr kzzug "
+        "weunb budat_mkpf cpudt_mkpf cputm_mkpf usnam_mkpf first_booking_date menge_s in_q1_time quantity_prod_erp "
+        "quantity_q1_good_erp quantity_q1_bad_erp po_key quantity_q1_erp"
+    ),
+    "oee": (
+        "enterprise site plant process_cell unit calendar_day process_order_number productid material_grade material_color "
+        "sum_runtime_loss sum_available sum_non_impactable sum_impactable sum_running_potential sum_availability_loss "
+        "sum_unknown_loss sum_external_loss sum_maintenance_loss sum_operations_loss sum_capacity sum_quantity_prod "
+        "sum_quantity_ftr sum_runtime_sec sum_downtime_sec sum_quantity_non_ftr sum_rate_gap key bottleneck sum_costed "
+        "sum_non_costed sum_quantity_non_q1 sum_quantity_q1"
+    ),
+    "opn": (
+        "enterprise site plant process_cell unit kop hourstartts eventtype process_order_number interval data_refresh_dt "
+        "calendar_day productid material_grade material_color bottleneck logsheet_number key event_timestamp kop_activated "
+        "alarm_duration alarm_text"
+    ),
+    "po": (
+        "enterprise site plant process_cell unit process_order_number productid quantity_prod target_prod_rate actual_start_time "
+        "actual_end_time material_grade material_color quantity_required quantity_prod_erp ftr_erp raw_materials_erp blocked_erp "
+        "rework_erp scrap_erp obsolete_erp intra_material_erp free_for_use_erp target_rate target_availability target_quality "
+        "target_setup_time default_values_used calendar_day bottleneck logsheet_number key batch_duration_min "
+        "target_batch_duration po_key quantity_prod_ton ftr_pct"
+    ),
+    "rt_ftr": (
+        "productid material_grade material_color enterprise site plant process_cell unit process_order_number capacity "
+        "quantity_prod quantity_good target_prod_rate runtime_sec downtime_sec calendar_day quantity_ftr key bottleneck "
+        "logsheet_number default_bottleneck ftr_pct start_ts"
+    ),
+    "ve": (
+        "enterprise site plant process_cell unit process_order_number materialnumber ve_quantityproduced ve_dosedscanned ve_check "
+        "ve_explanation ve_remark data_refresh_dt productid bottleneck logsheet_number key calendar_day bwart meins booked_in_sap "
+        "unit/feedpoint material_description bom_quantity dcs_measurement"
+    ),
+}
+# Columns that say where a row came from; a table that has them keeps them behind the published ones.
+ORIGIN = ["source_site", "source_status"]
+
 EVENT_KEYS = [*PATH, "calendar_day", ORDER, "productid", "material_grade", "material_color", "bottleneck"]
 RATE_KEYS = [*PATH, "calendar_day", ORDER]
 EVENT_SUMS = [
@@ -95,6 +148,11 @@ def key_calendar(oee: DataFrame, iso_year: bool = False) -> DataFrame:
     return with_row_key(keys).withColumns(calendar_columns(F.col("calendar_day"), iso_year))
 
 
+def published(name: str, df: DataFrame) -> DataFrame:
+    """The published columns of a table in their order, then the row's origin; an absent published column is an error."""
+    return df.select(*[F.col(f"`{c}`") for c in PUBLISHED[name].split()], *[c for c in ORIGIN if c in df.columns])
+
+
 def availability_output(availability: DataFrame) -> DataFrame:
     out = with_row_key(availability).withColumns(
         {

@@ -11,7 +11,7 @@ from ..functions.dates import from_inverted, validity_state
 from ..functions.missing import first_valid, number_or_null
 from ..functions.units import signed_rate, unit_factor
 from ..operators.dedup import first_by, latest_by
-from ..operators.joins import neighbours_in_time, only_members, small
+from ..operators.joins import neighbours_in_time, only_members
 from ..operators.ordered import next_step
 from ..operators.ranking import surrogate_ids
 from ..operators.reshape import with_inverse
@@ -27,6 +27,8 @@ CUSTOMER_CONDITIONS = ("YP00", "YP11")
 DELETED = "X"
 OPEN_END = 1_000_000_000_000.0
 FIRST_ID = 880
+# Names of the sources a price comes from.
+GROUP_SOURCE, CUSTOMER_SOURCE, ITEM_SOURCE, SCALE_SOURCE = "a970", "a701", "konp", "konm"
 
 
 def fx_rates(rates: DataFrame, factors: DataFrame, as_of: Column) -> DataFrame:
@@ -87,6 +89,9 @@ def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
     ``t``: customer_sales (kunnr, vkorg, vtweg, konda, inco1, inco2), group_conditions (konda, ...),
     customer_conditions (kunag, ...), items (knumh, kstbm, kbetr, kmein, konms, kpein, konwa, loevm_ko), scales
     (knumh, kstbm, kbetr), units, material_units (matnr, meinh, umrez, umren), products, customers.
+
+    Three lookups multiply rows on purpose, as published: a group price holds for each customer of the group, a price for each
+    different second delivery term and for each different (line of business, region) of its customer, and for each item and scale.
     """
     sales = t["customer_sales"]
     terms = ["kunag", "inco1", "matnr", "vkorg", "knumh", "datbi", "datab", "kschl"]
@@ -97,8 +102,8 @@ def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
     live = items.groupBy("knumh").agg(F.max("loevm_ko").alias("__deleted")).filter(F.col("__deleted") != DELETED)
     by_customer = only_members(t["customer_conditions"].filter(F.col("kschl").isin(*CUSTOMER_CONDITIONS)), live, ["knumh"])
     conditions = (
-        by_group.select(*terms, F.lit("group").alias("type1"))
-        .unionByName(by_customer.select(*terms, F.lit("customer").alias("type1")))
+        by_group.select(*terms, F.lit(GROUP_SOURCE).alias("type1"))
+        .unionByName(by_customer.select(*terms, F.lit(CUSTOMER_SOURCE).alias("type1")))
         .withColumnsRenamed({"datbi": "valid_to", "datab": "valid_from", "kschl": "cond_type"})
     )
     conditions = only_members(conditions, t["products"], {"matnr": "prod_number"})
@@ -112,13 +117,13 @@ def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
         F.coalesce(F.nullif("konms", F.lit("")), F.col("kmein")).alias("uom_scale_p"),
         F.col("kpein").cast("double").alias("per_p"),
         F.col("konwa").alias("konwa_p"),
-        F.lit("item").alias("type2_p"),
+        F.lit(ITEM_SOURCE).alias("type2_p"),
     )
     scale = t["scales"].select(
         "knumh",
         F.col("kstbm").cast("double").alias("kstbm_m"),
         F.col("kbetr").cast("double").alias("kbetr_m"),
-        F.lit("scale").alias("type2_m"),
+        F.lit(SCALE_SOURCE).alias("type2_m"),
     )
     regions = t["customers"].select(F.col("cust_number").alias("kunag"), "ibg", "cust_region").distinct()
     rows = (
@@ -139,7 +144,7 @@ def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
             "type2": F.coalesce("type2_p", "type2_m"),
         }
     )
-    mass = small(mass_factors(t["units"]))
+    mass = mass_factors(t["units"])
     pieces = t["material_units"].filter(F.col("meinh") == PIECE).groupBy("matnr").agg(
         F.max(F.try_divide(F.col("umrez"), F.col("umren"))).alias("__piece")
     )
@@ -196,7 +201,7 @@ def price_tables(t: Mapping[str, DataFrame], fx: DataFrame, as_of: Column) -> di
         ["first_date", "exchange_rate"],
     ).select(F.col("from_currency").alias("konwa"), F.col("exchange_rate").alias("__fx"))
     numbered = surrogate_ids(with_next_threshold(base), ["kunag", "matnr", "inco1"], "unique_id", FIRST_ID)
-    priced = numbered.join(small(to_eur), "konwa", "left").withColumn(
+    priced = numbered.join(to_eur, "konwa", "left").withColumn(
         "fx_rate_into_eur", F.when(F.col("konwa") == BASE_CURRENCY, 1.0).otherwise(F.col("__fx"))
     )
     priced = priced.withColumn("rate_eur", F.try_divide(F.col("kbetr"), F.col("per")) * F.col("fx_rate_into_eur"))

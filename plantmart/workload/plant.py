@@ -657,6 +657,60 @@ _UP_SQL = f"""{BATCH_SQL},
       CASE WHEN yieldtarget = 0 THEN mpc ELSE yieldtarget / nullif(CAST(sum_durationrunningtarget AS DOUBLE), 0) * 60 END AS target_prod_rate_po FROM up0)"""
 
 
+@query(
+    tidy_sql(
+        f"""WITH {MOVEMENTS_SQL}
+            SELECT mblnr, zeile, process_order_number, process_order_number || charg AS po_key, budat_mkpf + INTERVAL 36672 SECOND AS entry_ts, insmk,
+              CAST(CASE WHEN meins = 'LB' THEN menge * 0.45359237 ELSE menge END AS FLOAT) AS menge_kg,
+              CAST(CASE WHEN meins = 'LB' THEN menge ELSE menge / 0.45359237 END AS FLOAT) AS menge_lb FROM mv""",
+        double="menge_kg menge_lb", ts="entry_ts",
+    )
+)
+def movement_measures(t: Tables) -> DataFrame:
+    """All raw movements with entry time, order key and the quantity in both mass units."""
+    raw = moved(t).withColumns(
+        {"unit": F.col("charg"), "cpudt_mkpf": F.col("budat_mkpf"), "cputm_mkpf": F.lit("10:11:12")}
+    )
+    return oee.movement_output(raw).select("mblnr", "zeile", ORDER, "po_key", "entry_ts", "insmk", "menge_kg", "menge_lb")
+
+
+@query(
+    tidy_sql(
+        f"""WITH {ORDERS_SQL}, o AS (SELECT *, CAST(logsheet_number AS BIGINT) % 7 AS hours FROM prod_orders)
+            SELECT site, unit, process_order_number, process_order_number || unit AS po_key,
+              enterprise || site || plant || process_cell || unit || CAST(calendar_day AS VARCHAR) || process_order_number || CAST(bottleneck AS VARCHAR) || productid AS key,
+              hours * 60.0 AS batch_duration_min, ftr_pct * 0.01 AS quantity_prod_ton, CAST(ftr_pct AS INTEGER) AS ftr_pct,
+              CASE WHEN ftr_pct <> 0 THEN (ftr_pct * 20 + 1) / ftr_pct * 3600 END AS target_batch_duration FROM o""",
+        double="batch_duration_min quantity_prod_ton target_batch_duration",
+    )
+)
+def order_measures(t: Tables) -> DataFrame:
+    """Production orders with keys, duration and target duration as published."""
+    hours = F.make_interval(hours=(F.col("logsheet_number").cast("long") % 7).cast("int"))
+    rows = production_orders(t).withColumns(
+        {
+            "actual_start_time": F.col("actual_end_time") - hours, "quantity_prod": F.col("ftr_pct") * 10,
+            "quantity_required": F.col("ftr_pct") * 20 + 1, "target_prod_rate": F.col("ftr_pct"),
+        }
+    )
+    return oee.order_output(rows).select(
+        "site", "unit", ORDER, "po_key", "key", "batch_duration_min", "quantity_prod_ton", "ftr_pct", "target_batch_duration"
+    )
+
+
+@query(
+    tidy_sql(
+        f"""WITH {_SHIFTED_SQL} SELECT recid, duration_s / 3600.0 AS duration_hrs, runtime_loss * 0.00045359237 AS lost_capacity_ton,
+              enterprise || site || plant || process_cell || unit || CAST(calendar_day AS VARCHAR) || process_order_number || CAST(bottleneck AS VARCHAR) || productid AS key
+            FROM shifted""",
+        double="duration_hrs lost_capacity_ton",
+    )
+)
+def availability_measures(t: Tables) -> DataFrame:
+    """Events with their key, hours and lost capacity as published."""
+    return oee.availability_output(availability(t)).select("recid", "duration_hrs", "lost_capacity_ton", "key")
+
+
 def lowest_letter(column: str) -> Column:
     """Minimum of a one-letter column, as a number so that hash aggregation applies."""
     return F.char(F.min(F.ascii(column)))
@@ -811,8 +865,9 @@ _SHIFT_SQL = "CASE WHEN hour(happened) < 6 OR hour(happened) >= 22 THEN 'ND' WHE
 )
 def event_split(t: Tables) -> DataFrame:
     """Explanations expanded into planned, overrun, explained and further events."""
-    inputs = batch_inputs(t)
-    return batch.availability_table(batch.hierarchy(inputs, EXPLANATION_CHUNK), batch.unit_procedures(inputs)).select(
+    inputs = batch.with_shared_parents(batch_inputs(t))
+    procedures = cut_lineage(batch.unit_procedures(inputs))
+    return batch.availability_table(batch.hierarchy(inputs, EXPLANATION_CHUNK), procedures).select(
         "durationid", "explanationid", "event_time", "running_state", "oee_category", "duration_s", "available",
         "non_impactable", "impactable", "shift", "shift_modulo", "category", "calendar_day", "runtime_loss", "running_potential",
     )
@@ -832,7 +887,7 @@ def event_split(t: Tables) -> DataFrame:
 )
 def batch_oee(t: Tables) -> DataFrame:
     """OEE of batch plants."""
-    inputs = batch_inputs(t)
+    inputs = batch.with_shared_parents(batch_inputs(t))
     procedures = cut_lineage(batch.unit_procedures(inputs))
     rows = batch.hierarchy(inputs, EXPLANATION_CHUNK)
     table = oee.oee_table(batch.availability_table(rows, procedures), batch.rate_table(procedures), capacity_from_events=False)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.checks import completeness_check
 from ..plans import customers, margin, prices, products
 from ..session import cut_lineage
 from .plant import lowest_letter
@@ -169,12 +170,17 @@ def customer_dimension(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {_DIM_SQL} SELECT cust_number, CASE WHEN account_mgr = '#' THEN 'account mgr = #' WHEN cust_grp_adj IS NULL THEN 'cust_grp_adj'
-        WHEN cust_size IS NULL THEN 'cust_size' ELSE 'base_unit' END AS remarks, CAST(sales_off IS NULL AS VARCHAR) AS no_office FROM dim"""
+    f"""WITH {_DIM_SQL}, checked AS (SELECT cust_number, CASE WHEN account_mgr = '#' THEN 'account mgr = #' WHEN cust_grp_adj IS NULL THEN 'cust_grp_adj'
+          WHEN cust_size IS NULL THEN 'cust_size' WHEN CAST(cust_number AS BIGINT) % 2 = 1 THEN 'base_unit'
+          WHEN order_cost_base_currency IS NULL THEN 'order_cost_base_currency' WHEN sales_off IS NULL THEN 'sales_off' WHEN incoterm2 IS NULL THEN 'incoterm2'
+          WHEN sales_off <> 'north' THEN 'sales_off_email' END AS remarks, CAST(sales_off IS NULL AS VARCHAR) AS no_office FROM dim)
+        SELECT * FROM checked WHERE remarks IS NOT NULL"""
 )
 def customer_check(t: Tables) -> DataFrame:
-    """Completeness report of the customer dimension (the base unit is filled later, so every row is listed)."""
-    return customer_tables(t)["data_check"].select(
+    """Completeness report of the customer dimension; every other customer has a base unit, and complete ones are not listed."""
+    even = F.col("cust_number").cast("long") % 2 == 0
+    rows = customer_tables(t)["customers"].withColumn("base_unit", F.when(even, "KG"))
+    return completeness_check(rows, customers.customer_rules()).select(
         "cust_number", "remarks", F.col("sales_off").isNull().cast("string").alias("no_office")
     )
 
@@ -199,7 +205,8 @@ _PROD_SQL = """
   made AS (SELECT 'K' || CAST(l_partkey AS VARCHAR) AS prod_number, string_agg(DISTINCT n_name, ',' ORDER BY n_name) AS plants
       FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY 1),
   prods AS (SELECT prod_grp, packed.prod_number, prod_descrp, upc, substr(prdha, 1, 4) AS bu, substr(prdha, 1, 7) AS pfam, substr(prdha, 1, 10) AS pline,
-      CASE WHEN p_size < 40 THEN 'family ' || substr(prdha, 1, 7) END AS pfam_descrp, sales_org, vmsta, plants
+      CASE WHEN p_size < 40 THEN 'family ' || substr(prdha, 1, 7) END AS pfam_descrp,
+      CASE WHEN p_size < 20 THEN 'line ' || substr(prdha, 1, 10) END AS pline_descrp, sales_org, vmsta, plants
       FROM packed JOIN grp USING (upc) JOIN sold USING (prod_number) LEFT JOIN made USING (prod_number) WHERE vmsta BETWEEN 4 AND 7)"""
 
 
@@ -222,10 +229,13 @@ def product_inputs(t: Tables) -> dict[str, DataFrame]:
     ).distinct()
     shipped = t.lineitem.select("l_partkey", "l_suppkey").distinct().join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
     family = F.substring(prdha, 1, 7)
+    line = F.substring(prdha, 1, 10)
     slashed = F.concat(F.substring(prdha, 1, 4), F.lit("/"), F.substring(prdha, 5, 3))
     return {
         "materials": packed.unionByName(unpacked),
-        "hierarchy_texts": t.part.filter("p_size < 40").select(family.alias("PRODH"), F.concat(F.lit("family "), family).alias("VTEXT"), F.lit("3").alias("STUFE")).distinct(),
+        "hierarchy_texts": t.part.filter("p_size < 40").select(family.alias("PRODH"), F.concat(F.lit("family "), family).alias("VTEXT"), F.lit("3").alias("STUFE")).union(
+            t.part.filter("p_size < 20").select(line.alias("PRODH"), F.concat(F.lit("line "), line).alias("VTEXT"), F.lit("4").alias("STUFE"))
+        ).distinct(),
         "sales_status": shipped.select(
             F.concat(F.lit("O"), (F.col("s_nationkey") % 6).cast("string")).alias("vkorg"),
             F.concat(F.lit("K"), F.col("l_partkey").cast("string")).alias("matnr"), (F.col("s_nationkey") % 6 + 4).alias("vmsta"),
@@ -258,10 +268,11 @@ def product_dimension(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {_PROD_SQL} SELECT CASE WHEN pfam_descrp IS NULL THEN 'pfam_descrp' ELSE 'pline_descrp' END AS remarks, count(*) AS n FROM prods GROUP BY 1"""
+    f"""WITH {_PROD_SQL} SELECT CASE WHEN pfam_descrp IS NULL THEN 'pfam_descrp' ELSE 'pline_descrp' END AS remarks, count(*) AS n FROM prods
+        WHERE pfam_descrp IS NULL OR pline_descrp IS NULL GROUP BY 1"""
 )
 def product_check(t: Tables) -> DataFrame:
-    """Completeness report of the product dimension: no pline texts are delivered, so every row is listed."""
+    """Completeness report of the product dimension: families and lines without a text; complete products are not listed."""
     return product_tables(t)["data_check"].groupBy("remarks").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -302,7 +313,7 @@ def transactions(t: Tables) -> DataFrame:
 
 _POS_SQL = f"""{_PROD_SQL}, {_TX_SQL},
   stats AS (SELECT prod_grp, CAST(count(DISTINCT cust_number) AS DOUBLE) AS customers, CAST(count(cmstd) AS DOUBLE) AS n, avg(vpc) AS cost, avg(cmstd) AS cm
-      FROM tr WHERE rolling = 'Yes' AND vol > 0 AND vpc <> 0 AND day >= DATE '2001-06-01' GROUP BY 1),
+      FROM tr WHERE rolling = 'Yes' AND vol > 0 AND vpc <> 0 GROUP BY 1),
   fc AS (SELECT 'U' || CAST(p_partkey % 500 AS VARCHAR) AS upc, arg_max(v, p_size * 1000.0 + v) AS vpc FROM (SELECT p_partkey, p_size, (p_retailprice + 3) / 4.0 AS v FROM part WHERE p_type = 'ECONOMY') z GROUP BY 1),
   planned AS (SELECT prod_grp, avg(vpc) AS cost FROM prods LEFT JOIN fc USING (upc) WHERE prod_grp NOT IN (SELECT prod_grp FROM stats) GROUP BY 1),
   pos0 AS (SELECT prod_grp, customers, n, cost, cm FROM stats UNION ALL SELECT prod_grp, 0, 0, cost, 0 FROM planned),
@@ -323,8 +334,7 @@ def forward_costs(t: Tables) -> DataFrame:
 def positions(t: Tables, sales_orgs=None) -> DataFrame:
     goods = cut_lineage(product_tables(t)["products"])
     manual = goods.filter(F.col("prod_grp").endswith("7")).select("prod_grp", F.lit("1.5").alias("pg_cost"), F.lit("0.5").alias("pg_cm"))
-    recent = transactions(t).filter(F.col("transaction_date") >= F.lit("2001-06-01").cast("date"))
-    return products.positioning(recent, goods, forward_costs(t), manual, sales_orgs)
+    return products.positioning(transactions(t), goods, forward_costs(t), manual, sales_orgs)
 
 
 _MATRIX_ORGS = ["O0", "O1", "O2", "O3", "O4", "O5"]
@@ -373,15 +383,14 @@ def product_enrichment(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH {_PROD_SQL}, {_TX_SQL} SELECT DISTINCT prod_grp AS produced_material, CAST(NULL AS VARCHAR) AS ml2 FROM prods
-        WHERE prod_number NOT IN (SELECT prod_number FROM tr WHERE rolling = 'Yes' AND sales_org = 'O3')"""
+        WHERE prod_number NOT IN (SELECT prod_number FROM tr WHERE rolling = 'Yes')"""
 )
 def missing_business(t: Tables) -> DataFrame:
-    """Product groups with a product that has no line of business in one sales unit's transactions."""
+    """Product groups with a product that has no line of business in the transactions."""
     goods = cut_lineage(product_tables(t)["products"])
-    some = transactions(t).filter("sales_org = 'O3'")
     out = products.enriched_products(goods, goods.select("prod_grp", "pfam").filter(F.lit(False)).selectExpr(
         "prod_grp", "pfam", "'' AS pg_cost", "'' AS pg_cm", "0.0D AS pg_cost_stats", "0.0D AS pg_cm_stats", "0.0D AS no_of_customers", "0.0D AS no_of_sizeable_transactions"
-    ), some, customer_inputs(t)["scope"])
+    ), transactions(t), customer_inputs(t)["scope"])
     return out["missing_business"]
 
 
@@ -443,7 +452,10 @@ _PRICE_SQL = f"""{_PRICED_SQL},
       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS knumh, min(l_shipdate) AS ship,
       max(l_quantity) AS q, max(l_extendedprice) AS price, min(l_returnflag) AS flag, min(l_linestatus) AS status, max(l_tax) AS tax, max(l_linenumber) AS ln
       FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY ALL),
-  live AS (SELECT * FROM cond WHERE flag <> 'R' AND matnr IN (SELECT prod_number FROM priced_products) AND (kunag, vkorg) IN (SELECT cust_number, sales_org FROM priced_customers)),
+  grouped AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS kunag, 'K' || CAST(p_partkey AS VARCHAR) AS matnr, 'O' || CAST(p_partkey % 6 AS VARCHAR) AS vkorg, 'EXW' AS inco1,
+      'G-' || CAST(p_partkey AS VARCHAR) AS knumh, CAST(DATE '2001-07-01' AS TIMESTAMP) AS ship, 1.0 AS q, p_retailprice AS price, 'N' AS flag, 'O' AS status, 0.0 AS tax, 4 AS ln, 'a970' AS type1
+      FROM part JOIN customer ON c_custkey % 7 = p_partkey % 7 WHERE p_size = 1),
+  live AS (SELECT * FROM (SELECT *, 'a701' AS type1 FROM cond WHERE flag <> 'R' UNION ALL SELECT * FROM grouped) z WHERE matnr IN (SELECT prod_number FROM priced_products) AND (kunag, vkorg) IN (SELECT cust_number, sales_org FROM priced_customers)),
   b0 AS (SELECT live.*, pc.ibg, pc.cust_region, CASE WHEN c.c_mktsegment = 'BUILDING' THEN '' ELSE 'PORT' END AS inco2, CAST(ship AS DATE) AS valid_from, CAST(ship AS DATE) + CAST(q * 20 AS INTEGER) AS valid_to,
       CASE WHEN ln = 1 THEN 'LB' WHEN ln = 2 THEN 'ST' WHEN ln = 3 THEN 'K' ELSE 'KG' END AS unit0,
       CASE WHEN status = 'O' THEN 'EUR' ELSE 'C' || CAST(CAST(kunag AS BIGINT) AS VARCHAR) END AS konwa
@@ -479,11 +491,17 @@ def price_inputs(t: Tables) -> dict[str, DataFrame]:
     sold = cut_lineage(sold)
     start = F.col("ship").cast("date")
     ln = F.col("ln")
+    grouped = t.part.filter("p_size = 1")
+    number = F.concat(F.lit("G-"), F.col("p_partkey").cast("string"))
     unit = F.when(ln == 1, "LB").when(ln == 2, "ST").when(ln == 3, "K").otherwise("KG")
     return {
         "customer_sales": customer_inputs(t)["customer_sales"],
-        "group_conditions": sold.filter(F.lit(False)).select(
-            F.lit("K1").alias("konda"), "inco1", "matnr", "vkorg", "knumh", start.alias("datbi"), start.alias("datab"), F.lit("YP00").alias("kschl")
+        # Parts of the smallest size have a price for a whole customer group.
+        "group_conditions": grouped.select(
+            F.concat(F.lit("K"), (F.col("p_partkey") % 7).cast("string")).alias("konda"), F.lit("EXW").alias("inco1"),
+            F.concat(F.lit("K"), F.col("p_partkey").cast("string")).alias("matnr"),
+            F.concat(F.lit("O"), (F.col("p_partkey") % 6).cast("string")).alias("vkorg"), number.alias("knumh"),
+            F.lit("2001-07-21").cast("date").alias("datbi"), F.lit("2001-07-01").cast("date").alias("datab"), F.lit("YP00").alias("kschl"),
         ),
         "customer_conditions": sold.select(
             "kunag", "inco1", "matnr", "vkorg", "knumh", F.date_add(start, (F.col("q") * 20).cast("int")).alias("datbi"), start.alias("datab"),
@@ -494,6 +512,11 @@ def price_inputs(t: Tables) -> dict[str, DataFrame]:
             F.when(F.col("status") == "O", F.lit("")).alias("konms"), F.lit(100.0).alias("kpein"),
             F.when(F.col("status") == "O", "EUR").otherwise(F.concat(F.lit("C"), F.col("kunag").cast("long").cast("string"))).alias("konwa"),
             F.when(F.col("flag") == "R", "X").otherwise("").alias("loevm_ko"),
+        ).unionByName(
+            grouped.select(
+                number.alias("knumh"), F.lit(1.0).alias("kstbm"), F.col("p_retailprice").alias("kbetr"), F.lit("KG").alias("kmein"),
+                F.lit("").alias("konms"), F.lit(100.0).alias("kpein"), F.lit("EUR").alias("konwa"), F.lit("").alias("loevm_ko"),
+            )
         ),
         "scales": sold.filter("tax > 0.07").select("knumh", (F.col("q") + 100).alias("kstbm"), (F.col("price") * 0.9).alias("kbetr")),
         "units": t.spark.createDataFrame(
@@ -526,7 +549,7 @@ def price_scales(t: Tables) -> DataFrame:
 @query(
     tidy_sql(
         f"""WITH {_PRICE_SQL} SELECT unique_id, kunag AS cust_number, scales_qty * f AS scales_qty, max_vol * f AS max_vol, kbetr / (per0 * f) * fxr AS scales_rate, base_price AS valid_price_base_currency,
-            f AS weight_rate_to_apply, fxr AS fx_rate_into_eur, CASE flag WHEN 'N' THEN 'YP00' ELSE 'YP11' END AS cond_type, 'customer' AS type1, 'item' AS type2 FROM pr""",
+            f AS weight_rate_to_apply, fxr AS fx_rate_into_eur, CASE flag WHEN 'N' THEN 'YP00' ELSE 'YP11' END AS cond_type, type1, 'konp' AS type2 FROM pr""",
         double="scales_qty max_vol scales_rate valid_price_base_currency weight_rate_to_apply fx_rate_into_eur",
     )
 )
@@ -548,7 +571,7 @@ _MARGIN_SQL = f"""{_TX_SQL},
       CASE l_partkey % 4 WHEN 0 THEN 'V1' WHEN 1 THEN 'V2' END AS volume_index FROM tr WHERE rolling = 'Yes'),
   m1 AS (SELECT *, (reb * vol + vpc * vol + frght * vol + oth * vol) / vol AS cost FROM m0),
   m2 AS (SELECT *, giv - cost AS cm, (giv - cost) * vol AS cm_abs FROM m1),
-  m3 AS (SELECT *, sum(vol) OVER s AS total_vol, sum(cm_abs) OVER s AS total_cm, row_number() OVER (PARTITION BY rxcxp, prod_grp ORDER BY yy, mm, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS nth
+  m3 AS (SELECT *, sum(vol) OVER s AS total_vol, sum(cm_abs) OVER s AS total_cm, row_number() OVER (PARTITION BY rxcxp ORDER BY yy, mm, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS nth
       FROM m2 WINDOW s AS (PARTITION BY rxcxp, prod_grp)),
   m4 AS (SELECT *, CASE WHEN nth = 1 THEN CASE WHEN rxcxp IS NOT NULL THEN total_cm / total_vol END ELSE 0 END AS level FROM m3),
   m5 AS (SELECT *, avg(level) OVER (PARTITION BY prod_grp) AS pg_level FROM m4),
@@ -622,48 +645,65 @@ _AVG = ", ".join(
 )
 
 
-@query(
-    tidy_sql(
-        f"""WITH {_TX_SQL}, r AS (SELECT cust_number, cxp_region, sales_org, vol, coalesce(reb, 0) - 0.0513737 AS reb, frght + 0.0013737 AS frght, oth AS com,
-              (datediff('month', day, {AS_OF_SQL}) + CASE WHEN day(day) = 15 THEN 0 ELSE (15 - day(day)) / 31.0 END) AS age FROM tr WHERE rolling = 'Yes'),
-            s AS (SELECT cust_number, cxp_region, sales_org, {', '.join(f"round(CAST(sum(CASE WHEN round(age) <= 6 THEN {a} * vol END) / sum(CASE WHEN round(age) <= 6 THEN vol END) AS DECIMAL(28, 10)), 2) AS {a}1, round(CAST(sum({a} * vol) / sum(vol) AS DECIMAL(28, 10)), 2) AS {a}2" for a in ('reb', 'frght', 'com'))}
-              FROM r GROUP BY ALL)
-            SELECT cust_number, cxp_region AS cust_region, sales_org, {_AVG} FROM s""",
-        double="average_reb_kg_eur average_frght_kg_eur average_com_kg_eur",
-    )
-)
-def customer_averages(t: Tables) -> DataFrame:
-    """Six-month cost averages with all-time fallback."""
-    rows = transactions(t).withColumns(
+def _cost_sums(rows: str) -> str:
+    """Recent and all-time averages by customer, region and sales unit over the lines that ``rows`` selects."""
+    return f"""cost_rows AS (SELECT cust_number, cxp_region, sales_org, vol, coalesce(reb, 0) - 0.0513737 AS reb, frght + 0.0013737 AS frght, oth AS com,
+              (datediff('month', day, {AS_OF_SQL}) + CASE WHEN day(day) = 15 THEN 0 ELSE (15 - day(day)) / 31.0 END) AS age FROM tr WHERE {rows}),
+            cost_sums AS (SELECT cust_number, cxp_region, sales_org, {', '.join(f"round(CAST(sum(CASE WHEN round(age) <= 6 THEN {a} * vol END) / sum(CASE WHEN round(age) <= 6 THEN vol END) AS DECIMAL(28, 10)), 2) AS {a}1, round(CAST(sum({a} * vol) / sum(vol) AS DECIMAL(28, 10)), 2) AS {a}2" for a in ('reb', 'frght', 'com'))}
+              FROM cost_rows GROUP BY ALL)"""
+
+
+def cost_rows(t: Tables) -> DataFrame:
+    """Transactions as the cost averages read them; odd offsets keep the averages off an exact half cent."""
+    return transactions(t).withColumns(
         {
-            # Odd offsets keep the averages off an exact half cent.
             "reb_kg_eur": F.coalesce("reb_kg_eur", F.lit(0.0)) - 0.0513737,
             "frght_kg_eur": F.col("frght_kg_eur") + 0.0013737,
             "valid_price_kg_eur": F.lit(1.0),
             "last_transaction_per_cxp": F.col("rolling_12_month"),
         }
     )
-    return customers.cost_averages(rows, F.lit(AS_OF).cast("date"))
 
 
 @query(
     tidy_sql(
-        f"""WITH {_DIM_SQL}, {_PRICE_SQL.replace(_FX_SQL + ',', '', 1).replace(_EUR_SQL + ',', '', 1)}, cp AS (SELECT kunag, scale_type, CASE flag WHEN 'N' THEN 'YP00' ELSE 'YP11' END AS ct, valid_from, uom, vkorg, kbetr / (per0 * f) * fxr AS rate FROM pr),
+        f"""WITH {_TX_SQL}, {_cost_sums("rolling = 'Yes'")}
+            SELECT cust_number, cxp_region AS cust_region, sales_org, {_AVG} FROM cost_sums""",
+        double="average_reb_kg_eur average_frght_kg_eur average_com_kg_eur",
+    )
+)
+def customer_averages(t: Tables) -> DataFrame:
+    """Six-month cost averages with all-time fallback."""
+    return customers.cost_averages(cost_rows(t), F.lit(AS_OF).cast("date"))
+
+
+@query(
+    tidy_sql(
+        f"""WITH {_DIM_SQL}, {_TX_SQL}, {_cost_sums("TRUE")}, {_PRICE_SQL.replace(_FX_SQL + ',', '', 1).replace(_EUR_SQL + ',', '', 1)}, cp AS (SELECT kunag, scale_type, CASE flag WHEN 'N' THEN 'YP00' ELSE 'YP11' END AS ct, valid_from, uom, vkorg, kbetr / (per0 * f) * fxr AS rate FROM pr),
             g AS (SELECT kunag, scale_type, ct, max(valid_from) AS vf, count(rate) AS n FROM cp GROUP BY ALL),
             w AS (SELECT *, row_number() OVER (PARTITION BY kunag, scale_type ORDER BY vf DESC, n DESC, ct DESC) AS rn FROM g),
             u AS (SELECT *, row_number() OVER (PARTITION BY kunag ORDER BY valid_from DESC, uom DESC) AS rn FROM cp)
-            SELECT d.cust_number, d.sales_org, coalesce(c.ct, p.ct, 'YP00') AS condition_type, u.uom AS base_unit, d.cust_size
+            SELECT d.cust_number, d.sales_org, coalesce(c.ct, p.ct, 'YP00') AS condition_type, u.uom AS base_unit, d.cust_size,
+              {', '.join(f"coalesce(average_{a}_kg_eur, 0) AS average_{a}_kg_eur" for a in ('reb', 'frght', 'com'))}
             FROM dim d LEFT JOIN w c ON c.kunag = d.cust_number AND c.scale_type = 'Current' AND c.rn = 1 LEFT JOIN w p ON p.kunag = d.cust_number AND p.scale_type = 'Past' AND p.rn = 1
-            LEFT JOIN u ON u.kunag = d.cust_number AND u.rn = 1"""
+            LEFT JOIN u ON u.kunag = d.cust_number AND u.rn = 1
+            LEFT JOIN (SELECT lpad(cust_number, 10, '0') AS cust_number, cxp_region AS cust_region, sales_org, {_AVG} FROM cost_sums) a
+              ON a.cust_number = d.cust_number AND a.cust_region = d.cust_region AND a.sales_org = d.sales_org""",
+        double="average_reb_kg_eur average_frght_kg_eur average_com_kg_eur",
     )
 )
 def customer_enrichment(t: Tables) -> DataFrame:
-    """Customer dimension with condition type and base unit from the price master."""
+    """Customer dimension with cost averages, condition type and base unit."""
     inputs = price_inputs(t)
     master = cut_lineage(prices.price_tables(inputs, fx(t), as_of())["master"])
-    complete = transactions(t).withColumns({"valid_price_kg_eur": F.lit(1.0), "last_transaction_per_cxp": F.lit("Yes")})
+    complete = cost_rows(t).withColumns(
+        {"cust_number": F.lpad("cust_number", 10, "0"), "last_transaction_per_cxp": F.lit("Yes")}
+    )
     out = customers.enriched_customers(customer_tables(t)["customers"], complete, master, F.lit(AS_OF).cast("date"))
-    return out.select("cust_number", "sales_org", "condition_type", "base_unit", "cust_size")
+    return out.select(
+        "cust_number", "sales_org", "condition_type", "base_unit", "cust_size",
+        "average_reb_kg_eur", "average_frght_kg_eur", "average_com_kg_eur",
+    )
 
 
 @query(

@@ -7,7 +7,7 @@ import csv
 import pytest
 from pyspark.sql import functions as F
 
-from plantmart.plans import jobs
+from plantmart.plans import jobs, oee
 from plantmart.plans.inputs import BATCH_FILES, LINE_FILES
 from plantmart.sources.files import Catalog
 from plantmart.workload import pricing
@@ -109,6 +109,24 @@ def plant(spark, tmp_path_factory):
     return lambda name: spark.read.parquet(f"{out}/{name}")
 
 
+def test_tables_have_their_published_columns(plant):
+    for name, columns in oee.PUBLISHED.items():
+        found = plant(name).columns
+        assert found[: len(columns.split())] == columns.split()
+        assert set(found[len(columns.split()) :]) <= set(oee.ORIGIN)
+
+
+def test_movement_files_are_read_once(spark, tmp_path, monkeypatch):
+    """After the first write of the movements no plan goes back to the files."""
+    line_site(tmp_path, "north", [event("north", 1, "2024-01-01 07:00:00", "RUNNING", "100")])
+    tables = {}
+    monkeypatch.setattr(jobs, "write_outputs", lambda outputs, root: tables.update(outputs))
+    jobs.run_plant_job(spark, str(tmp_path), str(tmp_path / "out"))
+    for name, df in tables.items():
+        assert "mseg" not in " ".join(f for f in df.inputFiles() if f.endswith(".csv")), name
+        assert not [f for f in df.inputFiles() if LINE_FILES["movements"][0] in f], name
+
+
 def test_history_keeps_old_events_and_takes_corrections(plant):
     rows = {str(r.event_time)[5:16]: r.running_state for r in plant("history/availability").filter("source_site = 'north'").collect()}
     assert rows == {"01-01 07:00": "RUNNING", "01-01 07:10": "CHANGE-OVER", "01-01 07:30": "IDLE", "01-01 08:00": "RUNNING", "01-02 07:00": "RUNNING"}
@@ -147,7 +165,7 @@ def test_genealogy_and_quality(plant):
 def test_summaries_and_consumption(plant):
     oee = plant("oee").filter("site = 'south'").first()
     assert oee.sum_quantity_prod == 50 and oee.sum_quantity_ftr == 45 and oee.sum_quantity_q1 == pytest.approx(40)
-    assert {r.branch: r.ve_dosedscanned for r in plant("ve").filter("site = 'north'").collect()} == {"received": 50.0, "unread": 5.0}
+    assert {r.bwart: r.ve_dosedscanned for r in plant("ve").filter("site = 'north'").collect()} == {"101": 50.0, "261": 5.0}
     assert plant("opn").count() == 2
     for name in ("po", "rt_ftr", "po_summary", "step_summary", "keys", "mseg_q1"):
         assert plant(name).count() > 0
