@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.reshape import value_list
-from ..session import cut_lineage
+from ..session import cut_lineage, work_removed
 from ..sources.files import Catalog, path_exists, read_csv, scan_optional_sites, scan_sites
 from ..sources.history import upsert
 from ..sources.sink import with_audit, write_outputs
@@ -177,7 +177,18 @@ def run_plant_job(
     spark: SparkSession, source: str, destination: str, settings_path: str | None = None,
     shared_movements: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Line plants below ``source/line/<site>``, batch plants below ``source/batch/<site>`` (optional)."""
+    """Line plants below ``source/line/<site>``, batch plants below ``source/batch/<site>`` (optional).
+
+    Returns the stored tables. What the job wrote to the shared folder on the way is removed at its end.
+    """
+    with work_removed(spark):
+        names = _plant_job(spark, source, destination, settings_path, shared_movements)
+    return {name: spark.read.parquet(f"{destination.rstrip('/')}/{name}") for name in names}
+
+
+def _plant_job(
+    spark: SparkSession, source: str, destination: str, settings_path: str | None, shared_movements: str | None
+) -> list[str]:
     settings = None if settings_path is None else site_settings(spark, settings_path)
     inputs = read_line_inputs(spark, f"{source}/line", shared_movements)
     # The largest input is parsed once; four tables read it.
@@ -194,7 +205,7 @@ def run_plant_job(
     tables["oee"] = cut_lineage(tables["oee"])
     outputs = plant_outputs(tables)
     write_outputs(outputs, destination)
-    return outputs
+    return list(outputs)
 
 
 def pricing_tables(catalog: Catalog, as_of: Column) -> dict[str, DataFrame]:

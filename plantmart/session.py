@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +47,26 @@ def shared_folder(spark: SparkSession) -> str:
     return current
 
 
+_work: list[str] = []
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _work.append(path)
+    return path
+
+
+@contextmanager
+def work_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the work paths made inside the block at its end, when a job's results are stored and nothing reads them any more."""
+    before = len(_work)
+    yield
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in _work[before:]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    del _work[before:]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

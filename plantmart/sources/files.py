@@ -20,14 +20,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_sites(
-    spark: SparkSession, root: str, file: str, spec: TableSpec, site_column: str = "source_site"
+    spark: SparkSession, root: str, file: str, spec: TableSpec, site_column: str = "source_site", sites: Sequence[str] = ()
 ) -> DataFrame:
-    """One scan over ``root/<site>/file`` for all sites, the folder name as a column.
+    """One scan over ``root/<site>/file`` for all sites, or only the folders in ``sites``; the folder name is a column.
 
     All text, columns taken by header name. Every file's header is checked against the first one, so a site with
     another column order fails instead of shifting values.
     """
-    raw = _csv(spark, f"{root.rstrip('/')}/*/{file}")
+    raw = _csv(spark, [f"{root.rstrip('/')}/{site}/{file}" for site in sites or ["*"]])
     # ``file`` may lie in a sub-folder of the site. input_file_name rather than the metadata column: a run-time join
     # filter on the latter can reach the scan before it is ready when the scan runs without generated code.
     folder = F.element_at(F.split(F.input_file_name(), "/"), -2 - file.count("/"))
@@ -40,7 +40,7 @@ def read_csv(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return spec.apply(_csv(spark, path))
 
 
-def _csv(spark: SparkSession, path: str) -> DataFrame:
+def _csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("header", True).option("enforceSchema", False).csv(path)
 
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import csv
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from plantmart.plans import jobs, oee
 from plantmart.plans.inputs import BATCH_FILES, LINE_FILES
-from plantmart.sources.files import Catalog
+from plantmart.session import shared_folder
+from plantmart.sources.files import Catalog, scan_sites
 from plantmart.workload import pricing
 from plantmart.workload.registry import Tables
 
@@ -116,15 +118,29 @@ def test_tables_have_their_published_columns(plant):
         assert set(found[len(columns.split()) :]) <= set(oee.ORIGIN)
 
 
-def test_movement_files_are_read_once(spark, tmp_path, monkeypatch):
+def test_movement_files_are_read_once_and_work_is_removed(spark, tmp_path, monkeypatch):
     """After the first write of the movements no plan goes back to the files."""
     line_site(tmp_path, "north", [event("north", 1, "2024-01-01 07:00:00", "RUNNING", "100")])
-    tables = {}
-    monkeypatch.setattr(jobs, "write_outputs", lambda outputs, root: tables.update(outputs))
-    jobs.run_plant_job(spark, str(tmp_path), str(tmp_path / "out"))
-    for name, df in tables.items():
-        assert "mseg" not in " ".join(f for f in df.inputFiles() if f.endswith(".csv")), name
-        assert not [f for f in df.inputFiles() if LINE_FILES["movements"][0] in f], name
+    read, write_outputs = {}, jobs.write_outputs
+
+    def watched(outputs, root):
+        read.update({name: df.inputFiles() for name, df in outputs.items()})
+        write_outputs(outputs, root)
+
+    monkeypatch.setattr(jobs, "write_outputs", watched)
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    stored = jobs.run_plant_job(spark, str(tmp_path), str(tmp_path / "out"))
+    assert read and not [f for files in read.values() for f in files if LINE_FILES["movements"][0] in f]
+    assert set(shared.iterdir()) == before and stored["mseg"].count() > 0
+
+
+def test_a_scan_of_some_sites(spark, tmp_path):
+    for site in ("north", "south"):
+        line_site(tmp_path, site, [event(site, 1, "2024-01-01 07:00:00", "RUNNING", "100")])
+    file, spec = LINE_FILES["orders"]
+    found = scan_sites(spark, str(tmp_path / "line"), file, spec, sites=["south"])
+    assert {r.source_site for r in found.collect()} == {"south"} and all("/south/" in f for f in found.inputFiles())
 
 
 def test_history_keeps_old_events_and_takes_corrections(plant):
