@@ -4,13 +4,15 @@ Jaccard distance is a metric, and the join divides its space with pivots, level
 1 from each other, so document pivots cannot divide the whole table; three kinds of pivots follow one another.
 
 1. **Single shingles as pivots.** A document is nearer than 1 to the pivot {s} only if it has s. It is replicated to the regions of
-   its first ``n - ceil(p n) + 1`` shingles in one global order (rare ones first): documents that share none of these differ in too
-   many shingles to be within the radius, so linked documents meet in a region. Regions of one document, nearly all, go away.
+   its first ``n - ceil(p n) + k`` shingles in one global order (rare ones first): documents that share fewer than k of these differ
+   in too many shingles to be within the radius, so linked documents meet in k regions at least. Regions of one document, nearly
+   all, go away, and so does a document that is in fewer regions than a partner of any allowed size would share with it.
 2. **The empty set as pivot** (set size). A region is divided by size into rings whose bounds grow by the threshold; a document also
    goes to the ring below its own, as linked documents are at most one ring apart.
 3. **Documents as pivots.** A region's first pivot gets exact distances to all its members. By the triangle inequality members
    further apart than the radius in these distances cannot be linked, so later pivots only meet the members of their own
-   and the neighbouring windows. Each level takes several times as many pivots of the regions that are still open; a region is done
+   and the neighbouring windows. A second bound is at hand for any two members: parity vectors differ in at most as many places as the
+   sets do, see ``parities``. Each level takes several times as many pivots of the regions that are still open; a region is done
    when all its members are in one component or all were pivots. A dense group of near copies therefore ends after its first
    pivots, without its pairs.
 
@@ -21,10 +23,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -32,9 +35,13 @@ from .registry import query, table
 from .words import U, Words, mix, word_slices
 
 WIDTH, PERCENT = 4, 85
+PLACES = 16
+BITS = [f"b{k}" for k in range(PLACES)]
 BLOCK = 4_000_000  # shingles that are counted together when looking for common ones
 COMMON_IN_BLOCK = 4
 COMMON_KEPT = 200_000
+SIEVES = 1  # how often documents in too few regions are taken out
+BROADCAST_IDS = 1_000_000  # at most 8 MB of ids are broadcast; more are joined by a shuffle of the texts
 
 
 def shingles(words: Words, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -71,6 +78,17 @@ def _longs(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
 
 
+def parities(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A vector of ``64 * PLACES`` bits for each set, ``PLACES`` longs: a bit is whether the set has an odd number of shingles there.
+
+    Shingles that two sets share cancel out, so their vectors differ in at most as many bits as the sets differ in shingles.
+    """
+    n, wide = len(offsets) - 1, 64 * PLACES
+    text = np.repeat(np.arange(n), np.diff(offsets))
+    odd = np.bincount(text * wide + (values % U(wide)).astype(np.int64), minlength=n * wide).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(n, wide), axis=1).view(np.int64).reshape(n, PLACES)
+
+
 def _digests(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     raw = values.tobytes()
     found = [hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(offsets, offsets[1:])]
@@ -109,6 +127,11 @@ def common_shingles(docs: DataFrame, width: int = WIDTH, kept: int = COMMON_KEPT
     return values[order], times[order]
 
 
+def meetings(n):
+    """In how many regions two linked documents of ``n`` shingles or more meet at least."""
+    return n // 50 + 1
+
+
 def prefixes(docs: DataFrame, common, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """A row per text: id, n, digest of the set, and the shingles of its prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
@@ -126,7 +149,7 @@ def prefixes(docs: DataFrame, common, width: int = WIDTH, percent: int = PERCENT
                 text = np.repeat(np.arange(words.n), n)
                 order = np.lexsort((values, weight, text))
                 rank = np.arange(len(values)) - offsets[text]
-                size = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
+                size = np.where(n > 0, np.minimum(n, n - (percent * n + 99) // 100 + meetings(n)), 0)
                 chosen = values[order][rank < size[text]]
                 bounds = np.concatenate([[0], np.cumsum(size)])
                 yield pa.RecordBatch.from_arrays(
@@ -142,49 +165,69 @@ def prefixes(docs: DataFrame, common, width: int = WIDTH, percent: int = PERCENT
 
 
 def whole_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """A row per text: n, digest, and all shingles of its set."""
+    """A row per text: n, digest, all shingles of its set, and its parity vector."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, words in word_slices(batch.column(0)):
                 values, offsets = shingles(words, width)
+                bits = parities(values, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.diff(offsets), pa.int64()), _digests(values, offsets), _longs(values, offsets)],
-                    ["n", "digest", "set"],
+                    [pa.array(np.diff(offsets), pa.int64()), _digests(values, offsets), _longs(values, offsets)]
+                    + [pa.array(np.ascontiguousarray(bits[:, k])) for k in range(PLACES)],
+                    ["n", "digest", "set", *BITS],
                 )
 
-    return docs.select("text").mapInArrow(read, "n long, digest binary, set array<long>")
+    kinds = ", ".join(f"{b} long" for b in BITS)
+    return docs.select("text").mapInArrow(read, f"n long, digest binary, set array<long>, {kinds}")
 
 
-def classes_of(texts: DataFrame) -> DataFrame:
-    """A row per distinct set: its ``node`` (smallest id; another number if that is taken), ``low`` (smallest id), prefix."""
-    found = texts.groupBy("n", "digest").agg(
-        F.min("id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("prefix").alias("prefix")
-    )
-    # An id that comes with several texts is the smallest of several sets; only one of them can have its number.
-    turn = F.row_number().over(Window.partitionBy("low").orderBy("n", "digest"))
-    other = -F.abs(F.xxhash64("n", "digest") % F.lit(1 << 62)) - 1
-    return found.withColumn("turn", turn).withColumn(
-        "node", F.when((F.col("turn") == 1) & F.col("low").isNotNull(), F.col("low").cast("long")).otherwise(other)
-    ).drop("turn")
+def node_of(seed: int) -> Column:
+    """A number for a set, from its size and digest."""
+    return F.xxhash64("n", "digest", F.lit(seed))
+
 
+def classes_of(texts: DataFrame) -> tuple[DataFrame, int]:
+    """A row per distinct set: n, digest, ``low`` (smallest id), ``copies``, ``node``; and the seed that makes nodes distinct."""
+    found = cut_lineage(texts.groupBy("n", "digest").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies")))
+    seed = 0
+    while not found.groupBy(node_of(seed).alias("node")).count().where("count > 1").isEmpty():
+        seed += 1
+    return found.withColumn("node", node_of(seed)), seed
 
-def regions_of(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+
+def regions_of(texts: DataFrame, classes: DataFrame, seed: int, percent: int = PERCENT) -> DataFrame:
     """Members of regions: shingle, ring, node, n. Regions with the same members as another are left out."""
-    rows = classes.where("n > 0").select("node", "n", F.explode("prefix").alias("shingle"))
-    members = F.bit_xor(F.xxhash64("node"))
-    marks = [F.count(F.lit(1)).alias("m"), F.min("node").alias("least"), F.max("node").alias("most"), members.alias("x")]
-    alike = ["m", "least", "most", "x"]
-    shared = rows.groupBy("shingle").agg(*marks).where("m > 1").groupBy(*alike).agg(F.min("shingle").alias("shingle"))
-    held = cut_lineage(rows.join(shared.select("shingle"), "shingle"))
+    rows = texts.where("n > 0").select(node_of(seed).alias("node"), F.explode("prefix").alias("shingle"))
+    # Dealt out once; counting and joining below find the rows of a shingle together.
+    rows = rows.repartition("shingle")
+    # Regions are alike if all of this is; a node that copies repeat is repeated equally in all its regions.
+    total = lambda seed: F.sum(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 31)))
+    marks = [F.count(F.lit(1)).alias("m"), F.min("node").alias("least"), F.max("node").alias("most")]
+    marks += [total(1).alias("x"), total(2).alias("y")]
+    alike = ["m", "least", "most", "x", "y"]
+    shared = rows.groupBy("shingle").agg(*marks).where("least < most")
+    # Of shingles with the same members one stands for all; ``twins`` is how many.
+    shared = shared.groupBy(*alike).agg(F.min("shingle").alias("shingle"), F.count(F.lit(1)).alias("twins"))
+    # Copies of a set give equal rows.
+    held = cut_lineage(rows.join(shared.select("shingle", "twins"), "shingle").distinct()).join(
+        classes.select("node", "n"), "node"
+    )
     step = float(np.log(100 / percent))
     # Rounding cannot part linked documents: rings are a little wider than the threshold asks for.
     ring = F.floor(F.log(F.col("n").cast("double")) / F.lit(step * 1.000001))
-    rings = held.withColumn("ring", F.explode(F.array(ring, ring - 1)))
+    rings = cut_lineage(held.withColumn("ring", F.explode(F.array(ring, ring - 1))))
+    # A partner has at least ``percent`` of a document's shingles.
+    least = F.floor(F.floor(F.col("n") * percent / 100) / 50) + 1
+    for _ in range(SIEVES):
+        full = rings.groupBy("shingle", "ring").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
+        rings = rings.join(full.select("shingle", "ring"), ["shingle", "ring"])
+        often = rings.groupBy("node", "ring").agg(F.sum("twins").alias("met"), F.first("n").alias("n")).where(F.col("met") >= least)
+        rings = cut_lineage(rings.join(often.select("node", "ring"), ["node", "ring"]))
     full = rings.groupBy("shingle", "ring").agg(*marks).where("m > 1")
     # Of regions with the same members one is enough.
     full = full.groupBy(*alike).agg(F.min(F.struct("shingle", "ring")).alias("r")).select("r.*")
-    return rings.join(full, ["shingle", "ring"])
+    return rings.drop("twins").join(full, ["shingle", "ring"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -245,7 +288,8 @@ def links(regions: DataFrame, sets: DataFrame, percent: int = PERCENT, growth: i
         F.col("a").alias("node"), F.col("b").alias("pivot"), _distance(F.col("common"), F.col("na"), F.col("nb")).alias("d")
     )
     # The members that are still to meet, with their distance to the first pivot; the pivot itself is done.
-    rest = cut_lineage(held.drop("pn").join(away, ["node", "pivot"]).drop("pivot"))
+    bits = sets.select("node", *BITS)
+    rest = cut_lineage(held.drop("pn").join(away, ["node", "pivot"]).drop("pivot").join(bits, "node"))
     # Turns are hashes, spread evenly over the longs; a level takes the pivots up to a bound that each region has in this range.
     floor, span = float(-(1 << 63)), float(1 << 64)
     pivots = 1
@@ -262,13 +306,15 @@ def links(regions: DataFrame, sets: DataFrame, percent: int = PERCENT, growth: i
         w = F.col("window")
         probes = now.select(
             *key, F.explode(F.array(w - 1, w, w + 1)).alias("window"), F.col("node").alias("b"), F.col("n").alias("nb"),
-            F.col("turn").alias("tb"), F.col("label").alias("lb"), F.col("d").alias("db"),
+            F.col("turn").alias("tb"), F.col("label").alias("lb"), F.col("d").alias("db"), *[F.col(b).alias(f"p{b}") for b in BITS],
         )
         few, many = F.least("n", "nb"), F.greatest("n", "nb")
+        apart = reduce(lambda x, y: x + y, (F.bit_count(F.col(b).bitwiseXOR(F.col(f"p{b}"))) for b in BITS))
         pairs = (
             rest.join(probes, [*key, "window"])
             .where((F.col("turn") > F.col("tb")) & (F.col("label") != F.col("lb")))
             .where((F.abs(F.col("d") - F.col("db")) <= radius) & (few * 100 >= many * percent))
+            .where(apart * (100 + percent) <= (F.col("n") + F.col("nb")) * (100 - percent))
             .select(F.col("node").alias("a"), "b", F.col("n").alias("na"), "nb")
             .distinct()
         )
@@ -291,15 +337,19 @@ def jaccard_components(
     """
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     texts = cut_lineage(prefixes(docs, common_shingles(docs, width), width, percent))
-    classes = cut_lineage(classes_of(texts))
-    regions = cut_lineage(regions_of(classes, percent))
-    wanted = regions.select("node").distinct().join(classes.select("node", "n", "digest", "low"), "node")
+    classes, seed = classes_of(texts)
+    regions = cut_lineage(regions_of(texts, classes, seed, percent))
+    wanted = cut_lineage(regions.select("node").distinct().join(classes.select("node", "low"), "node"))
     # Texts of the classes that are left, by their smallest ids; a class without an id is looked for among rows without one.
-    some = docs.where("id is not null").join(wanted.select(F.col("low").alias("id")).distinct(), "id", "left_semi")
-    sets = whole_sets(some.unionByName(docs.where("id is null")), width)
-    sets = cut_lineage(sets.join(wanted, ["n", "digest"]).dropDuplicates(["node"]).select("node", "set"))
+    ids = wanted.where("low is not null").select(F.col("low").alias("id")).distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    some = docs.join(ids, "id", "left_semi").unionByName(docs.where("id is null"))
+    sets = cut_lineage(whole_sets(some, width).select(node_of(seed).alias("node"), "set", *BITS))
+    if not sets.groupBy("node").count().where("count > 1").isEmpty():  # repeated rows
+        sets = cut_lineage(sets.dropDuplicates(["node"]))
     labels = components(links(regions, sets, percent))
-    named = classes.select("n", "digest", "node", "low", "copies").join(labels, "node", "left")
+    named = classes.join(labels, "node", "left")
     named = named.withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("low").alias("component"))
     named = named.join(least, "label").select("n", "digest", "copies", "component")

@@ -167,7 +167,11 @@ def test_later_levels_of_pivots_lose_no_link(ready):
     sets = {k: [*range(1000, 1060), *range(40 * (k // 2), 40 * (k // 2) + 40), 5000 + k] for k in range(40)}
     members = [(1, 1, k, len(v)) for k, v in sets.items()]
     regions = ready.createDataFrame(members, "shingle long, ring long, node long, n long")
-    held = ready.createDataFrame([(k, v) for k, v in sets.items()], "node long, set array<long>")
+    values = np.concatenate([np.array(v, np.uint64) for v in sets.values()])
+    bits = jaccard.parities(values, np.cumsum([0, *map(len, sets.values())]))
+    kinds = ", ".join(f"{b} long" for b in jaccard.BITS)
+    rows = [(k, v, *map(int, b)) for (k, v), b in zip(sets.items(), bits)]
+    held = ready.createDataFrame(rows, f"node long, set array<long>, {kinds}")
     edges = jaccard.links(regions, held, percent=85, growth=3)
     found = {r["node"]: r["label"] for r in jaccard.components(edges).collect()}
     assert found == {k: k // 2 * 2 for k in sets}
