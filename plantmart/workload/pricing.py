@@ -317,7 +317,7 @@ _POS_SQL = f"""{_PROD_SQL}, {_TX_SQL},
   fc AS (SELECT 'U' || CAST(p_partkey % 500 AS VARCHAR) AS upc, arg_max(v, p_size * 1000.0 + v) AS vpc FROM (SELECT p_partkey, p_size, (p_retailprice + 3) / 4.0 AS v FROM part WHERE p_type = 'ECONOMY') z GROUP BY 1),
   planned AS (SELECT prod_grp, avg(vpc) AS cost FROM prods LEFT JOIN fc USING (upc) WHERE prod_grp NOT IN (SELECT prod_grp FROM stats) GROUP BY 1),
   pos0 AS (SELECT prod_grp, customers, n, cost, cm FROM stats UNION ALL SELECT prod_grp, 0, 0, cost, 0 FROM planned),
-  pos AS (SELECT pos0.*, CASE WHEN prod_grp LIKE '%7' THEN '1.5' ELSE ' ' END AS pg_cost, pf.pfam FROM pos0
+  pos AS (SELECT pos0.*, CASE WHEN prod_grp LIKE '%7' AND prod_grp IN (SELECT prod_grp FROM prods) THEN '1.5' ELSE ' ' END AS pg_cost, pf.pfam FROM pos0
       LEFT JOIN (SELECT prod_grp, substr(min(pfam), 5, 3) AS pfam FROM prods GROUP BY 1) pf USING (prod_grp))"""
 
 
