@@ -20,7 +20,7 @@ from .registry import query, table
 from .samples import held_out, labelled_texts
 from .words import Words, word_slices
 
-SAMPLE_ROWS = 2000  # bound of the labelled sample for each mark
+SAMPLE_ROWS = 1500  # bound of the labelled sample for each mark
 STEPS, RATE, DECAY = 160, 0.08, 1e-3
 THRESHOLD = 0.3
 
