@@ -37,8 +37,8 @@ from .words import U, Words, mix, word_slices
 WIDTH, PERCENT = 4, 85
 PLACES = 16
 BITS = [f"b{k}" for k in range(PLACES)]
-BLOCK = 4_000_000  # shingles that are counted together when looking for common ones
-COMMON_IN_BLOCK = 4
+BLOCK = 2_000_000  # shingles that are counted together when looking for common ones
+COMMON_IN_BLOCK = 3
 COMMON_KEPT = 200_000
 SIEVES = 1  # how often documents in too few regions are taken out
 BROADCAST_IDS = 1_000_000  # at most 8 MB of ids are broadcast; more are joined by a shuffle of the texts

@@ -169,7 +169,7 @@ class Merger:
 class IdTable:
     """Ids by word hash, kept between batches: a flat store of ids, emptied when it holds more than ``most`` words."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 300_000):
         self.most = most
         self.clear()
 

@@ -129,7 +129,7 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, id_column: str, text_colu
         if size not in _encoders:  # kept for later tasks of this worker
             _encoders[size] = WordIds(tokenizer.value)
         for batch in batches:
-            for at, to, data, offsets in slices(batch.column(1), 4 << 20):
+            for at, to, data, offsets in slices(batch.column(1), 2 << 20):
                 flat, bounds = _encoders[size].encode(data, offsets)
                 raw = flat.astype("<u4").tobytes()
                 totals, counts, starts, lengths, sums = [], [], [], [], []
@@ -149,6 +149,7 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, id_column: str, text_colu
                     [batch.column(0).slice(at, to - at), pa.array(totals, pa.int64()), pa.ListArray.from_arrays(where, held)],
                     ["id", "doc_tokens", "pieces"],
                 )
+        _encoders[size].table.clear()  # the worker may go on with other work
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     found = rows.mapInArrow(encode, f"id {rows.schema['id'].dataType.simpleString()}, {PIECES}")

@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+BATCH_ROWS = 2000
 _shipped: set[str] = set()
 
 
@@ -34,6 +35,8 @@ def prepare(spark: SparkSession) -> SparkSession:
                 archive.write(file, file.relative_to(package.parent))
         context.addPyFile(str(path))  # served from here as long as the application runs
         _shipped.add(context.applicationId)
+    # Whole texts are long; fewer of them in a batch keep the memory of Python workers and of Arrow's buffers down.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return configure(spark)
 
 

@@ -2,7 +2,8 @@
 
 A word is a run of bytes outside ``[\\x20\\x09-\\x0D]``; these separators are single bytes in UTF-8, so working on bytes
 finds exactly the words of the text. Every word gets a 64-bit hash of its bytes with A-Z lower-cased. A null text has no words.
-Texts are taken in slices of about ``SLICE`` bytes (a longer text is one slice of its own), which bounds memory.
+Texts are taken in slices of about ``SLICE`` bytes and ``TEXTS`` texts at most (a longer text is one slice of its own), which bounds
+memory.
 """
 
 from __future__ import annotations
@@ -10,14 +11,14 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SLICE = 2 << 20
+SLICE = 1 << 20
+TEXTS = 2000
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 # The separators of words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -40,17 +41,19 @@ SYMBOL = mix(np.arange(1, 257, dtype=np.uint64) * BASE)
 LOWERED = SYMBOL[LOWER]
 
 
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE and its inverse modulo 2**64 to the powers 0 .. 2**bits."""
-    inverse = U(pow(int(BASE), -1, 1 << 64))
-    out = []
-    for step in (BASE, inverse):
-        p = np.full((1 << bits) + 1, step, np.uint64)
-        p[0] = 1
-        with np.errstate(over="ignore"):
-            out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_table: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """BASE and its inverse modulo 2**64 to the powers 0 .. ``size`` at least; one table that grows."""
+    if len(_table[0]) <= size:
+        length = (1 << size.bit_length()) + 1
+        for k, step in enumerate((BASE, U(pow(int(BASE), -1, 1 << 64)))):
+            p = np.full(length, step, np.uint64)
+            p[0] = 1
+            with np.errstate(over="ignore"):
+                _table[k] = np.multiply.accumulate(p)
+    return _table
 
 
 @dataclass
@@ -78,7 +81,7 @@ class Words:
 
 
 def _ranged(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    back = _powers(max(1, int(len(prefix)).bit_length()))[1]
+    back = _powers(len(prefix))[1]
     return (prefix[end] - prefix[start]) * back[start]
 
 
@@ -96,7 +99,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, symbols: np.ndarray = LOWERE
     start, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     with np.errstate(over="ignore"):
         prefix = np.zeros(size + 1, np.uint64)
-        np.cumsum(symbols[data] * _powers(max(1, size.bit_length()))[0][:size], out=prefix[1:])
+        np.cumsum(symbols[data] * _powers(size)[0][:size], out=prefix[1:])
         hashes = mix(_ranged(prefix, start, end))
     text = np.searchsorted(offsets, start, side="right") - 1
     return Words(n, data, offsets, text, start, end, hashes, prefix)
@@ -123,7 +126,7 @@ def slices(texts: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int, np.nd
     at, n = 0, len(offsets) - 1
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
-        to = min(to, n)
+        to = min(to, n, at + TEXTS)
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
 
