@@ -22,6 +22,7 @@ from .words import Words, word_slices
 
 SAMPLE_ROWS = 1500  # bound of the labelled sample for each mark
 STEPS, RATE, DECAY = 160, 0.08, 1e-3
+FEW = 4  # words that a line's rates are held back by
 THRESHOLD = 0.3
 
 SYMBOL = np.zeros(256, bool)
@@ -76,14 +77,16 @@ def lines_of(words: Words) -> Lines:
     order = np.lexsort((np.arange(len(first)), mark, text))
     copy = np.zeros(len(first), bool)
     copy[order[1:]] = (mark[order[1:]] == mark[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
-    rate = lambda flags: np.minimum(_sums(flags, start, end) / n_words, 2.0)
-    word_rate = lambda flags: _sums(flags, first, last + 1) / n_words
+    # In a line of few words one sign or one chance repetition says little.
+    rate = lambda flags: np.minimum(_sums(flags, start, end) / (n_words + FEW), 2.0)
+    word_rate = lambda flags: _sums(flags, first, last + 1) / (n_words + FEW)
+    often = lambda n, share: ((n > share * n_words) & (n >= FEW - 1)).astype(float)
     own = np.stack(
         [
             rate(SYMBOL[data]), rate(BANG[data]), _sums(UPPER[data], start, end) / size, _sums(DIGIT[data], start, end) / size,
-            word_rate(again), word_rate(single), distinct / n_words, np.minimum(size / n_words, 20) / 10,
+            word_rate(again), word_rate(single), (distinct + FEW) / (n_words + FEW), np.minimum(size / n_words, 20) / 10,
             np.log1p(n_words) / 5, copy.astype(float), (n_words < 4).astype(float),
-            (_sums(SYMBOL[data], start, end) > 0.1 * n_words).astype(float), (word_rate(again) > 0.2).astype(float),
+            often(_sums(SYMBOL[data], start, end), 0.1), often(_sums(again, first, last + 1), 0.2),
         ],
         1,
     )
