@@ -1,12 +1,14 @@
 """Language model scoring with a weighted backoff automaton.
 
 N-gram counts of the training texts become states and arcs: a state is a context, an arc carries a word's discounted
-log-probability, a failure arc leads to the next shorter context and carries the backoff weight. Scoring goes through a text once
-from left to right, carries the state and adds up weights; many stretches of text are traversed at a time.
-
-Counts cover all training texts. The distinct words are never gathered: words whose share of all tokens is below ``MIN_SHARE``
-stay in a distributed table and are joined with the texts' rare words. Frequent words and n-grams have a share of at least
-``MIN_SHARE``, so there are at most ``1 / MIN_SHARE`` of each order at any corpus size; only these are sent to the executors.
+log-probability, a failure arc leads to the next shorter context and carries the backoff weight. The automaton is kept as tables and
+never gathered. A token's weight is that of the shortest arc and of all failure arcs above it, plus, for each longer n-gram that has
+an arc, the difference between this arc and the path that fails around it. A text's score is therefore a sum over its words, bigrams
+and trigrams, each of which has one weight: the difference its arc makes, and the failure arc of the state that it leads to.
+
+Counts cover all training texts. All words are kept, and every n-gram that occurs ``LEAST`` times, at any corpus size. The texts' n-grams
+are joined with the table of weights. N-grams with a share of at least ``MIN_SHARE`` of all tokens, at most ``1 / MIN_SHARE`` of each
+order, are sent to the executors and looked up there, with the same result; so no key of the join is common.
 """
 
 from __future__ import annotations
@@ -16,18 +18,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .registry import query, table
-from .words import Words, id_remainder, mix, word_slices
+from .words import U, Words, id_remainder, mix, word_slices
 
 ORDER = 3
+LEAST = 2  # occurrences that give an n-gram of two words or more an arc
 MIN_SHARE = 4e-6
 DISCOUNT = 0.75
 BLOCK = 2_000_000  # n-grams that are counted together before they are handed on
-STRETCH = 512  # tokens that one lane of the traversal reads
 END = mix(np.array([0xE0F], np.uint64))[0]  # the hash of the end token; words are hashed from their bytes
 
 
@@ -63,268 +65,211 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _ids(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Positions of tokens among the frequent words, -1 for others."""
-    if not len(known):
-        return np.full(len(tokens), -1, np.int64)
-    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-    return np.where(known[at] == tokens, at, -1)
-
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Positions of ``wanted`` in the rising ``keys``, -1 for those that are not there."""
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash of an n-gram by those of its first and its last n - 1 words."""
+    return mix(mix(left * U(3)) + right)
 
-@dataclass
-class Automaton:
-    """States, arcs and failure arcs.
-
-    State 0 is the empty context. ``arc_key`` (state * words + word, rising) gives ``arc_weight`` (log10) and ``arc_to``.
-    ``fail_to`` and ``fail_weight`` belong to states. From state 0 every frequent word has an arc; a rare word has none and
-    leads back to state 0, where its own probability is added later.
-    """
 
-    known: np.ndarray
-    word_n: np.ndarray
-    total: int
-    distinct: int
-    arc_key: np.ndarray
-    arc_weight: np.ndarray
-    arc_to: np.ndarray
-    fail_to: np.ndarray
-    fail_weight: np.ndarray
-
-    def traverse(self, word: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Sum of weights of each text; ``word`` has the numbers of its tokens, -1 for a rare one.
-
-        Long texts are read in stretches side by side. A stretch starts ``ORDER - 1`` tokens early, in state 0 and without
-        adding weights, which brings it to the state that one long pass has there.
-        """
-        size = np.diff(offsets)
-        lanes = -(-size // STRETCH)
-        text = np.repeat(np.arange(len(size)), lanes)
-        turn = np.arange(len(text)) - np.repeat(np.concatenate([[0], np.cumsum(lanes)])[:-1], lanes)
-        begin = offsets[text] + turn * STRETCH
-        stop = np.minimum(begin + STRETCH, offsets[text + 1])
-        at = np.maximum(begin - (ORDER - 1), offsets[text])
-        longest = np.argsort(at - stop, kind="stable")
-        text, begin, stop, at = text[longest], begin[longest], stop[longest], at[longest]
-        state, score = np.zeros(len(text), np.int64), np.zeros(len(text))
-        words, live = len(self.known), len(text)
-        while live:
-            live = int(np.searchsorted(at[:live] - stop[:live], 0))
-            if not live:
-                break
-            now, w = state[:live], word[at[:live]]
-            gained = np.zeros(live)
-            waiting = np.flatnonzero(w >= 0)
-            now[w < 0], lost = 0, self._fall(now[w < 0])
-            gained[w < 0] = lost
-            while len(waiting):
-                arc = _find(self.arc_key, now[waiting] * words + w[waiting])
-                hit = arc >= 0
-                took = waiting[hit]
-                gained[took] += self.arc_weight[arc[hit]]
-                now[took] = self.arc_to[arc[hit]]
-                waiting = waiting[~hit]
-                gained[waiting] += self.fail_weight[now[waiting]]
-                now[waiting] = self.fail_to[now[waiting]]
-            score[:live] += np.where(at[:live] >= begin[:live], gained, 0.0)
-            at[:live] += 1
-        return np.bincount(text, weights=score, minlength=len(size))
-
-    def _fall(self, state: np.ndarray) -> np.ndarray:
-        """Weights of the failure arcs from each state down to state 0."""
-        state, lost = state.copy(), np.zeros(len(state))
-        while (state > 0).any():
-            lost += self.fail_weight[state]
-            state = self.fail_to[state]
-        return lost
-
-
-def unigram_log10(n: np.ndarray, total: int, distinct: int) -> np.ndarray:
-    """Discounted log10 probability of a token by its count; the discounts together are the share of the unknown word."""
-    return np.log10(np.where(n > 0, n - DISCOUNT, DISCOUNT * max(distinct, 1)) / max(total, 1) if total else np.ones(len(n)))
-
-
-def gram_counts(train: DataFrame, known: np.ndarray, kept: list[tuple[np.ndarray, np.ndarray]], order: int) -> DataFrame:
-    """Counts of n-grams of ``order`` frequent words whose two shorter n-grams are kept. A gram is a pair of numbers in one long:
-    the number of its first ``order - 1`` words among the kept ones (for order 2 a word) times the words, plus the last word."""
-    shared = train.sparkSession.sparkContext.broadcast((known, [k for k, _ in kept]))
+def grams_of(tokens: np.ndarray, text: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each size from 2: size, hashes of n-grams inside one text, of their first and last parts, and the texts."""
+    gram = tokens
+    for size in range(2, order + 1):
+        left, right = gram[:-1], gram[1:]
+        gram = _pair(left, right)
+        inside = text[: len(gram)] == text[size - 1 :]
+        yield size, gram[inside], left[inside], right[inside], text[: len(gram)][inside]
+
+
+def gram_counts(train: DataFrame, order: int) -> DataFrame:
+    """N-grams of two words or more that occur ``LEAST`` times: size, left, right (hashes of the first and last words), n, gram."""
+
+    def emit(held: dict[int, list[tuple]]) -> Iterator[pa.RecordBatch]:
+        for size, parts in held.items():
+            gram, left, right = (np.concatenate(x) for x in zip(*parts))
+            _, at, n = np.unique(gram, return_index=True, return_counts=True)
+            for k in range(0, len(at), 100_000):
+                some = at[k : k + 100_000]
+                columns = [left[some].view(np.int64), right[some].view(np.int64), n[k : k + 100_000]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), size, np.int8)), *map(pa.array, columns)], ["size", "left", "right", "n"]
+                )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, grams = shared.value
-        held, size = [], 0
+        held: dict[int, list[tuple]] = {}
+        total = 0
         for batch in batches:
             for _, _, words in word_slices(batch.column(0)):
                 tokens, offsets = with_ends(words)
-                word = _ids(tokens, known)
                 text = np.repeat(np.arange(words.n), np.diff(offsets))
-                found = word
-                for k, keys in enumerate([*grams, None], 2):
-                    # found[i]: number of the gram of k - 1 words that ends at i
-                    left, last = found[:-1], word[1:]
-                    good = (left >= 0) & (last >= 0) & (text[:-1] == text[1:])
-                    key = np.where(good, left * len(known) + last, -1)
-                    if keys is None:
-                        if k > 2:  # the shorter gram without the first word must be kept as well
-                            key = key[shorter[1:] >= 0]
-                        held.append(key[key >= 0])
-                        size += len(held[-1])
-                        break
-                    found = np.concatenate([[-1], np.where(good, _find(keys, key), -1)])
-                    shorter = found
-                if size >= BLOCK:
-                    yield _emit(held)
-                    held, size = [], 0
-        if size:
-            yield _emit(held)
+                for size, gram, left, right, _ in grams_of(tokens, text, order):
+                    held.setdefault(size, []).append((gram, left, right))
+                    total += len(gram)
+                if total >= BLOCK:
+                    yield from emit(held)
+                    held, total = {}, 0
+        yield from emit(held)
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (np.asarray(batch.column(c).to_numpy(), np.int64).view(U) for c in ("left", "right"))
+            yield batch.append_column("gram", pa.array(_pair(left, right).view(np.int64)))
 
-    return train.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    found = train.select("text").mapInArrow(count, "size byte, left long, right long, n long")
+    found = found.groupBy("size", "left", "right").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    return found.mapInArrow(name, "size byte, left long, right long, n long, gram long")
 
 
-def _bounded(rows: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Grams with a count of at least ``least``, rising, and the counts. ``least`` is a share of all tokens, which bounds them."""
-    found = rows.where(F.col("n") >= least).toArrow()
-    gram, n = (np.asarray(found.column(c).to_numpy(), np.int64) for c in ("gram", "n"))
-    order = np.argsort(gram)
-    return gram[order], n[order]
-
-
-def compile_automaton(
-    known: np.ndarray, word_n: np.ndarray, total: int, distinct: int, kept: list[tuple[np.ndarray, np.ndarray]]
-) -> Automaton:
-    """States and arcs for counts. ``kept[k]`` has the grams of ``k + 2`` words and their counts, see ``gram_counts``."""
-    words = len(known)
-    uni = unigram_log10(word_n, total, distinct)
-    # States: 0, then each frequent word as a context of one, then each kept gram but the longest ones.
-    base = [1]
-    for keys, _ in [(known, None), *kept][:-1] if kept else []:
-        base.append(base[-1] + len(keys))
-    longest = len(kept) - 1
-    state_of = lambda level, number: np.where(number >= 0, base[level] + number, 0)
-    states = base[-1] if kept else 1
-    fail_to, fail_weight = np.zeros(states, np.int64), np.zeros(states)
-    arc_key, arc_weight, arc_to = [np.arange(words)], [uni], [state_of(0, np.arange(words)) if kept else np.zeros(words, np.int64)]
-    lower_weight = {0: uni}
-    number_without_first = {0: None}
-    for level, (keys, n) in enumerate(kept):
-        left, last = keys // max(words, 1), keys % max(words, 1)
-        context_n = word_n if level == 0 else kept[level - 1][1]
-        weight = np.log10((n - DISCOUNT) / context_n[left])
-        # The same gram without its first word: a word, or a kept gram (they were only counted if it is).
-        if level == 0:
-            shorter = last
-        else:
-            parent = number_without_first[level - 1][left] if level > 1 else kept[0][0][left] % words
-            shorter = _find(kept[level - 1][0], parent * words + last)
-        number_without_first[level] = shorter
-        below = np.power(10.0, lower_weight[level][shorter])
-        given = np.bincount(left, np.power(10.0, weight), len(context_n))
-        taken = np.bincount(left, below, len(context_n))
-        context = base[level] + np.arange(len(context_n))
-        fail_weight[context] = np.log10(np.maximum(1 - given, 1e-12) / np.maximum(1 - taken, 1e-12))
-        if level:
-            fail_to[context] = base[level - 1] + (
-                kept[0][0] % words if level == 1 else number_without_first[level - 1]
-            )
-        arc_key.append((base[level] + left) * words + last)
-        arc_weight.append(weight)
-        # A longest gram's state is the gram without its first word.
-        arc_to.append(state_of(level, shorter) if level == longest else state_of(level + 1, np.arange(len(keys))))
-        lower_weight[level + 1] = weight
-    # Weights of lower orders are those of the automaton itself: a backed-off gram passes its failure arcs.
-    key = np.concatenate(arc_key)
-    order = np.argsort(key, kind="stable")
-    return Automaton(
-        known, word_n, total, distinct, key[order], np.concatenate(arc_weight)[order], np.concatenate(arc_to)[order],
-        fail_to, fail_weight,
+def _failures(arcs: DataFrame) -> DataFrame:
+    """The failure weight of each context that has arcs: context, fail (log10)."""
+    free = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
+    return arcs.groupBy(F.col("left").alias("context")).agg(F.log10(free("given") / free("below")).alias("fail"))
+
+
+def arc_weights(counts: DataFrame, kept: DataFrame, total: int, distinct: int, order: int) -> DataFrame:
+    """The weight of each word and kept n-gram: gram, size, n, weight, base (a word's in the base model, 0 for longer ones)."""
+    words = counts.select("gram", "n", ((F.col("n") - DISCOUNT) / F.lit(float(max(total, 1)))).alias("given"))
+    level = words.select(
+        "gram", F.lit(1).alias("size"), "n", "given", F.log10("given").alias("weight"),
+        F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))).alias("base"),
     )
+    tables = []
+    for size in range(2, order + 1):
+        context = level.select(F.col("gram").alias("left"), F.col("n").alias("context_n"))
+        shorter = level.select(F.col("gram").alias("right"), F.col("given").alias("below"))
+        arcs = kept.where(F.col("size") == size).join(context, "left").join(shorter, "right")
+        arcs = cut_lineage(
+            arcs.select("gram", "left", "n", ((F.col("n") - DISCOUNT) / F.col("context_n")).alias("given"), "below")
+        )
+        fails = cut_lineage(_failures(arcs))
+        own = level.join(fails.withColumnRenamed("context", "gram"), "gram", "left")
+        tables.append(own.select("gram", "size", "n", (F.col("weight") + F.coalesce("fail", F.lit(0.0))).alias("weight"), "base"))
+        level = arcs.join(fails.withColumnRenamed("context", "left"), "left").select(
+            "gram", F.lit(size).alias("size"), "n", "given",
+            (F.log10("given") - F.col("fail") - F.log10("below")).alias("weight"), F.lit(0.0).alias("base"),
+        )
+    tables.append(level.select("gram", "size", "n", "weight", "base"))
+    whole = tables[0]
+    for more in tables[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
 
+@dataclass
+class Model:
+    """Sizes of the training texts, and the weights of n-grams that are common in them, by rising hash."""
 
-def learn(train: DataFrame, order: int = ORDER, min_share: float = MIN_SHARE) -> tuple[Automaton, DataFrame]:
-    """The automaton, and the table of all words with their counts (gram, n)."""
+    total: int
+    distinct: int
+    order: int
+    gram: np.ndarray
+    weight: np.ndarray
+    base: np.ndarray
+
+    @property
+    def unseen(self) -> tuple[float, float]:
+        """Weights of a word that the training texts do not have, in the model and in its base."""
+        if not self.total:
+            return 0.0, 0.0
+        return float(np.log10(DISCOUNT * self.distinct / self.total)), float(-np.log10(self.total + self.distinct + 1.0))
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Positions among the common n-grams, -1 for others."""
+        if not len(self.gram):
+            return np.full(len(wanted), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.gram, wanted), len(self.gram) - 1)
+        return np.where(self.gram[at] == wanted, at, -1)
+
+
+def learn(train: DataFrame, order: int = ORDER, min_share: float = MIN_SHARE) -> tuple[Model, DataFrame]:
+    """The model, and the table of all weights (``arc_weights``). ``min_share`` says what is common, and changes no result."""
     counts = cut_lineage(word_counts(train))
     row = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     total, distinct = row["total"] or 0, row["distinct"]
-    least = max(2.0, total * min_share)
-    hashes, n = _bounded(counts, least)
-    sort = np.argsort(hashes.view(np.uint64))
-    known, word_n = hashes.view(np.uint64)[sort], n[sort]
-    kept: list[tuple[np.ndarray, np.ndarray]] = []
-    for size in range(2, order + 1):
-        kept.append(_bounded(gram_counts(train, known, kept, size), least))
-    return compile_automaton(known, word_n, total, distinct, kept), counts
+    kept = cut_lineage(gram_counts(train, order))
+    weights = cut_lineage(arc_weights(counts, kept, total, distinct, order))
+    often = weights.where(F.col("n") >= max(float(LEAST), total * min_share)).select("gram", "weight", "base").toArrow()
+    gram, weight, base = (np.asarray(often.column(k).to_numpy()) for k in range(3))
+    gram = gram.astype(np.int64).view(U)
+    sort = np.argsort(gram)
+    return Model(total, distinct, order, gram[sort], weight[sort], base[sort]), weights
 
 
-def score(docs: DataFrame, model: Automaton, counts: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def _distinct(text: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams of each text: text, gram, how often."""
+    order = np.lexsort((gram, text))
+    text, gram = text[order], gram[order]
+    fresh = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])][: len(gram)])
+    return text[fresh], gram[fresh], np.diff(np.r_[fresh, len(gram)])
+
+
+def score(docs: DataFrame, model: Model, weights: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """A row per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score, score.
 
     A null or empty text has one token, its end. Rows without id and repeated rows are scored one by one. Without training texts
     nothing is known and both scores are those of an empty model. An empty table gives no rows. Other columns are not read.
     """
-    session = docs.sparkSession
-    shared = session.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_column].dataType.simpleString()
+    head = f"struct<id: {kind}, n_tokens: bigint, n_often: bigint, base_often: double, weights: double>"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        base = np.log10((model.word_n + 1.0) / (model.total + 1.0 * (model.distinct + 1)))
         for batch in batches:
             for at, to, words in word_slices(batch.column(1)):
                 tokens, offsets = with_ends(words)
-                word = _ids(tokens, model.known)
                 text = np.repeat(np.arange(words.n), np.diff(offsets))
-                often = word >= 0
-                seen = np.bincount(text[often], minlength=words.n)
-                sums = np.bincount(text[often], weights=base[word[often]], minlength=words.n)
-                weights = model.traverse(word, offsets)
-                # Rare tokens of each text: distinct ones with their counts.
-                rare_text, rare = text[~often], tokens[~often]
-                order = np.lexsort((rare, rare_text))
-                rare_text, rare = rare_text[order], rare[order]
-                fresh = np.flatnonzero(np.r_[True, (rare[1:] != rare[:-1]) | (rare_text[1:] != rare_text[:-1])][: len(rare)])
-                times = np.diff(np.r_[fresh, len(rare)])
-                held = np.r_[0, np.cumsum(np.bincount(rare_text[fresh], minlength=words.n))]
-                kinds = pa.StructArray.from_arrays(
-                    [pa.array(rare[fresh].view(np.int64)), pa.array(times, pa.int64())], ["gram", "times"]
-                )
+                sums, base, seen = (np.zeros(words.n) for _ in range(3))
+                parts = []
+                grams = [(1, tokens, text), *((size, gram, whose) for size, gram, _, _, whose in grams_of(tokens, text, model.order))]
+                for size, gram, whose in grams:
+                    found = model.find(gram)
+                    often = found >= 0
+                    sums += np.bincount(whose[often], model.weight[found[often]], words.n)
+                    if size == 1:
+                        base += np.bincount(whose[often], model.base[found[often]], words.n)
+                        seen += np.bincount(whose[often], minlength=words.n)
+                    parts.append((size, *_distinct(whose[~often], gram[~often])))
+                # A row of size 0 for each text, with its id and what is known; it takes any key, as it looks for nothing.
+                rows = np.asarray(batch.column(2).to_numpy(), np.int64)[at:to]
+                ids = batch.column(0).slice(at, to - at)
+                fields = [ids, *map(pa.array, (np.diff(offsets).astype(np.int64), seen.astype(np.int64), base, sums))]
+                heads = pa.StructArray.from_arrays(fields, ["id", "n_tokens", "n_often", "base_often", "weights"])
+                names = ["row", "size", "gram", "times", "head"]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, to - at), pa.array(np.diff(offsets), pa.int64()), pa.array(seen, pa.int64()),
-                        pa.array(sums.astype(float)), pa.array(weights.astype(float)), pa.ListArray.from_arrays(pa.array(held, pa.int32()), kinds),
-                    ],
-                    ["id", "n_tokens", "n_often", "base_often", "weights", "rare"],
+                    [pa.array(rows), pa.array(np.zeros(words.n, np.int8)), pa.array(mix(rows.view(U)).view(np.int64)),
+                     pa.array(np.zeros(words.n, np.int32)), heads],
+                    names,
                 )
+                for size, whose, gram, times in parts:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rows[whose]), pa.array(np.full(len(gram), size, np.int8)), pa.array(gram.view(np.int64)),
+                         pa.array(times.astype(np.int32)), pa.nulls(len(gram), heads.type)],
+                        names,
+                    )
 
-    found = docs.select(id_column, text_column).mapInArrow(
-        read,
-        f"id {kind}, n_tokens long, n_often long, base_often double, weights double, rare array<struct<gram: long, times: long>>",
-    )
     # Each row gets a number of its own, so that rows without id or with the same id stay apart.
-    found = cut_lineage(found.withColumn("row", F.monotonically_increasing_id()))
-    total, distinct = float(model.total), float(model.distinct)
-    size, unknown = total + distinct + 1, DISCOUNT * max(distinct, 1.0)
-    rare = found.select("row", F.inline("rare")).join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    own = F.when(F.col("n") > 0, F.col("n") - DISCOUNT).otherwise(F.lit(unknown)) / F.lit(max(total, 1.0))
-    own = F.log10(own) if model.total else F.lit(0.0)
-    sums = rare.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("n_rare"),
-        F.sum(F.col("times") * F.log10((F.col("n") + 1) / F.lit(size))).alias("base_rare"),
-        F.sum(F.col("times") * own).alias("own_rare"),
+    numbered = docs.select(id_column, text_column, F.monotonically_increasing_id().alias("row"))
+    found = numbered.mapInArrow(read, f"row long, size byte, gram long, times int, head {head}")
+    found = found.join(weights.select("gram", "n", "weight", "base"), "gram", "left")
+    found = found.where((F.col("size") <= 1) | F.col("n").isNotNull())
+    word, unseen = F.col("size") == 1, model.unseen
+
+    def added(weight: Column, unseen: float) -> Column:
+        return F.when(F.col("size") > 0, F.col("times") * F.coalesce(weight, F.lit(unseen))).otherwise(0.0)
+
+    sums = found.groupBy("row").agg(
+        F.first("head", ignorenulls=True).alias("head"),
+        F.sum(F.when(word & F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_rare"),
+        F.sum(F.when(word, added(F.col("base"), unseen[1])).otherwise(0.0)).alias("base_rare"),
+        F.sum(added(F.col("weight"), unseen[0])).alias("own_rare"),
     )
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    return found.drop("rare").join(sums, "row", "left").select(
-        F.col("id").alias(id_column),
-        "n_tokens",
-        (F.col("n_often") + zero("n_rare")).alias("n_known"),
+    return sums.select(
+        F.col("head.id").alias(id_column),
+        F.col("head.n_tokens").alias("n_tokens"),
+        (F.col("head.n_often") + F.col("n_rare")).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base_often") + zero("base_rare")).alias("base_score"),
-        (F.col("weights") + zero("own_rare")).alias("score"),
+        (F.col("head.base_often") + F.col("base_rare")).alias("base_score"),
+        (F.col("head.weights") + F.col("own_rare")).alias("score"),
     )
 
 
@@ -332,5 +277,5 @@ def score(docs: DataFrame, model: Automaton, counts: DataFrame, id_column: str =
 def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = id_remainder(F.col("doc_id"), 7) == 2
-    model, counts = learn(docs.where(~held_out))
-    return score(docs, model, counts).withColumn("held_out", held_out)
+    model, weights = learn(docs.where(~held_out))
+    return score(docs, model, weights).withColumn("held_out", held_out)
