@@ -17,6 +17,8 @@ from plantmart.llm.jaccard import jaccard_components
 from plantmart.llm.registry import prepare, table
 from plantmart.session import work_path
 
+# Near copies: texts whose sets of shingles of so many words have at least this Jaccard similarity in percent.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
 # Names that no column of a table is likely to have.
 VERDICT, LEAST = "__verdict__", "__least__"
 
@@ -57,7 +59,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of Jaccard similarity connect the one with the smallest id."""
     prepare(spark)
-    groups = jaccard_components(docs).select("doc_id", F.col("component_id").alias(LEAST))
+    groups = jaccard_components(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT).select("doc_id", F.col("component_id").alias(LEAST))
     return _one_of_each(docs, groups)
 
 
