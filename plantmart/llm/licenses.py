@@ -1,6 +1,6 @@
 """License scans: a text is a licence when its canonical form has the digest of a known licence text.
 
-The canonical form lower-cases, drops copyright lines, evens out spellings, and turns punctuation and white space into single
+The canonical form lower-cases, drops copyright notices, evens out spellings, and turns punctuation and white space into single
 spaces. Scanned units are the whole text and each of its lines. The known digests are a short literal table, so it is
 broadcast; the scan needs no exchange.
 """
@@ -52,7 +52,10 @@ KNOWN = [
 # Equivalent spellings, as the form found and the form kept.
 SPELLINGS = [("licence", "license"), ("sublicence", "sublicense"), ("organisation", "organization"), ("per cent", "percent"),
              ("copyright owner", "copyright holder"), ("noninfringement", "non infringement")]
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# A notice is "copyright" with a sign or a year, or a sign with a year, up to its line's end; licence texts say "copyright holders" too.
+COPYRIGHT_LINE = (
+    r"(?m)^[ \t]*(?:copyright[\s:]*(?:(?:\(c\)|©)\s*(?:[0-9]{4})?|[0-9]{4})|\(c\)\s*[0-9]{4}|©)[^\n]*$|all\s+rights\s+reserved"
+)
 
 
 def canonical(text: Column) -> Column:
