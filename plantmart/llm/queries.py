@@ -6,6 +6,7 @@ import corpus_pipeline
 
 from . import (  # noqa: F401
     bpe,
+    divergence,
     exact_dedup,
     jaccard,
     language_model,
@@ -14,6 +15,8 @@ from . import (  # noqa: F401
     packing,
     page_text,
     quality_rules,
+    spelling,
+    topk,
     toxicity,
 )
 from .registry import QUERIES, SQL
