@@ -2,8 +2,10 @@
 
 White-space chunks are counted inside each document; each distinct chunk of all documents is split into terms once, and these are
 joined with the chunk's counts. Terms never reach over a chunk's end, as white space is no part of a term, so a term's occurrences are
-sums over chunks. Documents are not: a document may hold a term in several chunks. A chunk therefore keeps its first and its last
-document, which are all it has if it is in one or two; together these say exactly whether a term is in three documents.
+sums over chunks. Documents are not: a document may hold a term in several chunks. Counts of chunks and terms therefore keep their first
+``LEAST`` documents in each language and source, which say exactly whether a term is in so many.
+
+Counts travel compressed, one row for each task and bucket; a frequent chunk or term has one entry from each task, language and source.
 
 Shares are integers out of ``SCALE``. The divergence of two sources sums over all kept terms, most of which neither has. With p(c) the
 share of a term that occurs c times, f(p, q) splits into the part of a term that neither has, the two parts that depend on one count
@@ -12,11 +14,14 @@ only (sums over the sources' histograms of counts), and a correction for terms t
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.ipc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,94 +31,206 @@ from .registry import query, table
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCALE = 1_000_000_000
-LEAST = 3  # documents of a language that a kept term is in; first and last document of a chunk say no more than this
+LEAST = 3  # documents of a language that a kept term is in
 RANKS = 200
-BLOCK = 300_000  # counts that a task holds before it hands them on
+BLOCK = 400_000  # chunks that a task counts together; after ten times as many counts it adds them up or hands them on
+BUCKET_BYTES = 16 << 20  # text for each bucket of chunks, and of terms
+GROUP_BITS = 24  # of the number of an item and its group
 PAIRS = 1 << 20  # pairs of sources that are compared together
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """Counts of chunks, as each task found them: chunk, lang, source, n, docs, first, last (numbers of rows).
-
-    ``docs`` has text, lang, source (no nulls) and row.
-    """
-
-    def emit(held: dict) -> Iterator[pa.RecordBatch]:
-        flat = [(chunk, *group, *found) for chunk, groups in held.items() for group, found in groups.items()]
-        for at in range(0, len(flat), 50_000):
-            chunk, lang, source, n, docs, first, last = zip(*flat[at : at + 50_000])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk, pa.binary()).cast(pa.string()), pa.array(lang, pa.string()), pa.array(source, pa.string()),
-                 *(pa.array(x, pa.int64()) for x in (n, docs, first, last))],
-                ["chunk", "lang", "source", "n", "docs", "first", "last"],
-            )
+class Tally:
+    """Occurrences of items in groups: entries of item, group, document and count, of which each pair of item and group has ``LEAST``
+    at most. They hold the first documents, and the count of all; so pairs that have more are known to have enough."""
+
+    def __init__(self) -> None:
+        self.items: dict[bytes, int] = {}
+        self.groups: dict[tuple[str, str], int] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, item: np.ndarray, group: np.ndarray, row: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((item << GROUP_BITS | group, row, n))
+        self.size += len(item)
+
+    def folded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All entries: item and group in one number, document, count."""
+        if len(self.parts) > 1 or self.size:
+            key, row, n = (np.concatenate(x) for x in zip(*self.parts))
+            order = np.lexsort((row, key))
+            key, row, n = key[order], row[order], n[order]
+            fresh = np.r_[True, key[1:] != key[:-1]][: len(key)]
+            start = np.flatnonzero(fresh)
+            sums = np.add.reduceat(n, start) if len(start) else n
+            once = np.flatnonzero(fresh | np.r_[True, row[1:] != row[:-1]][: len(row)])
+            key, row, n = key[once], row[once], np.zeros(len(once), np.int64)
+            fresh = np.r_[True, key[1:] != key[:-1]][: len(key)]
+            start = np.flatnonzero(fresh)
+            n[start] = sums
+            first = np.arange(len(key)) - np.repeat(start, np.diff(np.r_[start, len(key)])) < LEAST
+            self.parts, self.size = [(key[first], row[first], n[first])], 0
+        return self.parts[0] if self.parts else (np.zeros(0, np.int64),) * 3
+
+    def packed(self, buckets: int) -> Iterator[pa.RecordBatch]:
+        """The entries by bucket of their item, compressed: bucket, entries."""
+        key, row, n = self.folded()
+        item, group = key >> GROUP_BITS, key & ((1 << GROUP_BITS) - 1)
+        names = pa.array(list(self.items), pa.binary())
+        langs, sources = (pa.array([g[k] for g in self.groups], pa.string()) for k in (0, 1))
+        bucket = np.fromiter((zlib.crc32(x) % buckets for x in self.items), np.int64, len(self.items))[item]
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for k in np.flatnonzero(np.diff(ends)).tolist():
+            at = order[ends[k] : ends[k + 1]]
+            distinct, place = np.unique(item[at], return_inverse=True)
+            columns = [
+                pa.DictionaryArray.from_arrays(pa.array(place.astype(np.int32)), names.take(pa.array(distinct))),
+                *(pa.DictionaryArray.from_arrays(pa.array(group[at].astype(np.int32)), x) for x in (langs, sources)),
+                pa.array(row[at]), pa.array(n[at]),
+            ]
+            batch = pa.RecordBatch.from_arrays(columns, ["item", "lang", "source", "row", "n"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([sink.getvalue().to_pybytes()])], ["bucket", "entries"])
+
+    def unpack(self, batches: Iterator[pa.RecordBatch]) -> None:
+        """Add what tasks have packed."""
+        for batch in batches:
+            for entries in batch.column(1):
+                with pa.ipc.open_stream(entries.as_buffer()) as stream:
+                    found = stream.read_next_batch()
+                item, lang, source, row, n = found.columns
+                own = np.array([self.items.setdefault(x, len(self.items)) for x in item.dictionary.to_pylist()], np.int64)
+                pairs = zip(lang.dictionary.to_pylist(), source.dictionary.to_pylist())
+                whose = np.array([self.groups.setdefault(x, len(self.groups)) for x in pairs], np.int64)
+                self.add(own[item.indices.to_numpy()], whose[lang.indices.to_numpy()], row.to_numpy(), n.to_numpy())
+                if self.size > 10 * BLOCK:
+                    self.folded()
+
+
+PACKED = "bucket int, entries binary"
+
+
+def chunk_counts(docs: DataFrame, buckets: int) -> DataFrame:
+    """Counts of chunks, packed. ``docs`` has text, lang, source (no nulls) and row."""
+
+    def fold(tally: Tally, words: list[list[bytes]], rows: list[int], whose: list[int]) -> None:
+        """Count each document's chunks."""
+        items = tally.items
+        own = np.repeat(np.arange(len(words)), [len(x) for x in words])
+        item = np.fromiter((items.setdefault(x, len(items)) for some in words for x in some), np.int64, len(own))
+        key = item * len(words) + own
+        key.sort()
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        item, own = key[start] // len(words), key[start] % len(words)
+        tally.add(item, np.array(whose)[own], np.array(rows)[own], np.diff(np.r_[start, len(key)]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, dict[tuple, list[int]]] = {}
-        size = 0
+        tally, words, rows, whose, size = Tally(), [], [], [], 0
         for batch in batches:
             columns = [batch.column(0).cast(pa.binary()), *map(batch.column, range(1, 4))]
             for text, lang, source, row in zip(*(c.to_pylist() for c in columns)):
-                group = (lang, source)
-                # Without arguments, split() parts bytes at [\x20\x09-\x0D]+.
-                for chunk, n in Counter(text.split()).items():
-                    groups = held.setdefault(chunk, {})
-                    found = groups.get(group)
-                    if found is None:
-                        groups[group] = [n, 1, row, row]
-                        size += 1
-                    else:
-                        found[0] += n
-                        found[1] += 1
-                        found[3] = row
+                words.append(text.split())  # without arguments, split() parts bytes at [\x20\x09-\x0D]+
+                rows.append(row)
+                whose.append(tally.groups.setdefault((lang, source), len(tally.groups)))
+                size += len(words[-1])
                 if size >= BLOCK:
-                    yield from emit(held)
-                    held, size = {}, 0
-        yield from emit(held)
+                    fold(tally, words, rows, whose)
+                    words, rows, whose, size = [], [], [], 0
+                    if tally.size >= 10 * BLOCK or len(tally.items) >= 3 * BLOCK:
+                        yield from tally.packed(buckets)
+                        tally = Tally()
+        if words:
+            fold(tally, words, rows, whose)
+        yield from tally.packed(buckets)
+
+    return docs.select("text", "lang", "source", "row").mapInArrow(count, PACKED)
+
+
+def term_counts(chunks: DataFrame, buckets: int) -> DataFrame:
+    """Counts of terms, packed, from all counts of chunks: each distinct chunk is split into its terms once."""
+    term, low = re.compile(TERM), str.maketrans(UPPER, LOWER)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks, tally = Tally(), Tally()
+        chunks.unpack(batches)
+        key, row, n = chunks.folded()
+        terms = tally.items
+        found = [[terms.setdefault(x.encode(), len(terms)) for x in term.findall(c.decode().translate(low))] for c in chunks.items]
+        tally.groups = chunks.groups
+        size = np.array([len(x) for x in found], np.int64)
+        flat = np.fromiter((x for some in found for x in some), np.int64, size.sum())
+        chunk = key >> GROUP_BITS
+        # An entry of a chunk is one of each of its terms.
+        own = np.repeat(np.arange(len(key)), size[chunk])
+        nth = np.arange(len(own)) - np.repeat(np.cumsum(size[chunk]) - size[chunk], size[chunk])
+        tally.add(flat[(np.cumsum(size) - size)[chunk[own]] + nth], key[own] & ((1 << GROUP_BITS) - 1), row[own], n[own])
+        yield from tally.packed(buckets)
+
+    return chunks.repartition(buckets, "bucket").mapInArrow(split, PACKED)
+
+
+def kept_terms(terms: DataFrame, buckets: int) -> DataFrame:
+    """Terms that ``LEAST`` documents of a language have: lang, term, n, found (each source that has it, and its count there)."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
+        tally.unpack(batches)
+        key, _, n = tally.folded()
+        langs: dict[str, int] = {}
+        lang_of = np.array([langs.setdefault(lang, len(langs)) for lang, _ in tally.groups], np.int64)
+        group = key & ((1 << GROUP_BITS) - 1)
+        # A document has one source, so those of several sources are different ones.
+        whole = (key >> GROUP_BITS) * max(len(langs), 1) + lang_of[group]
+        order = np.argsort(whole, kind="stable")
+        whole, key, n, group = whole[order], key[order], n[order], group[order]
+        _, size = np.unique(whole, return_counts=True)
+        keep = np.repeat(size >= LEAST, size)
+        whole, key, n, group = whole[keep], key[keep], n[keep], group[keep]
+        fresh = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        if not len(fresh):
+            return
+        n, whole, group = np.add.reduceat(n, fresh), whole[fresh], group[fresh]
+        start = np.flatnonzero(np.r_[True, whole[1:] != whole[:-1]])
+        sources = pa.array([source for _, source in tally.groups], pa.string())
+        offsets = np.r_[start, len(whole)]
+        names = pa.array(list(tally.items), pa.binary()).cast(pa.string())
+        for at in range(0, len(start), 20_000):
+            to = min(len(start), at + 20_000)
+            a, b = offsets[at], offsets[to]
+            entries = pa.StructArray.from_arrays([sources.take(pa.array(group[a:b])), pa.array(n[a:b])], ["source", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(langs), pa.string()).take(pa.array(whole[start[at:to]] % len(langs))),
+                 names.take(pa.array(whole[start[at:to]] // len(langs))), pa.array(np.add.reduceat(n[a:b], start[at:to] - a)),
+                 pa.ListArray.from_arrays(pa.array((offsets[at : to + 1] - a).astype(np.int32)), entries)],
+                ["lang", "term", "n", "found"],
+            )
 
-    kind = "chunk string, lang string, source string, n long, docs long, first long, last long"
-    return docs.select("text", "lang", "source", "row").mapInArrow(count, kind)
+    kind = "lang string, term string, n long, found array<struct<source: string, n: bigint>>"
+    return terms.repartition(buckets, "bucket").mapInArrow(merge, kind)
 
 
 def term_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Kept terms (lang, term, n, found: each source that has it with its count), and all groups (lang, source).
+    """Kept terms (``kept_terms``), and all groups (lang, source).
 
     A null text, lang or source counts as empty. Each row is a document of its own.
     """
     named = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("text", "lang", "source")]
     rows = docs.select(*named, F.monotonically_increasing_id().alias("row"))
-    # Rows of a chunk leave a task next to each other and stay together, which compresses well; they are counts already.
-    pieces = chunk_counts(rows).repartition("chunk")
-    counted = pieces.groupBy("chunk", "lang", "source").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last")
-    )
-    # A row per distinct chunk, with at most one entry for each group; its terms are found once.
-    chunks = counted.groupBy("chunk").agg(F.collect_list(F.struct("lang", "source", "n", "docs", "first", "last")).alias("groups"))
-    terms = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    found = chunks.select("groups", F.explode(terms).alias("term")).select("term", F.inline("groups"))
-    # One entry for each document of a rare chunk, and one without document for a chunk that has enough by itself.
-    enough = F.col("docs") >= LEAST
-    rare = F.array_distinct(F.array("first", "last"))
-    entries = found.select(
-        "lang", "source", "term", "n", enough.alias("enough"), F.when(enough, F.array(F.lit(None).cast("long"))).otherwise(rare).alias("rows")
-    ).select("lang", "source", "term", "enough", F.posexplode("rows").alias("place", "row"), "n")
-    own = F.when(F.col("place") == 0, F.col("n")).otherwise(0)
-    once = entries.groupBy("lang", "source", "term", "row").agg(F.sum(own).alias("n"), F.max("enough").alias("enough"))
-    by_source = once.groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.when(F.max("enough"), F.lit(LEAST)).otherwise(F.count("row")).alias("docs")
-    )
-    # A document has one source, so documents of sources add up. A term has at most one entry for each source.
-    whole = by_source.groupBy("lang", "term").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("found")
-    )
-    kept = cut_lineage(whole.where(F.col("docs") >= LEAST).select("lang", "term", "n", "found"))
+    # A bucket is held in one task: its counts are at most those of so much text, and a task sends one for each chunk and group.
+    length = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 + length // BUCKET_BYTES
+    kept = cut_lineage(kept_terms(term_counts(chunk_counts(rows, buckets), buckets), buckets))
     return kept, rows.select("lang", "source").distinct()
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(SCALE * (count + 1) / (total + terms)), in integers of any size."""
+    """1 + floor(SCALE * (count + 1) / (total + terms)), exact: in 64 bits as far as they go, and beyond in decimals."""
     wide = lambda c: c.cast("decimal(19,0)")
-    return (F.call_function("div", wide(count + 1) * F.lit(SCALE).cast("decimal(10,0)"), wide(total + terms)) + 1).cast("long")
+    long = F.call_function("div", (count + 1) * F.lit(SCALE), total + terms)
+    longer = F.call_function("div", wide(count + 1) * F.lit(SCALE).cast("decimal(10,0)"), wide(total + terms))
+    return F.when(count < 2**63 // SCALE - 1, long).otherwise(longer).cast("long") + 1
 
 
 def excess(p: Column, q: Column) -> Column:

@@ -19,12 +19,12 @@ def queries():
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return con
 
 
-@pytest.mark.parametrize("name", ["op3_license_scans", "op10_exact_dedup"])
+@pytest.mark.parametrize("name", ["op3_license_scans", "op10_exact_dedup", "op11_source_divergence", "op12_exact_top_k", "op13_spelling_variants"])
 def test_query_agrees_with_sql(ready, con, queries, name):
     found, sql = queries
     frame = found[name](ready, FOLDER)
@@ -63,5 +63,5 @@ def test_packing_pads_little(ready, queries):
 
 def test_all_are_registered(queries):
     found, sql = queries
-    assert sorted(int(q[2:].split("_")[0]) for q in found if q.startswith("op") and q[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in found if q.startswith("op") and q[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in found and set(sql) <= set(found)
