@@ -33,7 +33,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCALE = 1_000_000_000
 LEAST = 3  # documents of a language that a kept term is in
 RANKS = 200
-BLOCK = 400_000  # chunks that a task counts together; after ten times as many counts it adds them up or hands them on
+BLOCK = 250_000  # chunks that a task counts together; after ten times as many counts it adds them up or hands them on
 BUCKET_BYTES = 16 << 20  # text for each bucket of chunks, and of terms
 GROUP_BITS = 24  # of the number of an item and its group
 PAIRS = 1 << 20  # pairs of sources that are compared together
