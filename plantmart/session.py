@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -47,34 +48,70 @@ def shared_folder(spark: SparkSession) -> str:
     return current
 
 
-_work: list[str] = []
+# Lists of work paths, the innermost job's last; the first one is for work outside a job.
+_jobs: list[list[str]] = [[]]
+_tables: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    _work.append(path)
+    _jobs[-1].append(path)
     return path
 
 
+def _remove(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def work_removed(spark: SparkSession) -> Iterator[None]:
-    """Remove the work paths made inside the block at its end, when a job's results are stored and nothing reads them any more."""
-    before = len(_work)
-    yield
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name in _work[before:]:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
-    del _work[before:]
+    """Remove the work paths made inside the block at its end, also when it fails; nothing may read them any more."""
+    own: list[str] = []
+    _jobs.append(own)
+    try:
+        yield
+    finally:
+        _jobs.remove(own)
+        for name in own:
+            _remove(spark, name)
+
+
+def remove_table(df: DataFrame) -> None:
+    """Remove the files of a table that ``cut_lineage`` returned, when nothing reads it any more."""
+    path = _tables.pop(df, None)
+    if path:
+        _remove(df.sparkSession, path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+# Shuffle files of a query that writes a table are of no use once it is written.
+RELEASE = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.shuffleDependency.fileCleanup.enabled")
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Let Spark remove the shuffle files of each query inside the block at the query's end."""
+    before = {name: spark.conf.get(name, None) for name in RELEASE}
+    for name in RELEASE:
+        spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def cut_lineage(df: DataFrame, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
-    Every later use reads the same rows, also after an executor is lost, with column pruning and real sizes.
+    Every later use reads the same rows, also after an executor is lost, with column pruning and real sizes. ``codec`` names the
+    compression of the files, where Spark's own choice does not do.
     """
     spark = df.sparkSession
     path = work_path(spark, "table")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with shuffles_released(spark):
+        (df.write.option("compression", codec) if codec else df.write).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _tables[stored] = path
+    return stored
