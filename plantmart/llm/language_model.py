@@ -1,14 +1,14 @@
 """Language model scoring with a weighted backoff automaton.
 
-N-gram counts of the training texts become states and arcs: a state is a context, an arc carries a word's discounted
-log-probability, a failure arc leads to the next shorter context and carries the backoff weight. The automaton is kept as tables and
-never gathered. A token's weight is that of the shortest arc and of all failure arcs above it, plus, for each longer n-gram that has
-an arc, the difference between this arc and the path that fails around it. A text's score is therefore a sum over its words, bigrams
-and trigrams, each of which has one weight: the difference its arc makes, and the failure arc of the state that it leads to.
-
-Counts cover all training texts. All words are kept, and every n-gram that occurs ``LEAST`` times, at any corpus size. The texts' n-grams
-are joined with the table of weights. N-grams with a share of at least ``MIN_SHARE`` of all tokens, at most ``1 / MIN_SHARE`` of each
-order, are sent to the executors and looked up there, with the same result; so no key of the join is common.
+States are contexts (n-grams shorter than ``ORDER``), an arc carries a word's discounted log-probability, and a failure arc leads to the
+next shorter context and carries the backoff weight. All words have arcs from the empty context, and every n-gram that occurs ``LEAST``
+times has one, at any corpus size. A text is read once from left to right, carrying the state (``walk``).
+
+Texts are held in blocks, each with its own numbered words. A block asks for the distinct n-grams that it holds, one sorted list of hashes
+for each bucket of hashes; the buckets add the training counts up and answer with the totals in the same order. So an n-gram that many
+texts share is sent once by each block, rare ones cost six bytes, and no task holds more than a block or a bucket. What the failure arcs
+need are whole numbers: how many arcs leave a context, the sum of their counts, and the sum of the counts of the same n-grams without
+their first words. The block that answers name as an arc's owner adds it to its context, so each arc is counted once.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, remove_table
 from .registry import query, table
 from .words import U, Words, id_remainder, mix, word_slices
 
@@ -29,7 +29,9 @@ ORDER = 3
 LEAST = 2  # occurrences that give an n-gram of two words or more an arc
 MIN_SHARE = 4e-6
 DISCOUNT = 0.75
-BLOCK = 2_000_000  # n-grams that are counted together before they are handed on
+BLOCK = 1 << 21  # tokens of a block of texts
+BUCKET_BYTES = 16 << 20  # text for each bucket of hashes
+LANE = 512  # tokens of a text that are read one after another; lanes of a block are read together
 END = mix(np.array([0xE0F], np.uint64))[0]  # the hash of the end token; words are hashed from their bytes
 
 
@@ -42,128 +44,301 @@ def with_ends(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return tokens, offsets
 
 
-def _emit(held: list[np.ndarray]) -> pa.RecordBatch:
-    values, n = np.unique(np.concatenate(held), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n, pa.int64())], ["gram", "n"])
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash of an n-gram by those of its first and its last n - 1 words."""
+    return mix(mix(left * U(3)) + right)
 
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """How often each token occurs in the training texts: gram (its hash), n."""
+def planes(x: np.ndarray) -> bytes:
+    """An array with the first bytes of all numbers first, then the second ones, which compresses small numbers well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for _, _, words in word_slices(batch.column(0)):
-                held.append(with_ends(words)[0])
-                size += len(held[-1])
-                if size >= BLOCK:
-                    yield _emit(held)
-                    held, size = [], 0
-        if size:
-            yield _emit(held)
 
-    return train.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+def from_planes(data: bytes, kind=np.int64) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
 
-def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The hash of an n-gram by those of its first and its last n - 1 words."""
-    return mix(mix(left * U(3)) + right)
+def rising(x: np.ndarray) -> bytes:
+    """A sorted array of hashes, by differences."""
+    return planes(np.diff(x, prepend=U(0)))
 
 
-def grams_of(tokens: np.ndarray, text: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each size from 2: size, hashes of n-grams inside one text, of their first and last parts, and the texts."""
-    gram = tokens
-    for size in range(2, order + 1):
-        left, right = gram[:-1], gram[1:]
-        gram = _pair(left, right)
-        inside = text[: len(gram)] == text[size - 1 :]
-        yield size, gram[inside], left[inside], right[inside], text[: len(gram)][inside]
+def from_rising(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, U), dtype=U)
 
 
-def gram_counts(train: DataFrame, order: int) -> DataFrame:
-    """N-grams of two words or more that occur ``LEAST`` times: size, left, right (hashes of the first and last words), n, gram."""
+def bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Where the buckets begin and end in sorted hashes; a bucket is a range of the highest 32 bits."""
+    first = -(-(np.arange(buckets + 1, dtype=object) << 32) // buckets)
+    return np.searchsorted(hashes >> U(32), np.array([min(x, 1 << 32) for x in first], np.uint64))
 
-    def emit(held: dict[int, list[tuple]]) -> Iterator[pa.RecordBatch]:
-        for size, parts in held.items():
-            gram, left, right = (np.concatenate(x) for x in zip(*parts))
-            _, at, n = np.unique(gram, return_index=True, return_counts=True)
-            for k in range(0, len(at), 100_000):
-                some = at[k : k + 100_000]
-                columns = [left[some].view(np.int64), right[some].view(np.int64), n[k : k + 100_000]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), size, np.int8)), *map(pa.array, columns)], ["size", "left", "right", "n"]
-                )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple]] = {}
-        total = 0
+BLOCKS = "block long, vocabulary binary, codes binary, sizes binary, trained binary"
+
+
+def blocks_of(docs: DataFrame, id_column: str, text_column: str, train: Column) -> DataFrame:
+    """Texts in blocks: block (its number), vocabulary (hashes, frequent words first), codes of the tokens, sizes of the texts in tokens,
+    trained (whether a text is a training text), ids."""
+    kind = docs.schema[id_column].dataType.simpleString()
+
+    def pack(held: list[tuple]) -> pa.RecordBatch:
+        tokens, sizes, trained, ids, rows = zip(*held)
+        hashes, code, n = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order))
+        ids = pa.concat_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in ids])
+        data = [
+            planes(hashes[order]), planes(place[code]), planes(np.concatenate(sizes).astype(np.uint32)),
+            np.concatenate(trained).astype(np.uint8).tobytes(),
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([rows[0]], pa.int64()), *(pa.array([x], pa.binary()) for x in data), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)],
+            ["block", "vocabulary", "codes", "sizes", "trained", "ids"],
+        )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for _, _, words in word_slices(batch.column(0)):
+            trained = np.asarray(batch.column(2).to_numpy(zero_copy_only=False), bool)
+            for at, to, words in word_slices(batch.column(1)):
                 tokens, offsets = with_ends(words)
-                text = np.repeat(np.arange(words.n), np.diff(offsets))
-                for size, gram, left, right, _ in grams_of(tokens, text, order):
-                    held.setdefault(size, []).append((gram, left, right))
-                    total += len(gram)
-                if total >= BLOCK:
-                    yield from emit(held)
-                    held, total = {}, 0
-        yield from emit(held)
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                held.append((tokens, np.diff(offsets), trained[at:to], batch.column(0).slice(at, to - at), batch.column(3)[at].as_py()))
+                size += len(tokens)
+                if size >= BLOCK:
+                    yield pack(held)
+                    held, size = [], 0
+        if held:
+            yield pack(held)
+
+    # The number of a block is that of its first row.
+    rows = docs.select(id_column, text_column, F.coalesce(train, F.lit(False)), F.monotonically_increasing_id())
+    return cut_lineage(rows.mapInArrow(read, f"{BLOCKS}, ids array<{kind}>"), "zstd")
+
+
+@dataclass
+class Level:
+    """Distinct n-grams of one size in a block: hash, first and last n - 1 words (numbers in the level below), occurrences in training
+    texts; and for each token the n-gram that begins there, or -1."""
+
+    hash: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    n: np.ndarray
+    at: np.ndarray
+
+
+class Block:
+    """The n-grams of a block, and the order in which it asks for them."""
+
+    def __init__(self, row: dict, order: int) -> None:
+        self.number = row["block"]
+        self.sizes = from_planes(row["sizes"], np.uint32).astype(np.int64)
+        codes = from_planes(row["codes"], np.uint32).astype(np.int64)
+        vocabulary = from_planes(row["vocabulary"], U)
+        text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        trained = (np.frombuffer(row["trained"], np.uint8) > 0)[text]
+        none = np.zeros(0, np.int64)
+        self.levels = [Level(vocabulary, none, none, np.bincount(codes[trained], minlength=len(vocabulary)), codes)]
+        for size in range(2, order + 1):
+            below = self.levels[-1]
+            inside = np.flatnonzero(text[: max(len(text) - size + 1, 0)] == text[size - 1 :])
+            key = below.at[inside] * len(vocabulary) + codes[inside + size - 1]
+            _, first, place = np.unique(key, return_index=True, return_inverse=True)
+            left, right = below.at[inside[first]], below.at[inside[first] + 1]
+            at = np.full(len(text), -1)
+            at[inside] = place
+            n = np.bincount(place[trained[inside]], minlength=len(first))
+            self.levels.append(Level(_pair(below.hash[left], below.hash[right]), left, right, n, at))
+        self.word_order = np.argsort(vocabulary)
+        grams = np.concatenate([x.hash for x in self.levels[1:]]) if order > 1 else np.zeros(0, U)
+        self.gram_order = np.argsort(grams)
+        self.words, self.grams = vocabulary[self.word_order], grams[self.gram_order]
+
+    def asked(self, buckets: int, training: bool) -> Iterator[dict]:
+        """A row for each bucket; for ``training`` only n-grams of training texts, with their counts there."""
+        words, grams = self.words, self.grams
+        if training:
+            word_n, gram_n = self.levels[0].n[self.word_order], self._joined([x.n for x in self.levels[1:]])
+            words, grams = words[word_n > 0], grams[gram_n > 0]
+            word_n, gram_n = word_n[word_n > 0], gram_n[gram_n > 0]
+        w, g = bounds(words, buckets), bounds(grams, buckets)
+        for k in np.flatnonzero(np.diff(w) + np.diff(g)).tolist():
+            one, two = slice(w[k], w[k + 1]), slice(g[k], g[k + 1])
+            row = {"bucket": k, "block": self.number, "words": rising(words[one]), "grams": rising(grams[two])}
+            yield row | ({"word_n": planes(word_n[one]), "gram_n": planes(gram_n[two])} if training else {})
+
+    def _joined(self, parts: list[np.ndarray]) -> np.ndarray:
+        return np.concatenate(parts)[self.gram_order] if parts else np.zeros(0, np.int64)
+
+    def answered(self, words: np.ndarray, grams: np.ndarray, training: bool) -> list[np.ndarray]:
+        """Answers by level from answers in the order asked."""
+        if training:
+            parts = [np.zeros(len(self.words), np.int64), np.zeros(len(self.grams), np.int64)]
+            parts[0][self.levels[0].n[self.word_order] > 0] = words
+            parts[1][self._joined([x.n for x in self.levels[1:]]) > 0] = grams
+            words, grams = parts
+        out = [np.empty(len(words), words.dtype)]
+        out[0][self.word_order] = words
+        flat = np.empty(len(grams), grams.dtype)
+        flat[self.gram_order] = grams
+        ends = np.cumsum([len(x.hash) for x in self.levels[1:]])
+        return out + (np.split(flat, ends[:-1]) if len(ends) else [])
+
+
+COLUMNS = ["bucket", "block", "words", "word_n", "grams", "gram_n", "owner", "arcs", "arc_n", "shorter_n"]
+MESSAGE = "bucket int, block long, " + ", ".join(f"{c} binary" for c in COLUMNS[2:])
+SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in COLUMNS[2:])])
+
+
+def _message(rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, SCHEMA)
+
+
+def _requests(blocks: DataFrame, order: int, buckets: int, training: bool) -> DataFrame:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (np.asarray(batch.column(c).to_numpy(), np.int64).view(U) for c in ("left", "right"))
-            yield batch.append_column("gram", pa.array(_pair(left, right).view(np.int64)))
-
-    found = train.select("text").mapInArrow(count, "size byte, left long, right long, n long")
-    found = found.groupBy("size", "left", "right").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-    return found.mapInArrow(name, "size byte, left long, right long, n long, gram long")
-
-
-def _failures(arcs: DataFrame) -> DataFrame:
-    """The failure weight of each context that has arcs: context, fail (log10)."""
-    free = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
-    return arcs.groupBy(F.col("left").alias("context")).agg(F.log10(free("given") / free("below")).alias("fail"))
-
-
-def arc_weights(counts: DataFrame, kept: DataFrame, total: int, distinct: int, order: int) -> DataFrame:
-    """The weight of each word and kept n-gram: gram, size, n, weight, base (a word's in the base model, 0 for longer ones)."""
-    words = counts.select("gram", "n", ((F.col("n") - DISCOUNT) / F.lit(float(max(total, 1)))).alias("given"))
-    level = words.select(
-        "gram", F.lit(1).alias("size"), "n", "given", F.log10("given").alias("weight"),
-        F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))).alias("base"),
-    )
-    tables = []
-    for size in range(2, order + 1):
-        context = level.select(F.col("gram").alias("left"), F.col("n").alias("context_n"))
-        shorter = level.select(F.col("gram").alias("right"), F.col("given").alias("below"))
-        arcs = kept.where(F.col("size") == size).join(context, "left").join(shorter, "right")
-        arcs = cut_lineage(
-            arcs.select("gram", "left", "n", ((F.col("n") - DISCOUNT) / F.col("context_n")).alias("given"), "below")
-        )
-        fails = cut_lineage(_failures(arcs))
-        own = level.join(fails.withColumnRenamed("context", "gram"), "gram", "left")
-        tables.append(own.select("gram", "size", "n", (F.col("weight") + F.coalesce("fail", F.lit(0.0))).alias("weight"), "base"))
-        level = arcs.join(fails.withColumnRenamed("context", "left"), "left").select(
-            "gram", F.lit(size).alias("size"), "n", "given",
-            (F.log10("given") - F.col("fail") - F.log10("below")).alias("weight"), F.lit(0.0).alias("base"),
-        )
-    tables.append(level.select("gram", "size", "n", "weight", "base"))
-    whole = tables[0]
-    for more in tables[1:]:
-        whole = whole.unionByName(more)
-    return whole
+            for k in range(batch.num_rows):
+                rows = list(Block(batch.slice(k, 1).to_pylist()[0], order).asked(buckets, training))
+                yield from _message(rows).to_batches()
+
+    return blocks.select("block", "vocabulary", "codes", "sizes", "trained").mapInArrow(ask, MESSAGE)
+
+
+def _added(hashes: list[np.ndarray], values: list[list[np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct hashes, the sums of each list of values, the place of each entry among them, and whether it is the first."""
+    hashes = np.concatenate(hashes) if hashes else np.zeros(0, U)
+    order = np.argsort(hashes, kind="stable")
+    fresh = np.r_[True, hashes[order][1:] != hashes[order][:-1]][: len(hashes)]
+    start = np.flatnonzero(fresh)
+    sums = [np.add.reduceat(np.concatenate(v)[order], start) if len(start) else np.zeros(0, np.int64) for v in values]
+    place, owner = np.empty(len(hashes), np.int64), np.empty(len(hashes), bool)
+    place[order], owner[order] = np.cumsum(fresh) - 1, fresh
+    return hashes[order][start], sums, place, owner
+
+
+def _totals(rows: pa.Table) -> pa.Table:
+    """Answers for training blocks, and a row without block with all words and with the n-grams that have arcs."""
+    bucket, out = rows["bucket"][0].as_py(), []
+    held = rows.to_pylist()
+    whole: dict = {"bucket": bucket}
+    answers = [{"bucket": bucket, "block": r["block"]} for r in held]
+    for name, n_name, least in (("words", "word_n", 1), ("grams", "gram_n", LEAST)):
+        parts = [from_rising(r[name]) for r in held]
+        hashes, (n,), place, owner = _added(parts, [[from_planes(r[n_name]) for r in held]])
+        n[n < least] = 0
+        whole |= {name: rising(hashes[n > 0]), n_name: planes(n[n > 0])}
+        ends = np.cumsum([len(x) for x in parts])[:-1]
+        for answer, at, own in zip(answers, np.split(place, ends), np.split(owner, ends)):
+            answer |= {n_name: planes(n[at])} | ({"owner": own.astype(np.uint8).tobytes()} if name == "grams" else {})
+    out = [*answers, whole]
+    return _message(out)
+
+
+def _answers(rows: list[dict], names: list[str]) -> dict[str, np.ndarray]:
+    """A block's answers of all buckets, one after another."""
+    rows = sorted(rows, key=lambda r: r["bucket"])
+    kinds = {"owner": np.uint8}
+    read = lambda r, c: np.frombuffer(r[c], np.uint8) if c == "owner" else from_planes(r[c])
+    return {c: np.concatenate([read(r, c) for r in rows] or [np.zeros(0, kinds.get(c, np.int64))]) for c in names}
+
+
+def _contexts(order: int, buckets: int):
+    """What a training block's own arcs add to their contexts, by bucket."""
+
+    def add(block: pa.Table, answers: pa.Table) -> pa.Table:
+        if not block.num_rows or not answers.num_rows:
+            return SCHEMA.empty_table()
+        own = Block(block.to_pylist()[0], order)
+        found = _answers(answers.to_pylist(), ["word_n", "gram_n", "owner"])
+        n = own.answered(found["word_n"], found["gram_n"], True)
+        owner = own.answered(np.zeros(len(found["word_n"]), np.int64), found["owner"].astype(np.int64), True)
+        hashes, values = [], [[], [], []]
+        for size in range(1, order):
+            level, below = own.levels[size], own.levels[size - 1]
+            arcs = np.flatnonzero((owner[size] > 0) & (n[size] > 0))
+            context = level.left[arcs]
+            some = np.unique(context)
+            hashes.append(below.hash[some])
+            for k, weight in enumerate((np.ones(len(arcs)), n[size][arcs], n[size - 1][level.right[arcs]])):
+                values[k].append(np.bincount(context, weight, len(below.hash)).astype(np.int64)[some])
+        whole = np.concatenate(hashes) if hashes else np.zeros(0, U)
+        at = np.argsort(whole)
+        values = [np.concatenate(v)[at] if v else np.zeros(0, np.int64) for v in values]
+        cut, rows = bounds(whole[at], buckets), []
+        for k in np.flatnonzero(np.diff(cut)).tolist():
+            some = slice(cut[k], cut[k + 1])
+            rows.append({"bucket": k, "grams": rising(whole[at][some])} | {c: planes(v[some]) for c, v in zip(COLUMNS[7:], values)})
+        return _message(rows)
+
+    return add
+
+
+def _merged(rows: pa.Table) -> pa.Table:
+    held = rows.to_pylist()
+    hashes, sums, _, _ = _added([from_rising(r["grams"]) for r in held], [[from_planes(r[c]) for r in held] for c in COLUMNS[7:]])
+    return _message([{"bucket": held[0]["bucket"], "grams": rising(hashes)} | {c: planes(v) for c, v in zip(COLUMNS[7:], sums)}])
+
+
+def _dealt(tables: DataFrame, buckets: int) -> DataFrame:
+    """The automaton's rows by other buckets."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                parts = [(name, from_rising(r[name]), [c for c in values if r[c] is not None])
+                         for name, values in (("words", ["word_n"]), ("grams", ["gram_n", *COLUMNS[7:]])) if r[name] is not None]
+                for name, hashes, values in parts:
+                    cut, own = bounds(hashes, buckets), {c: from_planes(r[c]) for c in values}
+                    for k in np.flatnonzero(np.diff(cut)).tolist():
+                        some = slice(cut[k], cut[k + 1])
+                        yield from _message([{"bucket": k, name: rising(hashes[some])} | {c: planes(v[some]) for c, v in own.items()}]).to_batches()
+
+    return tables.mapInArrow(deal, MESSAGE)
+
+
+def _found(rows: pa.Table) -> pa.Table:
+    """Answers for blocks that ask for scores: counts, and as contexts the number and sums of arcs."""
+    held = rows.to_pylist()
+
+    def lookup(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(hashes, wanted), max(len(hashes) - 1, 0))
+        return np.where(hashes[at] == wanted, at, -1) if len(hashes) else np.full(len(wanted), -1)
+
+    def table_of(name: str, values: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        some = [r for r in held if r["block"] is None and r[name] is not None and r[values[0]] is not None]
+        hashes, sums, _, _ = _added([from_rising(r[name]) for r in some], [[from_planes(r[c]) for r in some] for c in values])
+        return hashes, sums
+
+    words, (word_n,) = table_of("words", ["word_n"])
+    grams, (gram_n,) = table_of("grams", ["gram_n"])
+    contexts, sums = table_of("grams", COLUMNS[7:])
+    out = []
+    for r in held:
+        if r["block"] is None:
+            continue
+        answer = {"bucket": r["bucket"], "block": r["block"]}
+        asked = {"words": from_rising(r["words"]), "grams": from_rising(r["grams"])}
+        for hashes, n, name, n_name in ((words, word_n, "words", "word_n"), (grams, gram_n, "grams", "gram_n")):
+            at = lookup(hashes, asked[name])
+            answer[n_name] = planes(np.where(at >= 0, n[at], 0) if len(n) else np.zeros(len(at), np.int64))
+        # Words first, then longer n-grams, in one array for each figure.
+        at = lookup(contexts, np.concatenate([asked["words"], asked["grams"]]))
+        for c, v in zip(COLUMNS[7:], sums):
+            answer[c] = planes(np.where(at >= 0, v[at], 0) if len(v) else np.zeros(len(at), np.int64))
+        out.append(answer)
+    return _message(out)
 
 
 @dataclass
 class Model:
-    """Sizes of the training texts, and the weights of n-grams that are common in them, by rising hash."""
+    """Sizes of the training texts: tokens and distinct tokens; and of the automaton: longest n-gram and number of buckets."""
 
     total: int
     distinct: int
     order: int
-    gram: np.ndarray
-    weight: np.ndarray
-    base: np.ndarray
+    buckets: int
 
     @property
     def unseen(self) -> tuple[float, float]:
@@ -172,34 +347,137 @@ class Model:
             return 0.0, 0.0
         return float(np.log10(DISCOUNT * self.distinct / self.total)), float(-np.log10(self.total + self.distinct + 1.0))
 
-    def find(self, wanted: np.ndarray) -> np.ndarray:
-        """Positions among the common n-grams, -1 for others."""
-        if not len(self.gram):
-            return np.full(len(wanted), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.gram, wanted), len(self.gram) - 1)
-        return np.where(self.gram[at] == wanted, at, -1)
 
+def _buckets(docs: DataFrame, text_column: str) -> int:
+    return 1 + (docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0) // BUCKET_BYTES
+
+
+def learn_blocks(blocks: DataFrame, buckets: int, order: int) -> tuple[Model, DataFrame]:
+    """The automaton of the training texts in ``blocks``."""
+    asked = _requests(blocks, order, buckets, True)
+    told = cut_lineage(asked.groupBy("bucket").applyInArrow(_totals, MESSAGE), "zstd")
+    answers = told.where("block IS NOT NULL")
+    own = blocks.select("block", "vocabulary", "codes", "sizes", "trained")
+    sums = own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_contexts(order, buckets), MESSAGE)
+    contexts = sums.groupBy("bucket").applyInArrow(_merged, MESSAGE)
+    tables = cut_lineage(told.where("block IS NULL").unionByName(contexts), "zstd")
+    remove_table(told)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [from_planes(x.as_py()) for x in batch.column(0) if x.is_valid]
+            yield pa.RecordBatch.from_pydict({"total": [int(sum(x.sum() for x in n))], "words": [sum(map(len, n))]})
+
+    row = tables.select("word_n").mapInArrow(count, "total long, words long").agg(F.sum("total"), F.sum("words")).first()
+    return Model(row[0] or 0, row[1] or 0, order, buckets), tables
+
+
+def learn(train: DataFrame, order: int = ORDER, min_share: float = MIN_SHARE, text_column: str = "text") -> tuple[Model, DataFrame]:
+    """The automaton of training texts: its sizes, and its tables by bucket of hashes.
+
+    A row of the tables has, packed, words with counts and n-grams of two words or more with counts, or contexts with the number and the
+    counts of their arcs. ``min_share`` is without effect: frequent and rare n-grams are treated alike.
+    """
+    numbered = train.select(F.lit(0).alias("id"), F.col(text_column).alias("text"))
+    blocks = blocks_of(numbered, "id", "text", F.lit(True))
+    found = learn_blocks(blocks, _buckets(numbered, "text"), order)
+    remove_table(blocks)
+    return found
 
-def learn(train: DataFrame, order: int = ORDER, min_share: float = MIN_SHARE) -> tuple[Model, DataFrame]:
-    """The model, and the table of all weights (``arc_weights``). ``min_share`` says what is common, and changes no result."""
-    counts = cut_lineage(word_counts(train))
-    row = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    total, distinct = row["total"] or 0, row["distinct"]
-    kept = cut_lineage(gram_counts(train, order))
-    weights = cut_lineage(arc_weights(counts, kept, total, distinct, order))
-    often = weights.where(F.col("n") >= max(float(LEAST), total * min_share)).select("gram", "weight", "base").toArrow()
-    gram, weight, base = (np.asarray(often.column(k).to_numpy()) for k in range(3))
-    gram = gram.astype(np.int64).view(U)
-    sort = np.argsort(gram)
-    return Model(total, distinct, order, gram[sort], weight[sort], base[sort]), weights
 
+def walk(block: Block, n: list[np.ndarray], arcs: list[np.ndarray], fails: list[np.ndarray]) -> np.ndarray:
+    """The sum of weights on each text's way through the automaton.
 
-def _distinct(text: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams of each text: text, gram, how often."""
-    order = np.lexsort((gram, text))
-    text, gram = text[order], gram[order]
-    fresh = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])][: len(gram)])
-    return text[fresh], gram[fresh], np.diff(np.r_[fresh, len(gram)])
+    The state is the longest context known, here its size; ``arcs`` and ``fails`` are the weights of n-grams and contexts by size.
+    From a state without arc for the next word the failure arc leads to the next shorter state. All texts are read together, long ones
+    in lanes: the state depends on the last words only, so a lane begins as many words early and does not count them.
+    """
+    order = len(block.levels)
+    early = order - 1
+    lanes = -(-block.sizes // LANE)
+    text = np.repeat(np.arange(len(lanes)), lanes)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+    begin = (np.cumsum(block.sizes) - block.sizes)[text]
+    first, last = nth * LANE, np.minimum((nth + 1) * LANE, block.sizes[text])
+    start = np.maximum(first - early, 0)
+    length = last - start
+    by_length = np.argsort(-length, kind="stable")
+    begin, first, start, length, text = (x[by_length] for x in (begin, first, start, length, text))
+    state, sums = np.zeros(len(text), np.int64), np.zeros(len(text))
+    live = np.searchsorted(-length, -np.arange(length.max(initial=0)), side="left")
+    for step, count in enumerate(live.tolist()):
+        at = (begin + start)[:count] + step
+        left, weight, after = state[:count].copy(), np.zeros(count), np.zeros(count, np.int64)
+        for size in range(order - 1, 0, -1):
+            who = np.flatnonzero(left == size)
+            if not len(who):
+                continue
+            gram = block.levels[size].at[at[who] - size]
+            arc = n[size][gram] > 0
+            there, gone = who[arc], who[~arc]
+            weight[there] += arcs[size][gram[arc]]
+            after[there] = min(size + 1, order - 1)
+            left[there] = -1
+            weight[gone] += fails[size - 1][block.levels[size - 1].at[at[gone] - size]]
+            left[gone] = size - 1
+        who = np.flatnonzero(left == 0)
+        word = block.levels[0].at[at[who]]
+        weight[who] += arcs[0][word]
+        after[who] = (n[0][word] >= LEAST) & (order > 1)
+        sums[:count] += np.where(start[:count] + step >= first[:count], weight, 0.0)
+        state[:count] = after
+    return np.bincount(text, sums, len(block.sizes))
+
+
+def _scores(model: Model, kind: str, id_column: str):
+    out = f"{id_column} {kind}, n_tokens long, n_known long, base_score double, score double"
+
+    def read(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        block = Block(rows.to_pylist()[0], model.order)
+        found = _answers(answers.to_pylist(), ["word_n", "gram_n"])
+        n = block.answered(found["word_n"], found["gram_n"], False)
+        sums = []
+        for c in COLUMNS[7:]:
+            words, grams = [], []
+            for r in sorted(answers.to_pylist(), key=lambda r: r["bucket"]):
+                both, first = from_planes(r[c]), len(r["word_n"]) // 8
+                words.append(both[:first])
+                grams.append(both[first:])
+            empty = [np.zeros(0, np.int64)]
+            sums.append(block.answered(np.concatenate(words or empty), np.concatenate(grams or empty), False))
+        total, d = max(model.total, 1), DISCOUNT
+        with np.errstate(divide="ignore", invalid="ignore"):
+            arcs = [np.where(n[0] > 0, np.log10((n[0] - d) / total), model.unseen[0])]
+            base = np.log10((n[0] + 1) / (model.total + model.distinct + 1.0))
+            fails = []
+            for size in range(1, model.order):
+                level = block.levels[size]
+                arcs.append(np.log10((n[size] - d) / n[size - 1][level.left]))
+                # Probability that the context's arcs leave over, and that the same words have in the next shorter context.
+                count, own, shorter = (s[size - 1] for s in sums)
+                context = n[size - 1]
+                whole = total if size == 1 else n[size - 2][block.levels[size - 1].right]
+                free = np.maximum(1 - (own - d * count) / context, 1e-12) / np.maximum(1 - (shorter - d * count) / whole, 1e-12)
+                fails.append(np.where(count > 0, np.log10(free), 0.0))
+        if not model.total:
+            arcs[0], base = np.zeros(len(n[0])), np.zeros(len(n[0]))
+        score = walk(block, n, arcs, fails)
+        text = np.repeat(np.arange(len(block.sizes)), block.sizes)
+        add = lambda x: np.bincount(text, x[block.levels[0].at], len(block.sizes))
+        columns = [rows["ids"].combine_chunks().flatten(), block.sizes, add((n[0] > 0).astype(float)).astype(np.int64), add(base), score]
+        return pa.table([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], [id_column, "n_tokens", "n_known", "base_score", "score"])
+
+    return read, out
+
+
+def score_blocks(blocks: DataFrame, buckets: int, model: Model, weights: DataFrame, kind: str, id_column: str) -> DataFrame:
+    """Scores of all texts in ``blocks``, see ``score``."""
+    asked = _requests(blocks, model.order, buckets, False)
+    told = cut_lineage(asked.unionByName(_dealt(weights, buckets)).groupBy("bucket").applyInArrow(_found, MESSAGE), "zstd")
+    read, out = _scores(model, kind, id_column)
+    found = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(read, out)
+    total = F.lit(model.total).cast("long").alias("train_tokens")
+    return found.select(id_column, "n_tokens", "n_known", total, "base_score", "score")
 
 
 def score(docs: DataFrame, model: Model, weights: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -208,74 +486,18 @@ def score(docs: DataFrame, model: Model, weights: DataFrame, id_column: str = "d
     A null or empty text has one token, its end. Rows without id and repeated rows are scored one by one. Without training texts
     nothing is known and both scores are those of an empty model. An empty table gives no rows. Other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    blocks = blocks_of(docs, id_column, text_column, F.lit(False))
     kind = docs.schema[id_column].dataType.simpleString()
-    head = f"struct<id: {kind}, n_tokens: bigint, n_often: bigint, base_often: double, weights: double>"
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            for at, to, words in word_slices(batch.column(1)):
-                tokens, offsets = with_ends(words)
-                text = np.repeat(np.arange(words.n), np.diff(offsets))
-                sums, base, seen = (np.zeros(words.n) for _ in range(3))
-                parts = []
-                grams = [(1, tokens, text), *((size, gram, whose) for size, gram, _, _, whose in grams_of(tokens, text, model.order))]
-                for size, gram, whose in grams:
-                    found = model.find(gram)
-                    often = found >= 0
-                    sums += np.bincount(whose[often], model.weight[found[often]], words.n)
-                    if size == 1:
-                        base += np.bincount(whose[often], model.base[found[often]], words.n)
-                        seen += np.bincount(whose[often], minlength=words.n)
-                    parts.append((size, *_distinct(whose[~often], gram[~often])))
-                # A row of size 0 for each text, with its id and what is known; it takes any key, as it looks for nothing.
-                rows = np.asarray(batch.column(2).to_numpy(), np.int64)[at:to]
-                ids = batch.column(0).slice(at, to - at)
-                fields = [ids, *map(pa.array, (np.diff(offsets).astype(np.int64), seen.astype(np.int64), base, sums))]
-                heads = pa.StructArray.from_arrays(fields, ["id", "n_tokens", "n_often", "base_often", "weights"])
-                names = ["row", "size", "gram", "times", "head"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), pa.array(np.zeros(words.n, np.int8)), pa.array(mix(rows.view(U)).view(np.int64)),
-                     pa.array(np.zeros(words.n, np.int32)), heads],
-                    names,
-                )
-                for size, whose, gram, times in parts:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(rows[whose]), pa.array(np.full(len(gram), size, np.int8)), pa.array(gram.view(np.int64)),
-                         pa.array(times.astype(np.int32)), pa.nulls(len(gram), heads.type)],
-                        names,
-                    )
-
-    # Each row gets a number of its own, so that rows without id or with the same id stay apart.
-    numbered = docs.select(id_column, text_column, F.monotonically_increasing_id().alias("row"))
-    found = numbered.mapInArrow(read, f"row long, size byte, gram long, times int, head {head}")
-    found = found.join(weights.select("gram", "n", "weight", "base"), "gram", "left")
-    found = found.where((F.col("size") <= 1) | F.col("n").isNotNull())
-    word, unseen = F.col("size") == 1, model.unseen
-
-    def added(weight: Column, unseen: float) -> Column:
-        return F.when(F.col("size") > 0, F.col("times") * F.coalesce(weight, F.lit(unseen))).otherwise(0.0)
-
-    sums = found.groupBy("row").agg(
-        F.first("head", ignorenulls=True).alias("head"),
-        F.sum(F.when(word & F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_rare"),
-        F.sum(F.when(word, added(F.col("base"), unseen[1])).otherwise(0.0)).alias("base_rare"),
-        F.sum(added(F.col("weight"), unseen[0])).alias("own_rare"),
-    )
-    return sums.select(
-        F.col("head.id").alias(id_column),
-        F.col("head.n_tokens").alias("n_tokens"),
-        (F.col("head.n_often") + F.col("n_rare")).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("head.base_often") + F.col("base_rare")).alias("base_score"),
-        (F.col("head.weights") + F.col("own_rare")).alias("score"),
-    )
+    return score_blocks(blocks, max(model.buckets, _buckets(docs, text_column)), model, weights, kind, id_column)
 
 
 @query("op7_language_model")
 def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = id_remainder(F.col("doc_id"), 7) == 2
-    model, weights = learn(docs.where(~held_out))
-    return score(docs, model, weights).withColumn("held_out", held_out)
+    # Training and scoring read the same blocks.
+    buckets = _buckets(docs, "text")
+    blocks = blocks_of(docs, "doc_id", "text", ~held_out)
+    model, weights = learn_blocks(blocks, buckets, ORDER)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return score_blocks(blocks, buckets, model, weights, kind, "doc_id").withColumn("held_out", held_out)
