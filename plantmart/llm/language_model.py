@@ -29,7 +29,7 @@ ORDER = 3
 LEAST = 2  # occurrences that give an n-gram of two words or more an arc
 MIN_SHARE = 4e-6
 DISCOUNT = 0.75
-BLOCK = 1 << 21  # tokens of a block of texts
+BLOCK = 1 << 20  # tokens of a block of texts
 BUCKET_BYTES = 16 << 20  # text for each bucket of hashes
 LANE = 512  # tokens of a text that are read one after another; lanes of a block are read together
 END = mix(np.array([0xE0F], np.uint64))[0]  # the hash of the end token; words are hashed from their bytes
@@ -144,10 +144,10 @@ class Block:
         for size in range(2, order + 1):
             below = self.levels[-1]
             inside = np.flatnonzero(text[: max(len(text) - size + 1, 0)] == text[size - 1 :])
-            key = below.at[inside] * len(vocabulary) + codes[inside + size - 1]
+            key = below.at[inside].astype(np.int64) * len(vocabulary) + codes[inside + size - 1]
             _, first, place = np.unique(key, return_index=True, return_inverse=True)
             left, right = below.at[inside[first]], below.at[inside[first] + 1]
-            at = np.full(len(text), -1)
+            at = np.full(len(text), -1, np.int32)
             at[inside] = place
             n = np.bincount(place[trained[inside]], minlength=len(first))
             self.levels.append(Level(_pair(below.hash[left], below.hash[right]), left, right, n, at))
