@@ -29,8 +29,8 @@ ORDER = 3
 LEAST = 2  # occurrences that give an n-gram of two words or more an arc
 MIN_SHARE = 4e-6
 DISCOUNT = 0.75
-BLOCK = 1 << 20  # tokens of a block of texts
-BUCKET_BYTES = 16 << 20  # text for each bucket of hashes
+BLOCK = 1 << 19  # tokens of a block of texts
+BUCKET_BYTES = 4 << 20  # text for each bucket of hashes
 LANE = 512  # tokens of a text that are read one after another; lanes of a block are read together
 END = mix(np.array([0xE0F], np.uint64))[0]  # the hash of the end token; words are hashed from their bytes
 
