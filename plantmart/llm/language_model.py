@@ -50,13 +50,23 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def planes(x: np.ndarray) -> bytes:
-    """An array with the first bytes of all numbers first, then the second ones, which compresses small numbers well."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    """An array of whole numbers from 0, compressed: width of a number, length, then the first bytes of all numbers, the second ones, and
+    so on, which leaves small numbers little to store."""
+    width = next(w for w in (1, 2, 4, 8) if int(x.max(initial=0)) < 1 << 8 * w)
+    flat = x.astype(f"<u{width}").view(np.uint8).reshape(len(x), width).T.tobytes()
+    return bytes([width]) + len(x).to_bytes(8, "little") + (pa.compress(flat, "zstd", asbytes=True) if flat else b"")
+
+
+def length(data: bytes) -> int:
+    return int.from_bytes(data[1:9], "little")
 
 
 def from_planes(data: bytes, kind=np.int64) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+    width, n = data[0], length(data)
+    if not n:
+        return np.zeros(0, kind)
+    flat = np.frombuffer(pa.decompress(memoryview(data)[9:], n * width, "zstd"), np.uint8)
+    return np.ascontiguousarray(flat.reshape(width, n).T).view(f"<u{width}").reshape(n).astype(kind)
 
 
 def rising(x: np.ndarray) -> bytes:
@@ -86,12 +96,12 @@ def blocks_of(docs: DataFrame, id_column: str, text_column: str, train: Column)
         tokens, sizes, trained, ids, rows = zip(*held)
         hashes, code, n = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
         order = np.argsort(-n, kind="stable")
-        place = np.empty(len(order), np.uint32)
+        place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         ids = pa.concat_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in ids])
         data = [
-            planes(hashes[order]), planes(place[code]), planes(np.concatenate(sizes).astype(np.uint32)),
-            np.concatenate(trained).astype(np.uint8).tobytes(),
+            planes(hashes[order]), planes(place[code]), planes(np.concatenate(sizes)),
+            planes(np.concatenate(trained)),
         ]
         return pa.RecordBatch.from_arrays(
             [pa.array([rows[0]], pa.int64()), *(pa.array([x], pa.binary()) for x in data), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)],
@@ -114,7 +124,7 @@ def blocks_of(docs: DataFrame, id_column: str, text_column: str, train: Column)
 
     # The number of a block is that of its first row.
     rows = docs.select(id_column, text_column, F.coalesce(train, F.lit(False)), F.monotonically_increasing_id())
-    return cut_lineage(rows.mapInArrow(read, f"{BLOCKS}, ids array<{kind}>"), "zstd")
+    return cut_lineage(rows.mapInArrow(read, f"{BLOCKS}, ids array<{kind}>"))
 
 
 @dataclass
@@ -134,11 +144,11 @@ class Block:
 
     def __init__(self, row: dict, order: int) -> None:
         self.number = row["block"]
-        self.sizes = from_planes(row["sizes"], np.uint32).astype(np.int64)
-        codes = from_planes(row["codes"], np.uint32).astype(np.int64)
+        self.sizes = from_planes(row["sizes"])
+        codes = from_planes(row["codes"])
         vocabulary = from_planes(row["vocabulary"], U)
         text = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        trained = (np.frombuffer(row["trained"], np.uint8) > 0)[text]
+        trained = (from_planes(row["trained"]) > 0)[text]
         none = np.zeros(0, np.int64)
         self.levels = [Level(vocabulary, none, none, np.bincount(codes[trained], minlength=len(vocabulary)), codes)]
         for size in range(2, order + 1):
@@ -231,7 +241,7 @@ def _totals(rows: pa.Table) -> pa.Table:
         whole |= {name: rising(hashes[n > 0]), n_name: planes(n[n > 0])}
         ends = np.cumsum([len(x) for x in parts])[:-1]
         for answer, at, own in zip(answers, np.split(place, ends), np.split(owner, ends)):
-            answer |= {n_name: planes(n[at])} | ({"owner": own.astype(np.uint8).tobytes()} if name == "grams" else {})
+            answer |= {n_name: planes(n[at])} | ({"owner": planes(own)} if name == "grams" else {})
     out = [*answers, whole]
     return _message(out)
 
@@ -239,9 +249,7 @@ def _totals(rows: pa.Table) -> pa.Table:
 def _answers(rows: list[dict], names: list[str]) -> dict[str, np.ndarray]:
     """A block's answers of all buckets, one after another."""
     rows = sorted(rows, key=lambda r: r["bucket"])
-    kinds = {"owner": np.uint8}
-    read = lambda r, c: np.frombuffer(r[c], np.uint8) if c == "owner" else from_planes(r[c])
-    return {c: np.concatenate([read(r, c) for r in rows] or [np.zeros(0, kinds.get(c, np.int64))]) for c in names}
+    return {c: np.concatenate([from_planes(r[c]) for r in rows] or [np.zeros(0, np.int64)]) for c in names}
 
 
 def _contexts(order: int, buckets: int):
@@ -253,7 +261,7 @@ def _contexts(order: int, buckets: int):
         own = Block(block.to_pylist()[0], order)
         found = _answers(answers.to_pylist(), ["word_n", "gram_n", "owner"])
         n = own.answered(found["word_n"], found["gram_n"], True)
-        owner = own.answered(np.zeros(len(found["word_n"]), np.int64), found["owner"].astype(np.int64), True)
+        owner = own.answered(np.zeros(len(found["word_n"]), np.int64), found["owner"], True)
         hashes, values = [], [[], [], []]
         for size in range(1, order):
             level, below = own.levels[size], own.levels[size - 1]
@@ -355,12 +363,12 @@ def _buckets(docs: DataFrame, text_column: str) -> int:
 def learn_blocks(blocks: DataFrame, buckets: int, order: int) -> tuple[Model, DataFrame]:
     """The automaton of the training texts in ``blocks``."""
     asked = _requests(blocks, order, buckets, True)
-    told = cut_lineage(asked.groupBy("bucket").applyInArrow(_totals, MESSAGE), "zstd")
+    told = cut_lineage(asked.groupBy("bucket").applyInArrow(_totals, MESSAGE))
     answers = told.where("block IS NOT NULL")
     own = blocks.select("block", "vocabulary", "codes", "sizes", "trained")
     sums = own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_contexts(order, buckets), MESSAGE)
     contexts = sums.groupBy("bucket").applyInArrow(_merged, MESSAGE)
-    tables = cut_lineage(told.where("block IS NULL").unionByName(contexts), "zstd")
+    tables = cut_lineage(told.where("block IS NULL").unionByName(contexts))
     remove_table(told)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,7 +448,7 @@ def _scores(model: Model, kind: str, id_column: str):
         for c in COLUMNS[7:]:
             words, grams = [], []
             for r in sorted(answers.to_pylist(), key=lambda r: r["bucket"]):
-                both, first = from_planes(r[c]), len(r["word_n"]) // 8
+                both, first = from_planes(r[c]), length(r["word_n"])
                 words.append(both[:first])
                 grams.append(both[first:])
             empty = [np.zeros(0, np.int64)]
@@ -473,7 +481,7 @@ def _scores(model: Model, kind: str, id_column: str):
 def score_blocks(blocks: DataFrame, buckets: int, model: Model, weights: DataFrame, kind: str, id_column: str) -> DataFrame:
     """Scores of all texts in ``blocks``, see ``score``."""
     asked = _requests(blocks, model.order, buckets, False)
-    told = cut_lineage(asked.unionByName(_dealt(weights, buckets)).groupBy("bucket").applyInArrow(_found, MESSAGE), "zstd")
+    told = cut_lineage(asked.unionByName(_dealt(weights, buckets)).groupBy("bucket").applyInArrow(_found, MESSAGE))
     read, out = _scores(model, kind, id_column)
     found = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(read, out)
     total = F.lit(model.total).cast("long").alias("train_tokens")
