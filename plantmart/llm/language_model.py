@@ -8,7 +8,8 @@ Texts are held in blocks, each with its own numbered words. A block asks for the
 for each bucket of hashes; the buckets add the training counts up and answer with the totals in the same order. So an n-gram that many
 texts share is sent once by each block, rare ones cost six bytes, and no task holds more than a block or a bucket. What the failure arcs
 need are whole numbers: how many arcs leave a context, the sum of their counts, and the sum of the counts of the same n-grams without
-their first words. The block that answers name as an arc's owner adds it to its context, so each arc is counted once.
+their first words. One of the blocks that hold an arc is its owner and adds it to its context, so each arc is counted once; the contexts
+are added up and answered like the counts.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, remove_table
+from ..session import cut_lineage
 from .registry import query, table
 from .words import U, Words, id_remainder, mix, word_slices
 
@@ -29,9 +30,10 @@ ORDER = 3
 LEAST = 2  # occurrences that give an n-gram of two words or more an arc
 MIN_SHARE = 4e-6
 DISCOUNT = 0.75
-BLOCK = 1 << 19  # tokens of a block of texts
+BLOCK = 1 << 20  # tokens of a block of texts
 BUCKET_BYTES = 4 << 20  # text for each bucket of hashes
 LANE = 512  # tokens of a text that are read one after another; lanes of a block are read together
+BITS = 56  # of a hash
 END = mix(np.array([0xE0F], np.uint64))[0]  # the hash of the end token; words are hashed from their bytes
 
 
@@ -46,7 +48,7 @@ def with_ends(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The hash of an n-gram by those of its first and its last n - 1 words."""
-    return mix(mix(left * U(3)) + right)
+    return mix(mix(left * U(3)) + right) >> U(64 - BITS)
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -79,9 +81,8 @@ def from_rising(data: bytes) -> np.ndarray:
 
 
 def bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Where the buckets begin and end in sorted hashes; a bucket is a range of the highest 32 bits."""
-    first = -(-(np.arange(buckets + 1, dtype=object) << 32) // buckets)
-    return np.searchsorted(hashes >> U(32), np.array([min(x, 1 << 32) for x in first], np.uint64))
+    """Where the buckets begin and end in sorted hashes; a bucket is a range of hashes."""
+    return np.searchsorted(hashes, np.array([-(-(k << BITS) // buckets) for k in range(buckets + 1)], np.uint64))
 
 
 BLOCKS = "block long, vocabulary binary, codes binary, sizes binary, trained binary"
@@ -94,7 +95,7 @@ def blocks_of(docs: DataFrame, id_column: str, text_column: str, train: Column)
 
     def pack(held: list[tuple]) -> pa.RecordBatch:
         tokens, sizes, trained, ids, rows = zip(*held)
-        hashes, code, n = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+        hashes, code, n = np.unique(np.concatenate(tokens) >> U(64 - BITS), return_inverse=True, return_counts=True)
         order = np.argsort(-n, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -166,29 +167,22 @@ class Block:
         self.gram_order = np.argsort(grams)
         self.words, self.grams = vocabulary[self.word_order], grams[self.gram_order]
 
-    def asked(self, buckets: int, training: bool) -> Iterator[dict]:
-        """A row for each bucket; for ``training`` only n-grams of training texts, with their counts there."""
-        words, grams = self.words, self.grams
-        if training:
-            word_n, gram_n = self.levels[0].n[self.word_order], self._joined([x.n for x in self.levels[1:]])
-            words, grams = words[word_n > 0], grams[gram_n > 0]
-            word_n, gram_n = word_n[word_n > 0], gram_n[gram_n > 0]
-        w, g = bounds(words, buckets), bounds(grams, buckets)
+    def asked(self, buckets: int) -> Iterator[dict]:
+        """A row for each bucket: words and longer n-grams, with their counts in the block's training texts."""
+        word_n, gram_n = self.levels[0].n[self.word_order], self._joined([x.n for x in self.levels[1:]])
+        w, g = bounds(self.words, buckets), bounds(self.grams, buckets)
         for k in np.flatnonzero(np.diff(w) + np.diff(g)).tolist():
             one, two = slice(w[k], w[k + 1]), slice(g[k], g[k + 1])
-            row = {"bucket": k, "block": self.number, "words": rising(words[one]), "grams": rising(grams[two])}
-            yield row | ({"word_n": planes(word_n[one]), "gram_n": planes(gram_n[two])} if training else {})
+            yield {
+                "bucket": k, "block": self.number, "words": rising(self.words[one]), "grams": rising(self.grams[two]),
+                "word_n": planes(word_n[one]), "gram_n": planes(gram_n[two]),
+            }
 
     def _joined(self, parts: list[np.ndarray]) -> np.ndarray:
         return np.concatenate(parts)[self.gram_order] if parts else np.zeros(0, np.int64)
 
-    def answered(self, words: np.ndarray, grams: np.ndarray, training: bool) -> list[np.ndarray]:
+    def answered(self, words: np.ndarray, grams: np.ndarray) -> list[np.ndarray]:
         """Answers by level from answers in the order asked."""
-        if training:
-            parts = [np.zeros(len(self.words), np.int64), np.zeros(len(self.grams), np.int64)]
-            parts[0][self.levels[0].n[self.word_order] > 0] = words
-            parts[1][self._joined([x.n for x in self.levels[1:]]) > 0] = grams
-            words, grams = parts
         out = [np.empty(len(words), words.dtype)]
         out[0][self.word_order] = words
         flat = np.empty(len(grams), grams.dtype)
@@ -196,157 +190,130 @@ class Block:
         ends = np.cumsum([len(x.hash) for x in self.levels[1:]])
         return out + (np.split(flat, ends[:-1]) if len(ends) else [])
 
-
-COLUMNS = ["bucket", "block", "words", "word_n", "grams", "gram_n", "owner", "arcs", "arc_n", "shorter_n"]
-MESSAGE = "bucket int, block long, " + ", ".join(f"{c} binary" for c in COLUMNS[2:])
-SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in COLUMNS[2:])])
+    def contexts(self, n: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """N-grams of the block that can be contexts, given the totals: sorted hashes, and for each level the places of its n-grams there
+        (-1 for others)."""
+        known = [np.flatnonzero(n[k] >= LEAST) for k in range(len(self.levels) - 1)]
+        hashes = np.concatenate([np.zeros(0, U), *(self.levels[k].hash[some] for k, some in enumerate(known))])
+        order = np.argsort(hashes)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        places, at = [], 0
+        for k, some in enumerate(known):
+            place = np.full(len(n[k]), -1)
+            place[some] = rank[at : at + len(some)]
+            places.append(place)
+            at += len(some)
+        return hashes[order], places
+
+
+FIGURES = ["arcs", "arc_n", "shorter_n"]
+PARTS = ["words", "word_n", "grams", "gram_n", "owner", "contexts", *FIGURES]
+MESSAGE = "bucket int, block long, tokens long, distinct_words long, " + ", ".join(f"{c} binary" for c in PARTS)
+SCHEMA = pa.schema(
+    [("bucket", pa.int32()), ("block", pa.int64()), ("tokens", pa.int64()), ("distinct_words", pa.int64()), *((c, pa.binary()) for c in PARTS)]
+)
 
 
 def _message(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(rows, SCHEMA)
 
 
-def _requests(blocks: DataFrame, order: int, buckets: int, training: bool) -> DataFrame:
+def _requests(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                rows = list(Block(batch.slice(k, 1).to_pylist()[0], order).asked(buckets, training))
-                yield from _message(rows).to_batches()
+                yield from _message(list(Block(batch.slice(k, 1).to_pylist()[0], order).asked(buckets))).to_batches()
 
     return blocks.select("block", "vocabulary", "codes", "sizes", "trained").mapInArrow(ask, MESSAGE)
 
 
-def _added(hashes: list[np.ndarray], values: list[list[np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """Distinct hashes, the sums of each list of values, the place of each entry among them, and whether it is the first."""
-    hashes = np.concatenate(hashes) if hashes else np.zeros(0, U)
+def _added(hashes: list[np.ndarray], values: list[list[np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Sums of each list of values by hash, the place of each entry in them, and whether it is the first of its hash that has a value."""
+    hashes = np.concatenate(hashes)
     order = np.argsort(hashes, kind="stable")
     fresh = np.r_[True, hashes[order][1:] != hashes[order][:-1]][: len(hashes)]
     start = np.flatnonzero(fresh)
-    sums = [np.add.reduceat(np.concatenate(v)[order], start) if len(start) else np.zeros(0, np.int64) for v in values]
-    place, owner = np.empty(len(hashes), np.int64), np.empty(len(hashes), bool)
-    place[order], owner[order] = np.cumsum(fresh) - 1, fresh
-    return hashes[order][start], sums, place, owner
+    flat = [np.concatenate(v) for v in values]
+    sums = [np.add.reduceat(v[order], start) if len(start) else v for v in flat]
+    place, owner = np.empty(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    place[order] = np.cumsum(fresh) - 1
+    holds = np.flatnonzero(flat[0][order] > 0)
+    _, first = np.unique(place[order][holds], return_index=True)
+    owner[order[holds[first]]] = True
+    return sums, place, owner
 
 
 def _totals(rows: pa.Table) -> pa.Table:
-    """Answers for training blocks, and a row without block with all words and with the n-grams that have arcs."""
-    bucket, out = rows["bucket"][0].as_py(), []
+    """Answers for blocks, and a row without block with the number of training tokens and of distinct ones."""
     held = rows.to_pylist()
-    whole: dict = {"bucket": bucket}
-    answers = [{"bucket": bucket, "block": r["block"]} for r in held]
+    answers = [{"bucket": r["bucket"], "block": r["block"]} for r in held]
+    whole = {"bucket": held[0]["bucket"]}
     for name, n_name, least in (("words", "word_n", 1), ("grams", "gram_n", LEAST)):
         parts = [from_rising(r[name]) for r in held]
-        hashes, (n,), place, owner = _added(parts, [[from_planes(r[n_name]) for r in held]])
+        (n,), place, owner = _added(parts, [[from_planes(r[n_name]) for r in held]])
+        if name == "words":
+            whole |= {"tokens": int(n.sum()), "distinct_words": int((n > 0).sum())}
         n[n < least] = 0
-        whole |= {name: rising(hashes[n > 0]), n_name: planes(n[n > 0])}
         ends = np.cumsum([len(x) for x in parts])[:-1]
         for answer, at, own in zip(answers, np.split(place, ends), np.split(owner, ends)):
             answer |= {n_name: planes(n[at])} | ({"owner": planes(own)} if name == "grams" else {})
-    out = [*answers, whole]
-    return _message(out)
+    return _message([*answers, whole])
 
 
-def _answers(rows: list[dict], names: list[str]) -> dict[str, np.ndarray]:
+def _answers(rows: list[dict], names: list[str]) -> list[np.ndarray]:
     """A block's answers of all buckets, one after another."""
-    rows = sorted(rows, key=lambda r: r["bucket"])
-    return {c: np.concatenate([from_planes(r[c]) for r in rows] or [np.zeros(0, np.int64)]) for c in names}
+    rows = sorted((r for r in rows if r[names[0]] is not None), key=lambda r: r["bucket"])
+    return [np.concatenate([np.zeros(0, np.int64), *(from_planes(r[c]) for r in rows)]) for c in names]
 
 
 def _contexts(order: int, buckets: int):
-    """What a training block's own arcs add to their contexts, by bucket."""
+    """A block's contexts by bucket, with what the arcs that the block owns add to them."""
 
     def add(block: pa.Table, answers: pa.Table) -> pa.Table:
-        if not block.num_rows or not answers.num_rows:
-            return SCHEMA.empty_table()
         own = Block(block.to_pylist()[0], order)
-        found = _answers(answers.to_pylist(), ["word_n", "gram_n", "owner"])
-        n = own.answered(found["word_n"], found["gram_n"], True)
-        owner = own.answered(np.zeros(len(found["word_n"]), np.int64), found["owner"], True)
-        hashes, values = [], [[], [], []]
+        word_n, gram_n, owner = _answers(answers.to_pylist(), ["word_n", "gram_n", "owner"])
+        n, owner = own.answered(word_n, gram_n), own.answered(np.zeros(len(word_n), np.int64), owner)
+        hashes, places = own.contexts(n)
+        sums = [np.zeros(len(hashes), np.int64) for _ in FIGURES]
         for size in range(1, order):
-            level, below = own.levels[size], own.levels[size - 1]
+            level = own.levels[size]
             arcs = np.flatnonzero((owner[size] > 0) & (n[size] > 0))
-            context = level.left[arcs]
-            some = np.unique(context)
-            hashes.append(below.hash[some])
+            context = places[size - 1][level.left[arcs]]
             for k, weight in enumerate((np.ones(len(arcs)), n[size][arcs], n[size - 1][level.right[arcs]])):
-                values[k].append(np.bincount(context, weight, len(below.hash)).astype(np.int64)[some])
-        whole = np.concatenate(hashes) if hashes else np.zeros(0, U)
-        at = np.argsort(whole)
-        values = [np.concatenate(v)[at] if v else np.zeros(0, np.int64) for v in values]
-        cut, rows = bounds(whole[at], buckets), []
+                sums[k] += np.bincount(context, weight, len(hashes)).astype(np.int64)
+        cut, rows = bounds(hashes, buckets), []
         for k in np.flatnonzero(np.diff(cut)).tolist():
             some = slice(cut[k], cut[k + 1])
-            rows.append({"bucket": k, "grams": rising(whole[at][some])} | {c: planes(v[some]) for c, v in zip(COLUMNS[7:], values)})
+            rows.append({"bucket": k, "block": own.number, "contexts": rising(hashes[some])} | {c: planes(v[some]) for c, v in zip(FIGURES, sums)})
         return _message(rows)
 
     return add
 
 
-def _merged(rows: pa.Table) -> pa.Table:
+def _context_totals(rows: pa.Table) -> pa.Table:
     held = rows.to_pylist()
-    hashes, sums, _, _ = _added([from_rising(r["grams"]) for r in held], [[from_planes(r[c]) for r in held] for c in COLUMNS[7:]])
-    return _message([{"bucket": held[0]["bucket"], "grams": rising(hashes)} | {c: planes(v) for c, v in zip(COLUMNS[7:], sums)}])
-
-
-def _dealt(tables: DataFrame, buckets: int) -> DataFrame:
-    """The automaton's rows by other buckets."""
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                parts = [(name, from_rising(r[name]), [c for c in values if r[c] is not None])
-                         for name, values in (("words", ["word_n"]), ("grams", ["gram_n", *COLUMNS[7:]])) if r[name] is not None]
-                for name, hashes, values in parts:
-                    cut, own = bounds(hashes, buckets), {c: from_planes(r[c]) for c in values}
-                    for k in np.flatnonzero(np.diff(cut)).tolist():
-                        some = slice(cut[k], cut[k + 1])
-                        yield from _message([{"bucket": k, name: rising(hashes[some])} | {c: planes(v[some]) for c, v in own.items()}]).to_batches()
+    parts = [from_rising(r["contexts"]) for r in held]
+    sums, place, _ = _added(parts, [[from_planes(r[c]) for r in held] for c in FIGURES])
+    ends = np.cumsum([len(x) for x in parts])[:-1]
+    at = np.split(place, ends)
+    return _message([{"bucket": r["bucket"], "block": r["block"]} | {c: planes(v[x]) for c, v in zip(FIGURES, sums)} for r, x in zip(held, at)])
 
-    return tables.mapInArrow(deal, MESSAGE)
 
+@dataclass
+class Model:
+    """The training texts in blocks, for n-grams of up to ``order`` words, and the size of the texts in bytes."""
 
-def _found(rows: pa.Table) -> pa.Table:
-    """Answers for blocks that ask for scores: counts, and as contexts the number and sums of arcs."""
-    held = rows.to_pylist()
-
-    def lookup(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(hashes, wanted), max(len(hashes) - 1, 0))
-        return np.where(hashes[at] == wanted, at, -1) if len(hashes) else np.full(len(wanted), -1)
-
-    def table_of(name: str, values: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-        some = [r for r in held if r["block"] is None and r[name] is not None and r[values[0]] is not None]
-        hashes, sums, _, _ = _added([from_rising(r[name]) for r in some], [[from_planes(r[c]) for r in some] for c in values])
-        return hashes, sums
-
-    words, (word_n,) = table_of("words", ["word_n"])
-    grams, (gram_n,) = table_of("grams", ["gram_n"])
-    contexts, sums = table_of("grams", COLUMNS[7:])
-    out = []
-    for r in held:
-        if r["block"] is None:
-            continue
-        answer = {"bucket": r["bucket"], "block": r["block"]}
-        asked = {"words": from_rising(r["words"]), "grams": from_rising(r["grams"])}
-        for hashes, n, name, n_name in ((words, word_n, "words", "word_n"), (grams, gram_n, "grams", "gram_n")):
-            at = lookup(hashes, asked[name])
-            answer[n_name] = planes(np.where(at >= 0, n[at], 0) if len(n) else np.zeros(len(at), np.int64))
-        # Words first, then longer n-grams, in one array for each figure.
-        at = lookup(contexts, np.concatenate([asked["words"], asked["grams"]]))
-        for c, v in zip(COLUMNS[7:], sums):
-            answer[c] = planes(np.where(at >= 0, v[at], 0) if len(v) else np.zeros(len(at), np.int64))
-        out.append(answer)
-    return _message(out)
+    order: int
+    size: int
 
 
 @dataclass
-class Model:
-    """Sizes of the training texts: tokens and distinct tokens; and of the automaton: longest n-gram and number of buckets."""
+class Sizes:
+    """Of the training texts: tokens and distinct tokens."""
 
     total: int
     distinct: int
-    order: int
-    buckets: int
 
     @property
     def unseen(self) -> tuple[float, float]:
@@ -356,41 +323,17 @@ class Model:
         return float(np.log10(DISCOUNT * self.distinct / self.total)), float(-np.log10(self.total + self.distinct + 1.0))
 
 
-def _buckets(docs: DataFrame, text_column: str) -> int:
-    return 1 + (docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0) // BUCKET_BYTES
-
-
-def learn_blocks(blocks: DataFrame, buckets: int, order: int) -> tuple[Model, DataFrame]:
-    """The automaton of the training texts in ``blocks``."""
-    asked = _requests(blocks, order, buckets, True)
-    told = cut_lineage(asked.groupBy("bucket").applyInArrow(_totals, MESSAGE))
-    answers = told.where("block IS NOT NULL")
-    own = blocks.select("block", "vocabulary", "codes", "sizes", "trained")
-    sums = own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_contexts(order, buckets), MESSAGE)
-    contexts = sums.groupBy("bucket").applyInArrow(_merged, MESSAGE)
-    tables = cut_lineage(told.where("block IS NULL").unionByName(contexts))
-    remove_table(told)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = [from_planes(x.as_py()) for x in batch.column(0) if x.is_valid]
-            yield pa.RecordBatch.from_pydict({"total": [int(sum(x.sum() for x in n))], "words": [sum(map(len, n))]})
-
-    row = tables.select("word_n").mapInArrow(count, "total long, words long").agg(F.sum("total"), F.sum("words")).first()
-    return Model(row[0] or 0, row[1] or 0, order, buckets), tables
+def _bytes(docs: DataFrame, text_column: str) -> int:
+    return docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
 
 
 def learn(train: DataFrame, order: int = ORDER, min_share: float = MIN_SHARE, text_column: str = "text") -> tuple[Model, DataFrame]:
-    """The automaton of training texts: its sizes, and its tables by bucket of hashes.
+    """What a model is made of: its size, and its training texts in blocks, whose n-grams are counted when texts are scored.
 
-    A row of the tables has, packed, words with counts and n-grams of two words or more with counts, or contexts with the number and the
-    counts of their arcs. ``min_share`` is without effect: frequent and rare n-grams are treated alike.
+    ``min_share`` is without effect: frequent and rare n-grams are treated alike.
     """
     numbered = train.select(F.lit(0).alias("id"), F.col(text_column).alias("text"))
-    blocks = blocks_of(numbered, "id", "text", F.lit(True))
-    found = learn_blocks(blocks, _buckets(numbered, "text"), order)
-    remove_table(blocks)
-    return found
+    return Model(order, _bytes(numbered, "text")), blocks_of(numbered, "id", "text", F.lit(True))
 
 
 def walk(block: Block, n: list[np.ndarray], arcs: list[np.ndarray], fails: list[np.ndarray]) -> np.ndarray:
@@ -437,37 +380,31 @@ def walk(block: Block, n: list[np.ndarray], arcs: list[np.ndarray], fails: list[
     return np.bincount(text, sums, len(block.sizes))
 
 
-def _scores(model: Model, kind: str, id_column: str):
+def _scores(sizes: Sizes, order: int, kind: str, id_column: str):
     out = f"{id_column} {kind}, n_tokens long, n_known long, base_score double, score double"
 
     def read(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        block = Block(rows.to_pylist()[0], model.order)
-        found = _answers(answers.to_pylist(), ["word_n", "gram_n"])
-        n = block.answered(found["word_n"], found["gram_n"], False)
-        sums = []
-        for c in COLUMNS[7:]:
-            words, grams = [], []
-            for r in sorted(answers.to_pylist(), key=lambda r: r["bucket"]):
-                both, first = from_planes(r[c]), length(r["word_n"])
-                words.append(both[:first])
-                grams.append(both[first:])
-            empty = [np.zeros(0, np.int64)]
-            sums.append(block.answered(np.concatenate(words or empty), np.concatenate(grams or empty), False))
-        total, d = max(model.total, 1), DISCOUNT
+        if not rows.num_rows:  # answers for training texts that are not scored
+            empty = pa.array([], rows.schema.field("ids").type.value_type)
+            return pa.table([empty, *(pa.array([], x) for x in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
+                            [id_column, "n_tokens", "n_known", "base_score", "score"])
+        block, held = Block(rows.to_pylist()[0], order), answers.to_pylist()
+        n = block.answered(*_answers(held, ["word_n", "gram_n"]))
+        _, places = block.contexts(n)
+        figures = [np.append(x, 0) for x in _answers(held, FIGURES)]  # place -1 has none
+        total, d = max(sizes.total, 1), DISCOUNT
         with np.errstate(divide="ignore", invalid="ignore"):
-            arcs = [np.where(n[0] > 0, np.log10((n[0] - d) / total), model.unseen[0])]
-            base = np.log10((n[0] + 1) / (model.total + model.distinct + 1.0))
+            arcs = [np.where(n[0] > 0, np.log10((n[0] - d) / total), sizes.unseen[0])]
+            base = np.log10((n[0] + 1) / (sizes.total + sizes.distinct + 1.0))
             fails = []
-            for size in range(1, model.order):
-                level = block.levels[size]
-                arcs.append(np.log10((n[size] - d) / n[size - 1][level.left]))
+            for size in range(1, order):
+                arcs.append(np.log10((n[size] - d) / n[size - 1][block.levels[size].left]))
                 # Probability that the context's arcs leave over, and that the same words have in the next shorter context.
-                count, own, shorter = (s[size - 1] for s in sums)
-                context = n[size - 1]
+                count, own, shorter = (x[places[size - 1]] for x in figures)
                 whole = total if size == 1 else n[size - 2][block.levels[size - 1].right]
-                free = np.maximum(1 - (own - d * count) / context, 1e-12) / np.maximum(1 - (shorter - d * count) / whole, 1e-12)
+                free = np.maximum(1 - (own - d * count) / n[size - 1], 1e-12) / np.maximum(1 - (shorter - d * count) / whole, 1e-12)
                 fails.append(np.where(count > 0, np.log10(free), 0.0))
-        if not model.total:
+        if not sizes.total:
             arcs[0], base = np.zeros(len(n[0])), np.zeros(len(n[0]))
         score = walk(block, n, arcs, fails)
         text = np.repeat(np.arange(len(block.sizes)), block.sizes)
@@ -478,13 +415,24 @@ def _scores(model: Model, kind: str, id_column: str):
     return read, out
 
 
-def score_blocks(blocks: DataFrame, buckets: int, model: Model, weights: DataFrame, kind: str, id_column: str) -> DataFrame:
-    """Scores of all texts in ``blocks``, see ``score``."""
-    asked = _requests(blocks, model.order, buckets, False)
-    told = cut_lineage(asked.unionByName(_dealt(weights, buckets)).groupBy("bucket").applyInArrow(_found, MESSAGE))
-    read, out = _scores(model, kind, id_column)
-    found = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(read, out)
-    total = F.lit(model.total).cast("long").alias("train_tokens")
+def score_blocks(scored: DataFrame, more: DataFrame | None, order: int, size: int, kind: str, id_column: str) -> DataFrame:
+    """Scores of all texts in the blocks ``scored`` by the training texts in these and in the blocks ``more``; see ``score``."""
+    columns = ["block", "vocabulary", "codes", "sizes", "trained"]
+    # Blocks are numbered by rows of their table; those of the other table get numbers below zero.
+    all_blocks = scored.select(columns)
+    if more is not None:
+        all_blocks = all_blocks.unionByName(more.select(columns).withColumn("block", -1 - F.col("block")))
+    buckets = 1 + size // BUCKET_BYTES
+    told = cut_lineage(_requests(all_blocks, order, buckets).groupBy("bucket").applyInArrow(_totals, MESSAGE))
+    answers = told.where("block IS NOT NULL").select("bucket", "block", "word_n", "gram_n", "owner")
+    whole = told.agg(F.sum("tokens"), F.sum("distinct_words")).first()
+    sizes = Sizes(whole[0] or 0, whole[1] or 0)
+    asked = all_blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_contexts(order, buckets), MESSAGE)
+    figures = cut_lineage(asked.groupBy("bucket").applyInArrow(_context_totals, MESSAGE).select("bucket", "block", *FIGURES))
+    read, out = _scores(sizes, order, kind, id_column)
+    both = answers.drop("owner").unionByName(figures, allowMissingColumns=True)
+    found = scored.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(read, out)
+    total = F.lit(sizes.total).cast("long").alias("train_tokens")
     return found.select(id_column, "n_tokens", "n_known", total, "base_score", "score")
 
 
@@ -496,16 +444,18 @@ def score(docs: DataFrame, model: Model, weights: DataFrame, id_column: str = "d
     """
     blocks = blocks_of(docs, id_column, text_column, F.lit(False))
     kind = docs.schema[id_column].dataType.simpleString()
-    return score_blocks(blocks, max(model.buckets, _buckets(docs, text_column)), model, weights, kind, id_column)
+    return score_blocks(blocks, weights, model.order, model.size + _bytes(docs, text_column), kind, id_column)
+
+
+def score_corpus(docs: DataFrame, train: Column, order: int = ORDER, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``score`` of all rows of ``docs`` by a model of the rows for which ``train`` holds; texts are read once."""
+    blocks = blocks_of(docs, id_column, text_column, train)
+    kind = docs.schema[id_column].dataType.simpleString()
+    return score_blocks(blocks, None, order, _bytes(docs, text_column), kind, id_column)
 
 
 @query("op7_language_model")
 def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = id_remainder(F.col("doc_id"), 7) == 2
-    # Training and scoring read the same blocks.
-    buckets = _buckets(docs, "text")
-    blocks = blocks_of(docs, "doc_id", "text", ~held_out)
-    model, weights = learn_blocks(blocks, buckets, ORDER)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return score_blocks(blocks, buckets, model, weights, kind, "doc_id").withColumn("held_out", held_out)
+    return score_corpus(docs, ~held_out).withColumn("held_out", held_out)
