@@ -41,7 +41,6 @@ BLOCK = 2_000_000  # shingles that are counted together when looking for common
 COMMON_IN_BLOCK = 3
 COMMON_KEPT = 200_000
 SIEVES = 1  # how often documents in too few regions are taken out
-BROADCAST_IDS = 1_000_000  # at most 8 MB of ids are broadcast; more are joined by a shuffle of the texts
 
 
 def shingles(words: Words, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -342,8 +341,6 @@ def jaccard_components(
     wanted = cut_lineage(regions.select("node").distinct().join(classes.select("node", "low"), "node"))
     # Texts of the classes that are left, by their smallest ids; a class without an id is looked for among rows without one.
     ids = wanted.where("low is not null").select(F.col("low").alias("id")).distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
     some = docs.join(ids, "id", "left_semi").unionByName(docs.where("id is null"))
     sets = cut_lineage(whole_sets(some, width).select(node_of(seed).alias("node"), "set", *BITS))
     if not sets.groupBy("node").count().where("count > 1").isEmpty():  # repeated rows
