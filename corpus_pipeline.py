@@ -20,11 +20,14 @@ from plantmart.session import work_path
 # Near copies: texts whose sets of shingles of so many words have at least this Jaccard similarity in percent.
 NEAR_WIDTH, NEAR_PERCENT = 5, 80
 # Names that no column of a table is likely to have.
-VERDICT, LEAST = "__verdict__", "__least__"
+VERDICT, LEAST, KEY = "__verdict__", "__least__", "__key__"
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below the threshold. The classifier learns from the labelled ones among all documents."""
+    """Documents whose toxicity is below the threshold. The classifier learns from the labelled ones among all documents.
+
+    A null text is scored like an empty one, repeated rows are judged alike and all stay or all go, and an empty table gives no rows.
+    """
     prepare(spark)
     net = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     score = toxicity.scorer(spark, net)
@@ -32,39 +35,63 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality reaches the threshold. The classifier learns from the labelled ones among all documents."""
+    """Documents whose quality reaches the threshold. The classifier learns from the labelled ones among all documents.
+
+    A null text is scored like an empty one, repeated rows are judged alike and all stay or all go, and an empty table gives no rows.
+    """
     prepare(spark)
     field = line_quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     score = line_quality.scorer(spark, field)
     return docs.withColumn(VERDICT, score(F.col("text"))).where(F.col(VERDICT) >= line_quality.THRESHOLD).drop(VERDICT)
 
 
-def _one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group; of several rows with one id a single one.
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row: its id (rows without one come last) and 128 bits of hash over all columns.
 
-    ``groups`` has doc_id and ``LEAST``. A row without id is no copy that could be named, and stays.
+    The key follows from the row alone, so it is the same whenever the table is read; only rows equal in all columns share it.
     """
-    kept = groups.where(F.col("doc_id") == F.col(LEAST)).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").select(docs.columns)
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    columns = [*docs.columns, *(F.col(c).isNull() for c in docs.columns)]
+    parts = [F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")]
+    parts += [F.xxhash64(F.lit(seed), *columns).alias(f"h{seed}") for seed in (1, 2)]
+    return docs.withColumn(KEY, F.struct(*parts))
+
+
+def _one_of_each(keyed: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key is the smallest of their group (``groups`` has ``KEY`` and ``LEAST``); of equal rows one."""
+    kept = groups.where(F.col(KEY) == F.col(LEAST)).select(KEY).distinct()
+    return keyed.join(kept, KEY, "left_semi").dropDuplicates([KEY]).drop(KEY)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts the one with the smallest id."""
+    """Of documents with equal texts the one with the smallest id, or any one of those without id if none has one.
+
+    A null text equals an empty one. Rows with one id and different texts are different documents; equal rows are one. An empty table
+    gives no rows.
+    """
     prepare(spark)
-    groups = exact_copies(docs).select("doc_id", F.col("keep_id").alias(LEAST))
-    return _one_of_each(docs, groups)
+    keyed = _keyed(docs)
+    groups = exact_copies(keyed, id_column=KEY).select(KEY, F.col("keep_id").alias(LEAST))
+    return _one_of_each(keyed, groups)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of Jaccard similarity connect the one with the smallest id."""
+    """Of documents that links of Jaccard similarity connect the one with the smallest id, or one of those without id if none has one.
+
+    Documents without words, null ones among them, are linked with nothing and stay; but of rows equal in all columns one stays. Rows
+    with one id and different texts are different documents. An empty table gives no rows.
+    """
     prepare(spark)
-    groups = jaccard_components(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT).select("doc_id", F.col("component_id").alias(LEAST))
-    return _one_of_each(docs, groups)
+    keyed = _keyed(docs)
+    groups = jaccard_components(keyed, width=NEAR_WIDTH, percent=NEAR_PERCENT, id_column=KEY)
+    return _one_of_each(keyed, groups.select(KEY, F.col("component_id").alias(LEAST)))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in sequences, see ``packing.pack``."""
+    """Pieces of documents with their places in sequences, see ``packing.pack``.
+
+    A null text is an empty one and has its end token; rows without id and repeated rows are packed each on their own; an empty table
+    gives no rows.
+    """
     prepare(spark)
     return packing.pack(docs, packing.tokenizer_text("word_bpe_49k.json"))
 
