@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .ranking import number_distinct
+
 
 def value_list(df: DataFrame, column: str) -> list[str]:
     """The different values of a dictionary-like column, for use as column names.
@@ -31,22 +34,36 @@ def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str
     return df.unpivot(list(ids), list(columns), name, value)
 
 
+CHUNK = 1024  # values of a domain that are compared with a key's values together
+
+
 def complement_pairs(
     pairs: DataFrame, key: str, value: str, keys: DataFrame | None = None, values: DataFrame | None = None
 ) -> DataFrame:
-    """All (key, value) combinations that do not occur in ``pairs``.
+    """All (key, value) combinations that do not occur in ``pairs``; a null value is no value.
 
-    ``keys`` and ``values`` (same column names) widen the two domains. The value domain is one sorted array, a
-    scalar subquery; every key subtracts the set of values it has. No join of keys with values and no wide table.
-    The array holds the value dictionary once per task, so values must be a dictionary (sales units, regions).
+    ``keys`` and ``values`` (same column names) widen the two domains. The values are numbered, and each key meets the numbers in chunks of
+    ``CHUNK``: the numbers that it has in a chunk, at most as many, are taken from the chunk's range. So no task holds the
+    domain, or all values of a key, and rows are made only for pairs that are missing.
     """
-    values = pairs if values is None else values
-    has = pairs.select(key, value)
-    if keys is not None:
-        has = has.unionByName(keys.select(key, F.lit(None).cast(pairs.schema[value].dataType).alias(value)))
-    domain = values.agg(F.array_sort(F.collect_set(value)).alias("all")).select("all").scalar()
-    own = has.groupBy(key).agg(F.collect_set(value).alias("__own"))
-    return own.select(key, F.explode(F.array_except(domain, F.col("__own"))).alias(value))
+    has = pairs.select(key, value).filter(F.col(value).isNotNull())
+    all_keys = pairs.select(key) if keys is None else pairs.select(key).unionByName(keys.select(key))
+    domain = (pairs if values is None else values).select(value).filter(F.col(value).isNotNull()).distinct()
+    numbered = cut_lineage(number_distinct(domain, [value], "__n"))
+    n = numbered.count()
+    if not n:
+        return has.limit(0)
+    chunk = F.floor(F.col("__n") / CHUNK).cast("long")
+    own = has.join(numbered, value).groupBy(key, chunk.alias("__chunk")).agg(F.collect_set("__n").alias("__own"))
+    each = all_keys.distinct().select(key, F.explode(F.sequence(*(F.lit(x).cast("long") for x in (0, (n - 1) // CHUNK)))).alias("__chunk"))
+    met = each.join(
+        own.select(F.col(key).alias("__key"), F.col("__chunk").alias("__c"), "__own"),
+        F.col(key).eqNullSafe(F.col("__key")) & (F.col("__chunk") == F.col("__c")), "left",
+    )
+    first = F.col("__chunk") * F.lit(CHUNK).cast("long")
+    whole = F.sequence(first, F.least(first + (CHUNK - 1), F.lit(n - 1).cast("long")))
+    missing = F.array_except(whole, F.coalesce("__own", F.array().cast("array<bigint>")))
+    return met.select(key, F.explode(missing).alias("__n")).join(numbered, "__n").select(key, value)
 
 
 def with_inverse(df: DataFrame, source: str, target: str, rate: str) -> DataFrame:

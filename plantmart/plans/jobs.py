@@ -11,12 +11,17 @@ from ..operators.reshape import value_list
 from ..session import cut_lineage, work_removed
 from ..sources.files import Catalog, path_exists, read_csv, scan_optional_sites, scan_sites
 from ..sources.history import upsert
-from ..sources.sink import with_audit, write_outputs
-from . import batch, customers, line, margin, movements, oee, prices, products
+from ..sources.sink import Published, write_outputs, write_table
+from ..sources.spec import REJECTED
+from . import batch, customers, line, margin, movements, oee, prices, products, shapes
 from .common import ORDER, PATH, movement_orders
-from .inputs import BATCH_FACTS, BATCH_FILES, LINE_FILES, SETTINGS
+from .inputs import BATCH_FACTS, BATCH_FILES, LINE_FILES, MOVEMENTS, SETTINGS
 
 SITE = "source_site"
+FAMILY = "plant_family"
+RAW_MOVEMENTS = "sap_mseg"
+# Orders and readings have no day that a later release keeps, so their histories are divided by a hash of the key.
+KEY_BUCKETS = 64
 APPROVED, UNAPPROVED = "approved", "unapproved"
 DAY_PARTITIONS = [SITE, "calendar_day"]
 
@@ -35,11 +40,9 @@ def read_line_inputs(spark: SparkSession, root: str, shared_movements: str | Non
     out = {}
     for name, (file, spec) in LINE_FILES.items():
         if name == "movements" and shared_movements is not None:
-            out[name] = movement_orders(read_csv(spark, shared_movements, spec))
+            out[name] = read_csv(spark, shared_movements, spec, checked=True)
         else:
-            out[name] = scan_sites(spark, root, file, spec, SITE)
-    if shared_movements is None:
-        out["movements"] = movement_orders(out["movements"])
+            out[name] = scan_sites(spark, root, file, spec, SITE, checked=name == "movements")
     out["shifts"] = out["shifts"].withColumnRenamed(SITE, "site")
     for name in ("units", "categories"):
         out[name] = out[name].drop(SITE)
@@ -50,24 +53,40 @@ def read_batch_inputs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """All batch-plant inputs; an ``unapproved`` sub-folder of a site is a second, optional source of facts."""
     out = {}
     for name, (file, spec) in BATCH_FILES.items():
-        frame = scan_sites(spark, root, file, spec, SITE)
+        frame = scan_sites(spark, root, file, spec, SITE, checked=name == "movements")
         if name in BATCH_FACTS:
             second = scan_optional_sites(spark, root, f"unapproved/{file}", spec, SITE)
             frame = frame.withColumn("source_status", F.lit(APPROVED)).unionByName(
                 second.withColumn("source_status", F.lit(UNAPPROVED))
             )
         out[name] = frame
-    out["movements"] = movement_orders(out["movements"])
     return out
 
 
+def publish_movements(spark: SparkSession, families: Mapping[str, Mapping[str, DataFrame]], path: str) -> dict[str, int]:
+    """Write the raw movements of all plants, typed, with all their columns and the texts that no value could be made of.
+
+    The files are parsed once: the families' movements are read back from this table. Returns its rows and the rejects by column.
+    """
+    raw = [inputs["movements"].withColumn(FAMILY, F.lit(name)) for name, inputs in families.items()]
+    whole = raw[0]
+    for more in raw[1:]:
+        whole = whole.unionByName(more, allowMissingColumns=True)
+    counts = write_table(whole, path, [FAMILY], figures=MOVEMENTS.reject_counts())
+    for name, inputs in families.items():
+        mine = spark.read.schema(whole.schema).parquet(path).filter(F.col(FAMILY) == name)
+        inputs["movements"] = movement_orders(mine.select([c for c in inputs["movements"].columns if c != REJECTED]))
+    return counts
+
+
 def store_line_history(
     spark: SparkSession, inputs: Mapping[str, DataFrame], history_root: str, settings: DataFrame | None
 ) -> dict[str, DataFrame]:
     """Merge one load into the five history tables and return the stored tables.
 
     Availability, rates and alarms are kept per site and production day, so a load rewrites only its own days.
-    Orders and readings may move to another day with a later release and are kept per site.
+    Orders and readings may move to another day with a later release and are kept per site and bucket of the key, so a load rewrites
+    only the buckets of its keys.
     """
     root = history_root.rstrip("/")
     steps = {
@@ -78,7 +97,7 @@ def store_line_history(
         "alarms": (line.newest_alarms(inputs["alarms"]), [*PATH, "kop", "eventts"], DAY_PARTITIONS),
     }
     return {
-        name: upsert(spark, new, f"{root}/{name}", [SITE, *keys], partitions)
+        name: upsert(spark, new, f"{root}/{name}", [SITE, *keys], partitions, buckets=0 if partitions == DAY_PARTITIONS else KEY_BUCKETS)
         for name, (new, keys, partitions) in steps.items()
     }
 
@@ -176,43 +195,55 @@ def plant_outputs(tables: Mapping[str, DataFrame], refreshed: Column | None = No
 def run_plant_job(
     spark: SparkSession, source: str, destination: str, settings_path: str | None = None,
     shared_movements: str | None = None,
-) -> dict[str, DataFrame]:
+) -> Published:
     """Line plants below ``source/line/<site>``, batch plants below ``source/batch/<site>`` (optional).
 
-    Returns the stored tables. What the job wrote to the shared folder on the way is removed at its end.
+    Returns the stored tables, with the rows of each as counted while it was written, and the rejects of the raw movements. What the job
+    wrote to the shared folder on the way is removed at its end.
     """
     with work_removed(spark):
-        names = _plant_job(spark, source, destination, settings_path, shared_movements)
-    return {name: spark.read.parquet(f"{destination.rstrip('/')}/{name}") for name in names}
+        counts = _plant_job(spark, source, destination, settings_path, shared_movements)
+    return Published({name: spark.read.parquet(f"{destination.rstrip('/')}/{name}") for name in counts}, counts)
 
 
 def _plant_job(
     spark: SparkSession, source: str, destination: str, settings_path: str | None, shared_movements: str | None
-) -> list[str]:
+) -> dict[str, dict[str, int]]:
     settings = None if settings_path is None else site_settings(spark, settings_path)
     inputs = read_line_inputs(spark, f"{source}/line", shared_movements)
-    # The largest input is parsed once; four tables read it.
-    inputs["movements"] = cut_lineage(inputs["movements"])
+    second = read_batch_inputs(spark, f"{source}/batch") if path_exists(spark, f"{source}/batch/*") else None
+    # The largest input is parsed once; several tables read it, and it is published itself.
+    both = {"line": inputs} if second is None else {"line": inputs, "batch": second}
+    raw = publish_movements(spark, both, f"{destination.rstrip('/')}/{RAW_MOVEMENTS}")
     stored = store_line_history(spark, inputs, f"{destination}/history", settings)
     families = [line_tables(stored, inputs, settings)]
-    if path_exists(spark, f"{source}/batch/*"):
-        second = read_batch_inputs(spark, f"{source}/batch")
-        second["movements"] = cut_lineage(second["movements"])
+    if second is not None:
         families.append(batch_tables(second))
     tables = combined(*families)
     # The two tables most others are built from are computed once.
     tables["availability"] = cut_lineage(tables["availability"])
     tables["oee"] = cut_lineage(tables["oee"])
     outputs = plant_outputs(tables)
-    write_outputs(outputs, destination)
-    return list(outputs)
+    counts = write_outputs(outputs, destination)
+    return {**{name: (counts or {}).get(name, {}) for name in outputs}, RAW_MOVEMENTS: raw}
 
 
-def pricing_tables(catalog: Catalog, as_of: Column) -> dict[str, DataFrame]:
-    """All pricing tables in dependency order; ``catalog`` names the inputs listed in each function.
+def run_pricing_job(catalog: Catalog, as_of: Column, destination: str, loaded: Column | None = None) -> Published:
+    """Write all pricing tables below ``destination``; returns them with the rows of each as counted while it was written.
+
+    What the job wrote to the shared folder on the way is removed at its end.
+    """
+    spark = catalog.spark
+    with work_removed(spark):
+        counts = write_outputs(pricing_tables(catalog, as_of, loaded), destination)
+    return Published({name: spark.read.parquet(f"{destination.rstrip('/')}/{name}") for name in counts}, counts)
+
+
+def pricing_tables(catalog: Catalog, as_of: Column, loaded: Column | None = None) -> dict[str, DataFrame]:
+    """All pricing tables in dependency order and published shape; ``catalog`` names the inputs listed in each function.
 
     Tables that several others read (rates, both dimensions, positions, prices, the matrix rows) are written to the shared folder
-    once; the rest stays lazy. Segments and the bracket summary carry load time and origin.
+    once; the rest stays lazy. ``loaded`` is the load time that published tables carry (by default that of the query).
     """
     def pick(*names: str) -> dict[str, DataFrame]:
         return {n: catalog(n) for n in names}
@@ -259,9 +290,9 @@ def pricing_tables(catalog: Catalog, as_of: Column) -> dict[str, DataFrame]:
     matrix = margin.margin_matrix(
         prepared, catalog("volume_index"), catalog("volume_brackets"), catalog("account_managers")
     )
-    return {
+    tables = {
         "fx_rates": fx,
-        "customer_segments": with_audit(sized, "Customer Size classification"),
+        "customer_segments": sized,
         "customers": dimension["customers"],
         "customers_missing_mail": dimension["missing_mail"],
         "customers_data_check": dimension["data_check"],
@@ -281,5 +312,5 @@ def pricing_tables(catalog: Catalog, as_of: Column) -> dict[str, DataFrame]:
             catalog("chemistry_factors"), catalog("geography_factors"),
         ),
         **{f"margin_{name}": df for name, df in matrix.items()},
-        "margin_by_bracket": with_audit(matrix["by_bracket"], "base_info_for_matrix_volume_brackets"),
     }
+    return shapes.published(tables, loaded)

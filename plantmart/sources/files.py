@@ -20,24 +20,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_sites(
-    spark: SparkSession, root: str, file: str, spec: TableSpec, site_column: str = "source_site", sites: Sequence[str] = ()
+    spark: SparkSession, root: str, file: str, spec: TableSpec, site_column: str = "source_site", sites: Sequence[str] = (),
+    checked: bool = False,
 ) -> DataFrame:
     """One scan over ``root/<site>/file`` for all sites, or only the folders in ``sites``; the folder name is a column.
 
     All text, columns taken by header name. Every file's header is checked against the first one, so a site with
-    another column order fails instead of shifting values.
+    another column order fails instead of shifting values. ``checked`` keeps what has no value (``TableSpec.checked``).
     """
     raw = _csv(spark, [f"{root.rstrip('/')}/{site}/{file}" for site in sites or ["*"]])
     # ``file`` may lie in a sub-folder of the site. input_file_name rather than the metadata column: a run-time join
     # filter on the latter can reach the scan before it is ready when the scan runs without generated code.
     folder = F.element_at(F.split(F.input_file_name(), "/"), -2 - file.count("/"))
     name = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
-    return spec.apply(raw.withColumn(site_column, name), keep=[site_column])
+    return (spec.checked if checked else spec.apply)(raw.withColumn(site_column, name), keep=[site_column])
 
 
-def read_csv(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, spec: TableSpec, checked: bool = False) -> DataFrame:
     """CSV with a header, all text, typed by the spec."""
-    return spec.apply(_csv(spark, path))
+    return (spec.checked if checked else spec.apply)(_csv(spark, path))
 
 
 def _csv(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -28,18 +28,27 @@ class Field:
     optional: bool = False
 
 
-def _typed(column: Column, f: Field) -> Column:
+# Column of a checked table: the texts that no value could be made of, by column name; null when there are none.
+REJECTED = "rejected"
+
+
+def _text(column: Column, f: Field) -> Column:
     text = F.trim(column)
-    if f.missing:
-        text = F.when(~text.isin(*f.missing), text)
+    return F.when(~text.isin(*f.missing), text) if f.missing else text
+
+
+def _value(text: Column, f: Field) -> Column:
     if f.type == "string":
-        value = text
-    elif f.type == "timestamp":
-        value = parse_stamp(text, STAMP_FORMATS)
-    elif f.type == "date":
-        value = F.try_to_date(text, "yyyy-MM-dd")
-    else:
-        value = text.try_cast(f.type)
+        return text
+    if f.type == "timestamp":
+        return parse_stamp(text, STAMP_FORMATS)
+    if f.type == "date":
+        return F.try_to_date(text, "yyyy-MM-dd")
+    return text.try_cast(f.type)
+
+
+def _typed(column: Column, f: Field) -> Column:
+    value = _value(_text(column, f), f)
     return value if f.default is None else F.coalesce(value, F.lit(f.default))
 
 
@@ -55,10 +64,7 @@ class TableSpec:
 
     def apply(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Typed, renamed columns; ``keep`` passes further columns through unchanged."""
-        have = {c.lower(): c for c in df.columns}
-        lost = [f.source for f in self.fields if f.source.lower() not in have and not f.optional]
-        if lost:
-            raise ValueError(f"input lacks columns {lost}")
+        have = self._present(df)
         columns = []
         for f in self.fields:
             if f.source.lower() in have:
@@ -67,6 +73,35 @@ class TableSpec:
                 columns.append(F.lit(f.default).cast(f.type).alias(f.name))
         return df.select(*keep, *columns)
 
+    def checked(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """As ``apply``, with the texts that have no value of their column's type in a map column ``REJECTED``.
+
+        A blank text is no value and not rejected, and neither is one that the field counts as missing.
+        """
+        have, entries = self._present(df), []
+        for f in self.fields:
+            if f.type != "string" and f.source.lower() in have:
+                text = _text(F.col(f"`{have[f.source.lower()]}`").cast("string"), f)
+                bad = (text != "") & _value(text, f).isNull()
+                entries.append(F.when(bad, F.struct(F.lit(f.name).alias("key"), text.alias("value"))))
+        found = F.filter(F.array(*entries), lambda e: e.isNotNull()) if entries else F.array().cast("array<struct<key:string,value:string>>")
+        rejected = F.when(F.size(found) > 0, F.map_from_entries(found)).cast("map<string,string>")
+        passed = f"__{REJECTED}"
+        return self.apply(df.withColumn(passed, rejected), [*keep, passed]).withColumnRenamed(passed, REJECTED)
+
+    def reject_counts(self) -> dict[str, Column]:
+        """Aggregates over a checked table: how many texts of each column that is not text were rejected."""
+        return {
+            f"rejected_{f.name}": F.count(F.element_at(REJECTED, F.lit(f.name))) for f in self.fields if f.type != "string"
+        }
+
+    def _present(self, df: DataFrame) -> dict[str, str]:
+        have = {c.lower(): c for c in df.columns}
+        lost = [f.source for f in self.fields if f.source.lower() not in have and not f.optional]
+        if lost:
+            raise ValueError(f"input lacks columns {lost}")
+        return have
+
 
 def fields(*items: str | Field) -> tuple[Field, ...]:
     """Short form: ``"Source:target:type"``, target and type optional."""

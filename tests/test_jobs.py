@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from plantmart.plans import jobs, oee
+from plantmart.plans import jobs, oee, shapes
 from plantmart.plans.inputs import BATCH_FILES, LINE_FILES
 from plantmart.session import shared_folder
 from plantmart.sources.files import Catalog, scan_sites
@@ -216,3 +216,34 @@ def test_pricing_job(spark):
     assert counts["price_scales"] == counts["price_master"]
     assert counts["enriched_customers"] == counts["customers"]
     assert counts["margin_base"] == prepared.filter("rolling_12_month = 'Yes'").count()
+    for name, df in tables.items():
+        audit = ["upload_date", "source_system"] if name in shapes.SOURCES else []
+        if name in shapes.COLUMNS:
+            assert df.columns == [*shapes.COLUMNS[name].split(), *audit]
+        assert df.columns[len(df.columns) - len(audit) :] == audit
+        if audit:
+            assert {r[0] for r in df.select("source_system").distinct().collect()} <= {shapes.SOURCES[name]}
+
+
+def test_pricing_job_writes_and_counts(spark, tmp_path, monkeypatch):
+    rows = {"fx_rates": spark.range(3).toDF("n"), "blacklist": spark.range(0).toDF("n")}
+    monkeypatch.setattr(jobs, "pricing_tables", lambda catalog, as_of, loaded: rows)
+    stored = jobs.run_pricing_job(Catalog(spark, {}), F.lit(None), str(tmp_path))
+    assert stored.counts == {"fx_rates": {"rows": 3}, "blacklist": {"rows": 0}} and stored["fx_rates"].count() == 3
+
+
+def test_raw_movements_and_counts_of_a_plant_job(spark, tmp_path):
+    line_site(tmp_path, "north", [event("north", 1, "2024-01-01 07:00:00", "RUNNING", "100")])
+    batch_site(tmp_path, "east")
+    file = tmp_path / "line" / "north" / LINE_FILES["movements"][0]
+    file.write_text(file.read_text().replace(",50,", ",fifty,").replace("2024-01-08", "soon"))
+    stored = jobs.run_plant_job(spark, str(tmp_path), str(tmp_path / "out"))
+    assert {name: df.count() for name, df in stored.items()} == {name: found["rows"] for name, found in stored.counts.items()}
+    raw, counts = stored[jobs.RAW_MOVEMENTS], stored.counts[jobs.RAW_MOVEMENTS]
+    _, spec = LINE_FILES["movements"]
+    assert {f.name for f in spec.fields} <= set(raw.columns)
+    assert {r.plant_family for r in raw.collect()} == {"line", "batch"}
+    rejected = {k: v for k, v in counts.items() if v and k != "rows"}
+    assert rejected == {"rejected_menge": 1, "rejected_budat_mkpf": 1}
+    found = {r.mblnr: r.rejected for r in raw.filter("rejected IS NOT NULL").collect()}
+    assert found == {"1": {"menge": "fifty"}, "3": {"budat_mkpf": "soon"}}
