@@ -394,6 +394,20 @@ def missing_business(t: Tables) -> DataFrame:
     return out["missing_business"]
 
 
+@query(
+    f"""WITH {_PROD_SQL}, {_TX_SQL} SELECT DISTINCT prod_grp AS produced_material, CAST(NULL AS VARCHAR) AS ml2 FROM prods
+        WHERE prod_number NOT IN (SELECT prod_number FROM tr WHERE rolling = 'Yes' AND l_partkey % 7 <> 0)"""
+)
+def missing_business_unsold(t: Tables) -> DataFrame:
+    """The same list when each seventh part is not sold."""
+    goods = cut_lineage(product_tables(t)["products"])
+    positions = t.spark.createDataFrame(
+        [], "prod_grp string, pfam string, pg_cost string, pg_cm string, pg_cost_stats double, pg_cm_stats double, "
+        "no_of_customers double, no_of_sizeable_transactions double",
+    )
+    return products.enriched_products(goods, positions, transactions(t).filter("l_partkey % 7 <> 0"), customer_inputs(t)["scope"])["missing_business"]
+
+
 @query(
     tidy_sql(
         """WITH c AS (SELECT DISTINCT p_brand AS ms_new, p_type AS chemistry, 'pos' || CAST(p_size % 3 AS VARCHAR) AS cpc FROM part),
@@ -561,6 +575,36 @@ def price_master(t: Tables) -> DataFrame:
     )
 
 
+# Group conditions of odd parts have a scale, and no item. (A customer condition without item has no price.)
+_SCALE_ONLY_SQL = (
+    _PRICE_SQL.replace("CASE WHEN ln = 1 THEN 'LB'", "type1 = 'a970' AND CAST(substr(matnr, 2) AS BIGINT) % 2 = 1 AS so, CASE WHEN ln = 1 THEN 'LB'")
+    .replace("CASE WHEN tax > 0.07 THEN q + 100", "CASE WHEN so THEN 500.0 WHEN tax > 0.07 THEN q + 100")
+    .replace("CASE WHEN tax > 0.07 THEN price * 0.9", "CASE WHEN so THEN price * 0.8 WHEN tax > 0.07 THEN price * 0.9")
+    .replace("100.0 AS per0", "CASE WHEN so THEN 1.0 ELSE 100.0 END AS per0")
+)
+
+
+@query(
+    tidy_sql(
+        f"""WITH {_SCALE_ONLY_SQL} SELECT unique_id, kunag AS cust_number, scales_qty * f AS scales_qty, max_vol * f AS max_vol, kbetr / (per0 * f) * fxr AS scales_rate,
+            base_price AS valid_price_base_currency, f AS weight_rate_to_apply, fxr AS fx_rate_into_eur, konwa AS currency, uom, type1,
+            CASE WHEN so THEN 'konm' ELSE 'konp' END AS type2 FROM pr""",
+        double="scales_qty max_vol scales_rate valid_price_base_currency weight_rate_to_apply fx_rate_into_eur",
+    )
+)
+def price_master_scale_only(t: Tables) -> DataFrame:
+    """Prices when some conditions have a scale but no item: unit, currency and quantity of the price are the usual ones."""
+    inputs = price_inputs(t)
+    number = F.concat(F.lit("G-"), F.col("p_partkey").cast("string")).alias("knumh")
+    odd = t.part.filter("p_size = 1 AND p_partkey % 2 = 1").select(number, F.lit(500.0).alias("kstbm"), (F.col("p_retailprice") * 0.8).alias("kbetr"))
+    inputs["items"] = inputs["items"].join(odd.select("knumh"), "knumh", "left_anti")
+    inputs["scales"] = inputs["scales"].unionByName(odd)
+    return prices.price_tables(inputs, fx(t), as_of())["master"].select(
+        "unique_id", "cust_number", "scales_qty", "max_vol", "scales_rate", "valid_price_base_currency", "weight_rate_to_apply",
+        "fx_rate_into_eur", "currency", "uom", "type1", "type2",
+    )
+
+
 # --- margins ----------------------------------------------------------------------------------------------------
 
 _MARGIN_ORDER = ["fiscal_year", "month", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
