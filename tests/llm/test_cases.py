@@ -249,4 +249,5 @@ def test_pipeline_stages_take_odd_rows(ready, odd, empty, tmp_path):
             assert got.columns == docs.columns
             assert Counter(map(repr, found)) <= Counter(map(repr, rows(docs)))
     kept = [r["doc_id"] for r in rows(corpus_pipeline.exact_dedup(ready, odd, str(tmp_path)))]
-    assert sorted(kept, key=repr) == sorted([1, 4, 6, 7, 8, 9, 10, 11, 12, None, None], key=repr)
+    # One of the rows without id has the text of document 1.
+    assert sorted(kept, key=repr) == sorted([1, 4, 6, 7, 8, 9, 10, 11, 12, None], key=repr)
