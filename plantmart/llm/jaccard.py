@@ -341,7 +341,8 @@ def jaccard_components(
     wanted = cut_lineage(regions.select("node").distinct().join(classes.select("node", "low"), "node"))
     # Texts of the classes that are left, by their smallest ids; a class without an id is looked for among rows without one.
     ids = wanted.where("low is not null").select(F.col("low").alias("id")).distinct()
-    some = docs.join(ids, "id", "left_semi").unionByName(docs.where("id is null"))
+    # One plan at any size: texts and ids are sorted and merged, so no side has to fit anywhere.
+    some = docs.join(ids.hint("merge"), "id", "left_semi").unionByName(docs.where("id is null"))
     sets = cut_lineage(whole_sets(some, width).select(node_of(seed).alias("node"), "set", *BITS))
     if not sets.groupBy("node").count().where("count > 1").isEmpty():  # repeated rows
         sets = cut_lineage(sets.dropDuplicates(["node"]))
