@@ -5,6 +5,7 @@ No side is hinted: Spark decides by size, at run time where a size is only known
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -94,15 +95,36 @@ def reconcile(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> Recon
     )
 
 
+# Value ranges of a bracket join: this many to each doubling of the value, and the last doubling of a double.
+RANGES_PER_DOUBLING = 4
+LAST_DOUBLING = 1025
+
+
+def value_range(value: Column, per_doubling: int = RANGES_PER_DOUBLING) -> Column:
+    """Number of the value's range, never falling as the value rises; the ranges widen with the value, so that any two
+    doubles are at most some thousand ranges apart. NaN is in the last range, null in none."""
+    doublings = F.log1p(F.abs(value.cast("double"))) * F.lit(per_doubling / math.log(2.0))
+    size = F.least(doublings, F.lit(float(LAST_DOUBLING * per_doubling)))
+    return F.when(value < 0, -F.floor(size)).otherwise(F.floor(size)).cast("int")
+
+
 def bracket_join(
     df: DataFrame, brackets: DataFrame, on: Sequence[str], value: str, low: str, high: str
 ) -> DataFrame:
-    """Left join to the bracket with ``low <= value < high`` among those of the same key."""
+    """Left join to the brackets with ``low <= value < high`` among those of the same key.
+
+    Key and value range together are the join key: a bracket is cut into one piece for each range it reaches, so rows
+    of one frequent key go to many tasks, and a row meets only the brackets near its value. A null value, a null
+    border and a bracket without width match nothing; overlapping brackets each match.
+    """
     b = brackets.select(*[F.col(c).alias(f"__b_{c}") if c in on else F.col(c) for c in brackets.columns])
-    condition = (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
+    first, last = value_range(F.col(low)), value_range(F.col(high))
+    pieces = b.filter(first <= last).withColumn("__piece", F.explode(F.sequence(first, last)))
+    condition = (F.col("__range") == F.col("__piece")) & (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
     for c in on:
         condition = condition & (F.col(c) == F.col(f"__b_{c}"))
-    return df.join(b, condition, "left").drop(*[f"__b_{c}" for c in on])
+    ranged = df.withColumn("__range", value_range(F.col(value)))
+    return ranged.join(pieces, condition, "left").drop("__range", "__piece", *[f"__b_{c}" for c in on])
 
 
 def conditional_lookup(df: DataFrame, dimension: DataFrame, on: Sequence[str], when: Column) -> DataFrame:

@@ -200,13 +200,14 @@ def price_tables(t: Mapping[str, DataFrame], fx: DataFrame, as_of: Column) -> di
         ["from_currency"],
         ["first_date", "exchange_rate"],
     ).select(F.col("from_currency").alias("konwa"), F.col("exchange_rate").alias("__fx"))
-    numbered = surrogate_ids(with_next_threshold(base), ["kunag", "matnr", "inco1"], "unique_id", FIRST_ID)
+    # Neighbours first: their aggregate reads the stored base, not the joins that follow.
+    keys = ["kunag", "matnr", "vkorg", "inco1"]
+    near = neighbours_in_time(base, keys, "valid_from", "valid_to", ["valid_price_base_currency"], as_of)
+    numbered = surrogate_ids(with_next_threshold(near), ["kunag", "matnr", "inco1"], "unique_id", FIRST_ID)
     priced = numbered.join(to_eur, "konwa", "left").withColumn(
         "fx_rate_into_eur", F.when(F.col("konwa") == BASE_CURRENCY, 1.0).otherwise(F.col("__fx"))
     )
     priced = priced.withColumn("rate_eur", F.try_divide(F.col("kbetr"), F.col("per")) * F.col("fx_rate_into_eur"))
-    keys = ["kunag", "matnr", "vkorg", "inco1"]
-    priced = neighbours_in_time(priced, keys, "valid_from", "valid_to", ["valid_price_base_currency"], as_of)
     priced = priced.withColumn("scale_type", validity_state(F.col("valid_from"), F.col("valid_to"), as_of))
     priced = priced.withColumnsRenamed(
         {

@@ -204,6 +204,45 @@ def test_bracket_is_half_open(spark):
     assert rows(got) == [(None, 5.0, None), ("x", 0.0, "low"), ("x", 10.0, "high"), ("x", 99.0, None), ("y", 5.0, None)]
 
 
+def test_brackets_of_one_key_equal_plain_comparison(spark):
+    rnd = random.Random(5)
+    inf, nan = float("inf"), float("nan")
+    values = [0.0, -0.0, 1.0, 2.0, 1e308, -1e308, inf, -inf, nan, None] + [rnd.uniform(-9, 9) * 10 ** rnd.randrange(-3, 9) for _ in range(200)]
+    borders = sorted(rnd.choice(values[10:]) for _ in range(24))
+    brackets = [("x", lo, hi, i) for i, (lo, hi) in enumerate(zip(borders, borders[3:]))]
+    brackets += [("x", 5.0, 5.0, 90), ("x", 9.0, 1.0, 91), ("x", None, 1.0, 92), ("x", 3.0, None, 93), ("x", -inf, inf, 94), ("y", 0.0, 1e12, 95), (None, 0.0, 1e12, 96)]
+    rows_in = [(k, n, v) for k in ("x", "y", None) for n, v in enumerate(values)]
+    expected = set()
+    for k, n, v in rows_in:
+        hit = {
+            i for key, lo, hi, i in brackets
+            if None not in (k, v, lo, hi) and key == k and v == v and lo <= v < hi
+        }
+        expected |= {(k, n, i) for i in hit or {None}}
+    df = spark.createDataFrame(rows_in, "i string, n int, v double")
+    b = spark.createDataFrame(brackets, "i string, lo double, hi double, b int")
+    got = [tuple(r) for r in joins.bracket_join(df, b, ["i"], "v", "lo", "hi").select("i", "n", "b").collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_rows_of_one_frequent_key_meet_their_brackets_in_many_parts(spark):
+    df = spark.range(5000).select(F.lit("x").alias("i"), (F.col("id") * 7.0).alias("v"))
+    b = spark.createDataFrame([("x", 0.0, 100.0, "a"), ("x", 100.0, 1e12, "b")], "i string, lo double, hi double, b string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = joins.bracket_join(df, b, ["i"], "v", "lo", "hi").groupBy(F.spark_partition_id().alias("p"), "b").count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    parts = {}
+    for r in got:
+        parts[r.p] = parts.get(r.p, 0) + r["count"]
+    assert len(parts) > 1 and max(parts.values()) < 5000 and sum(parts.values()) == 5000
+    assert sum(r["count"] for r in got if r.b == "a") == 15
+
+
 def test_later_rules_replace_earlier_ones(spark):
     df = spark.createDataFrame([("a", 1, "base"), ("a", 2, "base"), ("b", 1, "base")], "g string, c int, m string")
     own = spark.createDataFrame([("a", 1, "own")], "g string, c int, w string")
