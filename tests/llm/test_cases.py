@@ -46,6 +46,25 @@ def test_exact_copies_keeps_texts_with_one_digest_apart(odd):
     assert Counter(map(tuple, same.collect())) == Counter(map(tuple, right.collect()))
 
 
+@pytest.mark.parametrize("slices", [1, 3, 256])
+def test_exact_copies_of_hot_texts(ready, monkeypatch, slices):
+    """A third of all rows hold one text, ids repeat or are missing, and hashes of one letter are shared by different texts."""
+    monkeypatch.setattr(exact_dedup, "SLICES", slices)
+    texts = ["alpha  hot" if i % 3 == 0 else f"{'abc'[i % 7 % 3]} {i % 50}" for i in range(600)]
+    ids = [None if i % 11 == 0 else i // 2 for i in range(600)]
+    data = list(zip(ids, texts))
+    norm = [t.replace("  ", " ") for t in texts]
+    least, size = {}, Counter(norm)
+    for i, t in zip(ids, norm):
+        if i is not None:
+            least[t] = min(least.get(t, i), i)
+    want = Counter((i, least.get(t), size[t], i == least.get(t)) for i, t in zip(ids, norm))
+    docs = ready.createDataFrame(data, "doc_id long, text string").repartition(7)
+    for digest in (F.md5, lambda text: F.md5(F.substring(text, 1, 1))):
+        got = exact_dedup.exact_copies(docs, digest=digest).drop("text_sha256")
+        assert Counter(map(tuple, got.collect())) == want
+
+
 def test_licenses(ready, odd, empty):
     assert rows(licenses.license_units(odd)) == []
     assert rows(licenses.license_units(empty)) == []
