@@ -47,12 +47,14 @@ def exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     total = F.sum("n").over(Window.partitionBy("digest"))
     repeated = cut_lineage(slices.select("digest", "slice", total.alias("total")).where("total > 1").drop("total"))
 
-    classes = _classes(keyed.join(repeated, ["digest", "slice"], "left_semi"))
+    # Merge joins at any size: a plan that broadcasts while the copies are few would move no texts then and all of them later.
+    classes = _classes(keyed.join(repeated.hint("merge"), ["digest", "slice"], "left_semi"))
     settled = classes.groupBy("digest").agg(
         F.count(F.lit(1)).alias("texts"), F.min("keep").alias("keep"), F.min("size").alias("size")
     )
     settled = cut_lineage(settled)
-    found = prints.join(repeated.join(settled, "digest"), ["digest", "slice"], "left")
+    verdicts = repeated.join(settled.hint("merge"), "digest")
+    found = prints.join(verdicts.hint("merge"), ["digest", "slice"], "left")
     alone = F.col("texts").isNull()
     agreed = found.where(alone | (F.col("texts") == 1)).select(
         "id", F.when(alone, F.col("id")).otherwise(F.col("keep")).alias("keep"), F.coalesce("size", F.lit(1)).alias("size"), "sha"
