@@ -6,7 +6,7 @@ a group of any size sends one row a task.
 
 No join has the hash alone as its key on rows: the rows of a hash are dealt to slices by their id, and rows and verdicts meet by
 hash and slice. Only slices, at most ``SLICES`` to a hash, meet by hash alone. A hash shared by different texts is the one case in
-which rows meet their verdict by text.
+which rows meet their verdict by text. Rows without id, or with one id, and one text share a slice.
 """
 
 from __future__ import annotations
