@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _HIT = "__hit"
@@ -160,6 +160,27 @@ def join_back(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFr
     return df.join(df.groupBy(*keys).agg(*aggregates), list(keys), "left")
 
 
+def _neighbours(valid_from: str, valid_to: str, values: Sequence[str], as_of: Column) -> tuple[Column, Column]:
+    """Aggregates: the next future and the most recent past validity, each with its values."""
+    start, end = F.col(valid_from), F.col(valid_to)
+    item = F.struct(start.alias("from"), end.alias("to"), *[F.col(v).alias(v) for v in values])
+    ahead = (start > as_of) & (end > as_of)
+    behind = (start < as_of) & (end < as_of)
+    return F.min_by(item, F.when(ahead, item)), F.max_by(item, F.when(behind, F.struct(end.alias("to"), item.alias("item"))))
+
+
+def _named_neighbours(valid_from: str, valid_to: str, values: Sequence[str]) -> list[Column]:
+    return [
+        c
+        for name, prefix in (("__f", "future"), ("__p", "previous"))
+        for c in (
+            F.col(f"{name}.from").alias(f"{prefix}_{valid_from}"),
+            F.col(f"{name}.to").alias(f"{prefix}_{valid_to}"),
+            *[F.col(f"{name}.{v}").alias(f"{prefix}_{v}") for v in values],
+        )
+    ]
+
+
 def neighbours_in_time(
     df: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str, values: Sequence[str], as_of: Column
 ) -> DataFrame:
@@ -168,24 +189,16 @@ def neighbours_in_time(
     Future: starts and ends after ``as_of``, earliest start wins. Past: starts and ends before, latest end wins.
     Both come from one aggregate; ties fall to the higher remaining columns.
     """
-    start, end = F.col(valid_from), F.col(valid_to)
-    item = F.struct(start.alias("from"), end.alias("to"), *[F.col(v).alias(v) for v in values])
-    ahead = (start > as_of) & (end > as_of)
-    behind = (start < as_of) & (end < as_of)
-    picked = df.groupBy(*keys).agg(
-        F.min_by(item, F.when(ahead, item)).alias("__f"),
-        F.max_by(item, F.when(behind, F.struct(end.alias("to"), item.alias("item")))).alias("__p"),
-    )
-    flat = picked.select(
-        *keys,
-        *[
-            c
-            for name, prefix in (("__f", "future"), ("__p", "previous"))
-            for c in (
-                F.col(f"{name}.from").alias(f"{prefix}_{valid_from}"),
-                F.col(f"{name}.to").alias(f"{prefix}_{valid_to}"),
-                *[F.col(f"{name}.{v}").alias(f"{prefix}_{v}") for v in values],
-            )
-        ],
-    )
-    return df.join(flat, list(keys), "left")
+    future, past = _neighbours(valid_from, valid_to, values, as_of)
+    picked = df.groupBy(*keys).agg(future.alias("__f"), past.alias("__p"))
+    return df.join(picked.select(*keys, *_named_neighbours(valid_from, valid_to, values)), list(keys), "left")
+
+
+def neighbours_by_window(
+    df: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str, values: Sequence[str], as_of: Column
+) -> DataFrame:
+    """The same where a key has few rows and ``df`` is already dealt out by some of the keys: a window, without a shuffle of its own."""
+    future, past = _neighbours(valid_from, valid_to, values, as_of)
+    window, whole = Window.partitionBy(*keys), ~F.expr(" OR ".join(f"`{k}` IS NULL" for k in keys))
+    rows = df.withColumns({"__f": F.when(whole, future.over(window)), "__p": F.when(whole, past.over(window))})
+    return rows.select(*df.columns, *_named_neighbours(valid_from, valid_to, values))

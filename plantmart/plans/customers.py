@@ -14,6 +14,7 @@ from ..operators.checks import completeness_check, missing
 from ..operators.dedup import first_by, latest_by
 from ..operators.joins import only_members, without_members
 from ..operators.ranking import band_by_quantile
+from ..session import cut_lineage
 
 # Fixed values.
 SEGMENTS = [("Large", 0.9), ("Medium", 0.8)]
@@ -271,9 +272,12 @@ def cost_averages(complete: DataFrame, as_of: Column) -> DataFrame:
 
 
 def newest_condition(prices: DataFrame, state: str, out: str) -> DataFrame:
-    """Condition type of the customer's newest price in a validity state; the more frequent type wins a tie."""
+    """Condition type of the customer's newest price in a validity state; the more frequent type wins a tie.
+
+    ``prices``: price terms with the date of the newest price and the number of rates (``__rates``).
+    """
     rows = prices.filter(F.col("scale_type") == state).groupBy("cust_number", F.col("cond_type").alias(out)).agg(
-        F.max("valid_from").alias("__from"), F.count("scales_rate").alias("__n")
+        F.max("valid_from").alias("__from"), F.sum("__rates").alias("__n")
     )
     return latest_by(rows, ["cust_number"], ["__from", "__n", out]).select("cust_number", out)
 
@@ -285,6 +289,12 @@ def enriched_customers(customers: DataFrame, complete: DataFrame, prices: DataFr
     """
     averages = ["average_reb_kg_eur", "average_frght_kg_eur", "average_com_kg_eur"]
     base = customers.drop("upload_date", "source_system", "condition_type", "base_unit", *averages).distinct()
+    # Four lookups read the prices; they only need the newest price and the number of rates of each kind of terms.
+    prices = cut_lineage(
+        prices.groupBy("cust_number", "sales_org", "uom", "scale_type", "cond_type").agg(
+            F.max("valid_from").alias("valid_from"), F.count("scales_rate").alias("__rates")
+        )
+    )
     units = prices.select("cust_number", "sales_org", "valid_from", F.col("uom").alias("__unit"))
     by_org = latest_by(units, ["cust_number", "sales_org"], ["valid_from", "__unit"]).select(
         "cust_number", "sales_org", F.col("__unit").alias("__unit1")

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import from_inverted, validity_state
 from ..functions.missing import first_valid, number_or_null
 from ..functions.units import signed_rate, unit_factor
 from ..operators.dedup import first_by, latest_by
-from ..operators.joins import neighbours_in_time, only_members
-from ..operators.ordered import next_step
-from ..operators.ranking import surrogate_ids
+from ..operators.joins import neighbours_by_window, only_members
+from ..operators.ranking import total_in_front
 from ..operators.reshape import with_inverse
 from ..session import cut_lineage
 
@@ -83,7 +82,7 @@ def _unit(column: Column) -> Column:
     return F.when(column.isin("K", "EUR"), BASE_UNIT).otherwise(column)
 
 
-def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
+def price_base(t: Mapping[str, DataFrame], fx: DataFrame) -> DataFrame:
     """Price conditions of both sources with scales, units and price per unit.
 
     ``t``: customer_sales (kunnr, vkorg, vtweg, konda, inco1, inco2), group_conditions (konda, ...),
@@ -92,23 +91,15 @@ def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
 
     Three lookups multiply rows on purpose, as published: a group price holds for each customer of the group, a price for each
     different second delivery term and for each different (line of business, region) of its customer, and for each item and scale.
+
+    What a price says (items, scales, units, rates) is looked up on the conditions; a group's conditions meet its customers, with
+    what is known of these, last.
     """
     sales = t["customer_sales"]
-    terms = ["kunag", "inco1", "matnr", "vkorg", "knumh", "datbi", "datab", "kschl"]
-    by_group = t["group_conditions"].join(
-        sales.dropna(subset=["vkorg", "vtweg", "konda"]).select("konda", F.col("kunnr").alias("kunag")), "konda", "inner"
-    )
+    terms = ["inco1", "matnr", "vkorg", "knumh", "datbi", "datab", "kschl"]
     items = t["items"].withColumns({"kbetr": F.col("kbetr").cast("double"), "kstbm": F.col("kstbm").cast("double")})
     live = items.groupBy("knumh").agg(F.max("loevm_ko").alias("__deleted")).filter(F.col("__deleted") != DELETED)
     by_customer = only_members(t["customer_conditions"].filter(F.col("kschl").isin(*CUSTOMER_CONDITIONS)), live, ["knumh"])
-    conditions = (
-        by_group.select(*terms, F.lit(GROUP_SOURCE).alias("type1"))
-        .unionByName(by_customer.select(*terms, F.lit(CUSTOMER_SOURCE).alias("type1")))
-        .withColumnsRenamed({"datbi": "valid_to", "datab": "valid_from", "kschl": "cond_type"})
-    )
-    conditions = only_members(conditions, t["products"], {"matnr": "prod_number"})
-    conditions = only_members(conditions, t["customers"], {"kunag": "cust_number", "vkorg": "sales_org"})
-    delivery = sales.select(F.col("kunnr").alias("kunag"), "vkorg", "inco1", "inco2").distinct()
     item = items.filter((F.col("kbetr") != 0) & (F.col("loevm_ko") != DELETED)).select(
         "knumh",
         F.col("kstbm").alias("kstbm_p"),
@@ -125,13 +116,46 @@ def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
         F.col("kbetr").cast("double").alias("kbetr_m"),
         F.lit(SCALE_SOURCE).alias("type2_m"),
     )
+    to_eur = latest_by(
+        fx.filter((F.col("from_currency") != BASE_CURRENCY) & (F.col("to_currency") == BASE_CURRENCY)),
+        ["from_currency"],
+        ["first_date", "exchange_rate"],
+    ).select(F.col("from_currency").alias("konwa"), F.col("exchange_rate").alias("__fx"))
+    mass = mass_factors(t["units"])
+    pieces = t["material_units"].filter(F.col("meinh") == PIECE).groupBy("matnr").agg(
+        F.max(F.try_divide(F.col("umrez"), F.col("umren"))).alias("__piece")
+    )
+
+    def priced(conditions: DataFrame) -> DataFrame:
+        conditions = only_members(conditions, t["products"], {"matnr": "prod_number"})
+        return _priced(conditions.join(item, "knumh", "left").join(scale, "knumh", "left"), mass, pieces, to_eur)
+
+    by_group = priced(t["group_conditions"].select("konda", *terms, F.lit(GROUP_SOURCE).alias("type1")))
+    by_customer = priced(by_customer.select("kunag", *terms, F.lit(CUSTOMER_SOURCE).alias("type1")))
+
+    members = t["customers"].select(F.col("cust_number").alias("kunag"), F.col("sales_org").alias("vkorg")).distinct()
     regions = t["customers"].select(F.col("cust_number").alias("kunag"), "ibg", "cust_region").distinct()
-    rows = (
-        conditions.join(delivery, ["kunag", "vkorg", "inco1"], "left")
-        .join(item, "knumh", "left")
-        .join(scale, "knumh", "left")
-        .join(regions, "kunag", "left")
+    delivery = sales.select(F.col("kunnr").alias("kunag"), "vkorg", "inco1", "inco2").distinct()
+
+    def known(buyers: DataFrame) -> DataFrame:
+        return buyers.join(delivery, ["kunag", "vkorg", "inco1"], "left").join(regions, "kunag", "left")
+
+    in_group = sales.dropna(subset=["vkorg", "vtweg", "konda"]).select("konda", F.col("kunnr").alias("kunag"))
+    offered = t["group_conditions"].select("konda", "vkorg", "inco1").distinct()
+    buyers = known(in_group.join(members, "kunag").join(offered, ["konda", "vkorg"]))
+    same = (F.col("__konda") == F.col("konda")) & (F.col("__vkorg") == F.col("vkorg")) & F.col("__inco1").eqNullSafe(F.col("inco1"))
+    buyers = buyers.select(*[F.col(c).alias(f"__{c}") for c in ("konda", "vkorg", "inco1")], "kunag", "inco2", "ibg", "cust_region")
+    rows = by_group.join(buyers, same, "inner").drop("konda", "__konda", "__vkorg", "__inco1")
+    own = known(only_members(by_customer, members, ["kunag", "vkorg"]))
+    return rows.unionByName(own).select(
+        "kunag", "inco1", "inco2", "matnr", "vkorg", "valid_from", "valid_to", "uom", "uom_scale", "per", "scales_qty", "konwa", "kbetr",
+        "valid_price_base_currency", "ibg", "cust_region", "weight_rate_to_apply_scale", "weight_rate_to_apply",
+        "fx_rate_into_eur", "cond_type", "type1", "type2",
     )
+
+
+def _priced(rows: DataFrame, mass: DataFrame, pieces: DataFrame, to_eur: DataFrame) -> DataFrame:
+    """Conditions with their items and scales, in one price: unit, quantity, currency, rate into EUR."""
     scaled = F.col("type2_m").isNotNull()
     rows = rows.withColumns(
         {
@@ -144,14 +168,11 @@ def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
             "type2": F.coalesce("type2_p", "type2_m"),
         }
     )
-    mass = mass_factors(t["units"])
-    pieces = t["material_units"].filter(F.col("meinh") == PIECE).groupBy("matnr").agg(
-        F.max(F.try_divide(F.col("umrez"), F.col("umren"))).alias("__piece")
-    )
     rows = (
         rows.join(mass.select("uom", F.col("factor").alias("weight_rate_to_apply")), "uom", "left")
         .join(mass.select(F.col("uom").alias("uom_scale"), F.col("factor").alias("weight_rate_to_apply_scale")), "uom_scale", "left")
         .join(pieces, "matnr", "left")
+        .join(to_eur, "konwa", "left")
     )
 
     def factor(unit: str, column: str) -> Column:
@@ -164,12 +185,18 @@ def price_base(t: Mapping[str, DataFrame]) -> DataFrame:
             "valid_price_base_currency": F.round(F.try_divide(F.col("kbetr"), F.col("per")), 2),
         }
     )
-    return rows.select(
-        "kunag", "inco1", "inco2", "matnr", "vkorg", F.to_date("valid_from").alias("valid_from"),
-        F.to_date("valid_to").alias("valid_to"), "uom", "uom_scale",
-        (F.col("per") * F.col("weight_rate_to_apply")).alias("per"), "scales_qty", "konwa", "kbetr",
-        "valid_price_base_currency", "ibg", "cust_region", "weight_rate_to_apply_scale", "weight_rate_to_apply",
-        "cond_type", "type1", "type2",
+    rows = rows.withColumns(
+        {
+            "per": F.col("per") * F.col("weight_rate_to_apply"),
+            "fx_rate_into_eur": F.when(F.col("konwa") == BASE_CURRENCY, 1.0).otherwise(F.col("__fx")),
+            "valid_from": F.to_date("datab"),
+            "valid_to": F.to_date("datbi"),
+            "cond_type": F.col("kschl"),
+        }
+    )
+    return rows.drop(
+        "knumh", "datab", "datbi", "kschl", "kstbm_p", "kbetr_p", "uom_p", "uom_scale_p", "per_p", "konwa_p", "type2_p", "kstbm_m", "kbetr_m",
+        "type2_m", "__piece", "__fx",
     )
 
 
@@ -181,34 +208,53 @@ def with_next_threshold(base: DataFrame) -> DataFrame:
 
     Nulls in the key count as a value, so rows without region or group get a threshold too.
     """
-    steps = next_step(base.filter(F.col("scales_qty").isNotNull()), SCALE_KEYS, "scales_qty", "max_vol", OPEN_END)
-    steps = steps.withColumnsRenamed({c: f"__{c}" for c in [*SCALE_KEYS, "scales_qty"]})
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in SCALE_KEYS]
-    return base.join(steps, [*same, F.col("scales_qty") == F.col("__scales_qty")], "left").drop(
-        *[f"__{c}" for c in [*SCALE_KEYS, "scales_qty"]]
+    quantity = F.col("scales_qty")
+    by = Window.partitionBy(*SCALE_KEYS)
+    rows = base.withColumn("__next", F.lead("scales_qty").over(by.orderBy(quantity.asc_nulls_first())))
+    # Of rows with one quantity, only the last one is followed by a higher quantity.
+    higher = F.max(F.when(~F.col("__next").eqNullSafe(quantity), F.col("__next"))).over(Window.partitionBy(*SCALE_KEYS, "scales_qty"))
+    return rows.withColumn("max_vol", F.when(quantity.isNotNull(), F.coalesce(higher, F.lit(OPEN_END)))).drop("__next")
+
+
+ID_KEYS = ["kunag", "matnr", "inco1"]
+
+
+def with_ids(base: DataFrame) -> DataFrame:
+    """``unique_id``: a dense id per customer, product and delivery term, ascending in that order from ``FIRST_ID``.
+
+    Its place within the customer comes from the customer's own rows; in front of it are the ids of all customers before.
+    """
+    counts = base.select(*ID_KEYS).repartition("kunag").distinct().groupBy("kunag").agg(F.count(F.lit(1)).alias("__ids"))
+    before = total_in_front(counts, ["kunag"], "__ids", "__before")
+    within = F.dense_rank().over(Window.partitionBy("kunag").orderBy(*[F.col(c).asc_nulls_first() for c in ID_KEYS[1:]]))
+    rows = base.join(before.select("kunag", "__before"), "kunag", "left")
+    return rows.withColumn("unique_id", F.col("__before") + within + (FIRST_ID - 1)).drop("__before")
+
+
+def with_price_states(base: DataFrame, as_of: Column) -> DataFrame:
+    """Price in EUR per kilogram, and whether it is past, current or future."""
+    rate = F.try_divide(F.col("kbetr"), F.col("per")) * F.col("fx_rate_into_eur")
+    return base.withColumns({"rate_eur": rate, "scale_type": validity_state(F.col("valid_from"), F.col("valid_to"), as_of)})
+
+
+def customer_prices(t: Mapping[str, DataFrame], fx: DataFrame, as_of: Column) -> DataFrame:
+    """The columns of the price master that need no other price: nothing is stored, and no neighbour or id is looked for."""
+    return with_price_states(price_base(t, fx), as_of).select(
+        F.col("kunag").alias("cust_number"), F.col("vkorg").alias("sales_org"), "valid_from", "uom", "scale_type",
+        F.col("rate_eur").alias("scales_rate"), "cond_type",
     )
 
 
 def price_tables(t: Mapping[str, DataFrame], fx: DataFrame, as_of: Column) -> dict[str, DataFrame]:
     """Price scales in the condition's currency and unit, and the price master in EUR and kilograms.
 
-    The joined base is written to the shared folder once; thresholds, ids and neighbours all read it.
+    The joined base is written to the shared folder once. Ids, neighbours and thresholds are those of one customer, so the base is
+    shuffled once, by customer, for all of them.
     """
-    base = cut_lineage(price_base(t))
-    to_eur = latest_by(
-        fx.filter((F.col("from_currency") != BASE_CURRENCY) & (F.col("to_currency") == BASE_CURRENCY)),
-        ["from_currency"],
-        ["first_date", "exchange_rate"],
-    ).select(F.col("from_currency").alias("konwa"), F.col("exchange_rate").alias("__fx"))
-    # Neighbours first: their aggregate reads the stored base, not the joins that follow.
+    base = cut_lineage(price_base(t, fx))
     keys = ["kunag", "matnr", "vkorg", "inco1"]
-    near = neighbours_in_time(base, keys, "valid_from", "valid_to", ["valid_price_base_currency"], as_of)
-    numbered = surrogate_ids(with_next_threshold(near), ["kunag", "matnr", "inco1"], "unique_id", FIRST_ID)
-    priced = numbered.join(to_eur, "konwa", "left").withColumn(
-        "fx_rate_into_eur", F.when(F.col("konwa") == BASE_CURRENCY, 1.0).otherwise(F.col("__fx"))
-    )
-    priced = priced.withColumn("rate_eur", F.try_divide(F.col("kbetr"), F.col("per")) * F.col("fx_rate_into_eur"))
-    priced = priced.withColumn("scale_type", validity_state(F.col("valid_from"), F.col("valid_to"), as_of))
+    near = neighbours_by_window(with_ids(base), keys, "valid_from", "valid_to", ["valid_price_base_currency"], as_of)
+    priced = with_price_states(with_next_threshold(near), as_of)
     priced = priced.withColumnsRenamed(
         {
             "kunag": "cust_number", "matnr": "prod_number", "vkorg": "sales_org", "inco1": "incoterm1",
