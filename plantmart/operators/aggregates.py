@@ -49,3 +49,15 @@ def two_level_sum(
     """Sum per ``inner`` key, derive columns from those sums, then sum everything per ``outer`` key."""
     first = df.groupBy(*inner).agg(*[F.sum(c).alias(c) for c in sums]).withColumns(derive)
     return first.groupBy(*outer).agg(*[F.sum(c).alias(f"sum_{c}") for c in [*sums, *derive]])
+
+
+def exact_total(amount: str) -> Column:
+    """Total of an amount of money as a double that does not depend on the order of the rows; 0 without any amount.
+
+    Amounts are added as decimals of ten digits behind the point. Those a decimal cannot hold (NaN, infinite, 1e18 and more) are
+    added as doubles.
+    """
+    value = F.col(amount)
+    fixed = value.try_cast("decimal(28,10)")
+    rest = F.sum(F.when(fixed.isNull(), value))
+    return F.coalesce(F.sum(fixed).cast("double"), F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))

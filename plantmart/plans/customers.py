@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import months_since, period_start, trailing_year_start
 from ..functions.missing import first_valid, text_or_null
 from ..functions.text import first_token, joined_key, padded
+from ..operators.aggregates import exact_total
 from ..operators.checks import completeness_check, missing
 from ..operators.dedup import first_by, latest_by
 from ..operators.joins import only_members, without_members
@@ -35,7 +36,8 @@ RECENT_MONTHS = 6
 def segments(t: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
     """Customers with their group and its size: group margin of the trailing year against its 80 % and 90 % quantile.
 
-    Active customers without any transaction are listed too; a customer whose group has no recent margin is small.
+    Active customers without any transaction are listed too; a customer whose group has no recent margin is small. Margins are added
+    up as decimals, so that groups of equal margin are equal in any order of their rows and none is parted from a quantile between them.
     ``t``: transactions, group_mapping, customer_sales, customer_master.
     """
     mapping = first_by(
@@ -60,7 +62,7 @@ def segments(t: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
 
     sales = grouped(sales)
     recent = sales.filter(F.col("__day") >= trailing_year_start(as_of))
-    margins = recent.groupBy("cust_grp_adj").agg(F.coalesce(F.sum("cmstd_eur"), F.lit(0.0)).alias("__margin"))
+    margins = recent.groupBy("cust_grp_adj").agg(exact_total("cmstd_eur").alias("__margin"))
     sized = band_by_quantile(margins, "__margin", SEGMENTS, SMALLEST_SEGMENT, "cust_segment").drop("__margin")
 
     master = t["customer_master"].select(
