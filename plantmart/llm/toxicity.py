@@ -1,34 +1,43 @@
-"""Toxicity: a convolutional text classifier, trained in numpy.
+"""Toxicity: a convolutional text classifier, trained by Spark on all labelled documents.
 
 A word's vector is the sum of the hashed vectors of the word and of its first bytes. Filters of several widths slide over the whole
 text, each keeps its largest value, and a linear layer gives the logit. Each language gets a threshold of its own, found on
 training documents that were left out of the fit; the logit is shifted by it, so that 0.5 is the threshold in any language. The
 language is guessed from the text's function words.
+
+The buckets that tell the marks apart are counted over all texts. Then the texts, as the places of these words, are dealt to at most
+``PARTS`` tasks; in each round every task trains the network on its texts in numpy, and the driver averages the networks. Only
+counts, networks and histograms of logits reach the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .merges import spread
+from ..session import cut_lineage, shuffles_released
 from .registry import query, table
-from .samples import held_out, labelled_texts
+from .samples import all_labelled, held_out
 from .words import U, Words, buffers, mix, word_slices, words_of
 
-SAMPLE_ROWS = 1500  # bound of the labelled sample for each mark
 BUCKETS = 1 << 20
 PREFIXES = (4, 6)  # bytes
 WIDTHS, FILTERS, SIZE = (1, 2, 3), 8, 12
-EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.02, 1e-4
+ROUNDS, BATCH, RATE, DECAY = 4, 64, 0.02, 1e-4
+PARTS, PART_TEXTS = 32, 2048  # tasks that train, and texts for each until there are so many tasks
+PASSES, FEW_TEXTS = 3, 2 * PART_TEXTS  # passes of a task over its texts in a round if they are not more than this; else one
 MIN_TEXTS = 3  # a bucket has a vector if so many training texts have it,
-MIN_GAP = 3.0  # and if the marks differ by so many standard deviations in their share of it
+MIN_GAP = 3.0  # if the marks differ by so many standard deviations in their share of it,
+MIN_EFFECT = 0.1  # and by this times the deviation of one text, so that the vocabulary does not grow with the table
 MIN_CALIBRATION = 20  # documents of each mark that a language needs for a threshold of its own
+LOGIT_STEPS = 100  # logits are counted in steps of this part of one
 CLEAN_WEIGHT = 3.0  # share of clean texts above the threshold against share of toxic texts below it
 # Frequent function words by language.
 FUNCTION_WORDS = {
@@ -171,127 +180,94 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Part:
-    """What training keeps of a run of texts: buckets of its distinct words, the words by number, and their texts."""
-
-    buckets: np.ndarray
-    word: np.ndarray
-    text: np.ndarray
-
-
-def _telling(parts: list[Part], marks: np.ndarray, learn: np.ndarray) -> np.ndarray:
-    """Buckets that at least ``MIN_TEXTS`` texts of the fit have, and that have clearly different shares of the two marks."""
-    n, toxic = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for part in parts:  # a text lies in one part
-        pairs = np.unique(part.text[:, None].astype(np.int64) * BUCKETS + part.buckets[part.word])
-        bucket, text = pairs % BUCKETS, pairs // BUCKETS
-        bucket, text = bucket[learn[text]], text[learn[text]]
-        n += np.bincount(bucket, minlength=BUCKETS)
-        toxic += np.bincount(bucket[marks[text] == 1], minlength=BUCKETS)
-    a, b = marks[learn].sum(), (1 - marks[learn]).sum()
-    share = (n + 0.5) / (a + b + 1)
-    gap = (toxic / max(a, 1) - (n - toxic) / max(b, 1)) / np.sqrt(share * (1 - share) * (1 / max(a, 1) + 1 / max(b, 1)))
-    return np.flatnonzero((n >= MIN_TEXTS) & (np.abs(gap) >= MIN_GAP))
-
-
-def _some(windows: Windows, chosen: np.ndarray) -> Windows:
-    """The windows of some texts, rising, which are numbered anew."""
-    kinds, texts = [], []
-    for held, text in zip(windows.kinds, windows.text):
-        low, high = np.searchsorted(text, chosen), np.searchsorted(text, chosen, side="right")
-        kinds.append(held[spread(low, high - low)])
-        texts.append(np.repeat(np.arange(len(chosen)), high - low))
-    return Windows(len(chosen), kinds, texts)
-
-
-def fit(texts: pa.Array, marks: np.ndarray, seed: int = 7) -> Network:
-    """A network for ``marks`` (0 or 1). Every fifth text is left out of the fit and calibrates the thresholds.
-
-    Without texts of both marks the network gives every text the share of marks (a half without any text).
-    """
-    random = np.random.default_rng(seed)
-    parts, language = [], []
-    for at, _, words in word_slices(texts):
-        parts.append(Part(*distinct_buckets(words), (words.text + at).astype(np.int32)))
-        language.append(languages(words))
-    n = len(texts)
-    left_out = np.arange(n) % 5 == 4
-    learn = np.flatnonzero(~left_out)
-    vocabulary = Vocabulary(_telling(parts, marks, ~left_out))
-    none = len(vocabulary.known)
-    share = (marks.sum() + 1) / (n + 2)
-    net = Network(
-        vocabulary, np.vstack([random.normal(0, 0.05, (none, SIZE)), np.zeros((1, SIZE))]),
-        [random.normal(0, 1, (w, SIZE, FILTERS)) / np.sqrt(SIZE) for w in WIDTHS], [np.zeros(FILTERS) for _ in WIDTHS],
-        random.normal(0, 0.3, FILTERS * len(WIDTHS)), float(np.log(share / (1 - share))), np.zeros(len(LANGUAGES) + 1),
+class Texts:
+    """Training texts as the places of their words with a vector: marks, where each text's places begin, places, vector numbers."""
+
+    marks: np.ndarray
+    first: np.ndarray
+    place: np.ndarray
+    vectors: np.ndarray  # places x columns of ``buckets``
+
+    def some(self, low: int, high: int) -> tuple[np.ndarray, Windows]:
+        """Vector numbers of the word kinds (each place is one, the last is the blank) and windows of texts ``low`` to ``high``."""
+        first = self.first[low : high + 1]
+        place = self.place[first[0] : first[-1]]
+        n = np.diff(first)
+        # Behind a text's last place there are blanks only.
+        size = np.zeros(high - low, np.int64)
+        size[n > 0] = place[first[1:][n > 0] - first[0] - 1] + 1
+        begin = np.cumsum(size) - size
+        blank = len(place)
+        kind = np.full(size.sum(), blank, np.int32)
+        kind[np.repeat(begin, n) + place] = np.arange(blank)
+        return self.vectors[first[0] : first[-1]], windows_of(kind, np.repeat(np.arange(high - low), size), high - low, blank)
+
+
+def texts_of(batch: pa.RecordBatch) -> Texts:
+    place, vectors = (batch.column(batch.schema.get_field_index(c)) for c in ("place", "vectors"))
+    first = place.offsets.to_numpy().astype(np.int64)
+    return Texts(
+        np.asarray(batch.column(batch.schema.get_field_index("mark"))).astype(np.int64), first - first[0],
+        place.flatten().to_numpy(), vectors.flatten().to_numpy().reshape(-1, 1 + len(PREFIXES)),
     )
-    if min(marks[learn].sum(), (1 - marks[learn]).sum()) == 0:
-        net.out[:] = 0
-        return net
-    tables, kinds, rows = [], [], 0
-    for part in parts:
-        table, kind = _kinds(part.buckets, part.word, vocabulary)
-        tables.append(table[:-1])
-        kinds.append(np.where(kind == len(table) - 1, -1, kind + rows))
-        rows += len(table) - 1
-    table = np.vstack([*tables, np.full((1, 1 + len(PREFIXES)), none)])
-    kind = np.concatenate(kinds)
-    text = [part.text for part in parts]
-    everything = windows_of(np.where(kind < 0, rows, kind), np.concatenate(text), n, rows)
-    weight = np.where(marks == 1, 0.5 / marks[learn].sum(), 0.5 / (1 - marks[learn]).sum()) * len(learn)
-    net.out_bias = 0.0
-    bias = np.zeros(1)
-    values = [net.vectors, *net.filters, *net.bias, net.out, bias]
-    moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
-    step = 0
-    for epoch in range(EPOCHS):
-        order = random.permutation(learn)
-        for start in range(0, len(order), BATCH):
-            chosen = np.sort(order[start : start + BATCH])
-            windows = _some(everything, chosen)
-            used, inverse = np.unique(np.concatenate([h.ravel() for h in windows.kinds] + [[rows]]), return_inverse=True)
-            ends = np.cumsum([h.size for h in windows.kinds])
-            windows.kinds = [i.reshape(h.shape) for i, h in zip(np.split(inverse[:-1], ends[:-1]), windows.kinds)]
-            vectors = net.vectors[table[used]].sum(1)
-            pooled, places = net.pooled(vectors, windows)
-            error = (_sigmoid(pooled @ net.out + bias[0]) - marks[chosen]) * weight[chosen] / len(chosen)
-            back = error[:, None] * net.out * (pooled > 0)
-            grads = [np.zeros_like(v) for v in values]
-            grads[-2], grads[-1][0] = pooled.T @ error, error.sum()
-            pull = np.zeros_like(vectors)
-            for k, (held, place) in enumerate(zip(windows.kinds, places)):
-                part = back[:, k * FILTERS : (k + 1) * FILTERS]
-                grads[1 + len(WIDTHS) + k] = part.sum(0)
-                own, column = np.nonzero((place >= 0) & (part != 0))
-                if not len(own):
-                    continue
-                amount, window = part[own, column], held[place[own, column]]
-                for j in range(held.shape[1]):
-                    word = window[:, j]
-                    np.add.at(grads[1 + k][j].T, column, vectors[word] * amount[:, None])
-                    np.add.at(pull, word, net.filters[k][j].T[column] * amount[:, None])
-            for column in range(table.shape[1]):
-                np.add.at(grads[0], table[used][:, column], pull)
-            grads[0] += DECAY * net.vectors
-            grads[0][none] = 0
-            step += 1
-            rate = RATE * (1 - epoch / EPOCHS)
-            for value, grad, (m, v) in zip(values, grads, moments):
-                m += 0.1 * (grad - m)
-                v += 0.001 * (grad * grad - v)
-                value -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    net.out_bias = float(bias[0])
-    pooled, _ = net.pooled(net.vectors[table].sum(1), everything)
-    net.shifts = _thresholds(pooled @ net.out + net.out_bias, np.concatenate(language), marks, left_out)
-    return net
 
 
-def _threshold(logits: np.ndarray, marks: np.ndarray) -> float:
-    """The logit that parts the marks best, in the middle of the gap; a clean text above it weighs ``CLEAN_WEIGHT`` times."""
-    order = np.argsort(logits)
-    logits, marks = logits[order], marks[order]
-    good = np.cumsum(1 - marks) / max(1, (1 - marks).sum())  # clean texts at or below
-    bad = np.cumsum(marks) / max(1, marks.sum())  # toxic texts at or below
+class Learner:
+    """Adam on a network's values; ``weight`` has the weights of texts of mark 0 and 1."""
+
+    def __init__(self, net: Network, weight: np.ndarray, rate: float):
+        self.net, self.weight, self.rate, self.step = net, weight, rate, 0
+        self.bias = np.full(1, net.out_bias)
+        self.values = [net.vectors, *net.filters, *net.bias, net.out, self.bias]
+        self.moments = [(np.zeros_like(v), np.zeros_like(v)) for v in self.values]
+        self.texts, self.seen = 0, np.zeros(len(net.vectors), np.int64)
+
+    def learn(self, texts: Texts) -> None:
+        for low in range(0, len(texts.marks), BATCH):
+            self._batch(texts, low, min(low + BATCH, len(texts.marks)))
+
+    def _batch(self, texts: Texts, low: int, high: int) -> None:
+        net, none, marks = self.net, len(self.net.vocabulary.known), texts.marks[low:high]
+        rows, windows = texts.some(low, high)
+        self.texts += high - low
+        self.seen += np.bincount(rows.ravel(), minlength=none + 1)
+        vectors = np.vstack([net.vectors[rows].sum(1), np.zeros((1, SIZE))])
+        pooled, places = net.pooled(vectors, windows)
+        error = (_sigmoid(pooled @ net.out + self.bias[0]) - marks) * self.weight[marks] / (high - low)
+        back = error[:, None] * net.out * (pooled > 0)
+        grads = [np.zeros_like(v) for v in self.values]
+        grads[-2], grads[-1][0] = pooled.T @ error, error.sum()
+        pull = np.zeros_like(vectors)
+        for k, (held, place) in enumerate(zip(windows.kinds, places)):
+            part = back[:, k * FILTERS : (k + 1) * FILTERS]
+            grads[1 + len(WIDTHS) + k] = part.sum(0)
+            own, column = np.nonzero((place >= 0) & (part != 0))
+            if not len(own):
+                continue
+            amount, window = part[own, column], held[place[own, column]]
+            for j in range(held.shape[1]):
+                word = window[:, j]
+                np.add.at(grads[1 + k][j].T, column, vectors[word] * amount[:, None])
+                np.add.at(pull, word, net.filters[k][j].T[column] * amount[:, None])
+        moved = np.flatnonzero(pull[:-1].any(1))
+        for column in range(rows.shape[1]):
+            np.add.at(grads[0], rows[moved, column], pull[moved])
+        grads[0] += DECAY * net.vectors
+        grads[0][none] = 0
+        self.step += 1
+        for value, grad, (m, v) in zip(self.values, grads, self.moments):
+            m += 0.1 * (grad - m)
+            v += 0.001 * (grad * grad - v)
+            value -= self.rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-8)
+
+
+def _threshold(logits: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The logit that parts the marks best, in the middle of the gap; a clean text above it weighs ``CLEAN_WEIGHT`` times.
+
+    ``clean`` and ``toxic`` are the numbers of texts at each of the rising ``logits``.
+    """
+    good = np.cumsum(clean) / max(1, clean.sum())  # clean texts at or below
+    bad = np.cumsum(toxic) / max(1, toxic.sum())  # toxic texts at or below
     gain = np.concatenate([[0], CLEAN_WEIGHT * good - bad])
     best = np.flatnonzero(gain >= gain.max() - 1e-12)
     middle = best[len(best) // 2]
@@ -300,15 +276,26 @@ def _threshold(logits: np.ndarray, marks: np.ndarray) -> float:
     return float((low + high) / 2)
 
 
-def _thresholds(logits: np.ndarray, language: np.ndarray, marks: np.ndarray, left_out: np.ndarray) -> np.ndarray:
-    """Threshold of each language on the texts left out of the fit; languages with few of them get the one of all."""
-    own = lambda rows: min(marks[rows].sum(), (1 - marks[rows]).sum())
-    rows = left_out if own(left_out) >= MIN_CALIBRATION else np.ones(len(marks), bool)
-    out = np.full(len(LANGUAGES) + 1, _threshold(logits[rows], marks[rows]))
+def _thresholds(found: pa.Table) -> np.ndarray:
+    """Threshold of each language on the texts left out of the fit; languages with few of them get the one of all.
+
+    ``found`` counts the texts of each left_out, language, logit.
+    """
+    left_out, language, logit, clean, toxic = (found.column(c).to_numpy() for c in ("left_out", "language", "logit", "clean", "toxic"))
+    left_out = left_out.astype(bool)
+
+    def enough(rows: np.ndarray) -> bool:
+        return min(clean[rows].sum(), toxic[rows].sum()) >= MIN_CALIBRATION
+
+    def threshold(rows: np.ndarray) -> float:
+        logits, at = np.unique(logit[rows], return_inverse=True)
+        return _threshold(logits / LOGIT_STEPS, np.bincount(at, clean[rows]), np.bincount(at, toxic[rows]))
+
+    out = np.full(len(LANGUAGES) + 1, threshold(left_out if enough(left_out) else np.ones(len(logit), bool)))
     for k in range(len(LANGUAGES)):
         some = left_out & (language == k)
-        if own(some) >= MIN_CALIBRATION:
-            out[k] = _threshold(logits[some], marks[some])
+        if enough(some):
+            out[k] = threshold(some)
     return out
 
 
@@ -325,9 +312,175 @@ def scorer(spark: SparkSession, net: Network):
     return score
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Network:
-    sample = labelled_texts(docs, labels, "toxic", most)
-    return fit(sample.column("text").combine_chunks(), np.asarray(sample.column("mark").to_numpy(), np.int64))
+def counted(texts: DataFrame) -> DataFrame:
+    """For each bucket the number of texts and of toxic texts of the fit that have it: bucket, n, toxic.
+
+    Bucket ``BUCKETS`` counts all texts of the fit, the one after it those left out as well.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, toxic = np.zeros(BUCKETS + 2, np.int64), np.zeros(BUCKETS + 2, np.int64)
+        for batch in batches:
+            marks, left_out = (np.asarray(batch.column(i)).astype(np.int64) for i in (1, 2))
+            n += np.bincount([BUCKETS, BUCKETS + 1], [(1 - left_out).sum(), len(marks)], BUCKETS + 2).astype(np.int64)
+            toxic += np.bincount([BUCKETS, BUCKETS + 1], [marks[left_out == 0].sum(), marks.sum()], BUCKETS + 2).astype(np.int64)
+            for at, to, words in word_slices(batch.column(0)):
+                found, word = distinct_buckets(words)
+                learned = left_out[at:to][words.text] == 0
+                pairs = np.unique(words.text[learned, None].astype(np.int64) * BUCKETS + found[word[learned]])
+                bucket, mark = pairs % BUCKETS, marks[at:to][pairs // BUCKETS]
+                n += np.bincount(bucket, minlength=BUCKETS + 2)
+                toxic += np.bincount(bucket[mark == 1], minlength=BUCKETS + 2)
+        some = np.flatnonzero(n)
+        for at in range(0, len(some), 1 << 16):
+            part = some[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (part.astype(np.int32), n[part], toxic[part])], ["bucket", "n", "toxic"])
+
+    rows = texts.select("text", "mark", F.col("left_out").cast("int").alias("left_out"))
+    return rows.mapInArrow(count, "bucket int, n long, toxic long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+
+
+def telling(counts: DataFrame, clean: int, toxic: int) -> np.ndarray:
+    """Buckets that at least ``MIN_TEXTS`` texts of the fit have, and that have clearly different shares of the two marks."""
+    rate, other = F.col("toxic") / max(toxic, 1), (F.col("n") - F.col("toxic")) / max(clean, 1)
+    share, middle = (F.col("n") + 0.5) / (clean + toxic + 1), (rate + other) / 2
+    gap = F.abs(rate - other)
+    known = counts.where(
+        (F.col("bucket") < BUCKETS) & (F.col("n") >= MIN_TEXTS)
+        & (gap >= MIN_GAP * F.sqrt(share * (1 - share) * (1 / max(toxic, 1) + 1 / max(clean, 1))))
+        & (gap >= MIN_EFFECT * F.sqrt(middle * (1 - middle)))
+    )
+    return np.sort(known.select("bucket").toArrow().column(0).to_numpy())
+
+
+def placed(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Each text as the places of its words with a vector: doc_id, mark, left_out, language, place, vectors (see ``Texts``)."""
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        for batch in batches:
+            for at, to, words in word_slices(batch.column(1)):
+                rows, number = kinds_of(words, vocabulary)
+                some = np.flatnonzero(number != len(rows) - 1)
+                first = words.first
+                bounds = np.searchsorted(some, first).astype(np.int32)
+                places = (some - first[words.text[some]]).astype(np.int32)
+                vectors = rows[number[some]].astype(np.int32)
+                part = batch.slice(at, to - at)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), part.column(2), part.column(3), pa.array(languages(words).astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(places)),
+                        pa.ListArray.from_arrays(pa.array(bounds * np.int32(vectors.shape[1])), pa.array(vectors.ravel())),
+                    ],
+                    ["doc_id", "mark", "left_out", "language", "place", "vectors"],
+                )
+
+    rows = texts.select("doc_id", "text", "mark", "left_out")
+    schema = f"doc_id {kind}, mark int, left_out boolean, language int, place array<int>, vectors array<int>"
+    return rows.mapInArrow(place, schema)
+
+
+def _round(rows: DataFrame, net: Network, weight: np.ndarray, rate: float, passes: int) -> Network:
+    """The mean of the networks that the partitions of ``rows`` train from ``net``, each on its own texts.
+
+    A word's vector counts by how often the partition has the word, the other values by the partition's texts.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((net, weight))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner = Learner(*shared.value, rate)
+        parts = (texts_of(batch) for batch in batches)
+        # More than one pass is only for few texts.
+        held = list(parts) if passes > 1 else parts
+        for _ in range(passes):
+            for texts in held:
+                learner.learn(texts)
+        if learner.texts:
+            values = np.concatenate([v.ravel() for v in learner.values]).astype(np.float32)
+            columns = [[TaskContext.get().partitionId()], [learner.texts], [learner.seen.astype(np.int32).tobytes()], [values.tobytes()]]
+            types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["part", "n", "seen", "vals"])
+
+    trained = rows.select("mark", "place", "vectors").mapInArrow(learn, "part int, n long, seen binary, vals binary")
+    with shuffles_released(rows.sparkSession):
+        found = trained.toArrow().sort_by("part").to_pylist()
+    shared.destroy()
+    values = Learner(net, weight, rate).values
+    total, own = np.zeros(sum(v.size for v in values)), np.zeros(len(net.vectors))
+    texts, width = sum(r["n"] for r in found), net.vectors.size
+    for r in found:
+        vals, seen = np.frombuffer(r["vals"], np.float32), np.frombuffer(r["seen"], np.int32)
+        total[:width] += vals[:width] * np.repeat(seen, SIZE)
+        total[width:] += vals[width:] * (r["n"] / texts)
+        own += seen
+    used = np.repeat(own, SIZE)
+    total[:width] = np.where(used > 0, total[:width] / np.maximum(used, 1), net.vectors.ravel())
+    ends = np.cumsum([v.size for v in values])
+    vectors, *rest = (part.reshape(v.shape) for part, v in zip(np.split(total, ends[:-1]), values))
+    return Network(net.vocabulary, vectors, rest[: len(WIDTHS)], rest[len(WIDTHS) : -2], rest[-2], float(rest[-1][0]), net.shifts)
+
+
+def logit_counts(rows: DataFrame, net: Network) -> pa.Table:
+    """The number of clean and of toxic texts of each left_out, language and rounded logit: at most some thousand rows."""
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = shared.value
+        for batch in batches:
+            texts = texts_of(batch)
+            found = []
+            for low in range(0, len(texts.marks), BATCH):
+                numbers, windows = texts.some(low, min(low + BATCH, len(texts.marks)))
+                pooled, _ = net.pooled(np.vstack([net.vectors[numbers].sum(1), np.zeros((1, SIZE))]), windows)
+                found.append(pooled @ net.out + net.out_bias)
+            logits = np.clip(np.concatenate(found) if found else np.zeros(0), -30, 30)
+            columns = [batch.column(i) for i in (0, 1, 2)] + [pa.array(np.rint(logits * LOGIT_STEPS).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["mark", "left_out", "language", "logit"])
+
+    scored = rows.select("mark", "left_out", "language", "place", "vectors").mapInArrow(
+        score, "mark int, left_out boolean, language int, logit int"
+    )
+    with shuffles_released(rows.sparkSession):
+        return scored.groupBy("left_out", "language", "logit").agg(
+            F.sum(1 - F.col("mark")).alias("clean"), F.sum("mark").alias("toxic")
+        ).toArrow()
+
+
+def train(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Network:
+    """A network for the marks of all labelled documents. A fifth of them is left out of the fit and calibrates the thresholds.
+
+    Without texts of both marks the network gives every text the share of marks (a half without any text).
+    """
+    # The hash also tells apart what the held-out fold's remainder leaves.
+    texts = all_labelled(docs, labels, "toxic").withColumn("left_out", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 4)
+    counts = cut_lineage(counted(texts))
+    totals = {r["bucket"]: (r["n"], r["toxic"]) for r in counts.where(F.col("bucket") >= BUCKETS).collect()}
+    (n, toxic), (every, marked) = (totals.get(k, (0, 0)) for k in (BUCKETS, BUCKETS + 1))
+    both = 0 < toxic < n
+    vocabulary = Vocabulary(telling(counts, n - toxic, toxic) if both else np.zeros(0, np.int32))
+    none, share = len(vocabulary.known), (marked + 1) / (every + 2)
+    random = np.random.default_rng(seed)
+    net = Network(
+        vocabulary, np.vstack([random.normal(0, 0.05, (none, SIZE)), np.zeros((1, SIZE))]),
+        [random.normal(0, 1, (w, SIZE, FILTERS)) / np.sqrt(SIZE) for w in WIDTHS], [np.zeros(FILTERS) for _ in WIDTHS],
+        random.normal(0, 0.3, FILTERS * len(WIDTHS)), 0.0, np.zeros(len(LANGUAGES) + 1),
+    )
+    if not both:
+        net.out[:], net.out_bias = 0, float(np.log(share / (1 - share)))
+        return net
+    rows = cut_lineage(placed(texts, vocabulary))
+    parts = min(PARTS, -(-n // PART_TEXTS))
+    # Dealt by id and read in order of its hash, so that the network depends on the rows alone.
+    dealt = rows.where(~F.col("left_out")).repartition(parts, "doc_id").sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "doc_id", "mark", "place", "vectors")
+    weight = np.array([0.5 / (n - toxic), 0.5 / toxic]) * n
+    passes = PASSES if n <= parts * FEW_TEXTS else 1
+    for k in range(ROUNDS):
+        net = _round(dealt, net, weight, RATE * (1 - k / ROUNDS), passes)
+    net.shifts = _thresholds(logit_counts(rows, net))
+    return net
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, text_column: str = "text") -> Column:
