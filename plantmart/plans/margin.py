@@ -36,6 +36,43 @@ def unit_economics() -> list[dict[str, Column]]:
     ]
 
 
+def priced(transactions: DataFrame) -> DataFrame:
+    """Transactions of the last twelve months with family, slice and unit economics."""
+    rows = transactions.filter(F.col("rolling_12_month") == "Yes").fillna(
+        0.0, subset=["reb_kg_eur", "frght_kg_eur", "othvse_kg_eur"]
+    )
+    rows = rows.withColumn("pfam", joined_key("bu", F.lit("/"), padded(F.col("pfam"), 3)))
+    rows = rows.withColumns({"giv_abs": F.col("giv_kg_eur") * F.col("transactional_vol_kg"), SLICE: slice_key()})
+    for step in unit_economics():
+        rows = rows.withColumns(step)
+    return rows
+
+
+def with_volume_index(rows: DataFrame, volume_index: DataFrame) -> DataFrame:
+    return lookup(rows, volume_index.select(F.col("pline").alias("pfam"), "volume_index").distinct(), ["pfam"])
+
+
+def with_bracket(rows: DataFrame, brackets: DataFrame) -> DataFrame:
+    limits = brackets.select(
+        "volume_index", F.col("min").alias("__lo"), F.col("max").alias("__hi"), F.col("bracket").alias("yearly_volume_bracket")
+    ).distinct()
+    return bracket_join(rows, limits, ["volume_index"], "yearly_volume_rxcxp", "__lo", "__hi").drop("__lo", "__hi")
+
+
+def with_managers(rows: DataFrame, managers: DataFrame) -> DataFrame:
+    rules = managers.select(
+        F.col("ml2").alias("ibg"), F.col("customer").alias("cust_number"), "sales_org", "am_responsible"
+    )
+    return override(
+        rows,
+        "account_manager",
+        [
+            (rules.filter(F.col("cust_number").isNotNull()), ["ibg", "cust_number", "sales_org"], "am_responsible"),
+            (rules.filter(F.col("cust_number").isNull()), ["ibg", "sales_org"], "am_responsible"),
+        ],
+    )
+
+
 def margin_matrix(
     transactions: DataFrame,
     volume_index: DataFrame,
@@ -60,14 +97,7 @@ def margin_matrix(
     transactions = transactions.withColumn(
         "__part", F.pmod(F.xxhash64("prod_number", "cust_number", "transactional_vol_kg", "giv_kg_eur"), F.lit(MONTH_PARTS))
     )
-    rows = transactions.filter(F.col("rolling_12_month") == "Yes").fillna(
-        0.0, subset=["reb_kg_eur", "frght_kg_eur", "othvse_kg_eur"]
-    )
-    rows = rows.withColumn("pfam", joined_key("bu", F.lit("/"), padded(F.col("pfam"), 3)))
-    rows = rows.withColumns({"giv_abs": F.col("giv_kg_eur") * F.col("transactional_vol_kg"), SLICE: slice_key()})
-    for step in unit_economics():
-        rows = rows.withColumns(step)
-    rows = lookup(rows, volume_index.select(F.col("pline").alias("pfam"), "volume_index").distinct(), ["pfam"])
+    rows = with_volume_index(priced(transactions), volume_index)
     levels = slice_levels(rows, order)
     first = F.col("instance_rxcxp") == 1
     rows = occurrence_index(rows, [SLICE], order, chunk, "instance_rxcxp").drop("__part").join(levels, SLICE_KEYS, "left")
@@ -77,21 +107,7 @@ def margin_matrix(
             "avg_pg_cm_kg_eur": F.when(first, F.col("avg_pg_cm_kg_eur")),
         }
     ).drop("__level")
-    limits = brackets.select(
-        "volume_index", F.col("min").alias("__lo"), F.col("max").alias("__hi"), F.col("bracket").alias("yearly_volume_bracket")
-    ).distinct()
-    rows = bracket_join(rows, limits, ["volume_index"], "yearly_volume_rxcxp", "__lo", "__hi").drop("__lo", "__hi")
-    rules = managers.select(
-        F.col("ml2").alias("ibg"), F.col("customer").alias("cust_number"), "sales_org", "am_responsible"
-    )
-    rows = override(
-        rows,
-        "account_manager",
-        [
-            (rules.filter(F.col("cust_number").isNotNull()), ["ibg", "cust_number", "sales_org"], "am_responsible"),
-            (rules.filter(F.col("cust_number").isNull()), ["ibg", "sales_org"], "am_responsible"),
-        ],
-    )
+    rows = with_managers(with_bracket(rows, brackets), managers)
     share = F.try_divide(F.col("avg_rxcxp_cm_kg_eur"), F.col("avg_pg_cm_kg_eur"))
     # Five tables read these rows; they are written once.
     rows = cut_lineage(rows.withColumn("avg_rxcxp_cm_perc", F.when(first, share).otherwise(0.0)))
@@ -111,12 +127,18 @@ def slice_levels(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     follows from one line per slice: its level and how many of its rows have a figure. Rows without a slice are numbered as one
     slice over all product groups; its first row has no level and leaves the mean of its own group only.
     """
-    slices = rows.groupBy(*SLICE_KEYS).agg(
-        F.sum("transactional_vol_kg").alias("yearly_volume_rxcxp"),
-        F.sum("new_cm_abs").alias("total_rxcxp_cm_abs"),
-        F.count(F.lit(1)).alias("__n"),
-        F.min(F.struct(*order)).alias("__first"),
+    return levels_of(
+        rows.groupBy(*SLICE_KEYS).agg(
+            F.sum("transactional_vol_kg").alias("yearly_volume_rxcxp"),
+            F.sum("new_cm_abs").alias("total_rxcxp_cm_abs"),
+            F.count(F.lit(1)).alias("__n"),
+            F.min(F.struct(*order)).alias("__first"),
+        )
     )
+
+
+def levels_of(slices: DataFrame) -> DataFrame:
+    """The same from the totals of each slice and product group."""
     unnamed = slices.filter(F.col(SLICE).isNull()).agg(F.min("__first").alias("first")).select("first").scalar()
     level = F.try_divide(F.col("total_rxcxp_cm_abs"), F.col("yearly_volume_rxcxp"))
     slices = slices.withColumn("__level", F.when(F.col(SLICE).isNotNull(), level))
@@ -129,6 +151,59 @@ def slice_levels(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return out.drop("__n", "__first", "__group")
 
 
+# What the summaries tell rows apart by.
+GROUP_KEYS = [*SLICE_KEYS, "volume_index", "account_manager", "cust_segment", "country_grp"]
+
+
+def margin_groups(
+    transactions: DataFrame, volume_index: DataFrame, brackets: DataFrame, managers: DataFrame, order: Sequence[str]
+) -> DataFrame:
+    """The rows of ``margin_matrix`` totalled by slice, volume index, manager, segment and country, with their bracket.
+
+    Rows are added up before they are shuffled: only a slice's first row (``order``) carries the slice's margin, so it is the least of
+    the groups' first rows. ``n`` rows, ``firsts`` (1 in the group that holds the first row), and the sums of ``new_cm_abs``,
+    ``avg_rxcxp_cm_kg_eur`` and ``avg_rxcxp_cm_perc``, which are null if no row has a figure; ``figures`` rows have a percentage.
+    """
+    rows = with_managers(with_volume_index(priced(transactions), volume_index), managers)
+    groups = rows.groupBy(*GROUP_KEYS).agg(
+        F.sum("transactional_vol_kg").alias("__volume"), F.sum("new_cm_abs").alias("new_cm_abs"),
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("__first"),
+    )
+    # Slices and brackets are both taken from the groups.
+    groups = cut_lineage(groups)
+    levels = levels_of(
+        groups.groupBy(*SLICE_KEYS).agg(
+            F.sum("__volume").alias("yearly_volume_rxcxp"), F.sum("new_cm_abs").alias("total_rxcxp_cm_abs"),
+            F.sum("n").alias("__n"), F.min("__first").alias("__first"),
+        )
+    )
+    item = F.struct("__first", *GROUP_KEYS[1:])
+    least = groups.groupBy(F.col(SLICE).alias("__slice")).agg(F.min(item).alias("__least"))
+    found = groups.join(least, F.col(SLICE).eqNullSafe(F.col("__slice"))).withColumn("firsts", item.eqNullSafe(F.col("__least")).cast("int"))
+    found = found.drop("__slice", "__least", "__first").join(levels, SLICE_KEYS, "left")
+    first, alone = F.col("firsts") == 1, F.col("n") == 1
+
+    def total(figure: Column) -> Column:
+        """The first row's figure; the other rows have 0."""
+        return F.when(first & alone, figure).when(first, F.coalesce(figure, F.lit(0.0))).otherwise(0.0)
+
+    share = F.try_divide(F.col("__level"), F.col("avg_pg_cm_kg_eur"))
+    found = found.withColumns(
+        {
+            "avg_rxcxp_cm_kg_eur": total(F.col("__level")),
+            "avg_rxcxp_cm_perc": total(share),
+            "figures": F.col("n") - F.when(first & share.isNull(), 1).otherwise(0),
+        }
+    )
+    return with_bracket(found, brackets).drop("__level", "__volume")
+
+
+def group_level_by(groups: DataFrame, column: str, name: str) -> DataFrame:
+    """``level_by`` on the groups."""
+    mean = F.try_divide(F.sum("avg_rxcxp_cm_perc"), F.sum("figures"))
+    return groups.groupBy(F.col(column).alias(name)).agg(F.round(mean * 100, 2).alias("percentage"))
+
+
 def level_by(rows: DataFrame, column: str, name: str) -> DataFrame:
     """Mean margin level in percent."""
     return rows.groupBy(F.col(column).alias(name)).agg(
