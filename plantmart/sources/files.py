@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, StructType
 
 from .spec import TableSpec
 
@@ -63,7 +65,11 @@ def scan_optional_sites(
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    """Given rows as a relation whose size Spark knows: joined to a large table, they are broadcast, and the table is not dealt out
+    by their few keys first."""
+    kind = schema if isinstance(schema, StructType) else DataType.fromDDL(schema)
+    given = pa.Table.from_pylist([dict(zip(kind.names, row)) for row in rows], to_arrow_schema(kind))
+    return spark.createDataFrame(given, kind)
 
 
 class Catalog:

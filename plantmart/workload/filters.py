@@ -17,6 +17,7 @@ from ..operators.checks import (
 )
 from ..operators.joins import only_members, without_members
 from ..plans.common import from_start_date
+from ..sources.files import literal_rows
 from .registry import Tables, query, tidy_sql
 
 
@@ -27,7 +28,7 @@ from .registry import Tables, query, tidy_sql
 )
 def per_site_date_bound(t: Tables) -> DataFrame:
     """Start date per site from a settings table, the default date where a site has none."""
-    settings = t.spark.createDataFrame([("1-URGENT", "1996-06-01"), ("2-HIGH", "1999-01-01")], "site string, start_date string")
+    settings = literal_rows(t.spark, [("1-URGENT", "1996-06-01"), ("2-HIGH", "1999-01-01")], "site string, start_date string")
     settings = settings.withColumn("start_date", F.to_date("start_date"))
     rows = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("site"), F.to_date("o_orderdate").alias("calendar_day"))
     return from_start_date(rows, settings).select("o_orderkey", F.col("site").alias("o_orderpriority"))

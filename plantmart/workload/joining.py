@@ -19,6 +19,7 @@ from ..operators.joins import (
     reconcile,
 )
 from ..operators.ordered import occurrence_index
+from ..sources.files import literal_rows
 from .registry import Tables, query, tidy_sql
 
 LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity"]
@@ -162,7 +163,7 @@ _BRACKETS = [
 )
 def bracket_of_volume(t: Tables) -> DataFrame:
     """Volume bracket by part type; a type without brackets keeps null."""
-    brackets = t.spark.createDataFrame(_BRACKETS, "p_type string, low double, high double, bracket string")
+    brackets = literal_rows(t.spark, _BRACKETS, "p_type string, low double, high double, bracket string")
     volumes = (
         t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("p_partkey", "p_type").agg(F.sum("l_quantity").alias("volume"))
@@ -207,10 +208,11 @@ def waterfall_override(t: Tables) -> DataFrame:
         .join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
         .select("c_custkey", "c_mktsegment", "c_nationkey", "r_name", F.col("n_name").alias("manager"))
     )
-    own = t.spark.createDataFrame(
+    own = literal_rows(
+        t.spark,
         [("BUILDING", 3, "own 3"), ("MACHINERY", 7, "own 7")], "c_mktsegment string, c_nationkey int, who string"
     )
-    general = t.spark.createDataFrame([("BUILDING", "ASIA", "general ASIA")], "c_mktsegment string, r_name string, who string")
+    general = literal_rows(t.spark, [("BUILDING", "ASIA", "general ASIA")], "c_mktsegment string, r_name string, who string")
     return override(
         rows, "manager", [(own, ["c_mktsegment", "c_nationkey"], "who"), (general, ["c_mktsegment", "r_name"], "who")]
     ).select("c_custkey", "manager")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import configure
+from ..session import bound_tasks, configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,7 +38,7 @@ def query(sql: str | None = None, name: str | None = None):
         key = name or build.__name__
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return tidy(build(Tables(configure(spark), folder)))
+            return tidy(build(Tables(bound_tasks(configure(spark)), folder)))
 
         QUERIES[key] = run
         if sql is not None:
