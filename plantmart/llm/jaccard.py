@@ -13,8 +13,9 @@ Jaccard distance is a metric, and the join divides its space with pivots, level
    further apart than the radius in these distances cannot be linked, so later pivots only meet the members of their own
    and the neighbouring windows. A second bound is at hand for any two members: parity vectors differ in at most as many places as the
    sets do, see ``parities``. Each level takes several times as many pivots of the regions that are still open; a region is done
-   when all its members are in one component or all were pivots. A dense group of near copies therefore ends after its first
-   pivots, without its pairs.
+   when all its members are in one component. When no more members are outside its largest component than the level has pivots,
+   these are its last pivots: they meet all other components, and members of one need not meet. A dense group of near copies
+   therefore ends after its first pivots, without its pairs, and a few strangers in it cost one level.
 
 Documents with equal sets are one class first, so copies cost nothing further.
 """
@@ -209,9 +210,7 @@ def regions_of(texts: DataFrame, classes: DataFrame, seed: int, percent: int = P
     # Of shingles with the same members one stands for all; ``twins`` is how many.
     shared = shared.groupBy(*alike).agg(F.min("shingle").alias("shingle"), F.count(F.lit(1)).alias("twins"))
     # Copies of a set give equal rows.
-    held = cut_lineage(rows.join(shared.select("shingle", "twins"), "shingle").distinct()).join(
-        classes.select("node", "n"), "node"
-    )
+    held = rows.join(shared.select("shingle", "twins"), "shingle").distinct().join(classes.select("node", "n"), "node")
     step = float(np.log(100 / percent))
     # Rounding cannot part linked documents: rings are a little wider than the threshold asks for.
     ring = F.floor(F.log(F.col("n").cast("double")) / F.lit(step * 1.000001))
@@ -229,14 +228,31 @@ def regions_of(texts: DataFrame, classes: DataFrame, seed: int, percent: int = P
     return rings.drop("twins").join(full, ["shingle", "ring"])
 
 
+def _neighbours(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) in both directions."""
+    return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def hooked(edges: DataFrame) -> DataFrame:
+    """``node`` and ``to``, a node of the same component, for the nodes of ``edges`` (a, b): the first by ``_turn`` of it and its neighbours.
+
+    What is linked to an early pivot gets the pivot in one pass. Not one for a whole component, so it only saves work; ``components``
+    is exact.
+    """
+    first = _neighbours(edges).groupBy("a").agg(F.min(F.struct(_turn("b").alias("turn"), F.col("b").alias("to"))).alias("first"))
+    to = F.when(F.col("first.turn") < _turn("a"), F.col("first.to")).otherwise(F.col("a"))
+    return first.select(F.col("a").alias("node"), to.alias("to"))
+
+
+def _turn(node: str) -> Column:
+    """Nodes become pivots in this order, spread evenly over the longs."""
+    return F.xxhash64(node)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``label`` (smallest node of its component) for the nodes of ``edges`` (a, b)."""
-    both = cut_lineage(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    )
-    labels = cut_lineage(
-        both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label"))
-    )
+    both = cut_lineage(_neighbours(edges).distinct())
+    labels = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label"))
     while True:
         # The smallest label among the neighbours, then the label of that label.
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
@@ -257,11 +273,11 @@ def _linked(common: Column, a: Column, b: Column, percent: int) -> Column:
 
 
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, na, nb) with ``common``, the exact number of shingles that both have."""
+    """``pairs`` (a, b, na, nb and others) with ``common``, the exact number of shingles that both have."""
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
     found = pairs.join(one, "a").join(two, "b")
-    return found.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"))
+    return found.select(*pairs.columns, F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"))
 
 
 def _distance(common: Column, a: Column, b: Column) -> Column:
@@ -271,37 +287,42 @@ def _distance(common: Column, a: Column, b: Column) -> Column:
 def links(regions: DataFrame, sets: DataFrame, percent: int = PERCENT, growth: int = 8) -> DataFrame:
     """Edges (a, b) that connect exactly the components of all links among the members of ``regions``."""
     radius = 1 - percent / 100 + 1e-9
-    order = F.xxhash64("node")
-    regions = regions.withColumn("turn", F.struct(order.alias("order"), F.col("node").alias("node")))
+    regions = regions.withColumn("turn", F.struct(_turn("node").alias("order"), F.col("node").alias("node")))
     key = ["shingle", "ring"]
-    heads = regions.groupBy(*key).agg(F.min("turn").alias("head"), F.count(F.lit(1)).alias("m"))
-    heads = regions.join(heads, key).where("turn = head")
-    first = heads.select(*key, "m", F.col("node").alias("pivot"), F.col("n").alias("pn"))
+    heads = regions.groupBy(*key).agg(F.min(F.struct("turn", "n")).alias("head"), F.count(F.lit(1)).alias("m"))
+    first = heads.select(*key, "m", F.col("head.turn.node").alias("pivot"), F.col("head.n").alias("pn"))
     held = cut_lineage(regions.join(first, key))
     pairs = held.where("node <> pivot").select(
         F.col("node").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("na"), F.col("pn").alias("nb")
     ).distinct()
     found = cut_lineage(measured(pairs, sets))
     edges = found.where(_linked(F.col("common"), F.col("na"), F.col("nb"), percent)).select("a", "b")
+    fresh = edges
     away = found.select(
         F.col("a").alias("node"), F.col("b").alias("pivot"), _distance(F.col("common"), F.col("na"), F.col("nb")).alias("d")
     )
     # The members that are still to meet, with their distance to the first pivot; the pivot itself is done.
     bits = sets.select("node", *BITS)
-    rest = cut_lineage(held.drop("pn").join(away, ["node", "pivot"]).drop("pivot").join(bits, "node"))
+    rest = held.drop("pn").join(away, ["node", "pivot"]).drop("pivot").join(bits, "node").withColumn("label", F.col("node"))
     # Turns are hashes, spread evenly over the longs; a level takes the pivots up to a bound that each region has in this range.
     floor, span = float(-(1 << 63)), float(1 << 64)
     pivots = 1
     while True:
-        labels = components(edges)
+        # Members with one label are in one component; links between labels since the level before join these labels.
+        joined = hooked(fresh).withColumnRenamed("node", "label")
         pivots *= growth
         upto = F.lit(floor) + F.least(F.lit(1.0), F.lit(float(pivots)) / F.col("m")) * span
-        named = rest.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        state = named.groupBy(*key).agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 < l1").select(*key)
+        named = rest.join(joined, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
+        # The label that most members of a region have, and how many have others; a region of one label is done.
+        sizes = named.groupBy(*key, "label").agg(F.count(F.lit(1)).alias("c"))
+        state = sizes.groupBy(*key).agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("left")).where("top.c < left")
+        state = state.select(*key, F.col("top.label").alias("main"), (F.col("left") - F.col("top.c")).alias("others"))
         rest = cut_lineage(named.join(state, key).withColumn("window", F.floor(F.col("d") / F.lit(radius))))
         if rest.isEmpty():
             return edges
-        now = rest.where(F.col("turn.order") <= upto)
+        # No more members with other labels than a level has pivots: they are the last pivots, and the region is done.
+        last = F.col("others") <= pivots
+        now = rest.where(F.when(last, F.col("label") != F.col("main")).otherwise(F.col("turn.order") <= upto))
         w = F.col("window")
         probes = now.select(
             *key, F.explode(F.array(w - 1, w, w + 1)).alias("window"), F.col("node").alias("b"), F.col("n").alias("nb"),
@@ -311,16 +332,19 @@ def links(regions: DataFrame, sets: DataFrame, percent: int = PERCENT, growth: i
         apart = reduce(lambda x, y: x + y, (F.bit_count(F.col(b).bitwiseXOR(F.col(f"p{b}"))) for b in BITS))
         pairs = (
             rest.join(probes, [*key, "window"])
-            .where((F.col("turn") > F.col("tb")) & (F.col("label") != F.col("lb")))
+            .where((F.col("label") != F.col("lb")) & ((F.col("turn") > F.col("tb")) | (last & (F.col("label") == F.col("main")))))
             .where((F.abs(F.col("d") - F.col("db")) <= radius) & (few * 100 >= many * percent))
             .where(apart * (100 + percent) <= (F.col("n") + F.col("nb")) * (100 - percent))
-            .select(F.col("node").alias("a"), "b", F.col("n").alias("na"), "nb")
+            .select(F.col("node").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("label").alias("la"), "lb")
             .distinct()
         )
-        found = measured(pairs, sets).where(_linked(F.col("common"), F.col("na"), F.col("nb"), percent))
-        edges = cut_lineage(edges.unionByName(found.select("a", "b")))
+        found = cut_lineage(
+            measured(pairs, sets).where(_linked(F.col("common"), F.col("na"), F.col("nb"), percent)).select("a", "b", "la", "lb")
+        )
+        edges = edges.unionByName(found.select("a", "b"))
+        fresh = found.select(F.col("la").alias("a"), F.col("lb").alias("b"))
         # A member whose turn as a pivot is over has met all later ones; earlier ones met it as pivots themselves.
-        rest = rest.where(F.col("turn.order") > upto).drop("window", "label")
+        rest = rest.where(~last & (F.col("turn.order") > upto)).drop("window", "main", "others")
 
 
 def jaccard_components(
@@ -338,7 +362,7 @@ def jaccard_components(
     texts = cut_lineage(prefixes(docs, common_shingles(docs, width), width, percent))
     classes, seed = classes_of(texts)
     regions = cut_lineage(regions_of(texts, classes, seed, percent))
-    wanted = cut_lineage(regions.select("node").distinct().join(classes.select("node", "low"), "node"))
+    wanted = regions.select("node").distinct().join(classes.select("node", "low"), "node")
     # Texts of the classes that are left, by their smallest ids; a class without an id is looked for among rows without one.
     ids = wanted.where("low is not null").select(F.col("low").alias("id")).distinct()
     # One plan at any size: texts and ids are sorted and merged, so no side has to fit anywhere.

@@ -177,6 +177,21 @@ def test_later_levels_of_pivots_lose_no_link(ready):
     assert found == {k: k // 2 * 2 for k in sets}
 
 
+def test_a_few_strangers_in_a_dense_group_cost_one_level(ready, monkeypatch):
+    sets = {k: [*range(100), 1000 + k] for k in range(60)} | {k: [*range(40), *range(100 * k, 100 * k + 61)] for k in range(100, 103)}
+    regions = ready.createDataFrame([(1, 1, k, len(v)) for k, v in sets.items()], "shingle long, ring long, node long, n long")
+    values = np.concatenate([np.array(v, np.uint64) for v in sets.values()])
+    bits = jaccard.parities(values, np.cumsum([0, *map(len, sets.values())]))
+    rows = [(k, v, *map(int, b)) for (k, v), b in zip(sets.items(), bits)]
+    held = ready.createDataFrame(rows, f"node long, set array<long>, {', '.join(f'{b} long' for b in jaccard.BITS)}")
+    levels, inner = [], jaccard.measured
+    monkeypatch.setattr(jaccard, "measured", lambda *a: levels.append(1) or inner(*a))
+    found = {r["node"]: r["label"] for r in jaccard.components(jaccard.links(regions, held, growth=3)).collect()}
+    assert {k: found.get(k, k) for k in sets} == {k: 0 if k < 60 else k for k in sets}
+    # The first pivot, pivots until one is in the group, and the strangers: not a level for each power of three up to the region's size.
+    assert len(levels) <= 3
+
+
 def test_components_of_chains(ready):
     pick = random.Random(4)
     chain = pick.sample(range(1000), 60)
