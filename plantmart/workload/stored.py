@@ -123,19 +123,24 @@ _MOVED = {
 }
 
 
+FILE_ROWS = 250_000
+
+
 def _movement_files(t: Tables) -> str:
-    """Line items as movement files, one folder for each of three sites."""
+    """Line items as packed movement files, one folder for each of three sites."""
     root = work_path(t.spark, "movements")
     day = "date_format(l_shipdate, 'yyyy-MM-dd')"
     made = {name: text.format(text="STRING", whole="INT", day=day) for name, text in _MOVED.items()}
     columns = [F.expr(made[f.source]).alias(f.source) if f.source in made else F.lit("").alias(f.source) for f in MOVEMENTS.fields]
     rows = t.lineitem.select(F.format_string("s%d", F.col("l_suppkey") % 3).alias("site"), *columns)
-    rows.write.partitionBy("site").option("header", True).csv(root)
+    # A packed file is read by one task: a bounded number of rows in each.
+    writer = rows.write.partitionBy("site").option("header", True).option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS)
+    writer.csv(root)
     return root
 
 
 def _raw_movements(t: Tables) -> tuple[DataFrame, dict[str, int]]:
-    family = {"movements": scan_sites(t.spark, _movement_files(t), "*.csv", MOVEMENTS, "source_site", checked=True)}
+    family = {"movements": scan_sites(t.spark, _movement_files(t), "*.csv.gz", MOVEMENTS, "source_site", checked=True)}
     path = work_path(t.spark, "raw")
     counts = publish_movements(t.spark, {"line": family}, path)
     return t.spark.read.parquet(path), counts

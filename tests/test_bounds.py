@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from plantmart import session
 from plantmart.sources.files import literal_rows
-from plantmart.workload import plant, pricing
+from plantmart.workload import plant, pricing, stored
 from plantmart.workload.registry import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -83,3 +84,11 @@ def test_readings_are_sorted_without_derived_columns(spark):
     below = plan[plan.index("Window [") :]
     assert "ve_machine" in below
     assert not [c for c in ("ve_check", "ve_explanation", "ve_remark", "ve_materialdescription", "materialnumber") if c in below]
+
+
+def test_movement_files_are_packed_and_bounded(spark, monkeypatch):
+    monkeypatch.setattr(stored, "FILE_ROWS", 1000)
+    made = spark.read.option("header", True).csv(stored._movement_files(Tables(spark, FOLDER)))
+    files = made.groupBy(F.input_file_name().alias("file")).count().collect()
+    assert files and all(r["file"].endswith(".csv.gz") and r["count"] <= 1000 for r in files)
+    assert sum(r["count"] for r in files) == Tables(spark, FOLDER).lineitem.count()
