@@ -284,19 +284,18 @@ def newest_condition(prices: DataFrame, state: str, out: str) -> DataFrame:
     return latest_by(rows, ["cust_number"], ["__from", "__n", out]).select("cust_number", out)
 
 
-def enriched_customers(customers: DataFrame, complete: DataFrame, prices: DataFrame, as_of: Column) -> DataFrame:
+def enriched_customers(customers: DataFrame, complete: DataFrame, terms: DataFrame, as_of: Column) -> DataFrame:
     """Customer dimension with cost averages, base unit and condition type.
 
+    ``terms``: the newest price and the number of rates of each kind of terms of a customer, as ``price_terms`` makes them of the
+    price master.
+
     All three averages are filled with 0 and published; the usual table leaves the rebate column at its initial value.
     """
     averages = ["average_reb_kg_eur", "average_frght_kg_eur", "average_com_kg_eur"]
     base = customers.drop("upload_date", "source_system", "condition_type", "base_unit", *averages).distinct()
-    # Four lookups read the prices; they only need the newest price and the number of rates of each kind of terms.
-    prices = cut_lineage(
-        prices.groupBy("cust_number", "sales_org", "uom", "scale_type", "cond_type").agg(
-            F.max("valid_from").alias("valid_from"), F.count("scales_rate").alias("__rates")
-        )
-    )
+    # Four lookups read the terms.
+    prices = cut_lineage(terms)
     units = prices.select("cust_number", "sales_org", "valid_from", F.col("uom").alias("__unit"))
     by_org = latest_by(units, ["cust_number", "sales_org"], ["valid_from", "__unit"]).select(
         "cust_number", "sales_org", F.col("__unit").alias("__unit1")

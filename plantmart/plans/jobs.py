@@ -268,18 +268,15 @@ def pricing_tables(catalog: Catalog, as_of: Column, loaded: Column | None = None
         )
     )
     goods["products"] = cut_lineage(goods["products"])
-    priced = prices.price_tables(
-        {
-            **pick(
-                "customer_sales", "group_conditions", "customer_conditions", "items", "scales", "units",
-                "material_units",
-            ),
-            "products": goods["products"],
-            "customers": dimension["customers"],
-        },
-        fx,
-        as_of,
-    )
+    offered = {
+        **pick(
+            "customer_sales", "group_conditions", "customer_conditions", "items", "scales", "units",
+            "material_units",
+        ),
+        "products": goods["products"],
+        "customers": dimension["customers"],
+    }
+    priced = prices.price_tables(offered, fx, as_of)
     prepared = catalog("prepared_transactions")
     # One column per sales unit: the table's header comes from the products.
     units = value_list(goods["products"], "sales_org")
@@ -305,7 +302,7 @@ def pricing_tables(catalog: Catalog, as_of: Column, loaded: Column | None = None
         "enriched_products": enriched["products"],
         "products_missing_business": enriched["missing_business"],
         "enriched_customers": customers.enriched_customers(
-            dimension["customers"], catalog("complete_list"), priced["master"], as_of
+            dimension["customers"], catalog("complete_list"), prices.customer_terms(offered, fx, as_of), as_of
         ),
         "competitiveness": products.competitiveness(
             catalog("competitive_chemistry"), catalog("competitive_geography"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,7 +84,21 @@ def _unit(column: Column) -> Column:
     return F.when(column.isin("K", "EUR"), BASE_UNIT).otherwise(column)
 
 
-def price_base(t: Mapping[str, DataFrame], fx: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Prices:
+    """Priced conditions, and the customers that those of a group hold for.
+
+    ``of_groups``: konda, vkorg, inco1, matnr and what the price says. ``buyers``: konda, vkorg, inco1, kunag and what is known of the
+    customer (inco2, ibg, cust_region). ``own``: kunag, vkorg, inco1, matnr and what the price says; ``known`` adds the customer's columns.
+    """
+
+    of_groups: DataFrame
+    buyers: DataFrame
+    own: DataFrame
+    known: Callable[[DataFrame], DataFrame]
+
+
+def price_parts(t: Mapping[str, DataFrame], fx: DataFrame, store: Callable[[DataFrame], DataFrame] = cut_lineage) -> Prices:
     """Price conditions of both sources with scales, units and price per unit.
 
     ``t``: customer_sales (kunnr, vkorg, vtweg, konda, inco1, inco2), group_conditions (konda, ...),
@@ -92,16 +108,13 @@ def price_base(t: Mapping[str, DataFrame], fx: DataFrame) -> DataFrame:
     Three lookups multiply rows on purpose, as published: a group price holds for each customer of the group, a price for each
     different second delivery term and for each different (line of business, region) of its customer, and for each item and scale.
 
-    What a price says (items, scales, units, rates) is looked up on the conditions; a group's conditions meet its customers, with
-    what is known of these, last.
+    What a price says (items, scales, units, rates) is looked up on the conditions of both sources at once and stored (by ``store``,
+    which may reduce the rows); a group's conditions meet its customers, with what is known of these, last.
     """
     sales = t["customer_sales"]
     terms = ["inco1", "matnr", "vkorg", "knumh", "datbi", "datab", "kschl"]
     items = t["items"].withColumns({"kbetr": F.col("kbetr").cast("double"), "kstbm": F.col("kstbm").cast("double")})
-    live = items.groupBy("knumh").agg(F.max("loevm_ko").alias("__deleted")).filter(F.col("__deleted") != DELETED)
-    by_customer = only_members(t["customer_conditions"].filter(F.col("kschl").isin(*CUSTOMER_CONDITIONS)), live, ["knumh"])
-    item = items.filter((F.col("kbetr") != 0) & (F.col("loevm_ko") != DELETED)).select(
-        "knumh",
+    item = F.struct(
         F.col("kstbm").alias("kstbm_p"),
         F.col("kbetr").alias("kbetr_p"),
         F.col("kmein").alias("uom_p"),
@@ -110,6 +123,9 @@ def price_base(t: Mapping[str, DataFrame], fx: DataFrame) -> DataFrame:
         F.col("konwa").alias("konwa_p"),
         F.lit(ITEM_SOURCE).alias("type2_p"),
     )
+    # The few items of a condition in one row: whether it is in force and what it says then come from one shuffle of the items.
+    valid = (F.col("kbetr") != 0) & (F.col("loevm_ko") != DELETED)
+    items = items.groupBy("knumh").agg(F.max("loevm_ko").alias("__deleted"), F.collect_list(F.when(valid, item)).alias("__items"))
     scale = t["scales"].select(
         "knumh",
         F.col("kstbm").cast("double").alias("kstbm_m"),
@@ -126,34 +142,38 @@ def price_base(t: Mapping[str, DataFrame], fx: DataFrame) -> DataFrame:
         F.max(F.try_divide(F.col("umrez"), F.col("umren"))).alias("__piece")
     )
 
-    def priced(conditions: DataFrame) -> DataFrame:
-        conditions = only_members(conditions, t["products"], {"matnr": "prod_number"})
-        return _priced(conditions.join(item, "knumh", "left").join(scale, "knumh", "left"), mass, pieces, to_eur)
-
-    by_group = priced(t["group_conditions"].select("konda", *terms, F.lit(GROUP_SOURCE).alias("type1")))
-    by_customer = priced(by_customer.select("kunag", *terms, F.lit(CUSTOMER_SOURCE).alias("type1")))
-
     members = t["customers"].select(F.col("cust_number").alias("kunag"), F.col("sales_org").alias("vkorg")).distinct()
     regions = t["customers"].select(F.col("cust_number").alias("kunag"), "ibg", "cust_region").distinct()
     delivery = sales.select(F.col("kunnr").alias("kunag"), "vkorg", "inco1", "inco2").distinct()
 
-    def known(buyers: DataFrame) -> DataFrame:
-        return buyers.join(delivery, ["kunag", "vkorg", "inco1"], "left").join(regions, "kunag", "left")
+    def known(rows: DataFrame) -> DataFrame:
+        return rows.join(delivery, ["kunag", "vkorg", "inco1"], "left").join(regions, "kunag", "left")
+
+    of_groups = t["group_conditions"].select("konda", *terms, F.lit(GROUP_SOURCE).alias("type1"))
+    by_customer = t["customer_conditions"].filter(F.col("kschl").isin(*CUSTOMER_CONDITIONS))
+    own = only_members(by_customer, members, ["kunag", "vkorg"]).select("kunag", *terms, F.lit(CUSTOMER_SOURCE).alias("type1"))
+    conditions = only_members(own.unionByName(of_groups, allowMissingColumns=True), t["products"], {"matnr": "prod_number"})
+    # A customer's own condition needs an item, and none with the highest mark deleted.
+    met = conditions.join(items, "knumh", "left").filter((F.col("type1") == GROUP_SOURCE) | (F.col("__deleted") != DELETED))
+    met = met.withColumn("__item", F.explode_outer("__items")).select(*conditions.columns, "__item.*")
+    priced = store(_priced(met.join(scale, "knumh", "left"), mass, pieces, to_eur))
 
     in_group = sales.dropna(subset=["vkorg", "vtweg", "konda"]).select("konda", F.col("kunnr").alias("kunag"))
     offered = t["group_conditions"].select("konda", "vkorg", "inco1").distinct()
-    buyers = known(in_group.join(members, "kunag").join(offered, ["konda", "vkorg"]))
-    same = (F.col("__konda") == F.col("konda")) & (F.col("__vkorg") == F.col("vkorg")) & F.col("__inco1").eqNullSafe(F.col("inco1"))
-    buyers = buyers.select(*[F.col(c).alias(f"__{c}") for c in ("konda", "vkorg", "inco1")], "kunag", "inco2", "ibg", "cust_region")
-    rows = by_group.join(buyers, same, "inner").drop("konda", "__konda", "__vkorg", "__inco1")
-    own = known(only_members(by_customer, members, ["kunag", "vkorg"]))
-    return rows.unionByName(own).select(
-        "kunag", "inco1", "inco2", "matnr", "vkorg", "valid_from", "valid_to", "uom", "uom_scale", "per", "scales_qty", "konwa", "kbetr",
-        "valid_price_base_currency", "ibg", "cust_region", "weight_rate_to_apply_scale", "weight_rate_to_apply",
-        "fx_rate_into_eur", "cond_type", "type1", "type2",
+    return Prices(
+        priced.filter(F.col("type1") == GROUP_SOURCE).drop("kunag"),
+        cut_lineage(known(in_group.join(members, "kunag").join(offered, ["konda", "vkorg"]))),
+        priced.filter(F.col("type1") == CUSTOMER_SOURCE).drop("konda"),
+        known,
     )
 
 
+def _same_price_group(left: str, right: str) -> Column:
+    """Rows of two frames, by their aliases, in one customer group, sales unit and delivery term (which may be missing)."""
+    one, other = (lambda c, side=side: F.col(f"{side}.{c}") for side in (left, right))
+    return (one("konda") == other("konda")) & (one("vkorg") == other("vkorg")) & one("inco1").eqNullSafe(other("inco1"))
+
+
 def _priced(rows: DataFrame, mass: DataFrame, pieces: DataFrame, to_eur: DataFrame) -> DataFrame:
     """Conditions with their items and scales, in one price: unit, quantity, currency, rate into EUR."""
     scaled = F.col("type2_m").isNotNull()
@@ -237,24 +257,161 @@ def with_price_states(base: DataFrame, as_of: Column) -> DataFrame:
     return base.withColumns({"rate_eur": rate, "scale_type": validity_state(F.col("valid_from"), F.col("valid_to"), as_of)})
 
 
-def customer_prices(t: Mapping[str, DataFrame], fx: DataFrame, as_of: Column) -> DataFrame:
-    """The columns of the price master that need no other price: nothing is stored, and no neighbour or id is looked for."""
-    return with_price_states(price_base(t, fx), as_of).select(
-        F.col("kunag").alias("cust_number"), F.col("vkorg").alias("sales_org"), "valid_from", "uom", "scale_type",
-        F.col("rate_eur").alias("scales_rate"), "cond_type",
+def price_terms(prices: DataFrame) -> DataFrame:
+    """Newest price and number of rates (``__rates``) of each kind of terms of a customer."""
+    return prices.groupBy("cust_number", "sales_org", "uom", "scale_type", "cond_type").agg(
+        F.max("valid_from").alias("valid_from"), F.count("scales_rate").alias("__rates")
     )
 
 
-def price_tables(t: Mapping[str, DataFrame], fx: DataFrame, as_of: Column) -> dict[str, DataFrame]:
-    """Price scales in the condition's currency and unit, and the price master in EUR and kilograms.
+def customer_terms(t: Mapping[str, DataFrame], fx: DataFrame, as_of: Column) -> DataFrame:
+    """``price_terms`` of the price master without making its rows: a group's prices are reduced before they meet its customers."""
+    kind = ["uom", "scale_type", "cond_type"]
+
+    def reduced(rows: DataFrame) -> DataFrame:
+        kinds = with_price_states(rows, as_of).groupBy("type1", "konda", "kunag", "vkorg", "inco1", *kind)
+        return cut_lineage(kinds.agg(F.max("valid_from").alias("valid_from"), F.count("rate_eur").alias("__rates")))
+
+    parts = price_parts(t, fx, reduced)
+    times = parts.buyers.groupBy("konda", "vkorg", "inco1", "kunag").agg(F.count(F.lit(1)).alias("__times"))
+    bought = parts.of_groups.alias("o").join(times.alias("b"), _same_price_group("o", "b")).select(
+        "b.kunag", "o.vkorg", *kind, "valid_from", (F.col("__rates") * F.col("__times")).alias("__rates")
+    )
+    both = bought.unionByName(parts.known(parts.own).select(*bought.columns))
+    return both.groupBy(F.col("kunag").alias("cust_number"), F.col("vkorg").alias("sales_org"), *kind).agg(
+        F.max("valid_from").alias("valid_from"), F.sum("__rates").alias("__rates")
+    )
+
 
-    The joined base is written to the shared folder once. Ids, neighbours and thresholds are those of one customer, so the base is
-    shuffled once, by customer, for all of them.
+# Products of a list of prices that make one key of the join with its customers.
+LIST_CHUNK = 32
+NEAR_KEYS = ["kunag", "matnr", "vkorg", "inco1"]
+
+
+def _with_neighbours(rows: DataFrame, as_of: Column) -> DataFrame:
+    """Price rows with validity neighbours, threshold and state."""
+    near = neighbours_by_window(rows, NEAR_KEYS, "valid_from", "valid_to", ["valid_price_base_currency"], as_of)
+    return with_price_states(with_next_threshold(near), as_of)
+
+
+def _price_lists(parts: Prices, as_of: Column) -> tuple[DataFrame, DataFrame]:
+    """Customers with the same groups and sales units share a list of group prices.
+
+    Returns the list of each customer (kunag, list; named by the least of its customers), and the rows of each list with all that
+    its own rows say: neighbours, thresholds, states, and ``__rank``, dense by product and delivery term.
     """
-    base = cut_lineage(price_base(t, fx))
-    keys = ["kunag", "matnr", "vkorg", "inco1"]
-    near = neighbours_by_window(with_ids(base), keys, "valid_from", "valid_to", ["valid_price_base_currency"], as_of)
-    priced = with_price_states(with_next_threshold(near), as_of)
+    pairs = F.array_sort(F.collect_set(F.struct("konda", "vkorg")))
+    groups = parts.buyers.groupBy("kunag").agg(pairs.alias("__pairs"))
+    named = groups.groupBy("__pairs").agg(F.min("kunag").alias("list"))
+    of_customer = cut_lineage(groups.join(named, "__pairs").select("kunag", "list"))
+    offers = named.select("list", F.explode("__pairs").alias("p")).select(F.col("list").alias("kunag"), "p.*")
+    no_text = F.lit(None).cast("string")
+    rows = parts.of_groups.join(offers, ["konda", "vkorg"]).withColumns({"ibg": no_text, "cust_region": no_text})
+    within = Window.partitionBy("kunag").orderBy(*[F.col(c).asc_nulls_first() for c in ID_KEYS[1:]])
+    rows = _with_neighbours(rows, as_of).withColumn("__rank", F.dense_rank().over(within))
+    return of_customer, cut_lineage(rows.drop("ibg", "cust_region").withColumnRenamed("kunag", "list"))
+
+
+def _null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Equal keys of two frames by their aliases; the last key may be missing and is compared, not joined on."""
+    equal = [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys[:-1]]
+    last = F.coalesce(F.col(f"{left}.{keys[-1]}").eqNullSafe(F.col(f"{right}.{keys[-1]}")), F.lit(False))
+    return reduce(lambda a, b: a & b, [*equal, last])
+
+
+def _own_keys(own: DataFrame, of_customer: DataFrame, rows: DataFrame) -> DataFrame:
+    """Products and delivery terms that customers have prices of their own for, and their place.
+
+    ``__pos``: how many of the keys of the customer's list are lower; ``__listed``: whether the key is one of these; ``__within``: the
+    key's place among all keys of the customer, from 1.
+    """
+    listed = rows.select("list", *ID_KEYS[1:]).distinct().withColumn("__n", F.lit(1))
+    keys = cut_lineage(own.select(*ID_KEYS).distinct().join(of_customer, "kunag", "left"))
+    asked = keys.filter("list IS NOT NULL").select("list", *ID_KEYS[1:], F.lit(0).alias("__n"))
+    both = listed.unionByName(asked).groupBy("list", *ID_KEYS[1:]).agg(F.max("__n").alias("__n"))
+    placed = total_in_front(both, ["list", *ID_KEYS[1:]], "__n", "__before")
+    starts = placed.groupBy(F.col("list").alias("__list")).agg(F.min("__before").alias("__start"))
+    placed = placed.join(starts, F.col("list") == F.col("__list")).withColumn("__pos", F.col("__before") - F.col("__start"))
+    found = keys.alias("k").join(placed.alias("p"), _null_safe("k", "p", ["list", *ID_KEYS[1:]]), "left").select(
+        *[f"k.{c}" for c in ("list", *ID_KEYS)],
+        F.coalesce("__pos", F.lit(0).cast("long")).alias("__pos"), F.coalesce(F.col("__n") == 1, F.lit(False)).alias("__listed"),
+    )
+    order = Window.partitionBy("kunag").orderBy(*[F.col(c).asc_nulls_first() for c in ID_KEYS[1:]])
+    # Keys not in the list, up to this one.
+    more = F.sum(F.when(F.col("__listed"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return cut_lineage(found.withColumn("__within", F.col("__pos") + more + F.col("__listed").cast("int")))
+
+
+def _stretches(keys: DataFrame, buyers: DataFrame) -> DataFrame:
+    """Stretches of a customer's list (ranks from ``__low`` to below ``__high``) that no price of the customer's own touches.
+
+    ``__shift``: how many keys outside the list stand before the stretch. ``buyers``: kunag, list, ``__listed_keys``. A stretch lies in one
+    chunk of the list.
+    """
+    cut = F.sequence(F.lit(0), F.floor((F.col("__listed_keys") - 1) / LIST_CHUNK))
+    no, yes, more = F.lit(False).alias("__hole"), F.lit(True).alias("__hole"), F.lit(0).alias("__more")
+    chunks = buyers.select("kunag", F.explode(cut).alias("c")).select("kunag", (F.col("c") * LIST_CHUNK + 1).alias("__low"), more, no)
+    place = F.col("__pos")
+    beside = keys.filter("list IS NOT NULL AND NOT __listed").select("kunag", (place + 1).alias("__low"), F.lit(1).alias("__more"), no)
+    inside = keys.filter("list IS NOT NULL AND __listed")
+    holes = inside.select("kunag", (place + 1).alias("__low"), more, yes).unionByName(inside.select("kunag", (place + 2).alias("__low"), more, no))
+    # A narrow row stands for many prices, so small partitions are not put together.
+    cuts = chunks.unionByName(beside).unionByName(holes)
+    cuts = cuts.repartition(int(cuts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "kunag")
+    cuts = cuts.groupBy("kunag", "__low").agg(F.sum("__more").alias("__more"), F.max("__hole").alias("__hole"))
+    order = Window.partitionBy("kunag").orderBy("__low")
+    found = cuts.withColumns({"__shift": F.sum("__more").over(order), "__high": F.lead("__low").over(order)}).filter("NOT __hole")
+    return found.withColumn("__chunk", F.floor((F.col("__low") - 1) / LIST_CHUNK)).drop("__hole", "__more")
+
+
+def price_rows(parts: Prices, as_of: Column) -> DataFrame:
+    """All prices of all customers, each with its id, validity neighbours, threshold and state.
+
+    Group prices are far more than conditions, as each holds for all customers of its group. What neighbours, thresholds and ids depend
+    on is the customer's rows of one product and delivery term, and how many such keys come before. Customers of the same groups
+    share all of it, so it is found once on their list of prices, and the list meets its customers last, unsorted and unstored. Only
+    keys for which a customer has prices of its own are looked at for the customer, together with the group prices of the same key.
+    """
+    of_customer, rows = _price_lists(parts, as_of)
+    keys = _own_keys(parts.own, of_customer, rows)
+    sizes = rows.groupBy("list").agg(F.max("__rank").cast("long").alias("__listed_keys"))
+    counted = keys.groupBy(F.col("kunag").alias("__kunag")).agg(F.sum(F.when(F.col("__listed"), 0).otherwise(1)).alias("__own_keys"))
+    customers = of_customer.join(sizes, "list").join(counted, F.col("kunag") == F.col("__kunag"), "full").select(
+        F.coalesce("kunag", "__kunag").alias("kunag"), "list", "__listed_keys",
+        (F.coalesce("__listed_keys", F.lit(0)) + F.coalesce("__own_keys", F.lit(0))).alias("__ids"),
+    )
+    customers = total_in_front(customers, ["kunag"], "__ids", "__before").withColumn("__before", F.col("__before") + (FIRST_ID - 1))
+
+    # Keys with prices of the customer's own.
+    inside = keys.filter("__listed").select(*ID_KEYS).alias("k")
+    buyers = parts.buyers.alias("b")
+    same = (F.col("k.kunag") == F.col("b.kunag")) & F.col("k.inco1").eqNullSafe(F.col("b.inco1"))
+    asked = inside.join(buyers, same).select("b.*", F.col("k.matnr").alias("__matnr")).alias("b")
+    offers = parts.of_groups.alias("o")
+    beside = offers.join(asked, _same_price_group("o", "b") & (F.col("o.matnr") == F.col("b.__matnr")))
+    beside = beside.select("o.*", "b.kunag", "b.inco2", "b.ibg", "b.cust_region").drop("konda")
+    mixed = parts.known(parts.own).unionByName(beside).alias("m")
+    place = keys.join(customers.select("kunag", "__before"), "kunag").select(*ID_KEYS, (F.col("__before") + F.col("__within")).alias("unique_id"))
+    mixed = mixed.join(place.alias("k"), _null_safe("m", "k", ID_KEYS)).select("m.*", "unique_id")
+    mixed = _with_neighbours(mixed, as_of)
+
+    # Stretches of the lists that the group prices alone decide.
+    listed = customers.filter("list IS NOT NULL AND __listed_keys IS NOT NULL")
+    spans = _stretches(keys, listed).join(listed.select("kunag", "list", "__before"), "kunag").join(parts.buyers, "kunag").alias("b")
+    chunked = rows.withColumn("__chunk", F.floor((F.col("__rank") - 1) / LIST_CHUNK)).alias("o")
+    met = (F.col("o.list") == F.col("b.list")) & (F.col("o.__chunk") == F.col("b.__chunk")) & _same_price_group("o", "b")
+    met &= (F.col("__rank") >= F.col("__low")) & (F.col("__high").isNull() | (F.col("__rank") < F.col("__high")))
+    number = (F.col("__before") + F.col("__shift") + F.col("__rank")).alias("unique_id")
+    given = {"kunag", "inco2", "ibg", "cust_region"}
+    plain = spans.join(chunked, met).select(
+        *[number if c == "unique_id" else F.col(f"{'b' if c in given else 'o'}.{c}") for c in mixed.columns]
+    )
+    return plain.unionByName(mixed)
+
+
+def price_tables(t: Mapping[str, DataFrame], fx: DataFrame, as_of: Column) -> dict[str, DataFrame]:
+    """Price scales in the condition's currency and unit, and the price master in EUR and kilograms."""
+    priced = price_rows(price_parts(t, fx), as_of)
     priced = priced.withColumnsRenamed(
         {
             "kunag": "cust_number", "matnr": "prod_number", "vkorg": "sales_org", "inco1": "incoterm1",

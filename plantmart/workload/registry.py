@@ -52,8 +52,18 @@ def query(sql: str | None = None, name: str | None = None):
 NUDGE = 1e-8
 
 
+# Below this a double has digits enough to tell how far from a half its last digit is.
+CLEAR = 1e7
+
+
 def rounded(column: Column) -> Column:
-    value = F.round(column.cast("double") + NUDGE, DIGITS)
+    """``round`` to ``DIGITS``, which goes through text: whole numbers, and values clearly off a half, take plain arithmetic to the
+    same double (a whole number divided by a power of ten is the double nearest to the decimal)."""
+    moved = column.cast("double") + NUDGE
+    scaled = moved * F.lit(10.0**DIGITS)
+    whole = F.rint(scaled)
+    clear = (F.abs(moved) < CLEAR) & (F.abs(scaled - whole) < 0.49)
+    value = F.when(F.rint(moved) == moved, moved).when(clear, whole / F.lit(10.0**DIGITS)).otherwise(F.round(moved, DIGITS))
     return F.when(value == 0, F.lit(0.0)).otherwise(value)
 
 
