@@ -82,3 +82,24 @@ def test_plain_arithmetic_rounds_as_round_does(spark):
     slow = F.when(value == 0, F.lit(0.0)).otherwise(value)
     rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", rounded(F.col("v")).alias("got"), slow.alias("want"))
     assert rows.filter(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
+
+
+def test_terms_of_customers_are_those_of_their_prices(spark, monkeypatch):
+    """Newest price and number of rates, without a row for each price of each customer."""
+    given, as_of = parts(spark, 3), F.lit("2001-07-15").cast("date")
+    rows = plain(given, as_of).select(
+        F.col("kunag").alias("cust_number"), F.col("vkorg").alias("sales_org"), "valid_from", "uom", "scale_type", F.col("rate_eur").alias("scales_rate"), "cond_type"
+    )
+    met = []
+
+    def reduced_parts(t, fx, store):
+        none = F.lit(None).cast("string")
+        of_groups = store(given.of_groups.withColumns({"type1": F.lit("g"), "kunag": none}))
+        own = store(given.own.withColumns({"type1": F.lit("c"), "konda": none}))
+        met.extend([of_groups.count() <= given.of_groups.count(), "matnr" not in of_groups.columns])
+        return prices.Prices(of_groups.drop("kunag"), given.buyers, own.drop("konda"), given.known)
+
+    monkeypatch.setattr(prices, "price_parts", reduced_parts)
+    want = prices.price_terms(rows)
+    got = prices.customer_terms({}, None, as_of).select(*want.columns)
+    assert met == [True, True] and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
