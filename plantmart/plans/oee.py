@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,16 +73,20 @@ EVENT_SUMS = [
 RATE_SUMS = ["capacity", "quantity_prod", "quantity_ftr", "runtime_sec", "downtime_sec"]
 
 
-def oee_table(availability: DataFrame, rates: DataFrame, capacity_from_events: bool) -> DataFrame:
+def oee_table(availability: DataFrame, rates: DataFrame, capacity_from_events: bool, within: Sequence[str] = ()) -> DataFrame:
     """Daily losses per order next to what was produced.
 
     Rates are grouped by exactly the join key, so an order made in two products does not double its losses.
     ``capacity_from_events`` (line plants) takes capacity as running potential less external delay; otherwise the
-    capacity of the rate samples is kept (batch plants).
+    capacity of the rate samples is kept (batch plants). ``within`` names columns that the events are dealt out by already: they are
+    added up there first, and their few sums go to the rates at once.
     """
     sums = [*EVENT_SUMS, "delay_ext_loss"] if capacity_from_events else EVENT_SUMS
     status = [c for c in ("source_status",) if c in availability.columns]
-    events = availability.groupBy(*status, *EVENT_KEYS).agg(*[F.sum(c).alias(f"sum_{c}") for c in sums])
+    events = availability
+    if within:
+        events = events.groupBy(*status, *within, *EVENT_KEYS).agg(*[F.sum(c).alias(c) for c in sums]).repartition(*status, *RATE_KEYS)
+    events = events.groupBy(*status, *EVENT_KEYS).agg(*[F.sum(c).alias(f"sum_{c}") for c in sums])
     produced = rates.groupBy(*status, *RATE_KEYS).agg(*[F.sum(c).alias(f"sum_{c}") for c in RATE_SUMS])
     joined = events.join(produced, [*status, *RATE_KEYS], "left").fillna(0, subset=[f"sum_{c}" for c in RATE_SUMS])
     gap = F.col("sum_runtime_loss")
