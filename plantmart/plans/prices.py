@@ -16,7 +16,7 @@ from ..operators.dedup import first_by, latest_by
 from ..operators.joins import neighbours_by_window, only_members
 from ..operators.ranking import total_in_front
 from ..operators.reshape import with_inverse
-from ..session import cut_lineage
+from ..session import compile_large_stages, cut_lineage
 
 # Fixed values.
 RATE_TYPE = "DM"
@@ -372,6 +372,7 @@ def price_rows(parts: Prices, as_of: Column) -> DataFrame:
     share all of it, so it is found once on their list of prices, and the list meets its customers last, unsorted and unstored. Only
     keys for which a customer has prices of its own are looked at for the customer, together with the group prices of the same key.
     """
+    compile_large_stages(parts.own.sparkSession)
     of_customer, rows = _price_lists(parts, as_of)
     keys = _own_keys(parts.own, of_customer, rows)
     sizes = rows.groupBy("list").agg(F.max("__rank").cast("long").alias("__listed_keys"))
